@@ -44,7 +44,7 @@ def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFr
     c = prefix_sums(g, "s", ["neg"], inclusive=False)
     return c.agg(
         ((F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)))
-         / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+         / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"))
 
 
 def binary_metrics(scored: DataFrame, threshold: float = K.HIGH_RISK_THRESHOLD,
@@ -125,3 +125,31 @@ def stratified_split(df: DataFrame, key: str = "customer_id", label: str = "labe
 
 def split_counts(split_df: DataFrame, label: str = "label") -> DataFrame:
     return split_df.groupBy(label, "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+def grouped_metrics(scored: DataFrame, by: list[str], threshold: float = K.HIGH_RISK_THRESHOLD,
+                    label: str = "label", score: str = "score", places: int = 4) -> DataFrame:
+    """ML7 + ML8 per group (e.g. per scoring day): one grouped aggregate for the
+    confusion counts, per-group AUC from per-(group, score) counts with a
+    prefix sum partitioned by group."""
+    pred = F.col(score) >= F.lit(threshold)
+    pos = F.col(label) == 1
+    cm = scored.groupBy(*by).agg(
+        F.count(F.when(pred & pos, 1)).alias("tp"), F.count(F.when(pred & ~pos, 1)).alias("fp"),
+        F.count(F.when(~pred & ~pos, 1)).alias("tn"), F.count(F.when(~pred & pos, 1)).alias("fn"))
+    g = scored.groupBy(*by, F.col(score).alias("s")).agg(
+        F.count(F.when(pos, 1)).alias("pos"), F.count(F.when(~pos, 1)).alias("neg"))
+    c = prefix_sums(g, "s", ["neg"], partition_cols=by, inclusive=False)
+    a = c.groupBy(*by).agg(
+        (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5))
+         / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"))
+    tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
+    return cm.join(a, by).select(
+        *by,
+        F.bround(_ratio(tp, tp + fp), places).alias("precision"),
+        F.bround(_ratio(tp, tp + fn), places).alias("recall"),
+        F.bround(_ratio(2 * tp, 2 * tp + fp + fn), places).alias("f1"),
+        F.bround(F.col("auc"), places).alias("auc"),
+        F.bround(_ratio(fp, fp + tn), places).alias("false_positive_rate"),
+        (tp + fp + tn + fn).alias("n_rows"),
+    )
