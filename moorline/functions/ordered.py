@@ -24,10 +24,13 @@ DEFAULT_BUCKETS = 256
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_cols=(),
-                buckets: int = DEFAULT_BUCKETS, inclusive: bool = True) -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, inclusive: bool = True,
+                with_prev: bool = False) -> DataFrame:
     """Add ``cum_<v>`` = running sum of ``v`` in ``order_col`` order (per
     ``partition_cols`` group), inclusive or exclusive of the current row.
-    ``order_col`` must be unique within a group."""
+    ``with_prev`` also adds ``prev_<order_col>``, the previous value in the
+    group's global order (NULL for the first).  ``order_col`` must be unique
+    within a group."""
     parts = list(partition_cols)
     dummy = not parts
     if dummy:  # a single group: key every row to it so the bounds join is an equi-join
@@ -40,16 +43,24 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     withb = withb.withColumn(
         "_bucket", F.expr(f"size(filter(_bounds, b -> b < `{order_col}`))")).drop("_bounds")
 
-    totals = withb.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    totals = withb.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols],
+                                                  F.max(order_col).alias("_bmax"))
     wt = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    wl = Window.partitionBy(*parts).orderBy("_bucket")
     offsets = totals.select(*parts, "_bucket", *[
-        F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
+        F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
+        F.lag("_bmax").over(wl).alias("_prev_bmax"))
 
     frame_end = Window.currentRow if inclusive else -1
     wr = Window.partitionBy(*parts, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, frame_end)
-    running = withb.select("*", *[F.coalesce(F.sum(v).over(wr), F.lit(0)).alias(f"_r_{v}") for v in value_cols])
+    wp = Window.partitionBy(*parts, "_bucket").orderBy(order_col)
+    running = withb.select("*", *[F.coalesce(F.sum(v).over(wr), F.lit(0)).alias(f"_r_{v}") for v in value_cols],
+                           F.lag(order_col).over(wp).alias("_prev_in"))
     out = running.join(F.broadcast(offsets), [*parts, "_bucket"])
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_r_{v}"))
-    out = out.drop("_bucket", *[f"_o_{v}" for v in value_cols], *[f"_r_{v}" for v in value_cols])
+    if with_prev:
+        out = out.withColumn(f"prev_{order_col}", F.coalesce(F.col("_prev_in"), F.col("_prev_bmax")))
+    out = out.drop("_bucket", "_prev_in", "_prev_bmax", *[f"_o_{v}" for v in value_cols],
+                   *[f"_r_{v}" for v in value_cols])
     return out.drop("_g") if dummy else out
