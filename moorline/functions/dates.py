@@ -27,3 +27,9 @@ def month_boundaries(start: Column, end: Column) -> Column:
 
 def in_closed(col: Column, lo: Column, hi: Column) -> Column:
     return (col >= lo) & (col <= hi)
+
+
+def full_months(start: Column, end: Column) -> Column:
+    """Whole calendar months elapsed from ``start`` to ``end`` (tenure)."""
+    return (month_boundaries(start, end)
+            - F.when(F.dayofmonth(end) < F.dayofmonth(start), F.lit(1)).otherwise(F.lit(0))).cast("int")

@@ -129,6 +129,17 @@ LINEAR_WEIGHTS = {
 }
 
 
+def linear_score_col(weights: dict | None = None, intercept: float = LINEAR_INTERCEPT,
+                     places: int | None = 6):
+    """The logistic score as a column expression over the model inputs."""
+    w = weights or LINEAR_WEIGHTS
+    z = F.lit(intercept)
+    for c, coef in w.items():
+        z = z + F.col(c).cast("double") * F.lit(coef)
+    p = 1.0 / (1.0 + F.exp(-z))
+    return F.round(p, places) if places is not None else p
+
+
 def score_linear(model_ready: DataFrame, weights: dict | None = None,
                  intercept: float = LINEAR_INTERCEPT, places: int | None = 6) -> DataFrame:
     """Logistic score with fixed coefficients: a pure projection, fully codegen'd."""

@@ -1,4 +1,5 @@
 """Named query plans.  Importing this package registers every query."""
 
-from . import q_drift, q_features, q_metrics, q_model, q_population, q_profiles, q_registry  # noqa: F401
+from . import (q_decisions, q_drift, q_features, q_metrics, q_model, q_population,  # noqa: F401
+               q_profiles, q_registry)
 from .registry import ORACLE, QUERIES  # noqa: F401

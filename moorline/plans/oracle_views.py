@@ -160,8 +160,10 @@ FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with CTEs for the named views (in the given order)."""
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     body = sql.strip()
+    if not names:
+        return body
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import model as MD
+from ..operators import preprocess as PP
 from ..operators import profiles as PR
+from ..session import materialize
 from . import common as C
 from .oracle_frag import MODEL_READY, sql_with
 from .oracle_views import SNAP
@@ -21,10 +23,20 @@ _V = ("customers_v", "transactions_v", "app_sessions_v", "customer_products_v",
       "nps_responses_v", "products_v")
 
 
+def scored_batch(w, threshold=K.HIGH_RISK_THRESHOLD):
+    """High-risk rows (linear scorer) with the raw NPS / rate-reset values kept
+    beside the filled model inputs; checkpointed so downstream plans start
+    from a small materialised table instead of re-deriving features."""
+    f = C.features(w).withColumn("nps_raw", F.col("nps_score_last")) \
+        .withColumn("mrr_raw", F.col("months_to_rate_reset"))
+    mr = PP.model_ready(f)
+    sc = mr.select("*", MD.linear_score_col().alias("churn_score"))
+    hr = sc.where(F.col("churn_score") >= F.lit(threshold)).withColumn("scored_at", F.lit(SCORED_AT))
+    return materialize(hr)
+
+
 def batch(w, threshold=K.HIGH_RISK_THRESHOLD):
-    mr = C.model_features(w)
-    sc = mr.join(MD.score_linear(mr).select("customer_id", "churn_score"), "customer_id")
-    return MD.high_risk(sc.withColumn("scored_at", F.lit(SCORED_AT)), threshold)
+    return MD.high_risk(scored_batch(w, threshold), threshold)
 
 
 def documents(w, as_of=None, threshold=K.HIGH_RISK_THRESHOLD):

@@ -64,3 +64,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, name)
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder
+    (survives executor loss; never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
