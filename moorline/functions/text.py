@@ -73,7 +73,7 @@ FENCE = r"```(?:json)?"
 def extract_json_text(text: Column) -> Column:
     """SC13: strip code fences; the whole text if it is valid JSON, else the
     span from the first '{' to the last '}' if that is valid JSON, else NULL."""
-    stripped = F.trim(F.regexp_replace(text, FENCE, ""))
+    stripped = F.regexp_replace(F.regexp_replace(text, FENCE, ""), r"^\s+|\s+$", "")
     span = F.regexp_extract(stripped, r"(?s)\{.*\}", 0)
     whole_ok = F.try_parse_json(stripped).isNotNull()
     span_ok = (span != "") & F.try_parse_json(span).isNotNull()

@@ -282,11 +282,14 @@ def render_message(chosen: DataFrame) -> DataFrame:
     """DC8: deterministic draft.  Personal signal = tenure (years), else the
     fixed-rate end date, else the region.  Offer value copied verbatim."""
     years = F.floor(_c("tenure_months") / 12)
-    signal = (F.when(years >= 1, F.concat(F.lit("you have been with us for "), years.cast("string"), F.lit(" years")))
-              .when(_c("next_rate_end").isNotNull(),
-                    F.concat(F.lit("your fixed rate ends on "), F.date_format("next_rate_end", "yyyy-MM-dd")))
-              .when(_c("region").isNotNull(), F.concat(F.lit("as a valued client in "), _c("region")))
-              .otherwise(F.lit("")))
+    thanks = ", we wanted to thank you for your loyalty."
+    opening = (F.when(years >= 1, F.concat(F.lit("As you have been with us for "), years.cast("string"),
+                                           F.lit(" years"), F.lit(thanks)))
+               .when(_c("next_rate_end").isNotNull(),
+                     F.concat(F.lit("Your fixed rate ends on "), F.date_format("next_rate_end", "yyyy-MM-dd"),
+                              F.lit(", so we wanted to share the options available to you.")))
+               .when(_c("region").isNotNull(), F.concat(F.lit("As a valued client in "), _c("region"), F.lit(thanks)))
+               .otherwise(F.lit("We wanted to thank you for your loyalty.")))
     value = _offer_attr(F.col("offer_id"), 6)
     offer_line = F.when(F.col("offer_id").isNull(), F.lit("We would welcome the chance to review your accounts with you."))\
         .otherwise(F.concat(F.lit("We would like to tell you about our "), F.regexp_replace(_c("offer_kind"), "_", " "),
@@ -296,7 +299,6 @@ def render_message(chosen: DataFrame) -> DataFrame:
                          F.when(_c("offer_id").isin(*INVESTMENT_OFFERS), F.lit(RISK_DISCLOSURE)),
                          F.when(_offer_attr(F.col("offer_id"), 5), F.lit(COOLING_OFF_LINE)),
                          F.when(_c("offer_id").isNotNull(), F.lit(TERMS_LINE)))
-    opening = F.concat(F.lit("As "), signal, F.lit(", we wanted to thank you for your loyalty."))
     email = F.concat_ws("\n\n", F.lit("Subject: A loyalty offer for you"), F.lit("Hello,"),
                         F.concat_ws(" ", opening, offer_line, extras), F.lit(UNSUBSCRIBE_LINE))
     call = F.concat_ws(" ", F.lit(OPT_OUT_STATEMENT), F.lit("This is a loyalty call about our customer programme."),
@@ -329,7 +331,7 @@ PATTERNS = {
     "caveat_period": _I + r"past performance.*(last year|per year|\b(19|20)\d\d\b|Q[1-4])",
     "comparison": _I + r"(compared to|market average|than other banks|than competitors)",
     "sourced": _I + r"\([^)]*(data|source|NBB)[^)]*\d{4}[^)]*\)",
-    "tenure": _I + r"(with us for \d+|since you joined|customer for \d+|fixed rate ends|as a valued client in)",
+    "tenure": _I + r"(with us for \d+|since you joined|customer for \d+|fixed rate ends|valued client in)",
     "unsubscribe": _I + r"(unsubscribe|communication preferences)",
     "opt_out": _I + r"stop contacting you",
     "alert_open": _I + r"(security alert|account issue|suspicious activity|problem with your account|urgent notice)",

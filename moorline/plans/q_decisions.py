@@ -202,23 +202,57 @@ def sanitize_text(spark, sf_dir):
     return d.select("doc_id", TX.sanitize(F.col("text")).alias("text"))
 
 
+def _jstr(c):
+    return F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+
+
 def _model_outputs(w):
     """Stage outputs as a model would return them, derived from the staged
     approved rows: fenced JSON, JSON inside prose, alternative key names,
     and broken JSON."""
     a = w.approved()
-    obj = F.to_json(F.struct(F.col("customer_id"), F.col("churn_reason"), F.col("confidence")))
-    alt = F.to_json(F.struct(F.col("customer_id"), F.col("churn_reason"),
-                             F.col("confidence").alias("confidence_level")))
+    cid = F.col("customer_id").cast("string")
+
+    def obj(conf_key):
+        return F.concat(F.lit('{"customer_id": '), cid, F.lit(', "churn_reason": '), _jstr(F.col("churn_reason")),
+                        F.lit(f', "{conf_key}": '), _jstr(F.col("confidence")), F.lit("}"))
     k = F.col("id") % 4
-    out = (F.when(k == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```")))
-           .when(k == 1, F.concat(F.lit("Here is the result: "), obj, F.lit(" Hope this helps.")))
-           .when(k == 2, alt)
-           .otherwise(F.concat(F.lit("{\"customer_id\": "), F.col("customer_id").cast("string"), F.lit(", oops"))))
+    out = (F.when(k == 0, F.concat(F.lit("```json\n"), obj("confidence"), F.lit("\n```")))
+           .when(k == 1, F.concat(F.lit("Here is the result: "), obj("confidence"), F.lit(" Hope this helps.")))
+           .when(k == 2, obj("confidence_level"))
+           .otherwise(F.concat(F.lit('{"customer_id": '), cid, F.lit(", oops"))))
     return a.select("id", out.alias("raw_output"))
 
 
-@query("extract_json")
+_MODEL_OUT_SQL = """
+raw AS (
+  SELECT id, CASE id % 4
+    WHEN 0 THEN '```json' || chr(10) || '{"customer_id": ' || CAST(customer_id AS VARCHAR) || ', "churn_reason": '
+                || COALESCE('"' || churn_reason || '"', 'null') || ', "confidence": '
+                || COALESCE('"' || confidence || '"', 'null') || '}' || chr(10) || '```'
+    WHEN 1 THEN 'Here is the result: {"customer_id": ' || CAST(customer_id AS VARCHAR) || ', "churn_reason": '
+                || COALESCE('"' || churn_reason || '"', 'null') || ', "confidence": '
+                || COALESCE('"' || confidence || '"', 'null') || '} Hope this helps.'
+    WHEN 2 THEN '{"customer_id": ' || CAST(customer_id AS VARCHAR) || ', "churn_reason": '
+                || COALESCE('"' || churn_reason || '"', 'null') || ', "confidence_level": '
+                || COALESCE('"' || confidence || '"', 'null') || '}'
+    ELSE '{"customer_id": ' || CAST(customer_id AS VARCHAR) || ', oops' END AS raw_output
+  FROM approved_v),
+st AS (SELECT id, regexp_replace(regexp_replace(raw_output, '```(?:json)?', '', 'g'), '^\\s+|\\s+$', '', 'g') AS s
+       FROM raw),
+sp AS (SELECT id, s, regexp_extract(s, '(?s)\\{.*\\}', 0) AS span FROM st),
+ex AS (SELECT id, CASE WHEN json_valid(s) THEN s WHEN span <> '' AND json_valid(span) THEN span END AS j FROM sp)
+"""
+
+
+@query("extract_json", sql_with(_MODEL_OUT_SQL, f"""
+SELECT id, j AS json_text,
+       CASE WHEN j IS NOT NULL THEN {_kw_case("json_extract_string(j, '$.churn_reason')")} END AS churn_reason,
+       CASE WHEN j IS NOT NULL THEN COALESCE(nullif(json_extract_string(j, '$.confidence'), ''),
+                                             nullif(json_extract_string(j, '$.confidence_level'), ''),
+                                             nullif(json_extract_string(j, '$.confidence_score'), ''),
+                                             'medium') END AS confidence
+FROM ex""", ("approved_v",)))
 def extract_json(spark, sf_dir):
     """SC13 + SC15 + SC11: parse stage output, confidence key chain, reason normalised."""
     m = _model_outputs(C.warehouse(spark, sf_dir))
