@@ -26,28 +26,57 @@ from ..functions.dates import as_date_col, in_closed, month_boundaries
 from ..functions.numeric import mean_cents
 
 
-def session_aggregate(sessions: DataFrame, snapshot, lookback: int = K.FEATURE_LOOKBACK_DAYS,
-                      recent: int = K.RECENT_LOGIN_DAYS) -> DataFrame:
+def daily_sessions(sessions: DataFrame) -> DataFrame:
+    """One row per (customer, session day): count, non-null ids, total duration.
+    Shared by features, labels and profiles; a hot customer becomes at most
+    one row per day after map-side partial aggregation."""
+    cols = set(sessions.columns)
+    dur = F.col("session_duration_seconds") if "session_duration_seconds" in cols else F.lit(None).cast("int")
+    return sessions.groupBy("customer_id", F.col("session_date").alias("d")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("id").alias("id_n"),
+        F.sum(dur).cast("long").alias("duration_sum"),
+        F.count(dur).alias("duration_n"))
+
+
+def daily_transactions(transactions: DataFrame, bics=None) -> DataFrame:
+    """One row per (customer, transaction day) with every count/sum the labels,
+    features and profiles need."""
+    bics = bics or K.COMPETITOR_BICS
+    credit = F.col("direction") == "credit"
+    return transactions.groupBy("customer_id", F.col("transaction_date").alias("d")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(credit & (F.col("merchant_category") == "salary"), 1)).alias("salary_credit_n"),
+        F.count(F.when((F.col("direction") == "debit") & F.col("counterparty_bank_bic").isin(*bics), 1))
+        .alias("competitor_debit_n"),
+        F.count(F.when(F.col("is_competitor_transfer"), 1)).alias("competitor_n"),
+        F.sum(F.when(credit, (F.col("amount_eur") * 100).cast("long"))).alias("credit_cents"),
+        F.count(F.when(credit, F.col("amount_eur"))).alias("credit_n"))
+
+
+def session_aggregate(sessions: DataFrame | None, snapshot, lookback: int = K.FEATURE_LOOKBACK_DAYS,
+                      recent: int = K.RECENT_LOGIN_DAYS, daily: DataFrame | None = None) -> DataFrame:
     snap = as_date_col(snapshot)
-    s = sessions.where(in_closed(F.col("session_date"), F.date_sub(snap, lookback), snap))
+    daily = daily if daily is not None else daily_sessions(sessions)
+    s = daily.where(in_closed(F.col("d"), F.date_sub(snap, lookback), snap))
     return s.groupBy("customer_id").agg(
-        F.max("session_date").alias("last_session_date"),
-        F.count(F.when(F.col("session_date") >= F.date_sub(snap, recent), 1)).alias("logins_recent"),
-        F.count("id").alias("logins_window"),
-        F.count(F.lit(1)).alias("n_sessions"),
+        F.max("d").alias("last_session_date"),
+        F.sum(F.when(F.col("d") >= F.date_sub(snap, recent), F.col("n")).otherwise(0)).alias("logins_recent"),
+        F.sum("id_n").alias("logins_window"),
+        F.sum("n").alias("n_sessions"),
     )
 
 
-def transaction_aggregate(transactions: DataFrame, snapshot,
-                          lookback: int = K.FEATURE_LOOKBACK_DAYS) -> DataFrame:
+def transaction_aggregate(transactions: DataFrame | None, snapshot,
+                          lookback: int = K.FEATURE_LOOKBACK_DAYS, daily: DataFrame | None = None) -> DataFrame:
     snap = as_date_col(snapshot)
-    t = transactions.where(in_closed(F.col("transaction_date"), F.date_sub(snap, lookback), snap))
-    credit = F.col("direction") == "credit"
+    daily = daily if daily is not None else daily_transactions(transactions)
+    t = daily.where(in_closed(F.col("d"), F.date_sub(snap, lookback), snap))
     return t.groupBy("customer_id").agg(
-        F.count(F.when(F.col("is_competitor_transfer"), 1)).alias("competitor_n"),
-        F.sum(F.when(credit, (F.col("amount_eur") * 100).cast("long"))).alias("credit_cents"),
-        F.count(F.when(credit, F.col("amount_eur"))).alias("credit_n"),
-        F.count(F.lit(1)).alias("n_transactions"),
+        F.sum("competitor_n").alias("competitor_n"),
+        F.sum("credit_cents").alias("credit_cents"),
+        F.sum("credit_n").alias("credit_n"),
+        F.sum("n").alias("n_transactions"),
     )
 
 
@@ -105,11 +134,13 @@ def feature_snapshot(customers: DataFrame, labels: DataFrame | None, sessions: D
                      transactions: DataFrame, complaints: DataFrame, nps: DataFrame,
                      holdings: DataFrame, snapshot: dt.date, compat: str = "canonical",
                      lookback: int = K.FEATURE_LOOKBACK_DAYS, recent: int = K.RECENT_LOGIN_DAYS,
-                     nps_mode: str = "max", as_of: bool = False) -> DataFrame:
-    """One row per customer: keys, churned, the 10 raw features, segment, region."""
+                     nps_mode: str = "max", as_of: bool = False,
+                     daily_s: DataFrame | None = None, daily_t: DataFrame | None = None) -> DataFrame:
+    """One row per customer: keys, churned, the 10 raw features, segment, region.
+    ``daily_s`` / ``daily_t`` are optional shared day rollups of the children."""
     snap = as_date_col(snapshot)
-    s = session_aggregate(sessions, snapshot, lookback, recent)
-    t = transaction_aggregate(transactions, snapshot, lookback)
+    s = session_aggregate(sessions, snapshot, lookback, recent, daily=daily_s)
+    t = transaction_aggregate(transactions, snapshot, lookback, daily=daily_t)
     c = complaint_aggregate(complaints)
     n = nps_aggregate(nps, snapshot, nps_mode)
     h = holding_aggregate(holdings, snapshot, as_of)
@@ -158,15 +189,18 @@ def feature_snapshot(customers: DataFrame, labels: DataFrame | None, sessions: D
     )
 
 
-def feature_mart(customers: DataFrame, labels: DataFrame, sessions: DataFrame,
-                 transactions: DataFrame, complaints: DataFrame, snapshot) -> DataFrame:
+def feature_mart(customers: DataFrame, labels: DataFrame, sessions: DataFrame | None,
+                 transactions: DataFrame | None, complaints: DataFrame, snapshot,
+                 daily_s: DataFrame | None = None, daily_t: DataFrame | None = None) -> DataFrame:
     """Dashboard ``customer_features`` mart (FT12, J2, SEM5): no session window
     (forward sessions give negative days), transactions bounded below only,
     NULL instead of 999; fan-out removed by pre-aggregation."""
     snap = as_date_col(snapshot)
-    s = sessions.groupBy("customer_id").agg(F.max("session_date").alias("last_session_date"))
-    t = (transactions.where(F.col("is_competitor_transfer") & (F.col("transaction_date") >= F.date_sub(snap, 90)))
-         .groupBy("customer_id").agg(F.count(F.lit(1)).alias("competitor_n")))
+    daily_s = daily_s if daily_s is not None else daily_sessions(sessions)
+    daily_t = daily_t if daily_t is not None else daily_transactions(transactions)
+    s = daily_s.groupBy("customer_id").agg(F.max("d").alias("last_session_date"))
+    t = (daily_t.where(F.col("d") >= F.date_sub(snap, 90))
+         .groupBy("customer_id").agg(F.sum("competitor_n").alias("competitor_n")))
     c = complaint_aggregate(complaints)
     base = customers.select("customer_id").join(labels.select("customer_id", "churned"), "customer_id", "left")
     j = base.join(s, "customer_id", "left").join(t, "customer_id", "left").join(c, "customer_id", "left")

@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.dates import as_date_col, in_closed
+from .features import daily_sessions, daily_transactions
 
 
-def salary_stop(customers: DataFrame, transactions: DataFrame, snapshot,
+def salary_stop(customers: DataFrame, transactions: DataFrame | None, snapshot,
                 window_days: int = K.CHURN_WINDOW_DAYS,
-                baseline_days: int = K.SALARY_BASELINE_DAYS) -> DataFrame:
+                baseline_days: int = K.SALARY_BASELINE_DAYS, daily: DataFrame | None = None) -> DataFrame:
     """LB1: salary flag set, >=1 salary credit in [snap-90, snap), none in [snap, snap+60]."""
     snap = as_date_col(snapshot)
-    d = F.col("transaction_date")
-    sal = transactions.where((F.col("merchant_category") == "salary") & (F.col("direction") == "credit"))
+    daily = daily if daily is not None else daily_transactions(transactions)
+    d = F.col("d")
+    sal = daily.where(F.col("salary_credit_n") > 0)
     agg = sal.groupBy("customer_id").agg(
-        F.count(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), 1)).alias("pre_n"),
-        F.count(F.when(in_closed(d, snap, F.date_add(snap, window_days)), 1)).alias("post_n"),
+        F.sum(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), F.col("salary_credit_n"))
+              .otherwise(0)).alias("pre_n"),
+        F.sum(F.when(in_closed(d, snap, F.date_add(snap, window_days)), F.col("salary_credit_n"))
+              .otherwise(0)).alias("post_n"),
     )
     j = customers.select("customer_id", "salary_account_flag").join(agg, "customer_id", "left")
     fired = (F.coalesce(F.col("salary_account_flag"), F.lit(False))
@@ -34,18 +38,19 @@ def salary_stop(customers: DataFrame, transactions: DataFrame, snapshot,
     return j.select("customer_id", fired.alias("signal_salary_stop"))
 
 
-def _daily(df: DataFrame, date_col: str, snapshot, window_days: int) -> DataFrame:
+def _in_window(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
     snap = as_date_col(snapshot)
-    w = df.where(in_closed(F.col(date_col), snap, F.date_add(snap, window_days)))
-    return w.groupBy("customer_id", F.col(date_col).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    return daily.where(in_closed(F.col("d"), snap, F.date_add(snap, window_days)))
 
 
-def app_inactive(customers: DataFrame, sessions: DataFrame, snapshot,
-                 window_days: int = K.CHURN_WINDOW_DAYS, gap_days: int = K.INACTIVITY_GAP_DAYS) -> DataFrame:
+def app_inactive(customers: DataFrame, sessions: DataFrame | None, snapshot,
+                 window_days: int = K.CHURN_WINDOW_DAYS, gap_days: int = K.INACTIVITY_GAP_DAYS,
+                 daily: DataFrame | None = None) -> DataFrame:
     """LB2: no session in the window, or a gap >= 30 days at the start, between
     consecutive sessions, or at the end.  Customers without sessions fire."""
     snap = as_date_col(snapshot)
-    days = _daily(sessions, "session_date", snapshot, window_days)
+    daily = daily if daily is not None else daily_sessions(sessions)
+    days = _in_window(daily, snapshot, window_days).select("customer_id", "d")
     w = Window.partitionBy("customer_id").orderBy("d")
     gaps = days.withColumn("gap", F.datediff(F.col("d"), F.lag("d").over(w)))
     per = gaps.groupBy("customer_id").agg(
@@ -80,13 +85,15 @@ def competitor_debits(transactions: DataFrame, bics=None) -> DataFrame:
     return transactions.where((F.col("direction") == "debit") & F.col("counterparty_bank_bic").isin(*bics))
 
 
-def competitor_rolling(customers: DataFrame, transactions: DataFrame, snapshot,
+def competitor_rolling(customers: DataFrame, transactions: DataFrame | None, snapshot,
                        window_days: int = K.CHURN_WINDOW_DAYS, span_days: int = K.TRANSFER_SPAN_DAYS,
-                       limit: int = K.TRANSFER_COUNT_LIMIT, bics=None) -> DataFrame:
+                       limit: int = K.TRANSFER_COUNT_LIMIT, bics=None, daily: DataFrame | None = None) -> DataFrame:
     """LB4: more than 3 competitor debits in some closed span [d, d+30] that
     starts at a transfer date inside the window."""
-    days = _daily(competitor_debits(transactions, bics), "transaction_date", snapshot, window_days)
-    dn = days.withColumn("dn", F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")))
+    daily = daily if daily is not None else daily_transactions(transactions, bics)
+    days = _in_window(daily.where(F.col("competitor_debit_n") > 0), snapshot, window_days)
+    dn = days.select("customer_id", F.col("competitor_debit_n").alias("n"),
+                     F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")).alias("dn"))
     w = Window.partitionBy("customer_id").orderBy("dn").rangeBetween(0, span_days)
     rolled = dn.withColumn("in_span", F.sum("n").over(w))
     per = rolled.groupBy("customer_id").agg(F.max("in_span").alias("max_in_span"))
@@ -95,14 +102,18 @@ def competitor_rolling(customers: DataFrame, transactions: DataFrame, snapshot,
                     (F.coalesce(F.col("max_in_span"), F.lit(0)) > limit).alias("signal_competitor_transfers"))
 
 
-def churn_labels(customers: DataFrame, transactions: DataFrame, sessions: DataFrame,
+def churn_labels(customers: DataFrame, transactions: DataFrame | None, sessions: DataFrame | None,
                  holdings: DataFrame, snapshot, window_days: int = K.CHURN_WINDOW_DAYS,
-                 threshold: int = K.CHURN_SIGNAL_THRESHOLD) -> DataFrame:
-    """LB5: four signals, their count and churned = count >= 2."""
-    s1 = salary_stop(customers, transactions, snapshot, window_days)
-    s2 = app_inactive(customers, sessions, snapshot, window_days)
+                 threshold: int = K.CHURN_SIGNAL_THRESHOLD, daily_t: DataFrame | None = None,
+                 daily_s: DataFrame | None = None) -> DataFrame:
+    """LB5: four signals, their count and churned = count >= 2.  Pass shared
+    day rollups (``daily_t``/``daily_s``) to read each child table once."""
+    daily_t = daily_t if daily_t is not None else daily_transactions(transactions)
+    daily_s = daily_s if daily_s is not None else daily_sessions(sessions)
+    s1 = salary_stop(customers, None, snapshot, window_days, daily=daily_t)
+    s2 = app_inactive(customers, None, snapshot, window_days, daily=daily_s)
     s3 = product_reduction(customers, holdings, snapshot, window_days)
-    s4 = competitor_rolling(customers, transactions, snapshot, window_days)
+    s4 = competitor_rolling(customers, None, snapshot, window_days, daily=daily_t)
     j = s1.join(s2, "customer_id").join(s3, "customer_id").join(s4, "customer_id")
     sigs = ["signal_salary_stop", "signal_app_inactive", "signal_product_reduction",
             "signal_competitor_transfers"]

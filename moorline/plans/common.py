@@ -1,4 +1,10 @@
-"""Shared plan fragments: staged inputs, labels and features for one run."""
+"""Shared plan fragments: staged inputs, day rollups, labels and features for one run.
+
+The day rollups of transactions and sessions are computed once per run and
+checkpointed into the shared folder: the lineitem x orders join behind the
+transactions view is the most expensive step, and labels, features and
+profiles all read the (much smaller) rollup instead of re-deriving it.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +14,7 @@ from .. import constants as K
 from ..operators import features as FT
 from ..operators import labels as LB
 from ..operators import preprocess as PP
+from ..session import materialize
 from ..sources.staging import Warehouse
 
 
@@ -15,9 +22,24 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, sf_dir, K.TEST_SNAPSHOT)
 
 
+def _memo(w: Warehouse, name: str, build):
+    cache = w.__dict__.setdefault("_memo", {})
+    if name not in cache:
+        cache[name] = build()
+    return cache[name]
+
+
+def daily_transactions(w: Warehouse) -> DataFrame:
+    return _memo(w, "daily_t", lambda: materialize(FT.daily_transactions(w.transactions())))
+
+
+def daily_sessions(w: Warehouse) -> DataFrame:
+    return _memo(w, "daily_s", lambda: materialize(FT.daily_sessions(w.app_sessions())))
+
+
 def labels(w: Warehouse) -> DataFrame:
-    return LB.churn_labels(w.customers(), w.transactions(), w.app_sessions(),
-                           w.customer_products(), w.snapshot)
+    return LB.churn_labels(w.customers(), None, None, w.customer_products(), w.snapshot,
+                           daily_t=daily_transactions(w), daily_s=daily_sessions(w))
 
 
 def labelled_customers(w: Warehouse) -> DataFrame:
@@ -25,9 +47,10 @@ def labelled_customers(w: Warehouse) -> DataFrame:
 
 
 def features(w: Warehouse, compat: str = "canonical") -> DataFrame:
-    return FT.feature_snapshot(w.customers(), labels(w), w.app_sessions(), w.transactions(),
+    return FT.feature_snapshot(w.customers(), labels(w), None, None,
                                w.complaints(), w.nps_responses(), w.customer_products(),
-                               w.snapshot, compat=compat)
+                               w.snapshot, compat=compat,
+                               daily_s=daily_sessions(w), daily_t=daily_transactions(w))
 
 
 def model_features(w: Warehouse) -> DataFrame:

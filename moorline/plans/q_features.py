@@ -85,8 +85,9 @@ LEFT JOIN (SELECT customer_id, count(DISTINCT CASE WHEN status = 'open' THEN com
 @query("features_mart", _MART_SQL)
 def features_mart(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return FT.feature_mart(w.customers(), C.labels(w), w.app_sessions(), w.transactions(),
-                           w.complaints(), w.snapshot)
+    return FT.feature_mart(w.customers(), C.labels(w), None, None, w.complaints(), w.snapshot,
+                           daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
+
 
 
 # -- labels ---------------------------------------------------------------------
@@ -96,13 +97,13 @@ _LV = ("customers_v", "transactions_v", "app_sessions_v", "customer_products_v")
 @query("label_salary_stop", sql_with(LABELS, "SELECT customer_id, signal_salary_stop FROM sig", _LV))
 def label_salary_stop(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return LB.salary_stop(w.customers(), w.transactions(), w.snapshot)
+    return LB.salary_stop(w.customers(), None, w.snapshot, daily=C.daily_transactions(w))
 
 
 @query("label_app_inactive", sql_with(LABELS, "SELECT customer_id, signal_app_inactive FROM sig", _LV))
 def label_app_inactive(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return LB.app_inactive(w.customers(), w.app_sessions(), w.snapshot)
+    return LB.app_inactive(w.customers(), None, w.snapshot, daily=C.daily_sessions(w))
 
 
 @query("label_product_reduction",
@@ -116,7 +117,7 @@ def label_product_reduction(spark, sf_dir):
        sql_with(LABELS, "SELECT customer_id, signal_competitor_transfers FROM sig", _LV))
 def label_competitor_rolling(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return LB.competitor_rolling(w.customers(), w.transactions(), w.snapshot)
+    return LB.competitor_rolling(w.customers(), None, w.snapshot, daily=C.daily_transactions(w))
 
 
 @query("churn_labels", sql_with(LABELS, "SELECT * FROM labels_o", _LV))

@@ -91,8 +91,8 @@ FROM long GROUP BY feature, churned, bin""",
 @query("feature_histogram", _HIST_SQL)
 def feature_histogram(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    mart = FT.feature_mart(w.customers(), C.labels(w), w.app_sessions(), w.transactions(),
-                           w.complaints(), w.snapshot)
+    mart = FT.feature_mart(w.customers(), C.labels(w), None, None, w.complaints(), w.snapshot,
+                           daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
     return M.feature_histogram(mart)
 
 
