@@ -105,51 +105,69 @@ def nps_aggregate(nps: DataFrame, snapshot=None, mode: str = "max") -> DataFrame
     )
 
 
-def holding_aggregate(holdings: DataFrame, snapshot, as_of: bool = False) -> DataFrame:
-    """Active distinct products and months to the nearest fixed-rate reset.
-
-    ``as_of=False`` uses the current ``status`` column (literal, SEM2);
-    ``as_of=True`` counts holdings active on the snapshot date.
-    """
+def holding_stats(holdings: DataFrame, snapshot, window_days: int = K.CHURN_WINDOW_DAYS,
+                  as_of: bool = False) -> DataFrame:
+    """Per customer, in one pass over the holdings: the label counts (holdings
+    closing inside the forward window, holdings active at the snapshot) and
+    the feature values (distinct active products, months to the nearest
+    fixed-rate reset, raw row count for fan-out mode).
+
+    ``as_of=False`` counts products by the current ``status`` (literal, SEM2);
+    ``as_of=True`` by activity on the snapshot date.  Rows are first reduced
+    per (customer, product): that set is bounded by the catalogue size."""
     snap = as_date_col(snapshot)
-    if as_of:
-        active = (F.col("start_date") <= snap) & (F.col("end_date").isNull() | (F.col("end_date") > snap))
-    else:
-        active = F.col("status") == "active"
-    # Distinct (customer, product) pairs are bounded by the catalogue size, so
-    # pre-reducing them keeps the distinct count a plain count.
+    end = F.col("end_date")
+    active_at_snap = (F.col("start_date") <= snap) & (end.isNull() | (end > snap))
+    active = active_at_snap if as_of else (F.col("status") == "active")
     per_product = holdings.groupBy("customer_id", "product_id").agg(
         F.max(active.cast("int")).alias("is_active"),
         F.min(month_boundaries(snap, F.col("fixed_rate_end_date"))).alias("mrr"),
         F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(end.isNotNull() & in_closed(end, snap, F.date_add(snap, window_days)), 1)).alias("closed_n"),
+        F.count(F.when(active_at_snap, 1)).alias("active_n"),
     )
     return per_product.groupBy("customer_id").agg(
         F.sum("is_active").cast("long").alias("product_n"),
         F.min("mrr").alias("months_to_rate_reset"),
         F.sum("n_rows").alias("n_holdings"),
+        F.sum("closed_n").alias("closed_n"),
+        F.sum("active_n").alias("active_n"),
     )
 
 
-def feature_snapshot(customers: DataFrame, labels: DataFrame | None, sessions: DataFrame,
-                     transactions: DataFrame, complaints: DataFrame, nps: DataFrame,
-                     holdings: DataFrame, snapshot: dt.date, compat: str = "canonical",
+def holding_aggregate(holdings: DataFrame, snapshot, as_of: bool = False) -> DataFrame:
+    """Feature view of ``holding_stats``."""
+    return holding_stats(holdings, snapshot, as_of=as_of).select(
+        "customer_id", "product_n", "months_to_rate_reset", "n_holdings")
+
+
+def feature_snapshot(customers: DataFrame | None, labels: DataFrame | None, sessions: DataFrame | None,
+                     transactions: DataFrame | None, complaints: DataFrame, nps: DataFrame,
+                     holdings: DataFrame | None, snapshot: dt.date, compat: str = "canonical",
                      lookback: int = K.FEATURE_LOOKBACK_DAYS, recent: int = K.RECENT_LOGIN_DAYS,
                      nps_mode: str = "max", as_of: bool = False,
-                     daily_s: DataFrame | None = None, daily_t: DataFrame | None = None) -> DataFrame:
+                     daily_s: DataFrame | None = None, daily_t: DataFrame | None = None,
+                     holding: DataFrame | None = None, labelled: DataFrame | None = None) -> DataFrame:
     """One row per customer: keys, churned, the 10 raw features, segment, region.
-    ``daily_s`` / ``daily_t`` are optional shared day rollups of the children."""
+
+    ``daily_s`` / ``daily_t`` / ``holding`` are optional shared rollups of the
+    children; ``labelled`` (customers already carrying ``churned``) replaces
+    the customers + labels join so the customer table is scanned once."""
     snap = as_date_col(snapshot)
     s = session_aggregate(sessions, snapshot, lookback, recent, daily=daily_s)
     t = transaction_aggregate(transactions, snapshot, lookback, daily=daily_t)
     c = complaint_aggregate(complaints)
     n = nps_aggregate(nps, snapshot, nps_mode)
-    h = holding_aggregate(holdings, snapshot, as_of)
-
-    base = customers.select("customer_id", "snapshot_date", "salary_account_flag", "segment", "region")
-    if labels is not None:
-        base = base.join(labels.select("customer_id", "churned"), "customer_id", "left")
+    h = (holding if holding is not None else holding_stats(holdings, snapshot, as_of=as_of)).select(
+        "customer_id", "product_n", "months_to_rate_reset", "n_holdings")
+
+    cols = ["customer_id", "snapshot_date", "salary_account_flag", "segment", "region"]
+    if labelled is not None:
+        base = labelled.select(*cols, "churned")
+    elif labels is not None:
+        base = customers.select(*cols).join(labels.select("customer_id", "churned"), "customer_id", "left")
     else:
-        base = base.withColumn("churned", F.lit(None).cast("boolean"))
+        base = customers.select(*cols).withColumn("churned", F.lit(None).cast("boolean"))
     j = (base.join(s, "customer_id", "left").join(t, "customer_id", "left")
          .join(c, "customer_id", "left").join(n, "customer_id", "left").join(h, "customer_id", "left"))
 

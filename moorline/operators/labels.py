@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.dates import as_date_col, in_closed
-from .features import daily_sessions, daily_transactions
+from .features import daily_sessions, daily_transactions, holding_stats
 
 
 def salary_stop(customers: DataFrame, transactions: DataFrame | None, snapshot,
@@ -102,28 +102,76 @@ def competitor_rolling(customers: DataFrame, transactions: DataFrame | None, sna
                     (F.coalesce(F.col("max_in_span"), F.lit(0)) > limit).alias("signal_competitor_transfers"))
 
 
+def _salary_agg(daily: DataFrame, snapshot, window_days: int, baseline_days: int) -> DataFrame:
+    snap = as_date_col(snapshot)
+    d = F.col("d")
+    return daily.where(F.col("salary_credit_n") > 0).groupBy("customer_id").agg(
+        F.sum(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), F.col("salary_credit_n"))
+              .otherwise(0)).alias("pre_n"),
+        F.sum(F.when(in_closed(d, snap, F.date_add(snap, window_days)), F.col("salary_credit_n"))
+              .otherwise(0)).alias("post_n"))
+
+
+def _gap_agg(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
+    days = _in_window(daily, snapshot, window_days).select("customer_id", "d")
+    w = Window.partitionBy("customer_id").orderBy("d")
+    return days.withColumn("gap", F.datediff(F.col("d"), F.lag("d").over(w))).groupBy("customer_id").agg(
+        F.min("d").alias("first_d"), F.max("d").alias("last_d"), F.max("gap").alias("max_gap"))
+
+
+def _rolling_agg(daily: DataFrame, snapshot, window_days: int, span_days: int) -> DataFrame:
+    days = _in_window(daily.where(F.col("competitor_debit_n") > 0), snapshot, window_days)
+    dn = days.select("customer_id", F.col("competitor_debit_n").alias("n"),
+                     F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")).alias("dn"))
+    w = Window.partitionBy("customer_id").orderBy("dn").rangeBetween(0, span_days)
+    return dn.withColumn("in_span", F.sum("n").over(w)).groupBy("customer_id").agg(
+        F.max("in_span").alias("max_in_span"))
+
+
+LABEL_COLUMNS = ["churned", "churn_signal_count", "signal_salary_stop", "signal_app_inactive",
+                 "signal_product_reduction", "signal_competitor_transfers"]
+
+
+def labelled(customers: DataFrame, snapshot, daily_t: DataFrame, daily_s: DataFrame, holding: DataFrame,
+             window_days: int = K.CHURN_WINDOW_DAYS, baseline_days: int = K.SALARY_BASELINE_DAYS,
+             gap_days: int = K.INACTIVITY_GAP_DAYS, span_days: int = K.TRANSFER_SPAN_DAYS,
+             limit: int = K.TRANSFER_COUNT_LIMIT, threshold: int = K.CHURN_SIGNAL_THRESHOLD) -> DataFrame:
+    """Customers with all label columns, built as one join chain: the customer
+    table is scanned once and the four per-customer aggregates (all hash
+    partitioned on customer_id) join without further exchanges.  ``holding``
+    is ``features.holding_stats`` (closed_n, active_n)."""
+    snap = as_date_col(snapshot)
+    j = (customers.join(_salary_agg(daily_t, snapshot, window_days, baseline_days), "customer_id", "left")
+         .join(_gap_agg(daily_s, snapshot, window_days), "customer_id", "left")
+         .join(holding.select("customer_id", "closed_n", "active_n"), "customer_id", "left")
+         .join(_rolling_agg(daily_t, snapshot, window_days, span_days), "customer_id", "left"))
+    s1 = (F.coalesce(F.col("salary_account_flag"), F.lit(False)) & (F.coalesce(F.col("pre_n"), F.lit(0)) > 0)
+          & (F.coalesce(F.col("post_n"), F.lit(0)) == 0))
+    s2 = F.when(F.col("first_d").isNull(), F.lit(True)).otherwise(
+        (F.datediff(F.col("first_d"), snap) >= gap_days)
+        | (F.coalesce(F.col("max_gap"), F.lit(0)) >= gap_days)
+        | (F.datediff(F.date_add(snap, window_days), F.col("last_d")) >= gap_days))
+    s3 = (F.coalesce(F.col("closed_n"), F.lit(0)) >= 1) & (F.coalesce(F.col("active_n"), F.lit(0)) > 1)
+    s4 = F.coalesce(F.col("max_in_span"), F.lit(0)) > limit
+    sig = j.select(*customers.columns, s1.alias("signal_salary_stop"), s2.alias("signal_app_inactive"),
+                   s3.alias("signal_product_reduction"), s4.alias("signal_competitor_transfers"))
+    count = sum(F.col(c).cast("int") for c in LABEL_COLUMNS[2:])
+    return sig.select(*customers.columns, (count >= threshold).alias("churned"),
+                      count.alias("churn_signal_count"), *LABEL_COLUMNS[2:])
+
+
 def churn_labels(customers: DataFrame, transactions: DataFrame | None, sessions: DataFrame | None,
-                 holdings: DataFrame, snapshot, window_days: int = K.CHURN_WINDOW_DAYS,
+                 holdings: DataFrame | None, snapshot, window_days: int = K.CHURN_WINDOW_DAYS,
                  threshold: int = K.CHURN_SIGNAL_THRESHOLD, daily_t: DataFrame | None = None,
-                 daily_s: DataFrame | None = None) -> DataFrame:
+                 daily_s: DataFrame | None = None, holding: DataFrame | None = None) -> DataFrame:
     """LB5: four signals, their count and churned = count >= 2.  Pass shared
-    day rollups (``daily_t``/``daily_s``) to read each child table once."""
+    rollups (``daily_t``/``daily_s``/``holding``) to read each child table once."""
     daily_t = daily_t if daily_t is not None else daily_transactions(transactions)
     daily_s = daily_s if daily_s is not None else daily_sessions(sessions)
-    s1 = salary_stop(customers, None, snapshot, window_days, daily=daily_t)
-    s2 = app_inactive(customers, None, snapshot, window_days, daily=daily_s)
-    s3 = product_reduction(customers, holdings, snapshot, window_days)
-    s4 = competitor_rolling(customers, None, snapshot, window_days, daily=daily_t)
-    j = s1.join(s2, "customer_id").join(s3, "customer_id").join(s4, "customer_id")
-    sigs = ["signal_salary_stop", "signal_app_inactive", "signal_product_reduction",
-            "signal_competitor_transfers"]
-    count = sum(F.col(c).cast("int") for c in sigs)
-    return j.select(
-        "customer_id",
-        (count >= threshold).alias("churned"),
-        count.alias("churn_signal_count"),
-        *sigs,
-    )
+    holding = holding if holding is not None else holding_stats(holdings, snapshot, window_days)
+    lab = labelled(customers.select("customer_id", "salary_account_flag"), snapshot, daily_t, daily_s, holding,
+                   window_days=window_days, threshold=threshold)
+    return lab.select("customer_id", *LABEL_COLUMNS)
 
 
 def labelled_customers(customers: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
-"""Shared plan fragments: staged inputs, day rollups, labels and features for one run.
+"""Shared plan fragments: staged inputs, rollups, labels and features for one run.
 
-The day rollups of transactions and sessions are computed once per run and
-checkpointed into the shared folder: the lineitem x orders join behind the
-transactions view is the most expensive step, and labels, features and
-profiles all read the (much smaller) rollup instead of re-deriving it.
+The day rollups of transactions and sessions and the per-customer holdings
+rollup are computed once per run and checkpointed into the shared folder:
+the lineitem x orders join behind the transactions and holdings views is the
+most expensive step, and labels, features, marts and profiles all read the
+(much smaller) rollups instead of re-deriving them.
 """
 
 from __future__ import annotations
@@ -37,20 +38,24 @@ def daily_sessions(w: Warehouse) -> DataFrame:
     return _memo(w, "daily_s", lambda: materialize(FT.daily_sessions(w.app_sessions())))
 
 
-def labels(w: Warehouse) -> DataFrame:
-    return LB.churn_labels(w.customers(), None, None, w.customer_products(), w.snapshot,
-                           daily_t=daily_transactions(w), daily_s=daily_sessions(w))
+def holding_stats(w: Warehouse) -> DataFrame:
+    return _memo(w, "holding", lambda: materialize(FT.holding_stats(w.customer_products(), w.snapshot)))
 
 
 def labelled_customers(w: Warehouse) -> DataFrame:
-    return LB.labelled_customers(w.customers(), labels(w))
+    """Customers with label columns (one customer scan, one join chain)."""
+    return LB.labelled(w.customers(), w.snapshot, daily_transactions(w), daily_sessions(w), holding_stats(w))
+
+
+def labels(w: Warehouse) -> DataFrame:
+    return labelled_customers(w).select("customer_id", *LB.LABEL_COLUMNS)
 
 
 def features(w: Warehouse, compat: str = "canonical") -> DataFrame:
-    return FT.feature_snapshot(w.customers(), labels(w), None, None,
-                               w.complaints(), w.nps_responses(), w.customer_products(),
-                               w.snapshot, compat=compat,
-                               daily_s=daily_sessions(w), daily_t=daily_transactions(w))
+    return FT.feature_snapshot(None, None, None, None, w.complaints(), w.nps_responses(), None,
+                               w.snapshot, compat=compat, daily_s=daily_sessions(w),
+                               daily_t=daily_transactions(w), holding=holding_stats(w),
+                               labelled=labelled_customers(w))
 
 
 def model_features(w: Warehouse) -> DataFrame:
