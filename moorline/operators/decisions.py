@@ -31,8 +31,8 @@ from ..functions.text import normalize_reason
 
 
 def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame, products: DataFrame,
-                     complaints: DataFrame, transactions: DataFrame, profiles: DataFrame,
-                     as_of: dt.date) -> DataFrame:
+                     complaints: DataFrame, transactions: DataFrame | None, profiles: DataFrame,
+                     as_of: dt.date, daily_t: DataFrame | None = None) -> DataFrame:
     """Batch rows (model features + score) joined with customer attributes,
     holding kinds, complaint and transaction recency, and profile presence
     (SEM19: the feature row and segment are always joined)."""
@@ -54,8 +54,10 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
     comp = (complaints.where(F.col("status") == "open").join(ids, "customer_id", "left_semi")
             .groupBy("customer_id").agg(F.datediff(snap, F.min("opened_date")).alias("oldest_open_days"),
                                         F.max("category").alias("open_category")))
-    tx = (transactions.where(F.col("transaction_date") <= snap).join(ids, "customer_id", "left_semi")
-          .groupBy("customer_id").agg(F.datediff(snap, F.max("transaction_date")).alias("days_since_last_tx")))
+    days = daily_t if daily_t is not None else \
+        transactions.select("customer_id", F.col("transaction_date").alias("d"))
+    tx = (days.where(F.col("d") <= snap).join(ids, "customer_id", "left_semi")
+          .groupBy("customer_id").agg(F.datediff(snap, F.max("d")).alias("days_since_last_tx")))
     prof = profiles.select("customer_id", F.lit(True).alias("has_profile"))
     j = (batch.join(cust, "customer_id", "left").join(kinds, "customer_id", "left")
          .join(rate, "customer_id", "left").join(comp, "customer_id", "left")

@@ -51,19 +51,24 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame)
     ).alias("product_summary"))
 
 
-def engagement(batch: DataFrame, sessions: DataFrame, as_of, days: int = K.ENGAGEMENT_DAYS) -> DataFrame:
+def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int = K.ENGAGEMENT_DAYS,
+               daily: DataFrame | None = None) -> DataFrame:
     """EN1 + EN5: sessions since ``as_of - days``: count, last date, integer
-    (truncated) average duration; minutes shown with one decimal, half-up."""
-    s = sessions.where(F.col("session_date") >= F.date_sub(F.lit(as_of), days)) \
-        .join(_ids(batch), "customer_id", "left_semi")
+    (truncated) average duration; minutes shown with one decimal, half-up.
+    Reads the (customer, day) session rollup when given."""
+    if daily is None:
+        from .features import daily_sessions
+        daily = daily_sessions(sessions)
+    s = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(_ids(batch), "customer_id", "left_semi")
     agg = s.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("sessions_60d"),
-        F.max("session_date").alias("last_session"),
-        F.floor(F.avg("session_duration_seconds")).cast("long").alias("avg_duration_sec"))
+        F.sum("n").alias("sessions_60d"),
+        F.max("d").alias("last_session"),
+        F.floor(F.sum("duration_sum") / F.nullif(F.sum("duration_n"), F.lit(0))).cast("long")
+        .alias("avg_duration_sec"))
     tenths = F.expr("(avg_duration_sec * 10 + 30) div 60")
     text = F.concat(
         F.col("sessions_60d").cast("string"), F.lit(" app session(s) in the last 60 days (avg "),
-        F.format_string("%.1f", tenths / F.lit(10.0)), F.lit(" min). Last login: "),
+        F.format_string("%.1f", F.coalesce(tenths, F.lit(0)) / F.lit(10.0)), F.lit(" min). Last login: "),
         F.coalesce(_day(F.col("last_session")), F.lit("unknown")), F.lit("."))
     return agg.withColumn("engagement_summary", text)
 
@@ -82,18 +87,21 @@ def open_complaints(batch: DataFrame, complaints: DataFrame) -> DataFrame:
     return agg.withColumn("complaint_summary", text)
 
 
-def recent_transactions(batch: DataFrame, transactions: DataFrame, as_of,
-                        days: int = K.PROFILE_TX_DAYS) -> DataFrame:
+def recent_transactions(batch: DataFrame, transactions: DataFrame | None, as_of,
+                        days: int = K.PROFILE_TX_DAYS, daily: DataFrame | None = None) -> DataFrame:
     """EN3 + EN7: transactions since ``as_of - days``: count, credit sum,
-    competitor count, last date; inflow with thousands separators."""
-    t = transactions.where(F.col("transaction_date") >= F.date_sub(F.lit(as_of), days)) \
-        .join(_ids(batch), "customer_id", "left_semi")
+    competitor count, last date; inflow with thousands separators.  Reads the
+    (customer, day) transaction rollup when given (credit sums kept in cents)."""
+    if daily is None:
+        from .features import daily_transactions
+        daily = daily_transactions(transactions)
+    t = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(_ids(batch), "customer_id", "left_semi")
     agg = t.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("tx_count_90d"),
-        F.coalesce(F.sum(F.when(F.col("direction") == "credit", F.col("amount_eur"))), F.lit(0))
+        F.sum("n").alias("tx_count_90d"),
+        (F.coalesce(F.sum("credit_cents"), F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(20,2)")
         .alias("total_inflow_eur"),
-        F.count(F.when(F.col("is_competitor_transfer"), 1)).alias("competitor_transfers"),
-        F.max("transaction_date").alias("last_tx_date"))
+        F.sum("competitor_n").alias("competitor_transfers"),
+        F.max("d").alias("last_tx_date"))
     text = F.concat(
         F.col("tx_count_90d").cast("string"), F.lit(" transaction(s) in last 90 days. Total inflow: €"),
         F.format_number(F.col("total_inflow_eur").cast("double"), 0), F.lit(". Competitor transfers: "),
@@ -102,14 +110,15 @@ def recent_transactions(batch: DataFrame, transactions: DataFrame, as_of,
     return agg.withColumn("transaction_summary", text)
 
 
-def profile_documents(batch: DataFrame, holdings: DataFrame, products: DataFrame, sessions: DataFrame,
-                      complaints: DataFrame, transactions: DataFrame, as_of: dt.date) -> DataFrame:
+def profile_documents(batch: DataFrame, holdings: DataFrame, products: DataFrame, sessions: DataFrame | None,
+                      complaints: DataFrame, transactions: DataFrame | None, as_of: dt.date,
+                      daily_s: DataFrame | None = None, daily_t: DataFrame | None = None) -> DataFrame:
     """J9 + EN8: one document per batch row, typed attributes with defaults and
     four summaries (default sentences when a customer has no child rows)."""
     p = product_summary(batch, holdings, products).select("customer_id", "product_summary")
-    e = engagement(batch, sessions, as_of).select("customer_id", "engagement_summary")
+    e = engagement(batch, sessions, as_of, daily=daily_s).select("customer_id", "engagement_summary")
     c = open_complaints(batch, complaints).select("customer_id", "complaint_summary")
-    t = recent_transactions(batch, transactions, as_of).select("customer_id", "transaction_summary")
+    t = recent_transactions(batch, transactions, as_of, daily=daily_t).select("customer_id", "transaction_summary")
     cols = set(batch.columns)
 
     def num(name, typ, default):

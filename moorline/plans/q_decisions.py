@@ -19,10 +19,12 @@ from .registry import query
 def context(w):
     """Decision inputs for the high-risk batch, materialised once (small)."""
     b = scored_batch(w)
-    docs = PR.profile_documents(MD.high_risk(b), w.customer_products(), w.products(), w.app_sessions(),
-                                w.complaints(), w.transactions(), w.snapshot)
+    docs = PR.profile_documents(MD.high_risk(b), w.customer_products(), w.products(), None,
+                                w.complaints(), None, w.snapshot,
+                                daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
     return materialize(DC.decision_context(b, w.customers(), w.customer_products(), w.products(),
-                                           w.complaints(), w.transactions(), docs, w.snapshot))
+                                           w.complaints(), None, docs, w.snapshot,
+                                           daily_t=C.daily_transactions(w)))
 
 
 def decided(w):

@@ -40,8 +40,9 @@ def batch(w, threshold=K.HIGH_RISK_THRESHOLD):
 
 
 def documents(w, as_of=None, threshold=K.HIGH_RISK_THRESHOLD):
-    return PR.profile_documents(batch(w, threshold), w.customer_products(), w.products(), w.app_sessions(),
-                                w.complaints(), w.transactions(), as_of or w.snapshot)
+    return PR.profile_documents(batch(w, threshold), w.customer_products(), w.products(), None,
+                                w.complaints(), None, as_of or w.snapshot,
+                                daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
 
 
 def _docs_sql(name: str, as_of: str, threshold: float) -> str:
@@ -120,7 +121,8 @@ def profile_products(spark, sf_dir):
 @query("profile_engagement", sql_with(_CUR, "SELECT customer_id, engagement_summary FROM docs_e", _V))
 def profile_engagement(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return PR.engagement(batch(w), w.app_sessions(), w.snapshot).select("customer_id", "engagement_summary")
+    return PR.engagement(batch(w), None, w.snapshot, daily=C.daily_sessions(w)).select(
+        "customer_id", "engagement_summary")
 
 
 @query("profile_complaints", sql_with(_CUR, "SELECT customer_id, complaint_summary FROM docs_c", _V))
@@ -132,7 +134,7 @@ def profile_complaints(spark, sf_dir):
 @query("profile_transactions", sql_with(_CUR, "SELECT customer_id, transaction_summary FROM docs_t", _V))
 def profile_transactions(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
-    return PR.recent_transactions(batch(w), w.transactions(), w.snapshot).select(
+    return PR.recent_transactions(batch(w), None, w.snapshot, daily=C.daily_transactions(w)).select(
         "customer_id", "transaction_summary")
 
 
