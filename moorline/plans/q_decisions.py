@@ -10,8 +10,10 @@ from ..operators import decisions as DC
 from ..operators import profiles as PR
 from . import common as C
 from .oracle_frag import sql_with
+from .oracle_views import with_views
 from ..operators import model as MD
 from ..session import materialize
+from .oracle_decisions import CONTRACT_SQL, DECISION_VIEWS, decision_ctes, staged_compliance_sql
 from .q_profiles import scored_batch
 from .registry import query
 
@@ -33,7 +35,16 @@ def decided(w):
     return materialize(DC.decide(context(w)))
 
 
-@query("reason_classify")
+_D = decision_ctes()
+
+
+def _dsql(select: str) -> str:
+    return sql_with(_D, select, DECISION_VIEWS)
+
+
+@query("reason_classify", _dsql("""
+SELECT customer_id, churn_reason, confidence, array_to_string(supporting_signals, ',') AS supporting_signals,
+       CAST(NULL AS VARCHAR) AS error FROM cls2"""))
 def reason_classify(spark, sf_dir):
     """DC1-DC4: reason, confidence, supporting signals per batch customer."""
     c = DC.classify(context(C.warehouse(spark, sf_dir)))
@@ -41,7 +52,8 @@ def reason_classify(spark, sf_dir):
                     F.array_join("supporting_signals", ",").alias("supporting_signals"), "error")
 
 
-@query("offer_eligibility")
+@query("offer_eligibility", _dsql("""
+SELECT customer_id, e.offer_id, e.triggered FROM (SELECT customer_id, unnest(eligible) AS e FROM elig) t"""))
 def offer_eligibility(spark, sf_dir):
     """DC5 / J10: every eligible (customer, offer) with its triggered-predicate count."""
     e = DC.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir))))
@@ -49,21 +61,24 @@ def offer_eligibility(spark, sf_dir):
         "customer_id", "o.offer_id", "o.triggered")
 
 
-@query("offer_best")
+@query("offer_best", _dsql("""
+SELECT customer_id, churn_reason, offer_id, offer_triggered, channel FROM off"""))
 def offer_best(spark, sf_dir):
     """DC6 + DC7: best offer (NULL when none) and channel."""
     c = DC.choose_offer(DC.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir)))))
     return c.select("customer_id", "churn_reason", "offer_id", "offer_triggered", "channel")
 
 
-@query("message_render")
+@query("message_render", _dsql("SELECT customer_id, channel, offer_id, message_draft FROM msg0"))
 def message_render(spark, sf_dir):
     """DC8: the deterministic draft per customer."""
     d = DC.render_message(DC.choose_offer(DC.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir))))))
     return d.select("customer_id", "channel", "offer_id", "message_draft")
 
 
-@query("compliance_hits")
+@query("compliance_hits", _dsql("""
+SELECT customer_id, v.rule_id, v.severity, v.finding
+FROM (SELECT customer_id, unnest(violated_rules) AS v FROM dec) t"""))
 def compliance_hits(spark, sf_dir):
     """DC9 / J11: one row per rule hit on the rendered drafts."""
     d = decided(C.warehouse(spark, sf_dir))
@@ -71,14 +86,17 @@ def compliance_hits(spark, sf_dir):
         "customer_id", "v.rule_id", "v.severity", "v.finding")
 
 
-@query("compliance_status")
+@query("compliance_status", _dsql("""
+SELECT customer_id, status, CAST(len(violated_rules) AS INTEGER) AS n_violations FROM dec"""))
 def compliance_status(spark, sf_dir):
     """DC10: pass/fail per draft."""
     d = decided(C.warehouse(spark, sf_dir))
     return d.select("customer_id", "status", F.size("violated_rules").alias("n_violations"))
 
 
-@query("campaign_route")
+@query("campaign_route", _dsql("""
+SELECT customer_id, outcome, churn_reason, confidence, offer_id, channel,
+       CAST(to_json(violated_rules) AS VARCHAR) AS violated_rules FROM outc"""))
 def campaign_route(spark, sf_dir):
     """DC11 + DC12: outcome per customer (approved / queued / error)."""
     d = decided(C.warehouse(spark, sf_dir))
@@ -86,13 +104,13 @@ def campaign_route(spark, sf_dir):
                     F.to_json("violated_rules").alias("violated_rules"))
 
 
-@query("batch_counters")
+@query("batch_counters", _dsql("SELECT outcome, count(*) AS n FROM outc GROUP BY outcome"))
 def batch_counters(spark, sf_dir):
     """DC13: counts per outcome."""
     return DC.batch_counters(decided(C.warehouse(spark, sf_dir)))
 
 
-@query("contract_validation")
+@query("contract_validation", _dsql(CONTRACT_SQL))
 def contract_validation(spark, sf_dir):
     """SC18: contract violations per decision (expected empty arrays)."""
     d = DC.contract_violations(decided(C.warehouse(spark, sf_dir)))
@@ -100,7 +118,7 @@ def contract_validation(spark, sf_dir):
 
 
 # -- compliance on the staged outreach drafts (free text from documents) --------
-@query("compliance_staged")
+@query("compliance_staged", with_views(staged_compliance_sql(), "approved_v", "customers_v"))
 def compliance_staged(spark, sf_dir):
     """DC9 + DC10 on staged approved-outreach drafts (whole document texts)."""
     w = C.warehouse(spark, sf_dir)
