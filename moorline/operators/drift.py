@@ -26,9 +26,13 @@ from ..functions.ordered import prefix_sums
 
 def event_drift_input(events: DataFrame, split: dt.datetime,
                       window_days: int = K.DRIFT_WINDOW_DAYS) -> DataFrame:
-    """Reference = before ``split``; production = the ``window_days`` after it."""
-    ts = F.col("ts").cast("timestamp")
-    start, end = F.lit(split), F.lit(split + dt.timedelta(days=window_days))
+    """Reference = before ``split``; production = the ``window_days`` after it.
+    Compared as zone-free timestamps, independent of the session time zone."""
+    ts = F.col("ts").cast("timestamp_ntz")
+
+    def ntz(t):
+        return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    start, end = ntz(split), ntz(split + dt.timedelta(days=window_days))
     return events.select(
         F.col("event_type").alias("feature"), F.col("value"),
         F.when(ts < start, F.lit("reference")).when(ts < end, F.lit("production")).alias("period"),

@@ -80,7 +80,12 @@ def score(model: PipelineModel, model_ready: DataFrame, model_version: str,
           scored_at: dt.datetime | None = None) -> DataFrame:
     """ML4 / SEM7: probability of class 1 as ``churn_score`` plus version and time."""
     out = model.transform(model_ready)
-    ts = F.lit(scored_at) if scored_at is not None else F.current_timestamp()
+    if scored_at is None:
+        ts = F.current_timestamp()
+    elif isinstance(scored_at, dt.datetime):
+        ts = F.lit(scored_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    else:
+        ts = scored_at
     return out.select(
         *[c for c in model_ready.columns],
         vector_to_array("probability")[1].alias("churn_score"),

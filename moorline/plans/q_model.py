@@ -19,6 +19,11 @@ QUERY_PATIENCE = 20
 SCORED_AT = dt.datetime(2024, 1, 16, 6, 0, 0)
 
 
+def scored_at_col():
+    """The batch scoring time as a zone-free timestamp literal."""
+    return F.lit(SCORED_AT.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def _linear_sql(src: str = "model_o") -> str:
     z = " + ".join(f"CAST({c} AS DOUBLE) * {w!r}" for c, w in MD.LINEAR_WEIGHTS.items())
     return f"round(1.0 / (1.0 + exp(-({MD.LINEAR_INTERCEPT!r} + {z}))), 6)"

@@ -14,7 +14,7 @@ from ..session import materialize
 from . import common as C
 from .oracle_frag import MODEL_READY, sql_with
 from .oracle_views import SNAP
-from .q_model import SCORED_AT, _linear_sql
+from .q_model import _linear_sql, scored_at_col
 from .registry import query
 
 PREV_AS_OF = K.TEST_SNAPSHOT - dt.timedelta(days=7)
@@ -31,7 +31,7 @@ def scored_batch(w, threshold=K.HIGH_RISK_THRESHOLD):
         .withColumn("mrr_raw", F.col("months_to_rate_reset"))
     mr = PP.model_ready(f)
     sc = mr.select("*", MD.linear_score_col().alias("churn_score"))
-    hr = sc.where(F.col("churn_score") >= F.lit(threshold)).withColumn("scored_at", F.lit(SCORED_AT))
+    hr = sc.where(F.col("churn_score") >= F.lit(threshold)).withColumn("scored_at", scored_at_col())
     return materialize(hr)
 
 

@@ -237,7 +237,7 @@ class Warehouse:
             F.when(key % 3 == 0, F.lit("call")).otherwise(F.lit("email")).alias("channel"),
             case_map(F.col("o_orderpriority"), DIRTY_REASON_BY_PRIORITY).alias("churn_reason"),
             F.col("text").alias("message_draft"),
-            F.col("o_orderdate").cast("timestamp").alias("event_ts"),
+            F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         )
 
     def approved(self) -> DataFrame:
