@@ -43,22 +43,26 @@ def _vnum():
     return F.col("version").cast("int")
 
 
+def _one_row(df: DataFrame, *aggs) -> DataFrame:
+    """A registry-wide aggregate (one row, computed with partial aggregation)
+    keyed for an equi-join back onto every registry row."""
+    return df.agg(*aggs).withColumn("_k", F.lit(0))
+
+
 def promote(registry: DataFrame, version: str | None = None) -> DataFrame:
     """ML14: target -> production, any other production -> retired.  Default
     target: the newest staging version (numeric order).  If there is no
     target the registry is returned unchanged."""
     if version is not None:
-        target = F.lit(str(version))
-        is_target = F.col("version") == target
-        exists = F.max(is_target.cast("int")).over(Window.partitionBy(F.lit(1)))
+        tgt = _one_row(registry, F.max(F.when(F.col("version") == str(version), _vnum())).alias("_t"))
     else:
-        newest = F.max(F.when(F.col("status") == "staging", _vnum())).over(Window.partitionBy(F.lit(1)))
-        is_target = _vnum() == newest
-        exists = F.max(is_target.cast("int")).over(Window.partitionBy(F.lit(1)))
+        tgt = _one_row(registry, F.max(F.when(F.col("status") == "staging", _vnum())).alias("_t"))
+    j = registry.withColumn("_k", F.lit(0)).join(F.broadcast(tgt), "_k")
+    is_target = F.coalesce(_vnum() == F.col("_t"), F.lit(False))
     new_status = (F.when(is_target, F.lit("production"))
-                  .when((F.col("status") == "production") & (exists == 1), F.lit("retired"))
+                  .when((F.col("status") == "production") & F.col("_t").isNotNull(), F.lit("retired"))
                   .otherwise(F.col("status")))
-    return registry.withColumn("status", F.coalesce(new_status, F.col("status")))
+    return j.withColumn("status", new_status).drop("_k", "_t")
 
 
 def resolve(registry: DataFrame) -> DataFrame:
@@ -72,14 +76,13 @@ def resolve(registry: DataFrame) -> DataFrame:
 
 
 def listing(registry: DataFrame) -> DataFrame:
-    """AG20: registry rows newest first with production/staging/total counts."""
-    w = Window.partitionBy(F.lit(1))
-    return registry.select(
-        "*",
-        F.max(F.when(F.col("status") == "production", _vnum())).over(w).cast("string").alias("production_version"),
-        F.count(F.when(F.col("status") == "staging", 1)).over(w).alias("staging_count"),
-        F.count(F.lit(1)).over(w).alias("total_versions"),
-    )
+    """AG20: registry rows with production/staging/total counts."""
+    stats = _one_row(
+        registry,
+        F.max(F.when(F.col("status") == "production", _vnum())).cast("string").alias("production_version"),
+        F.count(F.when(F.col("status") == "staging", 1)).alias("staging_count"),
+        F.count(F.lit(1)).alias("total_versions"))
+    return registry.withColumn("_k", F.lit(0)).join(F.broadcast(stats), "_k").drop("_k")
 
 
 def metric_trend(runs: DataFrame, n: int = 20) -> DataFrame:

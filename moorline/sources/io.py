@@ -145,7 +145,7 @@ class VersionedStore:
         return self.spark.read.parquet(p) if p else None
 
     def _publish(self, df: DataFrame) -> str:
-        path = f"{self.base}/v-{dt.datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.base}/v-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
         df.write.mode("overwrite").parquet(path)
         self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
             .write.mode("overwrite").text(f"{self.base}/_current")
