@@ -32,14 +32,20 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     group's global order (NULL for the first).  ``order_col`` must be unique
     within a group."""
     parts = list(partition_cols)
+    qs = [i / buckets for i in range(1, buckets)]
     dummy = not parts
-    if dummy:  # a single group: key every row to it so the bounds join is an equi-join
+    if dummy:
+        # One group: the boundary array (buckets-1 numbers, fixed size) is read
+        # once and inlined as a literal, so no join is needed at all.
+        bounds = df.agg(F.percentile_approx(order_col, qs, 10_000)).first()[0] or []
+        arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
         df = df.withColumn("_g", F.lit(0))
         parts = ["_g"]
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*parts).agg(F.percentile_approx(order_col, qs, 10_000).alias("_bounds"))
-    # Bounded broadcast: one row per group, each holding `buckets - 1` values.
-    withb = df.join(F.broadcast(bounds), parts)
+        withb = df.withColumn("_bounds", arr)
+    else:
+        bounds = df.groupBy(*parts).agg(F.percentile_approx(order_col, qs, 10_000).alias("_bounds"))
+        # Bounded broadcast: one row per group, each holding `buckets - 1` values.
+        withb = df.join(F.broadcast(bounds), parts)
     withb = withb.withColumn(
         "_bucket", F.expr(f"size(filter(_bounds, b -> b < `{order_col}`))")).drop("_bounds")
 
