@@ -7,7 +7,7 @@ fixed value lists so no extra job is needed to discover columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import preview, total_tokens, violation_ids
@@ -164,12 +164,13 @@ def queue_view(queue: DataFrame, **filters) -> DataFrame:
 
 
 def first_message(approved: DataFrame) -> DataFrame:
-    """WN4: the message for each (customer, batch) - first row under an explicit
-    order (newest approval, then id).  Partitions hold one customer's rows of
-    one batch, so they stay small."""
-    w = Window.partitionBy("customer_id", "batch_date").orderBy(F.desc("approved_at"), F.asc("id"))
-    return approved.select("customer_id", "batch_date", "message_draft", F.row_number().over(w).alias("_rn")) \
-        .where(F.col("_rn") == 1).drop("_rn")
+    """WN4: the message for each (customer, batch) - the first row under an
+    explicit order (newest approval, then lowest id), as a ``max_by``
+    aggregate: partial aggregation keeps a customer with many messages from
+    landing in one task, unlike a row_number window."""
+    key = F.struct(F.col("approved_at"), (-F.col("id")).alias("neg_id"))
+    return approved.groupBy("customer_id", "batch_date").agg(
+        F.max_by("message_draft", key).alias("message_draft"))
 
 
 def queue_items(queue: DataFrame) -> DataFrame:

@@ -54,3 +54,11 @@ def test_stream_equals_batch(spark):
     s = sorted(tuple(r) for r in q["stream_activity"](spark, SF).collect())
     b = sorted(tuple(r) for r in q["batch_activity"](spark, SF).collect())
     assert s == b
+
+
+def test_stream_scoring_equals_batch(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    s = sorted(tuple(r) for r in q["stream_score"](spark, SF).collect())
+    b = sorted(tuple(r) for r in q["score_requests"](spark, SF).collect())
+    assert s == b and len(s) > 0
