@@ -294,3 +294,22 @@ def violation_rules(spark, sf_dir):
     """SC14: rule ids from JSON violation lists (objects or bare strings; bad JSON skipped)."""
     q = C.warehouse(spark, sf_dir).queue()
     return q.select("id", F.explode(TX.violation_ids(F.col("violated_rules"))).alias("rule_id"))
+
+
+# -- routed rows as written to the outreach tables (IO10-IO12, DC11) ---------------------
+@query("outreach_approved_rows", _dsql("""
+SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason, confidence, message_draft,
+       0 AS agent1_tokens, 0 AS agent2_tokens, 0 AS agent3_tokens
+FROM outc WHERE outcome = 'approved'"""))
+def outreach_approved_rows(spark, sf_dir):
+    w = C.warehouse(spark, sf_dir)
+    return DC.approved_rows(decided(w), w.snapshot)
+
+
+@query("outreach_queued_rows", _dsql("""
+SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason, message_draft,
+       CAST(to_json(violated_rules) AS VARCHAR) AS violated_rules, '' AS review_notes, 'pending' AS status
+FROM outc WHERE outcome = 'queued'"""))
+def outreach_queued_rows(spark, sf_dir):
+    w = C.warehouse(spark, sf_dir)
+    return DC.queued_rows(decided(w), w.snapshot)
