@@ -216,19 +216,22 @@ def offer_conditions() -> dict[str, Column]:
     }
 
 
+def _cond_col(key: str) -> str:
+    return "_c_" + key.encode().hex()
+
+
 def _offer_struct(o) -> Column:
     oid, use, segs, chans, kind, new, value, req, anyof = o
-    cond = offer_conditions()
+    c = {k: F.col(_cond_col(k)) for k in req + anyof}
     req_ok = F.lit(True)
     for r in req:
-        req_ok = req_ok & F.coalesce(cond[r], F.lit(False))
+        req_ok = req_ok & c[r]
     any_ok = F.lit(True)
     if anyof:
         any_ok = F.lit(False)
         for a in anyof:
-            any_ok = any_ok | F.coalesce(cond[a], F.lit(False))
-    triggered = sum(F.coalesce(cond[c], F.lit(False)).cast("int") for c in req + anyof) if (req + anyof) \
-        else F.lit(0)
+            any_ok = any_ok | c[a]
+    triggered = sum(c[k].cast("int") for k in req + anyof) if (req + anyof) else F.lit(0)
     ok = (_c("churn_reason") == use) & F.coalesce(_c("segment").isin(*segs), F.lit(False)) & req_ok & any_ok
     return F.when(ok, F.struct((-triggered).alias("neg_triggered"), F.lit(oid).alias("offer_id"),
                                triggered.alias("triggered")))
@@ -236,18 +239,32 @@ def _offer_struct(o) -> Column:
 
 def eligible_offers(classified: DataFrame) -> DataFrame:
     """DC5 / J10: ``eligible`` = array of (neg_triggered, offer_id, triggered)
-    sorted best first (most triggered predicates, then offer_id)."""
+    sorted best first (most triggered predicates, then offer_id).  The ~40
+    atomic predicates are projected once as boolean columns (NULL -> false) so
+    the 25 offer structs only reference columns."""
+    conds = offer_conditions()
+    with_c = classified.select("*", *[F.coalesce(v, F.lit(False)).alias(_cond_col(k)) for k, v in conds.items()])
     arr = F.filter(F.array(*[_offer_struct(o) for o in OFFERS]), lambda x: x.isNotNull())
-    return classified.withColumn("eligible", F.array_sort(arr))
+    return with_c.withColumn("eligible", F.array_sort(arr)).drop(*[_cond_col(k) for k in conds])
 
 
-def _offer_attr(col: Column, idx: int) -> Column:
-    expr = None
+_ATTR_FIELDS = {2: "segments", 3: "channels", 4: "kind", 5: "new_product", 6: "value"}
+
+
+def _offer_map() -> Column:
+    """offer_id -> struct of catalogue attributes, as one literal map (constant
+    folded, so each lookup is a hash probe, not a 25-branch CASE)."""
+    kv = []
     for o in OFFERS:
-        v = o[idx]
-        lit = F.array(*[F.lit(x) for x in v]) if isinstance(v, list) else F.lit(v)
-        expr = F.when(col == o[0], lit) if expr is None else expr.when(col == o[0], lit)
-    return expr
+        kv += [F.lit(o[0]), F.struct(F.array(*[F.lit(x) for x in o[2]]).alias("segments"),
+                                     F.array(*[F.lit(x) for x in o[3]]).alias("channels"),
+                                     F.lit(o[4]).alias("kind"), F.lit(o[5]).alias("new_product"),
+                                     F.lit(o[6]).alias("value"))]
+    return F.create_map(*kv)
+
+
+def _offer_attr(col: Column, idx: int) -> Column:
+    return F.element_at(_offer_map(), col)[_ATTR_FIELDS[idx]]
 
 
 def choose_offer(eligible: DataFrame) -> DataFrame:

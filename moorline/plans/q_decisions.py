@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..functions.joins import broadcast_if_bounded
 from ..operators import decisions as DC
 from ..operators import profiles as PR
 from . import common as C
@@ -21,10 +22,14 @@ from .registry import query
 def context(w):
     """Decision inputs for the high-risk batch, materialised once (small)."""
     b = scored_batch(w)
-    docs = PR.profile_documents(MD.high_risk(b), w.customer_products(), w.products(), None,
+    # Holdings of the batch customers only (a small set), read by the product
+    # summary, the holding kinds and the rate-reset dates.
+    hold = materialize(w.customer_products().join(broadcast_if_bounded(b.select("customer_id")), "customer_id",
+                                                  "left_semi"))
+    docs = PR.profile_documents(MD.high_risk(b), hold, w.products(), None,
                                 w.complaints(), None, w.snapshot,
                                 daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
-    return materialize(DC.decision_context(b, w.customers(), w.customer_products(), w.products(),
+    return materialize(DC.decision_context(b, w.customers(), hold, w.products(),
                                            w.complaints(), None, docs, w.snapshot,
                                            daily_t=C.daily_transactions(w)))
 
