@@ -12,10 +12,6 @@ from pyspark.sql.types import ArrayType, StringType
 from .. import constants as K
 
 
-def _lit_list(values):
-    return [F.lit(v) for v in values]
-
-
 def normalize_reason(raw: Column) -> Column:
     """SC11 (runtime mode): NULL/empty -> unknown; a JSON list -> its first
     element; trimmed value in the canonical set -> lower-cased; else the first

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import features as FT
 from ..operators import labels as LB
 from . import common as C
@@ -11,11 +9,6 @@ from .oracle_frag import FEATURES, LABELS, MODEL_READY, sql_with
 from .oracle_views import SNAP
 from .registry import query
 
-FEATURE_COLS = ("customer_id, snapshot_date, churned, salary_account_flag, segment, region, "
-                "days_since_last_login, app_logins_last_30d, app_logins_last_90d, "
-                "competitor_transfer_count, avg_monthly_inflow_eur, complaints_open, "
-                "nps_score_last, product_count, months_to_rate_reset")
-
 
 @query("features_snapshot", sql_with(FEATURES, "SELECT * FROM features_o"))
 def features_snapshot(spark, sf_dir):

@@ -14,7 +14,6 @@ from ..session import shared_path
 from ..sources import io as IO
 from . import common as C
 from .oracle_frag import FEATURES, LABELS, sql_with
-from .oracle_views import SNAP
 from .registry import query
 
 

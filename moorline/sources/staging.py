@@ -15,7 +15,6 @@ broadcast.
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
