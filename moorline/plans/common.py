@@ -60,3 +60,20 @@ def features(w: Warehouse, compat: str = "canonical") -> DataFrame:
 
 def model_features(w: Warehouse) -> DataFrame:
     return PP.model_ready(features(w))
+
+
+def holding_stats_at(w: Warehouse, as_of) -> DataFrame:
+    if as_of == w.snapshot:
+        return holding_stats(w)
+    return _memo(w, f"holding@{as_of}", lambda: materialize(FT.holding_stats(w.customer_products(), as_of)))
+
+
+def features_at(w: Warehouse, as_of) -> DataFrame:
+    """Feature snapshot as of another date over the same data (backfill, drift):
+    the shared day rollups are reused, only the holdings rollup depends on the
+    date.  Labels belong to the staged snapshot, so ``churned`` is NULL here."""
+    from pyspark.sql import functions as F
+    cust = w.customers().withColumn("snapshot_date", F.lit(as_of))
+    return FT.feature_snapshot(cust, None, None, None, w.complaints(), w.nps_responses(), None, as_of,
+                               daily_s=daily_sessions(w), daily_t=daily_transactions(w),
+                               holding=holding_stats_at(w, as_of))

@@ -137,3 +137,31 @@ model_o AS (
 def sql_with(cte_text: str, select: str, views=BASE_VIEWS) -> str:
     """``WITH <views>, <cte_text> <select>``."""
     return with_views(f"WITH {cte_text.strip()}\n{select}", *views)
+
+
+def features_at_sql(snap_sql: str, tag: str) -> str:
+    """CTEs ``*_{tag}`` computing the feature snapshot as of ``snap_sql`` over
+    the staged views (churned NULL: labels belong to the staged snapshot)."""
+    aggs = _FEATURE_AGGS.replace(SNAP, snap_sql)
+    for name in ("fs", "ft", "fc", "fn", "fh"):
+        aggs = aggs.replace(f"{name} AS (", f"{name}_{tag} AS (")
+    return aggs + f""",
+feat_{tag} AS (
+  SELECT c.customer_id, {snap_sql} AS snapshot_date, CAST(NULL AS INTEGER) AS churned,
+         CAST(c.salary_account_flag AS INTEGER) AS salary_account_flag, c.segment, c.region,
+         CAST(COALESCE(date_diff('day', fs.last_d, {snap_sql}), 999) AS INTEGER) AS days_since_last_login,
+         CAST(COALESCE(fs.l30, 0) AS BIGINT) AS app_logins_last_30d,
+         CAST(COALESCE(fs.l90, 0) AS BIGINT) AS app_logins_last_90d,
+         CAST(COALESCE(ft.comp, 0) AS BIGINT) AS competitor_transfer_count,
+         COALESCE(ft.inflow, 0.0) AS avg_monthly_inflow_eur,
+         CAST(COALESCE(fc.co, 0) AS BIGINT) AS complaints_open,
+         fn.nps AS nps_score_last,
+         CAST(COALESCE(fh.pc, 0) AS BIGINT) AS product_count,
+         CAST(fh.mrr AS INTEGER) AS months_to_rate_reset
+  FROM customers_v c
+  LEFT JOIN fs_{tag} fs ON c.customer_id = fs.customer_id
+  LEFT JOIN ft_{tag} ft ON c.customer_id = ft.customer_id
+  LEFT JOIN fc_{tag} fc ON c.customer_id = fc.customer_id
+  LEFT JOIN fn_{tag} fn ON c.customer_id = fn.customer_id
+  LEFT JOIN fh_{tag} fh ON c.customer_id = fh.customer_id)
+"""

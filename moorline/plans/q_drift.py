@@ -10,13 +10,15 @@ from .registry import query
 
 SPLIT = dt.datetime(2024, 1, 16)
 
-_LONG = """
-WITH long AS (
+_EVENTS_LONG = """
+long AS (
   SELECT event_type AS feature, value,
          CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'reference'
               WHEN ts < TIMESTAMP '2024-01-23 00:00:00' THEN 'production' END AS period
-  FROM events WHERE value IS NOT NULL),
-l AS (SELECT * FROM long WHERE period IS NOT NULL),
+  FROM events WHERE value IS NOT NULL)"""
+
+DRIFT_BODY = """
+l AS (SELECT * FROM long WHERE period IS NOT NULL AND value IS NOT NULL),
 g AS (SELECT feature, value, count(*) FILTER (WHERE period = 'reference') AS rn,
              count(*) FILTER (WHERE period = 'production') AS pn FROM l GROUP BY feature, value),
 c AS (SELECT feature, value, lag(value) OVER w AS prev,
@@ -50,6 +52,8 @@ rep AS (SELECT st.feature, st.n_reference, st.n_production, round(w1.w, 6) AS wa
         FROM st JOIN w1 ON st.feature = w1.feature LEFT JOIN js ON st.feature = js.feature)
 """
 
+_LONG = "WITH " + _EVENTS_LONG.strip() + "," + DRIFT_BODY
+
 
 def _report(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
