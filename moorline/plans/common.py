@@ -77,3 +77,13 @@ def features_at(w: Warehouse, as_of) -> DataFrame:
     return FT.feature_snapshot(cust, None, None, None, w.complaints(), w.nps_responses(), None, as_of,
                                daily_s=daily_sessions(w), daily_t=daily_transactions(w),
                                holding=holding_stats_at(w, as_of))
+
+
+def features_variant(w: Warehouse, as_of_holdings: bool = False, nps_mode: str = "max") -> DataFrame:
+    """SEM2 / SEM4 options: holdings counted by activity on the snapshot date
+    instead of current status; NPS as the latest score within 180 days."""
+    hold = holding_stats(w) if not as_of_holdings else _memo(
+        w, "holding_asof", lambda: materialize(FT.holding_stats(w.customer_products(), w.snapshot, as_of=True)))
+    return FT.feature_snapshot(None, None, None, None, w.complaints(), w.nps_responses(), None,
+                               w.snapshot, daily_s=daily_sessions(w), daily_t=daily_transactions(w),
+                               holding=hold, labelled=labelled_customers(w), nps_mode=nps_mode)

@@ -124,3 +124,27 @@ SELECT count(*) AS customers, CAST(sum(CAST(churned AS INTEGER)) AS BIGINT) AS c
 def churn_rate(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
     return LB.churn_rate(C.labelled_customers(w))
+
+
+_ASOF_HOLD = FEATURES.replace(
+    "count(DISTINCT CASE WHEN status = 'active' THEN product_id END) AS pc",
+    f"count(DISTINCT CASE WHEN start_date <= {SNAP} AND (end_date IS NULL OR end_date > {SNAP}) "
+    "THEN product_id END) AS pc")
+
+
+@query("features_as_of_holdings", sql_with(_ASOF_HOLD, "SELECT * FROM features_o"))
+def features_as_of_holdings(spark, sf_dir):
+    """SEM2: product_count from holdings active on the snapshot date."""
+    return C.features_variant(C.warehouse(spark, sf_dir), as_of_holdings=True)
+
+
+_NPS_LATEST = FEATURES.replace(
+    "fn AS (SELECT customer_id, max(score) AS nps, count(*) AS n_n FROM nps_responses_v GROUP BY customer_id)",
+    f"fn AS (SELECT customer_id, arg_max(score, (response_date, id)) AS nps, count(*) AS n_n FROM nps_responses_v "
+    f"WHERE response_date BETWEEN {SNAP} - 180 AND {SNAP} GROUP BY customer_id)")
+
+
+@query("features_nps_latest", sql_with(_NPS_LATEST, "SELECT * FROM features_o"))
+def features_nps_latest(spark, sf_dir):
+    """SEM4: nps_score_last = most recent score within 180 days."""
+    return C.features_variant(C.warehouse(spark, sf_dir), nps_mode="latest_180d")
