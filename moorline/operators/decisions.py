@@ -42,7 +42,7 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
         "customer_id", "age", "relationship_manager_id",
         full_months(F.col("customer_since_date"), snap).alias("tenure_months"))
     kinds = (holdings.where(F.col("status") == "active").join(ids, "customer_id", "left_semi")
-             .join(F.broadcast(products.select("product_id", "product_kind", "product_name")), "product_id")
+             .join(products.select("product_id", "product_kind", "product_name"), "product_id")
              .groupBy("customer_id").agg(
                  F.max((F.col("product_kind") == "savings_account").cast("int")).alias("has_savings"),
                  F.max((F.col("product_kind") == "mortgage").cast("int")).alias("has_mortgage"),

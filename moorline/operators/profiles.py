@@ -30,11 +30,14 @@ def _day(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd")
 
 
-def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame) -> DataFrame:
+def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
+                    ids: DataFrame | None = None) -> DataFrame:
     """EN4 / J3: "Active products (n): a; b (fixed rate ends YYYY-MM-DD)." in
-    item-text order (explicit order, SEM21)."""
-    act = holdings.where(F.col("status") == "active").join(_ids(batch), "customer_id", "left_semi")
-    p = broadcast_if_bounded(products.select("product_id", "product_name", "product_type"))
+    item-text order (explicit order, SEM21).  The product list join is left
+    to AQE, which broadcasts it when its measured size is small."""
+    ids = ids if ids is not None else _ids(batch)
+    act = holdings.where(F.col("status") == "active").join(ids, "customer_id", "left_semi")
+    p = products.select("product_id", "product_name", "product_type")
     txt = F.concat(
         F.coalesce(F.col("product_name"), F.col("product_type"), F.lit("Unknown")),
         F.when(F.col("fixed_rate_end_date").isNotNull(),
@@ -52,14 +55,15 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame)
 
 
 def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int = K.ENGAGEMENT_DAYS,
-               daily: DataFrame | None = None) -> DataFrame:
+               daily: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     """EN1 + EN5: sessions since ``as_of - days``: count, last date, integer
     (truncated) average duration; minutes shown with one decimal, half-up.
     Reads the (customer, day) session rollup when given."""
     if daily is None:
         from .features import daily_sessions
         daily = daily_sessions(sessions)
-    s = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(_ids(batch), "customer_id", "left_semi")
+    ids = ids if ids is not None else _ids(batch)
+    s = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(ids, "customer_id", "left_semi")
     agg = s.groupBy("customer_id").agg(
         F.sum("n").alias("sessions_60d"),
         F.max("d").alias("last_session"),
@@ -73,9 +77,10 @@ def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int =
     return agg.withColumn("engagement_summary", text)
 
 
-def open_complaints(batch: DataFrame, complaints: DataFrame) -> DataFrame:
+def open_complaints(batch: DataFrame, complaints: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """EN2 + EN6: open complaints: count, oldest opened, max category (lexicographic)."""
-    c = complaints.where(F.col("status") == "open").join(_ids(batch), "customer_id", "left_semi")
+    ids = ids if ids is not None else _ids(batch)
+    c = complaints.where(F.col("status") == "open").join(ids, "customer_id", "left_semi")
     agg = c.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("open_count"),
         F.min("opened_date").alias("oldest_open"),
@@ -88,14 +93,16 @@ def open_complaints(batch: DataFrame, complaints: DataFrame) -> DataFrame:
 
 
 def recent_transactions(batch: DataFrame, transactions: DataFrame | None, as_of,
-                        days: int = K.PROFILE_TX_DAYS, daily: DataFrame | None = None) -> DataFrame:
+                        days: int = K.PROFILE_TX_DAYS, daily: DataFrame | None = None,
+                        ids: DataFrame | None = None) -> DataFrame:
     """EN3 + EN7: transactions since ``as_of - days``: count, credit sum,
     competitor count, last date; inflow with thousands separators.  Reads the
     (customer, day) transaction rollup when given (credit sums kept in cents)."""
     if daily is None:
         from .features import daily_transactions
         daily = daily_transactions(transactions)
-    t = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(_ids(batch), "customer_id", "left_semi")
+    ids = ids if ids is not None else _ids(batch)
+    t = daily.where(F.col("d") >= F.date_sub(F.lit(as_of), days)).join(ids, "customer_id", "left_semi")
     agg = t.groupBy("customer_id").agg(
         F.sum("n").alias("tx_count_90d"),
         (F.coalesce(F.sum("credit_cents"), F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(20,2)")
@@ -115,10 +122,12 @@ def profile_documents(batch: DataFrame, holdings: DataFrame, products: DataFrame
                       daily_s: DataFrame | None = None, daily_t: DataFrame | None = None) -> DataFrame:
     """J9 + EN8: one document per batch row, typed attributes with defaults and
     four summaries (default sentences when a customer has no child rows)."""
-    p = product_summary(batch, holdings, products).select("customer_id", "product_summary")
-    e = engagement(batch, sessions, as_of, daily=daily_s).select("customer_id", "engagement_summary")
-    c = open_complaints(batch, complaints).select("customer_id", "complaint_summary")
-    t = recent_transactions(batch, transactions, as_of, daily=daily_t).select("customer_id", "transaction_summary")
+    ids = _ids(batch)   # one size check for all four semi joins
+    p = product_summary(batch, holdings, products, ids=ids).select("customer_id", "product_summary")
+    e = engagement(batch, sessions, as_of, daily=daily_s, ids=ids).select("customer_id", "engagement_summary")
+    c = open_complaints(batch, complaints, ids=ids).select("customer_id", "complaint_summary")
+    t = recent_transactions(batch, transactions, as_of, daily=daily_t, ids=ids).select(
+        "customer_id", "transaction_summary")
     cols = set(batch.columns)
 
     def num(name, typ, default):
