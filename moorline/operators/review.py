@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import edited
+
 
 def latest_decisions(decisions: DataFrame) -> DataFrame:
     """One decision per queue id: the latest by decided_at (then reviewer)."""
@@ -26,7 +28,9 @@ def apply_decisions(queue: DataFrame, decisions: DataFrame) -> DataFrame:
     d = latest_decisions(decisions)
     j = queue.join(d, queue.id == d.queue_id, "left")
     decided = F.col("decision").isNotNull()
-    has_edit = F.coalesce(F.length(F.col("edited_draft")) > 0, F.lit(False))
+    # SC19: an edit counts only when the trimmed text differs from the stored draft.
+    has_edit = F.coalesce(F.length(F.col("edited_draft")) > 0, F.lit(False)) & \
+        edited(F.col("edited_draft"), F.col("message_draft"))
     new_status = F.when(F.col("decision") == "approved", F.lit("approved")).otherwise(F.lit("rejected"))
     out = j.select(
         *[c for c in queue.columns if c not in ("status", "reviewed_by", "reviewed_at", "message_draft")],

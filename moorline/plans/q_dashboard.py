@@ -243,13 +243,15 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY queue_id ORD
 rev AS (
   SELECT q.id, q.customer_id, q.batch_date, q.offer_id, q.channel, q.churn_reason, q.violated_rules,
          q.review_notes, q.created_at,
-         CASE WHEN l.decision IS NOT NULL AND length(l.edited_draft) > 0 THEN l.edited_draft
-              ELSE q.message_draft END AS message_draft,
+         CASE WHEN l.decision IS NOT NULL AND length(l.edited_draft) > 0
+                   AND trim(COALESCE(l.edited_draft, '')) <> trim(COALESCE(q.message_draft, ''))
+              THEN l.edited_draft ELSE q.message_draft END AS message_draft,
          CASE WHEN l.decision IS NULL THEN q.status WHEN l.decision = 'approved' THEN 'approved'
               ELSE 'rejected' END AS status,
          CASE WHEN l.decision IS NOT NULL THEN l.reviewer ELSE q.reviewed_by END AS reviewed_by,
          CASE WHEN l.decision IS NOT NULL THEN l.decided_at ELSE q.reviewed_at END AS reviewed_at,
-         l.decision IS NOT NULL AND COALESCE(length(l.edited_draft) > 0, false) AS draft_edited,
+         l.decision IS NOT NULL AND COALESCE(length(l.edited_draft) > 0, false)
+           AND trim(COALESCE(l.edited_draft, '')) <> trim(COALESCE(q.message_draft, '')) AS draft_edited,
          l.decision IS NOT NULL AS decided_now
   FROM queue_v q LEFT JOIN latest l ON q.id = l.queue_id)
 """

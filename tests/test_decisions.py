@@ -79,6 +79,7 @@ def test_review_decisions(spark):
         (2, 20, "draft two", "pending", None, None),
         (3, 30, "draft three", "pending", None, None),
         (4, 40, "draft four", "pending", None, None),
+        (5, 50, "draft five", "pending", None, None),
     ], "id long, customer_id long, message_draft string, status string, reviewed_by string, reviewed_at timestamp")
     q = q.withColumn("batch_date", F.lit(dt.date(2024, 1, 1))).withColumn("offer_id", F.lit("PR-001")) \
         .withColumn("channel", F.lit("email")).withColumn("churn_reason", F.lit("inactivity"))
@@ -89,12 +90,13 @@ def test_review_decisions(spark):
         (3, "rejected", "r2", None, t),                        # reject
         (99, "approved", "r3", None, t),                       # unknown id: ignored
         (4, "approved", "r1", None, t), (4, "rejected", "r2", None, t + dt.timedelta(hours=1)),  # twice
+        (5, "approved", "r1", "  draft five ", t),            # "edit" equal after trimming: not an edit
     ], "queue_id long, decision string, reviewer string, edited_draft string, decided_at timestamp")
     rev = {r.id: r for r in RV.apply_decisions(q, dec).collect()}
     assert [rev[i].status for i in (1, 2, 3, 4)] == ["approved", "approved", "rejected", "rejected"]
     assert rev[2].message_draft == "new text" and rev[1].message_draft == "draft one"
-    assert len(rev) == 4
+    assert len(rev) == 5 and rev[5].message_draft == "draft five" and not rev[5].draft_edited
     mirrored = RV.mirrored_approvals(RV.apply_decisions(q, dec)).collect()
     assert [m.customer_id for m in mirrored] == [20] and mirrored[0].agent1_tokens == 0
     all_m = RV.mirrored_approvals(RV.apply_decisions(q, dec), mirror_all=True).collect()
-    assert sorted(m.customer_id for m in all_m) == [10, 20]
+    assert sorted(m.customer_id for m in all_m) == [10, 20, 50]

@@ -48,3 +48,12 @@ def test_export_existing_columns_and_clean(spark, tmp_path):
     IO.export_existing_columns(df, ["a", "missing"], out)
     back = spark.read.option("header", True).csv(out)
     assert back.columns == ["a"]
+
+
+def test_metrics_json_roundtrip(spark, tmp_path):
+    m = spark.createDataFrame([(0.8, 0.6, 0.69, 0.75, 0.1)],
+                              "precision double, recall double, f1 double, auc double, false_positive_rate double")
+    path = str(tmp_path / "metrics")
+    IO.write_metrics(m, path)
+    back = IO.read_metrics(spark, path, m.schema).first()
+    assert back.precision == 0.8 and back.false_positive_rate == 0.1
