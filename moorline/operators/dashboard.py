@@ -177,3 +177,19 @@ def queue_items(queue: DataFrame) -> DataFrame:
     """AG25: queue item details with parsed violation ids."""
     return queue.select("id", "customer_id", "status", "churn_reason",
                         F.array_join(violation_ids(F.col("violated_rules")), ",").alias("rule_ids"))
+
+
+def batch_history(batch_summary_df: DataFrame, runs: DataFrame) -> DataFrame:
+    """AG24: per batch month, the pass rate next to the precision of the latest
+    evaluation run in that month, plus their correlation over all batches
+    (one grouped aggregate + one small join + one global aggregate)."""
+    month = F.trunc(F.col("batch_date"), "month")
+    b = batch_summary_df.groupBy(month.alias("month")).agg(
+        F.sum("approved_count").alias("approved_count"), F.sum("review_count").alias("review_count"))
+    b = b.withColumn("pass_rate", F.col("approved_count") / F.nullif(
+        F.col("approved_count") + F.col("review_count"), F.lit(0)))
+    r = runs.groupBy(F.trunc(F.col("run_date"), "month").alias("month")).agg(
+        F.max_by("precision", "run_date").alias("model_precision"))
+    j = b.join(r, "month", "inner")
+    corr = j.agg(F.corr("model_precision", "pass_rate").alias("precision_pass_rate_corr"))
+    return j.join(F.broadcast(corr.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k")).drop("_k")

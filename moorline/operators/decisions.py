@@ -474,3 +474,22 @@ def contract_violations(decided: DataFrame) -> DataFrame:
     arr = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(code)) for c, code in checks]),
                    lambda x: x.isNotNull())
     return decided.select("customer_id", arr.alias("contract_violations"))
+
+
+def golden_agreement(golden: DataFrame, disclosure_mode: str = "strict") -> DataFrame:
+    """DC16: run the rule checks on golden examples and compare with their
+    expected status and violated rule ids; agreement per (reason, channel).
+
+    ``golden`` columns: example_id, churn_reason, channel, offer_id, segment,
+    age, expected_status, expected_rules (array<string>), body."""
+    checked = compliance(golden.withColumnRenamed("body", "message_draft"), disclosure_mode=disclosure_mode)
+    got_ids = F.array_sort(F.transform("violated_rules", lambda v: v["rule_id"]))
+    exp_ids = F.array_sort(F.coalesce(F.col("expected_rules"), F.array().cast("array<string>")))
+    per = checked.select(
+        "example_id", "churn_reason", "channel",
+        (F.col("status") == F.col("expected_status")).alias("status_agrees"),
+        (got_ids == exp_ids).alias("rules_agree"))
+    return per.groupBy("churn_reason", "channel").agg(
+        F.count(F.lit(1)).alias("examples"),
+        F.sum(F.col("status_agrees").cast("int")).alias("status_agreement"),
+        F.sum(F.col("rules_agree").cast("int")).alias("rules_agreement"))

@@ -100,3 +100,33 @@ def test_review_decisions(spark):
     assert [m.customer_id for m in mirrored] == [20] and mirrored[0].agent1_tokens == 0
     all_m = RV.mirrored_approvals(RV.apply_decisions(q, dec), mirror_all=True).collect()
     assert sorted(m.customer_id for m in all_m) == [10, 20, 50]
+
+
+def test_golden_agreement(spark):
+    rows = [
+        ("g1", "inactivity", "email", None, "standard", 40, "pass", [], OK_EMAIL),
+        ("g2", "inactivity", "email", None, "standard", 40, "fail", ["CH-001"],
+         OK_EMAIL.replace(DC.UNSUBSCRIBE_LINE, "")),
+        ("g3", "service_dissatisfaction", "call", None, "standard", 40, "pass", [], OK_CALL),
+        ("g4", "service_dissatisfaction", "call", None, "standard", 40, "pass", [],   # expected wrongly
+         "Security alert! " + OK_CALL),
+    ]
+    g = spark.createDataFrame(rows, "example_id string, churn_reason string, channel string, offer_id string, "
+                                    "segment string, age int, expected_status string, expected_rules array<string>, "
+                                    "body string")
+    out = {(r.churn_reason, r.channel): (r.examples, r.status_agreement, r.rules_agreement)
+           for r in DC.golden_agreement(g).collect()}
+    assert out[("inactivity", "email")] == (2, 2, 2)
+    assert out[("service_dissatisfaction", "call")] == (2, 1, 1)
+
+
+def test_batch_history(spark):
+    from moorline.operators.dashboard import batch_history
+    b = spark.createDataFrame([(dt.date(2024, 1, 1), 8, 2), (dt.date(2024, 2, 1), 5, 5), (dt.date(2024, 3, 1), 9, 1)],
+                              "batch_date date, approved_count long, review_count long")
+    runs = spark.createDataFrame([(dt.date(2024, 1, 10), 0.8), (dt.date(2024, 1, 20), 0.9),
+                                  (dt.date(2024, 2, 5), 0.6), (dt.date(2024, 3, 9), 0.95)],
+                                 "run_date date, precision double")
+    h = {r.month: r for r in batch_history(b, runs).collect()}
+    assert h[dt.date(2024, 1, 1)].model_precision == 0.9 and h[dt.date(2024, 1, 1)].pass_rate == 0.8
+    assert h[dt.date(2024, 2, 1)].precision_pass_rate_corr > 0.9
