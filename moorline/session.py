@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Checkpointed rollups are per run; let the context cleaner delete their
+    # files once the DataFrames are no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
