@@ -42,13 +42,12 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
         "customer_id", "age", "relationship_manager_id",
         full_months(F.col("customer_since_date"), snap).alias("tenure_months"))
     kinds = (holdings.where(F.col("status") == "active").join(ids, "customer_id", "left_semi")
-             .join(products.select("product_id", "product_kind", "product_name"), "product_id")
+             .join(products.select("product_id", "product_kind"), "product_id")
              .groupBy("customer_id").agg(
                  F.max((F.col("product_kind") == "savings_account").cast("int")).alias("has_savings"),
                  F.max((F.col("product_kind") == "mortgage").cast("int")).alias("has_mortgage"),
                  F.max((F.col("product_kind") == "investment").cast("int")).alias("has_investment"),
-                 F.max((F.col("product_kind") == "current_account").cast("int")).alias("has_current"),
-                 F.min("product_name").alias("first_product_name")))
+                 F.max((F.col("product_kind") == "current_account").cast("int")).alias("has_current")))
     rate = (holdings.join(ids, "customer_id", "left_semi").where(F.col("fixed_rate_end_date") >= snap)
             .groupBy("customer_id").agg(F.min("fixed_rate_end_date").alias("next_rate_end")))
     comp = (complaints.where(F.col("status") == "open").join(ids, "customer_id", "left_semi")
@@ -62,14 +61,8 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
     j = (batch.join(cust, "customer_id", "left").join(kinds, "customer_id", "left")
          .join(rate, "customer_id", "left").join(comp, "customer_id", "left")
          .join(tx, "customer_id", "left").join(prof, "customer_id", "left"))
-    return j.select(
-        "*",
-        *[F.coalesce(F.col(c), F.lit(0)).alias(f"{c}_f") for c in
-          ("has_savings", "has_mortgage", "has_investment", "has_current")],
-    ).drop("has_savings", "has_mortgage", "has_investment", "has_current") \
-        .withColumnRenamed("has_savings_f", "has_savings").withColumnRenamed("has_mortgage_f", "has_mortgage") \
-        .withColumnRenamed("has_investment_f", "has_investment").withColumnRenamed("has_current_f", "has_current") \
-        .withColumn("has_profile", F.coalesce(F.col("has_profile"), F.lit(False)))
+    defaults = {"has_savings": 0, "has_mortgage": 0, "has_investment": 0, "has_current": 0, "has_profile": False}
+    return j.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
 # ---------------------------------------------------------------------------
