@@ -113,3 +113,11 @@ def total_tokens(*cols: str) -> Column:
 def edited(new: Column, old: Column) -> Column:
     """SC19: trimmed text inequality (was the draft edited?)."""
     return F.trim(F.coalesce(new, F.lit(""))) != F.trim(F.coalesce(old, F.lit("")))
+
+
+def render(template: str, **values: Column) -> Column:
+    """Fill a ``{name}`` template with string columns (built-in format_string)."""
+    import re
+    names = re.findall(r"\{(\w+)\}", template)
+    fmt = re.sub(r"\{\w+\}", "%s", template.replace("%", "%%"))
+    return F.format_string(fmt, *[values[n].cast("string") for n in names])

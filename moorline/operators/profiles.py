@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.joins import broadcast_if_bounded
+from ..functions.text import render
 
 
 def _ids(batch: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
     txt = F.concat(
         F.coalesce(F.col("product_name"), F.col("product_type"), F.lit("Unknown")),
         F.when(F.col("fixed_rate_end_date").isNotNull(),
-               F.concat(F.lit(" (fixed rate ends "), _day(F.col("fixed_rate_end_date")), F.lit(")")))
+               render(K.RATE_END_NOTE, date=_day(F.col("fixed_rate_end_date"))))
         .otherwise(F.lit("")))
     items = act.join(p, "product_id").groupBy("customer_id", txt.alias("txt")).agg(F.count(F.lit(1)).alias("k"))
     per = items.groupBy("customer_id").agg(
@@ -49,9 +50,8 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
         F.sum("k").alias("n"))
     joined = F.array_join(F.flatten(F.transform("items", lambda x: F.array_repeat(x["txt"], x["k"].cast("int")))),
                           "; ")
-    return per.select("customer_id", "n", F.concat(
-        F.lit("Active products ("), F.col("n").cast("string"), F.lit("): "), joined, F.lit(".")
-    ).alias("product_summary"))
+    return per.select("customer_id", "n",
+                      render(K.PRODUCTS_TEXT, n=F.col("n"), items=joined).alias("product_summary"))
 
 
 def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int = K.ENGAGEMENT_DAYS,
@@ -70,10 +70,9 @@ def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int =
         F.floor(F.sum("duration_sum") / F.nullif(F.sum("duration_n"), F.lit(0))).cast("long")
         .alias("avg_duration_sec"))
     tenths = F.expr("(avg_duration_sec * 10 + 30) div 60")
-    text = F.concat(
-        F.col("sessions_60d").cast("string"), F.lit(" app session(s) in the last 60 days (avg "),
-        F.format_string("%.1f", F.coalesce(tenths, F.lit(0)) / F.lit(10.0)), F.lit(" min). Last login: "),
-        F.coalesce(_day(F.col("last_session")), F.lit("unknown")), F.lit("."))
+    text = render(K.ENGAGEMENT_TEXT, n=F.col("sessions_60d"),
+                  avg_min=F.format_string("%.1f", F.coalesce(tenths, F.lit(0)) / F.lit(10.0)),
+                  last=F.coalesce(_day(F.col("last_session")), F.lit("unknown")))
     return agg.withColumn("engagement_summary", text)
 
 
@@ -85,10 +84,9 @@ def open_complaints(batch: DataFrame, complaints: DataFrame, ids: DataFrame | No
         F.count(F.lit(1)).alias("open_count"),
         F.min("opened_date").alias("oldest_open"),
         F.max("category").alias("last_category"))
-    text = F.concat(
-        F.col("open_count").cast("string"), F.lit(" open complaint(s). Oldest opened: "),
-        F.coalesce(_day(F.col("oldest_open")), F.lit("unknown")), F.lit(". Category: "),
-        F.coalesce(F.nullif(F.col("last_category"), F.lit("")), F.lit("unspecified")), F.lit("."))
+    text = render(K.COMPLAINT_TEXT, n=F.col("open_count"),
+                  oldest=F.coalesce(_day(F.col("oldest_open")), F.lit("unknown")),
+                  category=F.coalesce(F.nullif(F.col("last_category"), F.lit("")), F.lit("unspecified")))
     return agg.withColumn("complaint_summary", text)
 
 
@@ -109,11 +107,10 @@ def recent_transactions(batch: DataFrame, transactions: DataFrame | None, as_of,
         .alias("total_inflow_eur"),
         F.sum("competitor_n").alias("competitor_transfers"),
         F.max("d").alias("last_tx_date"))
-    text = F.concat(
-        F.col("tx_count_90d").cast("string"), F.lit(" transaction(s) in last 90 days. Total inflow: €"),
-        F.format_number(F.col("total_inflow_eur").cast("double"), 0), F.lit(". Competitor transfers: "),
-        F.col("competitor_transfers").cast("string"), F.lit(". Last transaction: "),
-        F.coalesce(_day(F.col("last_tx_date")), F.lit("unknown")), F.lit("."))
+    text = render(K.TRANSACTION_TEXT, n=F.col("tx_count_90d"),
+                  inflow=F.format_number(F.col("total_inflow_eur").cast("double"), 0),
+                  competitor=F.col("competitor_transfers"),
+                  last=F.coalesce(_day(F.col("last_tx_date")), F.lit("unknown")))
     return agg.withColumn("transaction_summary", text)
 
 
