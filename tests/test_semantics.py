@@ -86,3 +86,28 @@ def test_watermark_drops_late_rows(spark, tmp_path):
     closed, still_open = dt.date(2023, 12, 20), dt.date(2023, 12, 21)
     assert b[closed] == 2 and s[closed] == 1
     assert b[still_open] == 2 and s[still_open] == 2
+
+
+def test_lookback_window_edges(spark):
+    cust = spark.createDataFrame([(1, SNAP, True, "standard", "Flanders")],
+                                 "customer_id long, snapshot_date date, salary_account_flag boolean, "
+                                 "segment string, region string")
+    offs = [-91, -90, -30, 0, 1]
+    sess = spark.createDataFrame([(i, 1, SNAP + dt.timedelta(days=o)) for i, o in enumerate(offs)],
+                                 "id long, customer_id long, session_date date")
+    tx = spark.createDataFrame(
+        [(1, SNAP + dt.timedelta(days=o), "100.00", "credit", "transfer", "KREDBEBB", True) for o in offs],
+        "customer_id long, transaction_date date, amount_eur string, direction string, merchant_category string, "
+        "counterparty_bank_bic string, is_competitor_transfer boolean"
+    ).withColumn("amount_eur", F.col("amount_eur").cast("decimal(12,2)"))
+    empty_c = spark.createDataFrame([], "complaint_id long, customer_id long, status string")
+    empty_n = spark.createDataFrame([], "id long, customer_id long, response_date date, score int")
+    empty_h = spark.createDataFrame([], "id long, customer_id long, product_id string, start_date date, "
+                                        "end_date date, status string, fixed_rate_end_date date")
+    r = FT.feature_snapshot(cust, None, sess, tx, empty_c, empty_n, empty_h, SNAP).first()
+    assert r.app_logins_last_90d == 3            # -90, -30, 0 (closed window, -91 and +1 excluded)
+    assert r.app_logins_last_30d == 2            # -30 and 0
+    assert r.days_since_last_login == 0
+    assert r.competitor_transfer_count == 3
+    assert r.avg_monthly_inflow_eur == 100.0
+    assert r.nps_score_last is None and r.months_to_rate_reset is None and r.product_count == 0
