@@ -486,3 +486,17 @@ def golden_agreement(golden: DataFrame, disclosure_mode: str = "strict") -> Data
         F.count(F.lit(1)).alias("examples"),
         F.sum(F.col("status_agrees").cast("int")).alias("status_agreement"),
         F.sum(F.col("rules_agree").cast("int")).alias("rules_agreement"))
+
+
+def offers_frame(spark) -> DataFrame:
+    """IO20 (re-aimed): the offer catalogue as a table (25 rows, fixed)."""
+    rows = [(o[0], o[1], o[2], o[3], o[4], o[5], o[6], o[7], o[8]) for o in OFFERS]
+    return spark.createDataFrame(rows, "offer_id string, retention_use_case string, target_segments array<string>, "
+                                       "channel_fit array<string>, product_type string, new_product boolean, "
+                                       "offer_value string, required array<string>, any_of array<string>")
+
+
+def rules_frame(spark) -> DataFrame:
+    """IO20 (re-aimed): the compliance rule table (21 rows, fixed)."""
+    return spark.createDataFrame([(rid, rid.split("-")[0], sev) for rid, sev in RULES],
+                                 "rule_id string, category string, severity string")

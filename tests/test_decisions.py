@@ -130,3 +130,11 @@ def test_batch_history(spark):
     h = {r.month: r for r in batch_history(b, runs).collect()}
     assert h[dt.date(2024, 1, 1)].model_precision == 0.9 and h[dt.date(2024, 1, 1)].pass_rate == 0.8
     assert h[dt.date(2024, 2, 1)].precision_pass_rate_corr > 0.9
+
+
+def test_catalogue_frames(spark):
+    offers = DC.offers_frame(spark)
+    rules = DC.rules_frame(spark)
+    assert offers.count() == 25 and rules.count() == 21
+    assert rules.where("severity = 'hard_block'").count() == 13
+    assert offers.where("retention_use_case = 'inactivity'").count() == 5
