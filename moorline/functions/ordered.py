@@ -20,7 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import bounded
+
 DEFAULT_BUCKETS = 256
+MAX_BROADCAST_GROUPS = 1_000
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_cols=(),
@@ -44,8 +47,10 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
         withb = df.withColumn("_bounds", arr)
     else:
         bounds = df.groupBy(*parts).agg(F.percentile_approx(order_col, qs, 10_000).alias("_bounds"))
-        # Bounded broadcast: one row per group, each holding `buckets - 1` values.
-        withb = df.join(F.broadcast(bounds), parts)
+        # One row per group holding `buckets - 1` values: broadcast only when the
+        # group count is checked small (days, features); otherwise a plain join.
+        few_groups = bounded(bounds, MAX_BROADCAST_GROUPS)
+        withb = df.join(F.broadcast(bounds) if few_groups else bounds, parts)
     withb = withb.withColumn(
         "_bucket", F.expr(f"size(filter(_bounds, b -> b < `{order_col}`))")).drop("_bounds")
 
@@ -62,7 +67,8 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     wp = Window.partitionBy(*parts, "_bucket").orderBy(order_col)
     running = withb.select("*", *[F.coalesce(F.sum(v).over(wr), F.lit(0)).alias(f"_r_{v}") for v in value_cols],
                            F.lag(order_col).over(wp).alias("_prev_in"))
-    out = running.join(F.broadcast(offsets), [*parts, "_bucket"])
+    small = dummy or few_groups   # offsets: groups x buckets rows
+    out = running.join(F.broadcast(offsets) if small else offsets, [*parts, "_bucket"])
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_r_{v}"))
     if with_prev:
