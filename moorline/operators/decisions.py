@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.dates import full_months
+from ..functions.joins import broadcast_if_bounded
 from ..functions.text import normalize_reason
 
 # ---------------------------------------------------------------------------
@@ -37,7 +38,9 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
     holding kinds, complaint and transaction recency, and profile presence
     (SEM19: the feature row and segment are always joined)."""
     snap = F.lit(as_of)
-    ids = batch.select("customer_id")
+    # The batch is small (the high-risk share): broadcast its ids after a size
+    # check so the large inputs are filtered in place instead of shuffled.
+    ids = broadcast_if_bounded(batch.select("customer_id"))
     cust = customers.join(ids, "customer_id", "left_semi").select(
         "customer_id", "age", "relationship_manager_id",
         full_months(F.col("customer_since_date"), snap).alias("tenure_months"))
