@@ -138,3 +138,18 @@ def test_catalogue_frames(spark):
     assert offers.count() == 25 and rules.count() == 21
     assert rules.where("severity = 'hard_block'").count() == 13
     assert offers.where("retention_use_case = 'inactivity'").count() == 5
+
+
+def test_disclosure_modes(spark):
+    para = (OK_EMAIL + " Please note the value of investments can go down as well as up, and past performance "
+            "does not guarantee future results. 14-day cooling-off applies.")
+    df = spark.createDataFrame([(para, "email", "PR-019", "standard", 40)],
+                               "message_draft string, channel string, offer_id string, segment string, age int")
+
+    def ids(mode):
+        r = DC.compliance(df, disclosure_mode=mode).first()
+        return [v.rule_id for v in r.violated_rules], r.status
+    strict_ids, strict_status = ids("strict")
+    equiv_ids, equiv_status = ids("equivalent")
+    assert "FSMA-002" in strict_ids and strict_status == "fail"
+    assert "FSMA-002" not in equiv_ids
