@@ -32,6 +32,7 @@ SELECT (SELECT count(*) FROM approved_v) + (SELECT count(*) FROM queue_v) AS pro
        CAST(COALESCE((SELECT sum(agent1_tokens + agent2_tokens + agent3_tokens) FROM approved_v), 0) AS BIGINT)
            AS tokens""", _O))
 def home_kpis(spark, sf_dir):
+    """AG7: processed, pass rate, approved, queued, tokens."""
     w = _w(spark, sf_dir)
     return DB.home_kpis(w.approved(), w.queue())
 
@@ -42,6 +43,7 @@ SELECT batch_date, count(*) FILTER (WHERE src = 'approved') AS approved_count,
        count(*) FILTER (WHERE src = 'approved') / nullif(count(*), 0) AS pass_rate
 FROM u GROUP BY batch_date""", _O))
 def batch_summary(spark, sf_dir):
+    """AG8 / J7: approved and review counts per batch with pass rate."""
     w = _w(spark, sf_dir)
     return DB.batch_summary(w.approved(), w.queue())
 
@@ -52,6 +54,7 @@ SELECT batch_date, count(*) FILTER (WHERE src = 'approved') AS approved_count,
        round_even(count(*) FILTER (WHERE src = 'approved') / nullif(count(*), 0) * 100, 1) AS pass_pct
 FROM u GROUP BY batch_date""", _O))
 def pass_rate_trend(spark, sf_dir):
+    """AG15: per-batch totals and pass percentage."""
     w = _w(spark, sf_dir)
     return DB.pass_rate_trend(w.approved(), w.queue())
 
@@ -62,12 +65,14 @@ SELECT count(*) AS total, count(*) FILTER (WHERE channel = 'email') AS email,
        CAST(floor(avg(agent1_tokens + agent2_tokens + agent3_tokens)) AS BIGINT) AS avg_tokens
 FROM approved_v""", _O))
 def outreach_kpis(spark, sf_dir):
+    """AG9: total, email, call, average tokens."""
     return DB.outreach_kpis(_w(spark, sf_dir).approved())
 
 
 @query("count_by_reason", sql_with("x AS (SELECT 1)", """
 SELECT churn_reason, count(*) AS n FROM approved_v WHERE churn_reason IS NOT NULL GROUP BY churn_reason""", _O))
 def count_by_reason(spark, sf_dir):
+    """AG10: approved rows per churn reason."""
     from ..operators.marts import count_by
     return count_by(_w(spark, sf_dir).approved(), "churn_reason", "n")
 
@@ -75,6 +80,7 @@ def count_by_reason(spark, sf_dir):
 @query("count_by_confidence", sql_with("x AS (SELECT 1)", """
 SELECT confidence, count(*) AS n FROM approved_v WHERE confidence IS NOT NULL GROUP BY confidence""", _O))
 def count_by_confidence(spark, sf_dir):
+    """AG11: approved rows per confidence."""
     from ..operators.marts import count_by
     return count_by(_w(spark, sf_dir).approved(), "confidence", "n")
 
@@ -84,6 +90,7 @@ SELECT count(*) AS total, count(*) FILTER (WHERE status = 'pending') AS pending,
        count(*) FILTER (WHERE status = 'approved') AS approved,
        count(*) FILTER (WHERE status = 'rejected') AS rejected FROM queue_v""", _O))
 def queue_kpis(spark, sf_dir):
+    """AG12: queue totals by status."""
     return DB.queue_kpis(_w(spark, sf_dir).queue())
 
 
@@ -101,6 +108,7 @@ ids AS (SELECT id, churn_reason, violated_rules,
 SELECT COALESCE(rule_id, 'unknown') AS rule_id, count(*) AS violations FROM ids
 GROUP BY COALESCE(rule_id, 'unknown') ORDER BY violations DESC, rule_id LIMIT 10""", ("queue_v",)))
 def rule_top10(spark, sf_dir):
+    """AG13 / SO5: ten most violated rules."""
     return DB.rule_top10(_w(spark, sf_dir).queue())
 
 
@@ -110,6 +118,7 @@ SELECT churn_reason, count(*) AS total, count(*) FILTER (WHERE src = 'approved')
        round_even(count(*) FILTER (WHERE src = 'approved') / count(*) * 100, 1) AS pass_pct
 FROM u WHERE churn_reason IS NOT NULL GROUP BY churn_reason""", _O))
 def pass_rate_by_reason(spark, sf_dir):
+    """AG14 / SE1: pass rate per churn reason."""
     w = _w(spark, sf_dir)
     return DB.pass_rate_by_reason(w.approved(), w.queue())
 
@@ -127,6 +136,7 @@ SELECT churn_signal_count, count(*) FILTER (WHERE outcome = 'Pass') AS "Pass",
        round_even(count(*) FILTER (WHERE outcome = 'Pass') / count(*) * 100, 1) AS pass_pct
 FROM j GROUP BY churn_signal_count""", _LV))
 def signals_vs_outcome(spark, sf_dir):
+    """AG16 / J8 / PV1: outcomes per churn-signal count."""
     w = _w(spark, sf_dir)
     return DB.signals_vs_outcome(w.approved(), w.queue(), C.labels(w))
 
@@ -142,6 +152,7 @@ GROUP BY churn_reason"""
 
 @query("rule_heatmap", sql_with(_VIOL, _heat_sql(), ("queue_v",)))
 def rule_heatmap(spark, sf_dir):
+    """AG17 / PV2: reason x rule violation counts."""
     return DB.rule_heatmap(_w(spark, sf_dir).queue())
 
 
@@ -151,6 +162,7 @@ SELECT churn_reason, count(agent1_tokens + agent2_tokens + agent3_tokens) AS cus
        CAST(sum(agent1_tokens + agent2_tokens + agent3_tokens) AS BIGINT) AS total_tokens
 FROM approved_v WHERE churn_reason IS NOT NULL GROUP BY churn_reason""", _O))
 def tokens_by_reason(spark, sf_dir):
+    """AG18: token count, mean and sum per reason."""
     return DB.tokens_by_reason(_w(spark, sf_dir).approved())
 
 
@@ -159,6 +171,7 @@ SELECT churn_reason, count(*) FILTER (WHERE channel = 'email') AS email,
        count(*) FILTER (WHERE channel = 'call') AS call
 FROM u WHERE churn_reason IS NOT NULL AND channel IS NOT NULL GROUP BY churn_reason""", _O))
 def channel_by_reason(spark, sf_dir):
+    """AG19 / PV3: reason x channel counts."""
     w = _w(spark, sf_dir)
     return DB.channel_by_reason(w.approved(), w.queue())
 
@@ -173,6 +186,7 @@ SELECT id, customer_id, batch_date, offer_id, channel, churn_reason, confidence,
        agent1_tokens + agent2_tokens + agent3_tokens AS total_tokens
 FROM approved_v WHERE batch_date = DATE '{FILTER_BATCH}' AND channel = 'email'""", _O))
 def approved_filtered(spark, sf_dir):
+    """PF2 / PF7 / SC16 / SC17 / SO1: filtered approved view with preview and tokens."""
     return DB.approved_view(_w(spark, sf_dir).approved(), batch_date=FILTER_BATCH, channel="email")
 
 
@@ -181,6 +195,7 @@ SELECT id, customer_id, batch_date, offer_id, channel, churn_reason, message_dra
        review_notes, status, reviewed_by, reviewed_at, created_at, substr(message_draft, 1, 500) AS message_preview
 FROM queue_v WHERE status = 'pending'""", _O))
 def queue_filtered(spark, sf_dir):
+    """PF7 / SC16 / SO1: pending review queue with preview."""
     return DB.queue_view(_w(spark, sf_dir).queue(), status="pending")
 
 
@@ -191,6 +206,7 @@ agg AS (SELECT id, string_agg(COALESCE(rule_id, 'unknown'), ',' ORDER BY ord) AS
 SELECT q.id, q.customer_id, q.status, q.churn_reason, COALESCE(agg.rule_ids, '') AS rule_ids
 FROM queue_v q LEFT JOIN agg ON q.id = agg.id""", ("queue_v",)))
 def queue_item(spark, sf_dir):
+    """AG25 / SC14: queue items with parsed violation ids."""
     return DB.queue_items(_w(spark, sf_dir).queue())
 
 
@@ -200,6 +216,7 @@ SELECT customer_id, batch_date, message_draft FROM (
          row_number() OVER (PARTITION BY customer_id, batch_date ORDER BY approved_at DESC, id) AS rn
   FROM approved_v) t WHERE rn = 1""", _O))
 def message_lookup(spark, sf_dir):
+    """WN4: first message per (customer, batch)."""
     return DB.first_message(_w(spark, sf_dir).approved())
 
 
@@ -263,6 +280,7 @@ def _reviewed(w):
 
 @query("review_apply", sql_with(_DEC_SQL, "SELECT * FROM rev", ("queue_v",)))
 def review_apply(spark, sf_dir):
+    """DC15 / SC19: queue after reviewer decisions."""
     return _reviewed(_w(spark, sf_dir))
 
 
@@ -271,4 +289,5 @@ SELECT customer_id, batch_date, offer_id, channel, churn_reason, message_draft,
        0 AS agent1_tokens, 0 AS agent2_tokens, 0 AS agent3_tokens
 FROM rev WHERE status = 'approved' AND decided_now AND draft_edited""", ("queue_v",)))
 def review_mirrored(spark, sf_dir):
+    """DC15 / J12: edited approvals appended to the approved table."""
     return RV.mirrored_approvals(_reviewed(_w(spark, sf_dir)))

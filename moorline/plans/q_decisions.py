@@ -161,6 +161,7 @@ def _kw_case(col: str) -> str:
 @query("normalize_reason_runtime", sql_with(_BOTH_REASONS, f"""
 SELECT tbl, id, churn_reason, {_kw_case('churn_reason')} AS normalized FROM reasons""", _OUT))
 def normalize_reason_runtime(spark, sf_dir):
+    """SC11: runtime churn-reason normaliser over both outreach tables."""
     r = _reasons(C.warehouse(spark, sf_dir))
     return r.select("tbl", "id", "churn_reason", TX.normalize_reason(F.col("churn_reason")).alias("normalized"))
 
@@ -179,6 +180,7 @@ def _like_case(col: str) -> str:
 @query("normalize_reason_migration", sql_with(_BOTH_REASONS, f"""
 SELECT tbl, id, {_like_case('churn_reason')} AS churn_reason FROM reasons""", _OUT))
 def normalize_reason_migration(spark, sf_dir):
+    """SC12 / PF9 / PF10: one-time migration normaliser."""
     r = _reasons(C.warehouse(spark, sf_dir))
     return r.select("tbl", "id", TX.normalize_reason_migration(F.col("churn_reason")).alias("churn_reason"))
 
@@ -307,6 +309,7 @@ SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_re
        0 AS agent1_tokens, 0 AS agent2_tokens, 0 AS agent3_tokens
 FROM outc WHERE outcome = 'approved'"""))
 def outreach_approved_rows(spark, sf_dir):
+    """DC11 / IO11: approved rows as written to the outreach table."""
     w = C.warehouse(spark, sf_dir)
     return DC.approved_rows(decided(w), w.snapshot)
 
@@ -316,5 +319,6 @@ SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_re
        CAST(to_json(violated_rules) AS VARCHAR) AS violated_rules, '' AS review_notes, 'pending' AS status
 FROM outc WHERE outcome = 'queued'"""))
 def outreach_queued_rows(spark, sf_dir):
+    """DC11 / IO12: queued rows with JSON-encoded violations."""
     w = C.warehouse(spark, sf_dir)
     return DC.queued_rows(decided(w), w.snapshot)

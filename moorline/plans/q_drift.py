@@ -64,18 +64,21 @@ def _report(spark, sf_dir):
 @query("drift_wasserstein", _LONG + """
 SELECT feature, n_reference, n_production, wasserstein, ref_stddev, wasserstein_norm FROM rep""")
 def drift_wasserstein(spark, sf_dir):
+    """ML15: normalised Wasserstein-1 per event type (reference vs production week)."""
     w = C.warehouse(spark, sf_dir)
     return DR.wasserstein(DR.event_drift_input(w.raw("events", ["ts", "event_type", "value"]), SPLIT))
 
 
 @query("drift_js", _LONG + "SELECT feature, js_divergence FROM js")
 def drift_js(spark, sf_dir):
+    """ML15 / SEM14: Jensen-Shannon divergence per event type."""
     w = C.warehouse(spark, sf_dir)
     return DR.jensen_shannon(DR.event_drift_input(w.raw("events", ["ts", "event_type", "value"]), SPLIT))
 
 
 @query("drift_report", _LONG + "SELECT * FROM rep")
 def drift_report(spark, sf_dir):
+    """ML15: both drift metrics and the drift flag."""
     return _report(spark, sf_dir)
 
 
@@ -85,4 +88,5 @@ SELECT feature, metric, value, CAST(0.15 AS DOUBLE) AS threshold FROM (
   UNION ALL SELECT feature, 'js_divergence', js_divergence FROM rep) u
 WHERE value > 0.15""")
 def drift_alerts(spark, sf_dir):
+    """ML17: drift alert rows above the threshold."""
     return DR.drift_alerts(_report(spark, sf_dir))

@@ -12,6 +12,7 @@ from .registry import query
 
 @query("features_snapshot", sql_with(FEATURES, "SELECT * FROM features_o"))
 def features_snapshot(spark, sf_dir):
+    """FT1-FT11 / J1 / PF3 / PF13: the feature snapshot (canonical, pre-aggregated)."""
     return C.features(C.warehouse(spark, sf_dir))
 
 
@@ -50,11 +51,13 @@ GROUP BY c.customer_id, c.snapshot_date, l.churned, c.salary_account_flag, c.seg
 
 @query("features_fanout_compat", _FANOUT_SQL)
 def features_fanout_compat(spark, sf_dir):
+    """SEM1: the literal five-way join fan-out, in closed form."""
     return C.features(C.warehouse(spark, sf_dir), compat="fanout")
 
 
 @query("features_model_ready", sql_with(MODEL_READY, "SELECT * FROM model_o"))
 def features_model_ready(spark, sf_dir):
+    """ML1 / FT11: filled and encoded model inputs."""
     return C.model_features(C.warehouse(spark, sf_dir))
 
 
@@ -77,6 +80,7 @@ LEFT JOIN (SELECT customer_id, count(DISTINCT CASE WHEN status = 'open' THEN com
 
 @query("features_mart", _MART_SQL)
 def features_mart(spark, sf_dir):
+    """FT12 / J2 / SEM5: dashboard customer_features mart."""
     w = C.warehouse(spark, sf_dir)
     return FT.feature_mart(w.customers(), C.labels(w), None, None, w.complaints(), w.snapshot,
                            daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
@@ -89,12 +93,14 @@ _LV = ("customers_v", "transactions_v", "app_sessions_v", "customer_products_v")
 
 @query("label_salary_stop", sql_with(LABELS, "SELECT customer_id, signal_salary_stop FROM sig", _LV))
 def label_salary_stop(spark, sf_dir):
+    """LB1: salary domiciliation stop."""
     w = C.warehouse(spark, sf_dir)
     return LB.salary_stop(w.customers(), None, w.snapshot, daily=C.daily_transactions(w))
 
 
 @query("label_app_inactive", sql_with(LABELS, "SELECT customer_id, signal_app_inactive FROM sig", _LV))
 def label_app_inactive(spark, sf_dir):
+    """LB2 / WN1: 30-day app inactivity gap."""
     w = C.warehouse(spark, sf_dir)
     return LB.app_inactive(w.customers(), None, w.snapshot, daily=C.daily_sessions(w))
 
@@ -102,6 +108,7 @@ def label_app_inactive(spark, sf_dir):
 @query("label_product_reduction",
        sql_with(LABELS, "SELECT customer_id, signal_product_reduction FROM sig", _LV))
 def label_product_reduction(spark, sf_dir):
+    """LB3: product reduction."""
     w = C.warehouse(spark, sf_dir)
     return LB.product_reduction(w.customers(), w.customer_products(), w.snapshot)
 
@@ -109,12 +116,14 @@ def label_product_reduction(spark, sf_dir):
 @query("label_competitor_rolling",
        sql_with(LABELS, "SELECT customer_id, signal_competitor_transfers FROM sig", _LV))
 def label_competitor_rolling(spark, sf_dir):
+    """LB4 / LB6 / WN2: >3 competitor debits in a 30-day span."""
     w = C.warehouse(spark, sf_dir)
     return LB.competitor_rolling(w.customers(), None, w.snapshot, daily=C.daily_transactions(w))
 
 
 @query("churn_labels", sql_with(LABELS, "SELECT * FROM labels_o", _LV))
 def churn_labels(spark, sf_dir):
+    """LB5: signals, count and churned."""
     return C.labels(C.warehouse(spark, sf_dir))
 
 
@@ -122,6 +131,7 @@ def churn_labels(spark, sf_dir):
 SELECT count(*) AS customers, CAST(sum(CAST(churned AS INTEGER)) AS BIGINT) AS churned,
        round(avg(CAST(churned AS DOUBLE)), 6) AS churn_rate FROM labels_o""", _LV))
 def churn_rate(spark, sf_dir):
+    """LB7: churn rate of the population."""
     w = C.warehouse(spark, sf_dir)
     return LB.churn_rate(C.labelled_customers(w))
 

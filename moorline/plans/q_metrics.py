@@ -41,16 +41,19 @@ FROM cm, au"""
 
 @query("confusion", sql_with(_metrics_select(), "SELECT tp, fp, tn, fn FROM cm", _SV))
 def confusion(spark, sf_dir):
+    """ML6: confusion counts at the 0.70 threshold."""
     return MT.confusion(C.warehouse(spark, sf_dir).scored())
 
 
 @query("binary_metrics", sql_with(_metrics_select(), _BM_SELECT, _SV))
 def binary_metrics(spark, sf_dir):
+    """ML7 / ML8: precision, recall, f1, AUC, false positive rate."""
     return MT.binary_metrics(C.warehouse(spark, sf_dir).scored())
 
 
 @query("auc_rank", sql_with(_metrics_select(), "SELECT auc FROM au", _SV))
 def auc_rank(spark, sf_dir):
+    """ML8: rank-sum ROC AUC with tie mid-ranks."""
     return MT.auc(C.warehouse(spark, sf_dir).scored())
 
 
@@ -71,6 +74,7 @@ allr AS (
 SELECT class_name, round_even(precision, 4) AS precision, round_even(recall, 4) AS recall,
        round_even(f1, 4) AS f1, CAST(support AS BIGINT) AS support FROM allr""", _SV))
 def class_report(spark, sf_dir):
+    """ML9: per-class report with macro and weighted averages."""
     return MT.class_report(C.warehouse(spark, sf_dir).scored())
 
 
@@ -85,6 +89,7 @@ SELECT 'precision' AS metric, precision AS value, CAST(0.72 AS DOUBLE) AS thresh
 UNION ALL
 SELECT 'recall', recall, CAST(0.6 AS DOUBLE), recall < 0.6 FROM bm""", _SV))
 def production_quality_alerts(spark, sf_dir):
+    """ML16 / ML17: precision/recall alerts over the last 7 scoring days."""
     return MT.quality_alerts(C.warehouse(spark, sf_dir).scored(), _AS_OF)
 
 
@@ -94,5 +99,6 @@ SELECT customer_id, label,
                  / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END AS split
 FROM scored_v""", _SV))
 def split_stratified(spark, sf_dir):
+    """ML2: hash-based 80/20 split."""
     s = C.warehouse(spark, sf_dir).scored()
     return MT.stratified_split(s).select("customer_id", "label", "split")

@@ -32,6 +32,7 @@ def _linear_sql(src: str = "model_o") -> str:
 @query("score_linear", sql_with(MODEL_READY, f"""
 SELECT customer_id, segment, region, {_linear_sql()} AS churn_score FROM model_o"""))
 def score_linear(spark, sf_dir):
+    """ML4 / PF1: fixed-coefficient logistic score."""
     return MD.score_linear(C.model_features(C.warehouse(spark, sf_dir)))
 
 
@@ -42,6 +43,7 @@ _HR_COLS = ["customer_id", "segment", "region", "churn_score"] + K.FEATURE_COLUM
 sc AS (SELECT *, {_linear_sql()} AS churn_score FROM model_o)
 """, f"SELECT {', '.join(_HR_COLS)} FROM sc WHERE churn_score >= 0.7"))
 def high_risk_batch(spark, sf_dir):
+    """PF6 / PF2: rows at or above the high-risk threshold."""
     mr = C.model_features(C.warehouse(spark, sf_dir))
     scored = mr.join(MD.score_linear(mr).select("customer_id", "churn_score"), "customer_id")
     return MD.high_risk(scored).select(*_HR_COLS)
@@ -52,6 +54,7 @@ sc AS (SELECT *, {_linear_sql()} AS churn_score FROM model_o)
 """, """SELECT customer_id, churn_score FROM sc WHERE churn_score >= 0.7
 ORDER BY churn_score DESC, customer_id LIMIT 20"""))
 def high_risk_first_n(spark, sf_dir):
+    """PF12: first N of the batch, highest score first."""
     mr = C.model_features(C.warehouse(spark, sf_dir))
     return MD.first_n(MD.high_risk(MD.score_linear(mr)), 20).select("customer_id", "churn_score")
 
@@ -80,6 +83,7 @@ def _request_sql():
 
 @query("score_requests", sql_with(MODEL_READY, _request_sql()))
 def score_requests(spark, sf_dir):
+    """ML5: per-request JSON scoring with defaults."""
     return MD.score_requests(_requests(C.warehouse(spark, sf_dir)))
 
 

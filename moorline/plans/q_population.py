@@ -24,18 +24,21 @@ SELECT count(*) AS total_customers,
        round(sum(CAST(churned AS INTEGER)) * 100.0 / count(*), 6) AS churn_rate_pct
 FROM lab""", _LV))
 def population_summary(spark, sf_dir):
+    """AG1 / AG23: totals, churned, churn rate."""
     return M.population_summary(C.labelled_customers(C.warehouse(spark, sf_dir)))
 
 
 @query("by_segment", sql_with(_LABELLED, """
 SELECT segment, count(*) AS customers FROM lab WHERE segment IS NOT NULL GROUP BY segment""", _LV))
 def by_segment(spark, sf_dir):
+    """AG2: customers per segment."""
     return M.count_by(C.warehouse(spark, sf_dir).customers(), "segment")
 
 
 @query("by_region", sql_with(_LABELLED, """
 SELECT region, count(*) AS customers FROM lab WHERE region IS NOT NULL GROUP BY region""", _LV))
 def by_region(spark, sf_dir):
+    """AG3: customers per region."""
     return M.count_by(C.warehouse(spark, sf_dir).customers(), "region")
 
 
@@ -45,6 +48,7 @@ SELECT segment, count(churned) AS total,
        round(COALESCE(sum(CAST(churned AS INTEGER)), 0) * 100.0 / nullif(count(churned), 0), 6) AS churn_rate_pct
 FROM lab WHERE segment IS NOT NULL GROUP BY segment""", _LV))
 def churn_by_segment(spark, sf_dir):
+    """AG4: churn rate per segment."""
     return M.churn_by(C.labelled_customers(C.warehouse(spark, sf_dir)), "segment")
 
 
@@ -53,6 +57,7 @@ SELECT p.product_type, count(*) AS holdings
 FROM customer_products_v cp JOIN products_v p ON cp.product_id = p.product_id
 WHERE cp.status = 'active' GROUP BY p.product_type""", ("customer_products_v", "products_v")))
 def holdings_by_type(spark, sf_dir):
+    """AG5 / J3: active holdings per product type."""
     w = C.warehouse(spark, sf_dir)
     return M.holdings_by_type(w.customer_products(), w.products())
 
@@ -90,6 +95,7 @@ FROM long GROUP BY feature, churned, bin""",
 
 @query("feature_histogram", _HIST_SQL)
 def feature_histogram(spark, sf_dir):
+    """AG6 / SC21 / PF11: binned feature histograms by churned."""
     w = C.warehouse(spark, sf_dir)
     mart = FT.feature_mart(w.customers(), C.labels(w), None, None, w.complaints(), w.snapshot,
                            daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
@@ -104,6 +110,7 @@ _COUNT_TABLES = ["customers_v", "products_v", "customer_products_v", "transactio
     f"SELECT '{t[:-2]}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNT_TABLES),
     tuple(_COUNT_TABLES)))
 def table_row_counts(spark, sf_dir):
+    """AG23 / SE1: staged table row counts."""
     w = C.warehouse(spark, sf_dir)
     tables = {
         "customers": w.customers(), "products": w.products(), "customer_products": w.customer_products(),
@@ -117,6 +124,7 @@ def table_row_counts(spark, sf_dir):
 SELECT customer_id, segment, region, churned, churn_signal_count FROM lab
 ORDER BY customer_id LIMIT 5""", _LV))
 def load_sample_top5(spark, sf_dir):
+    """AG23 / SO6: TOP 5 load-verification sample."""
     lab = C.labelled_customers(C.warehouse(spark, sf_dir))
     return M.top_n(lab.select("customer_id", "segment", "region", "churned", "churn_signal_count"),
                    5, F.col("customer_id"))

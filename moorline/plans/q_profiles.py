@@ -113,6 +113,7 @@ _BOTH = _CUR + "," + _docs_sql("prev", f"DATE '{PREV_AS_OF.isoformat()}'", PREV_
 
 @query("profile_products", sql_with(_CUR, "SELECT customer_id, product_summary FROM docs_p", _V))
 def profile_products(spark, sf_dir):
+    """EN4 / J3: product summary per batch customer."""
     w = C.warehouse(spark, sf_dir)
     return PR.product_summary(batch(w), w.customer_products(), w.products()).select(
         "customer_id", "product_summary")
@@ -120,6 +121,7 @@ def profile_products(spark, sf_dir):
 
 @query("profile_engagement", sql_with(_CUR, "SELECT customer_id, engagement_summary FROM docs_e", _V))
 def profile_engagement(spark, sf_dir):
+    """EN1 / EN5: engagement summary."""
     w = C.warehouse(spark, sf_dir)
     return PR.engagement(batch(w), None, w.snapshot, daily=C.daily_sessions(w)).select(
         "customer_id", "engagement_summary")
@@ -127,12 +129,14 @@ def profile_engagement(spark, sf_dir):
 
 @query("profile_complaints", sql_with(_CUR, "SELECT customer_id, complaint_summary FROM docs_c", _V))
 def profile_complaints(spark, sf_dir):
+    """EN2 / EN6: open-complaint summary."""
     w = C.warehouse(spark, sf_dir)
     return PR.open_complaints(batch(w), w.complaints()).select("customer_id", "complaint_summary")
 
 
 @query("profile_transactions", sql_with(_CUR, "SELECT customer_id, transaction_summary FROM docs_t", _V))
 def profile_transactions(spark, sf_dir):
+    """EN3 / EN7: 90-day transaction summary."""
     w = C.warehouse(spark, sf_dir)
     return PR.recent_transactions(batch(w), None, w.snapshot, daily=C.daily_transactions(w)).select(
         "customer_id", "transaction_summary")
@@ -140,6 +144,7 @@ def profile_transactions(spark, sf_dir):
 
 @query("profile_documents", sql_with(_CUR, "SELECT * FROM docs", _V))
 def profile_documents(spark, sf_dir):
+    """J9 / EN8: profile documents for the high-risk batch."""
     return documents(C.warehouse(spark, sf_dir))
 
 
@@ -147,6 +152,7 @@ def profile_documents(spark, sf_dir):
 SELECT * FROM prev WHERE customer_id NOT IN (SELECT customer_id FROM docs)
 UNION ALL SELECT * FROM docs""", _V))
 def profile_upsert(spark, sf_dir):
+    """IO13: keyed upsert of profile documents."""
     w = C.warehouse(spark, sf_dir)
     prev = documents(w, PREV_AS_OF, PREV_THRESHOLD)
     return PR.upsert(prev, documents(w))
@@ -155,6 +161,7 @@ def profile_upsert(spark, sf_dir):
 @query("profile_stale", sql_with(_BOTH, """
 SELECT customer_id FROM prev WHERE customer_id NOT IN (SELECT customer_id FROM docs)""", _V))
 def profile_stale(spark, sf_dir):
+    """IO14 / J5 / SE2: profile ids to delete."""
     w = C.warehouse(spark, sf_dir)
     return PR.stale(documents(w, PREV_AS_OF, PREV_THRESHOLD), batch(w))
 
@@ -164,5 +171,6 @@ SELECT c.customer_id, d.* EXCLUDE (customer_id),
        CASE WHEN d.product_summary IS NULL THEN 'not_found' ELSE 'found' END AS lookup_status
 FROM customers_v c LEFT JOIN docs d ON c.customer_id = d.customer_id""", _V))
 def profile_lookup(spark, sf_dir):
+    """IO15 / IO19: point lookups with not_found records."""
     w = C.warehouse(spark, sf_dir)
     return PR.lookup(w.customers(), documents(w))

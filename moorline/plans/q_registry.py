@@ -53,11 +53,13 @@ def _runs(spark, sf_dir):
 
 @query("run_log", sql_with(RUNS, "SELECT * FROM runs", _SV))
 def run_log(spark, sf_dir):
+    """ML11: one evaluation run per scoring day."""
     return _runs(spark, sf_dir)
 
 
 @query("registry_gate", sql_with(RUNS, "SELECT * FROM reg", _SV))
 def registry_gate(spark, sf_dir):
+    """ML12 / ML18: runs passing the precision gate become staging versions."""
     return RG.gate(_runs(spark, sf_dir))
 
 
@@ -75,6 +77,7 @@ promoted AS (
 
 @query("registry_promote", sql_with(_PROMOTED, "SELECT * FROM promoted", _SV))
 def registry_promote(spark, sf_dir):
+    """ML14: promote the newest staging version."""
     return RG.promote(RG.gate(_runs(spark, sf_dir)))
 
 
@@ -84,6 +87,7 @@ WHERE status IN ('production', 'staging')
 ORDER BY CASE status WHEN 'production' THEN 0 ELSE 1 END, CAST(version AS INTEGER) DESC
 LIMIT 1""", _SV))
 def registry_resolve(spark, sf_dir):
+    """ML13: production version, else newest staging."""
     return RG.resolve(RG.promote(RG.gate(_runs(spark, sf_dir))))
 
 
@@ -95,6 +99,7 @@ SELECT *,
        count(*) OVER () AS total_versions
 FROM promoted""", _SV))
 def registry_listing(spark, sf_dir):
+    """AG20: registry with production/staging/total counts."""
     return RG.listing(RG.promote(RG.gate(_runs(spark, sf_dir))))
 
 
@@ -105,4 +110,5 @@ top AS (SELECT *, row_number() OVER (ORDER BY run_date DESC, run_id DESC) - 1 AS
 SELECT run_index, run_id, metric, value FROM top
 UNPIVOT (value FOR metric IN (precision, recall, f1, auc))""", _SV))
 def run_metric_trend(spark, sf_dir):
+    """AG21 / WN3 / PV4: 20 newest runs, metrics melted."""
     return RG.metric_trend(_runs(spark, sf_dir))
