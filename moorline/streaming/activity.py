@@ -43,7 +43,7 @@ def batch_activity(events: DataFrame) -> DataFrame:
 
 
 def start_activity_stream(spark: SparkSession, source_dir: str, log_dir: str, checkpoint_dir: str,
-                          schema, watermark: str = "2 days", max_files_per_trigger: int = 1,
+                          schema, watermark: str = "2 days", max_files_per_trigger: int = 1000,
                           file_glob: str | None = None):
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if file_glob:
