@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, setsketch
 from .common import bounded_arrow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,9 @@ def op6_exact_dedup(spark, sf_dir):
     """6: exact duplicates of documents by a stateful stream."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op5_setsketch")
+def op5_setsketch(spark, sf_dir):
+    """5: near duplicates of documents on 3-word shingles at similarity 0.85."""
+    return setsketch.near_dedup(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
