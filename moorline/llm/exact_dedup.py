@@ -24,7 +24,16 @@ from pyspark.sql import functions as F
 
 from .common import cut, work_uri
 
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; all state partitions of an executor share one bounded cache and
+# write buffer, so memory doesn't grow with the number of partitions or keys.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+}
 LANDED = "digest binary, doc_id bigint, locator string"
 FILES_PER_TRIGGER = 4096
 
@@ -45,14 +54,14 @@ def dedup_stream(spark: SparkSession, landing: str, state: str, log: str,
     """Process what is landed and not yet seen; the keyed state in ``state`` goes on
     from run to run.  Every batch writes the digests it changed to ``log`` under
     its batch number (a repeated batch overwrites its own folder)."""
-    conf, key = spark.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(key, None)
-    conf.set(key, STATE_PROVIDER)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         seen = (spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
                 .groupBy("digest")
                 .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"),
-                     F.max("locator").alias("locator")))
+                     F.max_by("locator", "doc_id").alias("locator")))
 
         def publish(batch: DataFrame, number: int) -> None:
             batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
@@ -60,7 +69,8 @@ def dedup_stream(spark: SparkSession, landing: str, state: str, log: str,
         (seen.writeStream.outputMode("update").foreachBatch(publish)
          .option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination())
     finally:
-        conf.set(key, before) if before else conf.unset(key)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def seen_digests(spark: SparkSession, log: str) -> DataFrame:
