@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import broadcast_if_bounded
 from ..session import ensure_checkpoint_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,6 +18,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # megabytes of text at a time whatever the length of a document.
 ARROW_ROWS = 2000
 ARROW_BYTES = 16 << 20
+# Identifiers (8 to 48 bytes each) are broadcast up to this checked number of rows.
+BROADCAST_ROWS = 1_000_000
 
 
 def bounded_arrow(spark: SparkSession) -> None:
@@ -184,3 +187,14 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         for i in range(k):
             out = mix(out + words[i:n - k + 1 + i] + np.uint64(i + 1))
     return out
+
+
+def without(docs: DataFrame, gone: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
+    """Rows of ``docs`` that no row of ``gone`` matches on (column of docs, column of
+    gone); all columns stay.  ``gone`` is broadcast only below a checked number of rows."""
+    names = [f"__gone_{i}" for i in range(len(on))]
+    keys = cut(gone.select(*[F.col(g).alias(n) for (_, g), n in zip(on, names)]).distinct())
+    match = F.lit(True)
+    for (c, _), n in zip(on, names):
+        match = match & (c == F.col(n))
+    return docs.join(broadcast_if_bounded(keys, BROADCAST_ROWS), match, "left_anti")

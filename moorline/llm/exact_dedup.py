@@ -11,7 +11,7 @@ with the retained content; digests whose bytes differ are grouped by the text
 itself, so a collision of digests never joins two texts.
 
 Defined results: null text is the empty text; a null identifier never wins over
-another one (a group of null identifiers only has keep_id null and keeps no row);
+another one (a group of null identifiers only has keep_id null and kept false);
 rows repeated under the identifier that stays are the same document and are all
 marked kept; an empty table gives no rows; other columns are not read, so their
 names may clash with any name used here.
@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, work_uri
+from ..functions.joins import broadcast_if_bounded
+from .common import BROADCAST_ROWS, cut, without, work_uri
 
 # State on disk; all state partitions of an executor share one bounded cache and
 # write buffer, so memory doesn't grow with the number of partitions or keys.
@@ -92,7 +93,7 @@ def exact_dedup(docs: DataFrame, id_col="doc_id", text_col="text", digest=sha256
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("digest", digest(F.col("text")))
     hits = cut(seen_digests(spark, f"{base}/log").where("group_size > 1").select("digest", "keep_id", "group_size"))
-    differing = _differing(rows, hits)
+    differing = broadcast_if_bounded(_differing(rows, broadcast_if_bounded(hits, BROADCAST_ROWS)), BROADCAST_ROWS)
     ids = spark.read.schema(LANDED).parquet(f"{base}/landing").select("digest", "doc_id")
     plain = ids.join(hits.join(differing, "digest", "left_anti"), "digest", "left") \
         .join(differing, "digest", "left_anti") \
@@ -109,8 +110,9 @@ def exact_dedup(docs: DataFrame, id_col="doc_id", text_col="text", digest=sha256
 
 def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """Digests with a row whose bytes differ from the retained content.  Only rows
-    of digests that occurred more than once are read again and shuffled; the
-    retained side has one row per digest, so a hot digest is split by rows."""
+    of digests that occurred more than once are compared (their digests are
+    broadcast up to a checked number, so that other texts stay where they are);
+    the retained side has one row per digest, so a hot digest is split by rows."""
     again = rows.join(hits, "digest")
     retained = again.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest") \
         .agg(F.min("text").alias("retained"))
@@ -119,8 +121,7 @@ def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The input rows that stay, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct()
-    return docs.join(kept, (docs[id_col].cast("bigint") == F.col("_kept_id"))
-                     & (sha256(F.coalesce(docs[text_col], F.lit(""))) == F.col("_kept_digest")), "left_semi")
+    """The input rows that stay, with all their columns (rows without an identifier stay)."""
+    gone = exact_dedup(docs, id_col, text_col).where("not kept")
+    return without(docs, gone, [(docs[id_col].cast("bigint"), "doc_id"),
+                                (sha256(F.coalesce(docs[text_col], F.lit(""))), "digest")])

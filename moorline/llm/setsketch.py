@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import SPACE_WORDS, cut, shingle_hashes, word_hashes, written
+from .common import BROADCAST_ROWS, SPACE_WORDS, cut, shingle_hashes, without, word_hashes, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
@@ -44,7 +44,6 @@ B, A, Q = 1.2, 20.0, 254
 # Natural-log likelihood by which the threshold may fall behind the best
 # similarity before a pair is discarded unseen (5 standard deviations).
 DISCARD = 12.5
-FETCH_BROADCAST_ROWS = 1_000_000
 
 _MULT = np.random.default_rng(20240116).integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = np.arange(ROWS, dtype=np.uint64) * np.uint64(8)
@@ -184,7 +183,7 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
                                              names=["u", "v"])
 
     full = written(docs.select(F.col("doc_id").alias("id"), "text")
-                   .join(broadcast_if_bounded(needed, FETCH_BROADCAST_ROWS), "id", "left_semi")
+                   .join(broadcast_if_bounded(needed, BROADCAST_ROWS), "id", "left_semi")
                    .mapInArrow(sets, "id bigint, s binary").distinct(), "near-sets")
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
         .join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
@@ -260,6 +259,5 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col="
 
 def keep_rows(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
     """The input rows with one document per component, with all their columns."""
-    gone = near_dedup(docs, id_col=id_col, text_col=text_col, **how).where("not kept").select(
-        F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col].cast("bigint") == F.col("_gone"), "left_anti")
+    gone = near_dedup(docs, id_col=id_col, text_col=text_col, **how).where("not kept")
+    return without(docs, gone, [(docs[id_col].cast("bigint"), "doc_id")])
