@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, setsketch
+from . import decontam, exact_dedup, setsketch
 from .common import bounded_arrow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,32 @@ def op6_exact_dedup(spark, sf_dir):
 def op5_setsketch(spark, sf_dir):
     """5: near duplicates of documents on 3-word shingles at similarity 0.85."""
     return setsketch.near_dedup(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+
+@query("op2_decontam", oracle=f"""
+WITH win AS (
+  SELECT DISTINCT item, w[s:s + 12] AS k, least(len(w), 13) AS n FROM (
+    SELECT CAST(item_id AS VARCHAR) AS item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s
+    FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0)),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+hit AS (
+  SELECT r, s, win.n, item FROM (
+    SELECT r, s, n, w[s:s + n - 1] AS k FROM (
+      SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM doc, (SELECT DISTINCT n FROM win))) g
+  JOIN win ON g.n = win.n AND g.k = win.k),
+pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN pos USING (r) LEFT JOIN its USING (r)""")
+def op2_decontam(spark, sf_dir):
+    """2: documents against the windows of benchmark."""
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
