@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, setsketch
+from . import decontam, exact_dedup, packing, setsketch
 from .common import bounded_arrow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,15 @@ def op2_decontam(spark, sf_dir):
     found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
+
+
+def byte_bpe():
+    """Encoder of the public byte-level BPE vocabulary."""
+    import public_tokenizers as files
+    return packing.bpe_encoder(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+
+
+@query("op7_packing")
+def op7_packing(spark, sf_dir):
+    """7: all documents as token pieces in sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False)
