@@ -22,9 +22,12 @@ ARROW_BYTES = 16 << 20
 BROADCAST_ROWS = 1_000_000
 
 
-def bounded_arrow(spark: SparkSession) -> None:
+def bounded_arrow(df: DataFrame) -> DataFrame:
+    """Bound the batches in which Python reads rows of the session; returns ``df``."""
+    spark = df.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df
 
 
 def work_uri(spark: SparkSession, name: str) -> str:

@@ -30,7 +30,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, mix, without, word_hashes, written
+from .common import ALNUM_WORDS, bounded_arrow, mix, without, word_hashes, written
 
 WINDOW, SHINGLE = 13, 3
 BLOCK = 100_000
@@ -216,7 +216,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_c
     """One row per document: doc_id, n_words, n_hit, items (with an occurring window)
     and contaminated (n_hit > 0 and part * n_hit >= n_words)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
+    docs = bounded_arrow(docs) \
+        .select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
     lines = written(windows(benchmark, window=window), "benchmark-windows")
     blocks = max(1, -(-lines.count() // block))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bounded_arrow, written
 
 CAPACITY, OPEN_WINDOWS, END_ID = 2048, 32, 1
 # Tokens of left-over sequences that one merge group holds.
@@ -209,7 +209,7 @@ def pack(docs: DataFrame, encoder, id_col="doc_id", text_col="text", end_id: int
         open_.close()
         yield rows.batch()
 
-    pieces = written(docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+    pieces = written(bounded_arrow(docs).select(F.col(id_col).cast("bigint").alias("doc_id"),
                                  F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES), "pieces")
     left = pieces.where("left")
     tokens = left.agg(F.sum("length")).first()[0] or 0

@@ -10,8 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, packing, setsketch
-from .common import bounded_arrow
+from . import decontam, exact_dedup, langid, packing, setsketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,11 +18,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            bounded_arrow(spark)
-            return fn(spark, sf_dir)
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if oracle is not None:
             ORACLE[name] = oracle
         return fn
@@ -89,3 +84,9 @@ def byte_bpe():
 def op7_packing(spark, sf_dir):
     """7: all documents as token pieces in sequences of 2048."""
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False)
+
+
+@query("op9_langid")
+def op9_langid(spark, sf_dir):
+    """9: the language of every document by a bidirectional GRU over bytes."""
+    return langid.fit_identify(table(spark, sf_dir, "documents"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import BROADCAST_ROWS, SPACE_WORDS, cut, shingle_hashes, without, word_hashes, written
+from .common import BROADCAST_ROWS, SPACE_WORDS, bounded_arrow, cut, shingle_hashes, without, word_hashes, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
@@ -194,7 +194,8 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col="
     """One row per input row: doc_id, n_shingles, component_id, kept.  Sets are
     linked when ``den * intersection >= num * union`` (0.8 and five words unless
     a caller says otherwise)."""
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = bounded_arrow(docs).select(F.col(id_col).cast("bigint").alias("doc_id"),
+                                      F.col(text_col).cast("string").alias("text"))
     sketched = written(sketches(docs, k), "near-sketches")
     classes = sketched.where("key is not null").groupBy("key").agg(
         F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("members"),
