@@ -14,8 +14,9 @@ register, and equal registers are the more likely the more similar the sets are.
    discard pairs that are clearly apart; the rest is confirmed on the full sets.
 3. Components of the confirmed links are built.  Buckets whose members all lie
    in one component are finished; in the others the members outside the bucket's
-   main component are compared with all members of other components, so no link
-   that could join two components is lost.
+   main component are compared with all members of other components that such
+   buckets bring together, block by block and on the full sets, so no link that
+   could join two components is lost and no list of pairs arises.
 
 A band of six registers agrees with probability 0.41 at similarity 0.85, so a
 linked pair shares none of the 32 bands with probability 5e-8 (1.5e-5 at 0.8).
@@ -44,6 +45,8 @@ B, A, Q = 1.2, 20.0, 254
 # Natural-log likelihood by which the threshold may fall behind the best
 # similarity before a pair is discarded unseen (5 standard deviations).
 DISCARD = 12.5
+# Members of a component that a task holds at a time when the rest of a bucket is compared.
+BLOCK = 1000
 
 _MULT = np.random.default_rng(20240116).integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = np.arange(ROWS, dtype=np.uint64) * np.uint64(8)
@@ -161,16 +164,22 @@ def _plausible(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose full sets pass the threshold, as (u, v)."""
-    pairs = cut(pairs)
-    needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-
+def _full_sets(docs: DataFrame, needed: DataFrame, k: int) -> DataFrame:
+    """(id, s): the whole sets, as sorted 64-bit hashes, of the documents in ``needed`` (id)."""
     def sets(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in _sets(batch.column(1), k)], pa.binary())],
                 names=["id", "s"])
+    return written(docs.select(F.col("doc_id").alias("id"), "text")
+                   .join(broadcast_if_bounded(needed, BROADCAST_ROWS), "id", "left_semi")
+                   .mapInArrow(sets, "id bigint, s binary").distinct(), "near-sets")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose full sets pass the threshold, as (u, v)."""
+    pairs = cut(pairs)
+    needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
 
     def compare(batches):
         for batch in batches:
@@ -182,14 +191,71 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> D
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)],
                                              names=["u", "v"])
 
-    full = written(docs.select(F.col("doc_id").alias("id"), "text")
-                   .join(broadcast_if_bounded(needed, BROADCAST_ROWS), "id", "left_semi")
-                   .mapInArrow(sets, "id bigint, s binary").distinct(), "near-sets")
+    full = _full_sets(docs, needed, k)
     both = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a") \
         .join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "u bigint, v bigint")
 
 
+def _overlaps(x: list, z: list, num: int, den: int):
+    """Pairs (i, j) of two lists of (cid, label, set) with different labels whose sets
+    pass the threshold.  All intersection sizes of one set with the other list come
+    from the list's inverted index, so no pair is looked at by itself."""
+    sizes = np.array([len(s) for _, _, s in z])
+    owner = np.repeat(np.arange(len(z)), sizes)
+    values = np.concatenate([s for _, _, s in z])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    labels = np.array([label for _, label, _ in z])
+    for i, (_, label, s) in enumerate(x):
+        first, last = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+        many = last - first
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        both = np.bincount(owner[at], minlength=len(z))
+        for j in np.flatnonzero((den * both >= num * (len(s) + sizes - both)) & (labels != label)):
+            yield i, j
+
+
+def _rest_links(members: DataFrame, sets: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """Links between the rows of ``members`` (grp, cid, label, rest) with ``rest`` and all
+    rows of their group that have another label, as (u, v).
+
+    A group is cut into blocks of about ``block`` members; a task holds one block of
+    the rest and one of the group at a time and returns confirmed links only.
+    """
+    size = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("rest").cast("int")).alias("n_rest")) \
+        .select("grp", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
+                F.ceil(F.col("n_rest") / block).cast("int").alias("rest_blocks"))
+    rows = members.join(size, "grp")
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    own_rest = F.pmod(F.xxhash64("cid"), F.col("rest_blocks")).cast("int")
+    z = rows.select("grp", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), own.alias("j"),
+                    F.lit(1).alias("side"), "cid", "label")
+    x = rows.where("rest").select("grp", own_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"),
+                                  F.lit(0).alias("side"), "cid", "label")
+    units = x.unionByName(z).join(sets.withColumnRenamed("id", "cid"), "cid")
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        unit, held = None, ([], [])
+
+        def links():
+            out = [(held[0][i][0], held[1][j][0]) for i, j in _overlaps(*held, num, den)] if held[0] and held[1] else []
+            return pa.RecordBatch.from_arrays([pa.array([min(p) for p in out], pa.int64()),
+                                               pa.array([max(p) for p in out], pa.int64())], names=["u", "v"])
+        for batch in batches:
+            for r in batch.to_pylist():
+                key = (r["grp"], r["i"], r["j"])
+                if key != unit:
+                    yield links()
+                    unit, held = key, ([], [])
+                held[r["side"]].append((r["cid"], r["label"], np.frombuffer(r["s"], np.uint64)))
+        yield links()
+
+    return units.repartition(parts, "grp", "i", "j").sortWithinPartitions("grp", "i", "j") \
+        .mapInArrow(run, "u bigint, v bigint").distinct()
+
+
 def near_dedup(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.  Sets are
     linked when ``den * intersection >= num * union`` (0.8 and five words unless
@@ -225,28 +291,16 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col="
     roots = connected_components(links)
 
     # Buckets that hold several components: members outside the main one meet the others.
-    label = F.coalesce("root", "cid")
     labelled = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
-        .select("band", "cid", label.alias("label"))
+        .select("band", "cid", F.coalesce("root", "cid").alias("label"))
     counted = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"))
-    open_ = counted.groupBy("band").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"),
+    open_ = counted.groupBy("band").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("grp"),
                                         F.count(F.lit(1)).alias("parts"), F.sum("c").alias("size")) \
-        .where("parts > 1 and size > 2").select("band", "main")
-    rest = cut(labelled.join(open_, "band").join(nodes, "cid"))
-    x = rest.where("label != main").select(F.col("band").alias("band_a"), F.col("cid").alias("xa"),
-                                           F.col("label").alias("la"), F.col("n").alias("na"), F.col("bands").alias("ba"))
-    y = rest.select("band", F.col("cid").alias("xb"), F.col("label").alias("lb"), "main", F.col("n").alias("nb"),
-                    F.col("bands").alias("bb"))
-    once = (F.col("lb") == F.col("main")) | (F.col("xa") < F.col("xb"))
-    apart = x.join(y, (F.col("band_a") == F.col("band")) & (F.col("la") != F.col("lb")) & once & ratio & alike
-                   & (F.array_min(F.array_intersect("ba", "bb")) == F.col("band"))) \
-        .select(F.least("xa", "xb").alias("a"), F.greatest("xa", "xb").alias("b"),
-                F.when(F.col("xa") < F.col("xb"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                F.when(F.col("xa") < F.col("xb"), F.col("nb")).otherwise(F.col("na")).alias("nb"),
-                F.when(F.col("xa") < F.col("xb"), F.col("ba")).otherwise(F.col("bb")).alias("ba"),
-                F.when(F.col("xa") < F.col("xb"), F.col("bb")).otherwise(F.col("ba")).alias("bb")) \
-        .join(tried, ["a", "b"], "left_anti").dropDuplicates(["a", "b"])
-    more = cut(_confirm(_plausible(apart, num, den), docs, k, num, den))
+        .where("parts > 1 and size > 2").select("band", "grp")
+    rest = cut(labelled.join(open_, "band").select("grp", "cid", "label", (F.col("label") != F.col("grp")).alias("rest"))
+               .distinct())
+    sets = _full_sets(docs, cut(rest.select(F.col("cid").alias("id")).distinct()), k)
+    more = cut(_rest_links(rest, sets, num, den))
     if not more.isEmpty():
         roots = connected_components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
