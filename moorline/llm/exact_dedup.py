@@ -26,7 +26,8 @@ from ..functions.joins import broadcast_if_bounded
 from .common import BROADCAST_ROWS, cut, without, work_uri
 
 # State on disk; all state partitions of an executor share one bounded cache and
-# write buffer, so memory doesn't grow with the number of partitions or keys.
+# write buffer, so memory doesn't grow with the number of partitions or keys, and
+# none reserves disk ahead of its use (4 MB a partition otherwise).
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -34,6 +35,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.maxWriteBufferNumber": "2",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 LANDED = "digest binary, doc_id bigint, locator string"
 FILES_PER_TRIGGER = 4096
