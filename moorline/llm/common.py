@@ -201,3 +201,30 @@ def without(docs: DataFrame, gone: DataFrame, on: list[tuple[Column, str]]) -> D
     for (c, _), n in zip(on, names):
         match = match & (c == F.col(n))
     return docs.join(broadcast_if_bounded(keys, BROADCAST_ROWS), match, "left_anti")
+
+
+# -- native span lists: array<struct<kind,start,end>> --------------------------------------------
+SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
+
+
+def kinded(found: Column, kind: str, keep=None) -> Column:
+    """Name the matches of ``spans`` and drop those that fail ``keep`` (match -> boolean)."""
+    if keep is not None:
+        found = F.filter(found, lambda x: keep(x["match"]))
+    return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+
+
+def span_text(found: Column, kinds: list[str], by_start: bool) -> Column:
+    """kind:start:end, comma-joined, by start and then kind as listed, or the other way round."""
+    def at(kind):
+        return F.array_position(F.array(*[F.lit(k) for k in kinds]), kind)
+
+    keyed = F.transform(found, lambda x: F.struct(
+        *[c.alias(f"k{i}") for i, c in enumerate(
+            (x["start"], at(x["kind"])) if by_start else (at(x["kind"]), x["start"]))],
+        x["end"].alias("end"), F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")).alias("s")))
+    return F.array_join(F.transform(F.array_sort(keyed), lambda x: x["s"]), ",")
+
+
+def count_kind(found: Column, kind: str) -> Column:
+    return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("bigint")

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, packing, setsketch
+from . import decontam, exact_dedup, langid, packing, secrets, setsketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +90,9 @@ def op7_packing(spark, sf_dir):
 def op9_langid(spark, sf_dir):
     """9: the language of every document by a bidirectional GRU over bytes."""
     return langid.fit_identify(table(spark, sf_dir, "documents"))
+
+
+@query("op4_secrets")
+def op4_secrets(spark, sf_dir):
+    """4: secrets in all documents through the blob ledger."""
+    return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
