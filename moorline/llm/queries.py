@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, packing, secrets, setsketch
+from . import decontam, exact_dedup, langid, packing, pii, secrets, setsketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +96,9 @@ def op9_langid(spark, sf_dir):
 def op4_secrets(spark, sf_dir):
     """4: secrets in all documents through the blob ledger."""
     return secrets.digest_columns(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    """10: personal data in all documents, and the terms that disclose it."""
+    return pii.digest_columns(pii.find(table(spark, sf_dir, "documents")))
