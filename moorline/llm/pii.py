@@ -42,7 +42,7 @@ BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "general", "removed"]
 
 REACH, WINDOW = 8, 160
-GENERALISE, REMOVE, SUPPORT, SHORTEST = 0.8, 0.95, 3, 3
+GENERALISE, REMOVE, SUPPORT, SHORTEST = 0.8, 0.95, 2, 3
 
 
 def _digits(m: Column) -> Column:

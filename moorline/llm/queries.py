@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, packing, pii, secrets, setsketch
+from . import decontam, exact_dedup, langid, licenses, packing, pii, secrets, setsketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,9 @@ def op4_secrets(spark, sf_dir):
 def op10_pii(spark, sf_dir):
     """10: personal data in all documents, and the terms that disclose it."""
     return pii.digest_columns(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query("op1_licenses")
+def op1_licenses(spark, sf_dir):
+    """1: licence phrases and passages in all documents."""
+    return licenses.labelled(licenses.scan(table(spark, sf_dir, "documents")))
