@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, licenses, packing, pii, secrets, setsketch
+from . import decontam, exact_dedup, langid, licenses, packing, pii, secrets, setsketch, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,25 @@ def op10_pii(spark, sf_dir):
 def op1_licenses(spark, sf_dir):
     """1: licence phrases and passages in all documents."""
     return licenses.labelled(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op3_warc", oracle="""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+         (CAST('0x' || substr(x, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS BIGINT) + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM q""")
+def op3_warc(spark, sf_dir):
+    """3: all pages written as WARC records and read back by byte ranges."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_sharding")
+def op8_sharding(spark, sf_dir):
+    """8: all documents in 24 shards by virtual slots."""
+    return sharding.assign(table(spark, sf_dir, "documents")).drop("vslot")
