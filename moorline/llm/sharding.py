@@ -120,13 +120,17 @@ def assign(docs: DataFrame, slots: int = SLOTS, shards: int = SHARDS, id_col="do
 
 def write_shards(docs: DataFrame, path: str, slots: int = SLOTS, shards: int = SHARDS, id_col="doc_id",
                  text_col="text") -> DataFrame:
-    """Write the whole rows into ``path/shard=<k>`` (several files a shard) and return the assignment."""
+    """Write the whole rows into ``path/shard=<k>`` (several files a shard) and return the
+    assignment.  If the rows have a column ``shard``, the folders are named ``_shard=<k>``."""
+    name = "shard"
+    while name in docs.columns:
+        name = "_" + name
     where = cut(assign(docs, slots, shards, id_col, text_col))
-    placed = where.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "size", "shard", "vslot") \
-        .dropDuplicates(["__id", "__crc", "size"])
+    placed = where.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"),
+                          F.col("shard").alias(name), F.col("vslot").alias("__vslot")).distinct()
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     docs.join(placed, docs[id_col].cast("bigint").eqNullSafe(F.col("__id")) & (F.crc32(text) == F.col("__crc"))
-              & (F.octet_length(text) + ROW_BYTES == F.col("size"))) \
-        .repartition("shard", "vslot").drop("__id", "__crc", "size", "vslot") \
-        .write.partitionBy("shard").parquet(path)
+              & (F.octet_length(text) + ROW_BYTES == F.col("__size"))) \
+        .repartition(name, "__vslot").drop("__id", "__crc", "__size", "__vslot") \
+        .write.partitionBy(name).parquet(path)
     return where
