@@ -235,10 +235,22 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, windows: int = WIN
     """Byte windows of the training sample: at most per_language documents of each
     label, ``windows`` windows of each, spread evenly over its text."""
     text, n = F.col(text_col), F.length(text_col)
-    rows = docs.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull() & text.rlike(r"\p{L}")) \
-        .select(F.col(label_col).alias("y"), F.xxhash64(F.col(id_col).cast("string")).alias("o"), *[
-            F.substring(text, (F.greatest(n - CHUNK, F.lit(0)) * i / max(1, windows - 1)).cast("int") + 1, F.lit(CHUNK))
-            .alias(f"w{i}") for i in range(windows)])
+    order = F.xxhash64(F.col(id_col).cast("string"))
+    rows = docs.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull()) \
+        .withColumns({"__o": order, "__b": F.shiftrightunsigned(order, 54).cast("int")})
+    # 1024 hash ranges: up to which one a label has enough rows is known from counts, so
+    # only about as many rows as are wanted are ranked.
+    cut = {}
+    for r in sorted(rows.groupBy(F.col(label_col).alias("y"), "__b").agg(F.count(F.lit(1)).alias("n")).collect()):
+        had, to = cut.get(r.y, (0, -1))
+        if had < per_language:
+            cut[r.y] = (had + r.n, r["__b"])
+    enough = F.lit(False)
+    for y, (_, to) in sorted(cut.items()):
+        enough = enough | ((F.col(label_col) == y) & (F.col("__b") <= to))
+    rows = rows.where(enough).where(text.rlike(r"\p{L}")).select(F.col(label_col).alias("y"), F.col("__o").alias("o"), *[
+        F.substring(text, (F.greatest(n - CHUNK, F.lit(0)) * i / max(1, windows - 1)).cast("int") + 1, F.lit(CHUNK))
+        .alias(f"w{i}") for i in range(windows)])
     rank = F.row_number().over(Window.partitionBy("y").orderBy("o", *[f"w{i}" for i in range(windows)]))
     picked = rows.withColumn("r", rank).where(F.col("r") <= per_language).drop("r").collect()
     out = {(w.encode()[:CHUNK], r.y) for r in picked for w in r[2:] if w}
