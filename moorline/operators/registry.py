@@ -51,8 +51,8 @@ def _one_row(df: DataFrame, *aggs) -> DataFrame:
 
 def promote(registry: DataFrame, version: str | None = None) -> DataFrame:
     """ML14: target -> production, any other production -> retired.  Default
-    target: the newest staging version (numeric order).  If there is no
-    target the registry is returned unchanged."""
+    target: the newest staging version (numeric order).  Without a target the
+    registry is returned unchanged; ``require_target`` is the check for jobs."""
     if version is not None:
         tgt = _one_row(registry, F.max(F.when(F.col("version") == str(version), _vnum())).alias("_t"))
     else:
@@ -65,6 +65,19 @@ def promote(registry: DataFrame, version: str | None = None) -> DataFrame:
     return j.withColumn("status", new_status).drop("_k", "_t")
 
 
+def require_target(registry: DataFrame, version: str | None = None) -> None:
+    """Raise when there is nothing to promote."""
+    wanted = F.col("status") == "staging" if version is None else F.col("version") == str(version)
+    if registry.where(wanted).isEmpty():
+        raise LookupError("no staging version to promote" if version is None else f"no version {version}")
+
+
+def next_version(registry: DataFrame | None) -> str:
+    """One above the highest version number (numeric order), "1" for a new registry."""
+    last = registry.agg(F.max(_vnum())).first()[0] if registry is not None else None
+    return str((last or 0) + 1)
+
+
 def resolve(registry: DataFrame) -> DataFrame:
     """ML13: the highest production version, else the highest staging version.
     Empty result = no usable model (the caller raises)."""

@@ -1,7 +1,7 @@
 """End-to-end jobs as Spark applications.
 
     python -m moorline.plans.jobs train  --sf-dir DIR --out DIR
-    python -m moorline.plans.jobs weekly --sf-dir DIR --out DIR [--model DIR]
+    python -m moorline.plans.jobs weekly --sf-dir DIR --out DIR [--model DIR | --scorer linear]
 
 Each step reads what the previous one wrote (feature table, model, CSV batch,
 profile store, outreach tables, marts), so a failed run can be resumed and a
@@ -25,6 +25,7 @@ from ..operators import metrics as MT
 from ..operators import model as MD
 from ..operators import preprocess as PP
 from ..operators import profiles as PR
+from ..operators import registry as RG
 from ..session import build_session, materialize
 from ..sources import io as IO
 from . import common as C
@@ -43,25 +44,40 @@ def train(spark: SparkSession, sf_dir: str, out: str, params: dict | None = None
     IO.write_metrics(metrics, f"{out}/metrics")
     m = metrics.first().asDict()
     passed = m["precision"] >= K.PRECISION_GATE
+    version = None
     if passed:
-        model.write().overwrite().save(f"{out}/model")
-        reg = spark.createDataFrame([("1", "staging", dataset_version, str(w.snapshot), m["precision"],
+        path = f"{out}/registry"
+        version = RG.next_version(spark.read.parquet(path) if IO.exists(spark, path) else None)
+        model.write().save(f"{out}/models/{version}")
+        reg = spark.createDataFrame([(version, "staging", dataset_version, str(w.snapshot), m["precision"],
                                       m["recall"], m["f1"], m["auc"])],
                                     "version string, status string, dataset_version string, snapshot_date string, "
                                     "precision double, recall double, f1 double, auc double")
-        reg.write.mode("append").parquet(f"{out}/registry")
-    return {"passed_gate": passed, **m}
+        reg.write.mode("append").parquet(path)
+    return {"passed_gate": passed, "version": version, **m}
 
 
-def weekly(spark: SparkSession, sf_dir: str, out: str, model_path: str | None = None) -> dict:
+def resolve_model(spark: SparkSession, out: str) -> str:
+    """Folder of the production model, else of the newest staging one, else an error."""
+    path = f"{out}/registry"
+    best = RG.resolve(spark.read.parquet(path)).first() if IO.exists(spark, path) else None
+    if best is None:
+        raise LookupError(f"no production or staging model in {path}; train one or name a scorer")
+    return f"{out}/models/{best.version}"
+
+
+def weekly(spark: SparkSession, sf_dir: str, out: str, model_path: str | None = None,
+           scorer: str = "model") -> dict:
     """Path B: score -> high-risk CSV -> profile store -> decisions -> outreach
-    tables -> dashboard marts."""
+    tables -> dashboard marts.  The model is the one given or else the registry's;
+    ``scorer="linear"`` asks for the fixed coefficients instead."""
     w = C.warehouse(spark, sf_dir)
     feats = C.features(w)
     raw = feats.select("customer_id", F.col("nps_score_last").alias("nps_raw"),
                        F.col("months_to_rate_reset").alias("mrr_raw"))
     mr = PP.model_ready(feats).join(raw, "customer_id")
-    if model_path:
+    if scorer == "model":
+        model_path = model_path or resolve_model(spark, out)
         scored = MD.score(PipelineModel.load(model_path), mr, os.path.basename(model_path.rstrip("/")))
     else:
         scored = mr.select("*", MD.linear_score_col().alias("churn_score"),
@@ -101,10 +117,12 @@ def main(argv=None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--model")
+    ap.add_argument("--scorer", choices=["model", "linear"], default="model")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master, app_name=f"moorline-{a.job}")
-    result = train(spark, a.sf_dir, a.out) if a.job == "train" else weekly(spark, a.sf_dir, a.out, a.model)
+    result = train(spark, a.sf_dir, a.out) if a.job == "train" else weekly(
+        spark, a.sf_dir, a.out, a.model, a.scorer)
     print(result)
 
 

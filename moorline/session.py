@@ -1,13 +1,16 @@
 """SparkSession construction and cluster-safe scratch locations.
 
 On a cluster the session is created by the platform: we only read
-``spark.checkpoint.dir`` from it.  A local directory is set only when that
-setting is absent (tests, local runs).
+``spark.checkpoint.dir`` from it and refuse to run without one, because
+executors cannot see a folder of the driver's machine.  On a local master a
+temporary folder stands in when the setting is absent (tests, local runs); it
+is removed when the process ends.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,25 +51,24 @@ def build_session(master: str | None = None, app_name: str = "moorline",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder, with its scheme.  Unset, it is a temporary
+    folder on a local master and an error anywhere else."""
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="moorline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="moorline-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
     return current
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
 def materialize(df):

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, FloatType, StructType, TimestampNTZType, TimestampType
@@ -90,11 +91,13 @@ def clean_for_load(df: DataFrame, date_columns: list[str] = ()) -> DataFrame:
 
 
 def load_population(tables: dict[str, DataFrame], base: str, population: str) -> None:
-    """IO6 / IO8: population 'a' replaces its partition, later populations append
-    their own partition (dynamic overwrite keeps other populations)."""
+    """IO6 / IO8: population 'a' is a full reload and empties every table first (all
+    populations go); later populations replace only their own partition, so that a
+    repeated load adds nothing."""
+    mode = "static" if population == "a" else "dynamic"
     for name, df in tables.items():
         (df.withColumn("population", F.lit(population)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("population").parquet(f"{base}/{name}"))
+         .option("partitionOverwriteMode", mode).partitionBy("population").parquet(f"{base}/{name}"))
 
 
 # -- dashboard marts (IO4, IO16) -------------------------------------------------------------
@@ -107,48 +110,70 @@ def read_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}")
 
 
+# -- existence ------------------------------------------------------------------------------------
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table is there.  Only a missing or empty path counts as
+    absent; any other failure (permissions, damaged files) is raised."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 # -- outreach tables (IO10-IO12, SEM17) ---------------------------------------------------------
 def append_idempotent(spark: SparkSession, rows: DataFrame, path: str,
                       keys=("batch_date", "customer_id")) -> DataFrame:
-    """Append rows whose key is not stored yet (reruns add nothing).  The
-    surrogate id is a hash of the key, not a global counter."""
-    rows = rows.withColumn("id", F.xxhash64(*[F.col(k) for k in keys]))
-    try:
-        existing = spark.read.parquet(path).select(*keys)
-        new = rows.join(existing, list(keys), "left_anti")
-    except Exception:  # noqa: BLE001 - first write: the table does not exist yet
-        new = rows
+    """Append rows whose key is not stored yet (reruns add nothing; of incoming rows
+    with one key the smallest counts).  The surrogate id is a hash of the key, not a
+    global counter."""
+    keys = list(keys)
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r")).select(*keys, "r.*").select(*rows.columns)
+    new = one.withColumn("id", F.xxhash64(*keys))
+    if exists(spark, path):
+        new = new.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
     new.write.mode("append").parquet(path)
     return new
 
 
 # -- profile store (IO13, IO14) ------------------------------------------------------------------
 class VersionedStore:
-    """Keyed table kept as immutable version folders plus a pointer.
+    """Keyed table kept as immutable version folders and a log of them.
 
-    ``upsert`` writes ``old anti-join new  UNION  new`` into a fresh version
-    folder and then moves the pointer; readers always see a complete version.
+    ``upsert`` writes ``old anti-join new  UNION  new`` into a fresh version folder and
+    then appends its name to the log.  An append becomes visible as a whole file, so
+    readers see the version before or the version after, never none; a log that
+    cannot be read is an error, not an empty store.  One writer at a time.
     """
 
+    LOG = "seq long, path string"
+
     def __init__(self, spark: SparkSession, base: str, key: str = "customer_id"):
         self.spark, self.base, self.key = spark, base, key
 
-    def current_path(self) -> str | None:
-        try:
-            rows = self.spark.read.text(f"{self.base}/_current").limit(1).collect()
-        except Exception:  # noqa: BLE001 - no pointer yet
+    def _last(self):
+        if not exists(self.spark, f"{self.base}/_versions"):
             return None
-        return rows[0][0] if rows else None
+        return self.spark.read.schema(self.LOG).parquet(f"{self.base}/_versions") \
+            .agg(F.max(F.struct("seq", "path")).alias("v")).first().v
+
+    def current_path(self) -> str | None:
+        last = self._last()
+        return last.path if last else None
 
     def read(self) -> DataFrame | None:
         p = self.current_path()
         return self.spark.read.parquet(p) if p else None
 
     def _publish(self, df: DataFrame) -> str:
+        last = self._last()
         path = f"{self.base}/v-{dt.datetime.now(dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("overwrite").parquet(path)
-        self.spark.createDataFrame([(path,)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.base}/_current")
+        df.write.mode("errorifexists").parquet(path)
+        self.spark.createDataFrame([((last.seq if last else 0) + 1, path)], self.LOG).coalesce(1) \
+            .write.mode("append").parquet(f"{self.base}/_versions")
         return path
 
     def upsert(self, incoming: DataFrame) -> str:

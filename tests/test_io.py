@@ -2,7 +2,9 @@
 
 import datetime as dt
 
+import pytest
 
+from moorline import session
 from moorline.sources import io as IO
 
 
@@ -30,6 +32,63 @@ def test_versioned_store_upsert_and_retain(spark, tmp_path):
     assert sorted(r.customer_id for r in store.read().collect()) == [2, 3]
 
 
+def test_store_whose_log_is_damaged_is_an_error(spark, tmp_path):
+    store = IO.VersionedStore(spark, str(tmp_path / "profiles"))
+    store.upsert(spark.createDataFrame([(1, "a")], "customer_id long, doc string"))
+    for p in (tmp_path / "profiles" / "_versions").glob("*.parquet"):
+        p.write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|schema"):
+        store.upsert(spark.createDataFrame([(2, "b")], "customer_id long, doc string"))
+
+
+def test_full_reload_empties_and_append_keeps(spark, tmp_path):
+    base = str(tmp_path / "load")
+    mk = lambda v: {"t": spark.createDataFrame([(v,)], "x int")}
+    for population, v in (("a", 1), ("b", 2), ("b", 3)):
+        IO.load_population(mk(v), base, population)
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{base}/t").collect()) == [(1, "a"), (3, "b")]
+    IO.load_population(mk(4), base, "a")
+    assert [tuple(r) for r in spark.read.parquet(f"{base}/t").collect()] == [(4, "a")]
+
+
+def test_incoming_rows_with_one_key_are_one_row(spark, tmp_path):
+    rows = spark.createDataFrame([(dt.date(2024, 1, 1), 1, "n"), (dt.date(2024, 1, 1), 1, "m")],
+                                 "batch_date date, customer_id long, message_draft string")
+    IO.append_idempotent(spark, rows, str(tmp_path / "q"))
+    assert [r.message_draft for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ["m"]
+
+
+def test_parts_and_csv_are_read_back(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.5)], "customer_id long, churn_score double")
+    IO.write_csv(df, str(tmp_path / "batch"))
+    assert IO.read_csv(spark, str(tmp_path / "batch"), df.schema).collect() == df.collect()
+    df.write.parquet(str(tmp_path / "parts"))
+    assert IO.load_parts(spark, str(tmp_path / "parts")).count() == 1
+    df.limit(0).write.parquet(str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        IO.load_parts(spark, str(tmp_path / "none"))
+
+
+def test_shared_folder_is_required_off_a_local_master(monkeypatch):
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+    Conf.get = lambda self, key, default=None: "hdfs://nn/ckpt/"
+    Context.getCheckpointDir = lambda self: "hdfs://nn/ckpt/"
+    assert session.shared_path(Session(), "x") == "hdfs://nn/ckpt/x"
+
+
 def test_idempotent_append(spark, tmp_path):
     path = str(tmp_path / "approved")
     rows = spark.createDataFrame([(dt.date(2024, 1, 1), 1, "m"), (dt.date(2024, 1, 1), 2, "n")],

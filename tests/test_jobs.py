@@ -12,8 +12,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 def test_weekly_job_is_idempotent(spark, tmp_path):
     out = str(tmp_path / "weekly")
-    first = jobs.weekly(spark, SF, out)
-    again = jobs.weekly(spark, SF, out)
+    first = jobs.weekly(spark, SF, out, scorer="linear")
+    again = jobs.weekly(spark, SF, out, scorer="linear")
     assert first == again
     approved = spark.read.parquet(f"{out}/approved_outreach").count()
     queued = spark.read.parquet(f"{out}/compliance_review_queue").count()
@@ -23,10 +23,15 @@ def test_weekly_job_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(f"{out}/marts/customers").count() > 0
 
 
-def test_train_job_writes_metrics(spark, tmp_path):
+def test_train_job_numbers_versions_and_weekly_resolves_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs.K, "PRECISION_GATE", 0.0)
     out = str(tmp_path / "train")
-    res = jobs.train(spark, SF, out, params={"maxIter": 5}, patience=2)
-    assert 0.0 <= res["precision"] <= 1.0
-    assert os.path.isdir(f"{out}/metrics")
-    if res["passed_gate"]:
-        assert os.path.isdir(f"{out}/model")
+    with pytest.raises(LookupError):
+        jobs.weekly(spark, SF, out)                      # empty registry: no silent fallback
+    for expected in ("1", "2"):
+        res = jobs.train(spark, SF, out, params={"maxIter": 3}, patience=0)
+        assert 0.0 <= res["precision"] <= 1.0 and res["version"] == expected
+        assert os.path.isdir(f"{out}/models/{expected}") and os.path.isdir(f"{out}/metrics")
+    assert jobs.resolve_model(spark, out) == f"{out}/models/2"
+    res = jobs.weekly(spark, SF, out)
+    assert set(res) == {"approved", "queued", "errors"}
