@@ -14,11 +14,11 @@ from .. import constants as K
 
 def normalize_reason(raw: Column) -> Column:
     """SC11 (runtime mode): NULL/empty -> unknown; a JSON list -> its first
-    element; trimmed value in the canonical set -> lower-cased; else the first
+    element (a text that only begins like one is taken as it stands); trimmed value in the canonical set -> lower-cased; else the first
     keyword group contained in the lower-cased text; else unknown."""
     s = raw.cast("string")
-    first = F.when(F.trim(s).startswith("["),
-                   F.from_json(F.trim(s), ArrayType(StringType())).getItem(0)).otherwise(s)
+    listed = F.from_json(F.trim(s), ArrayType(StringType()))
+    first = F.when(F.trim(s).startswith("[") & listed.isNotNull(), F.get(listed, F.lit(0))).otherwise(s)
     clean = F.trim(first)
     low = F.lower(clean)
     expr = F.when(first.isNull() | (clean == ""), F.lit("unknown")).when(

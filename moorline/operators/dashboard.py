@@ -98,27 +98,41 @@ def pass_rate_by_reason(approved: DataFrame, queue: DataFrame) -> DataFrame:
 
 def signals_vs_outcome(approved: DataFrame, queue: DataFrame, labelled: DataFrame) -> DataFrame:
     """AG16 / J8 / PV1: outcome counts per churn_signal_count, Pass/Fail
-    columns forced, total and pass percent.  Unmatched rows are dropped (the
-    left join plus not-null filter becomes an inner join)."""
+    columns forced, total and pass percent.  Rows are counted per customer before
+    the join, so a customer with many rows is one row there.  Unmatched rows are
+    dropped (the left join plus not-null filter becomes an inner join)."""
     u = _tagged(approved, queue, ["customer_id"], "Pass", "Fail", "outcome")
-    j = u.join(labelled.select("customer_id", "churn_signal_count"), "customer_id", "left") \
+    c = u.groupBy("customer_id").agg(F.count(F.when(F.col("outcome") == "Pass", 1)).alias("Pass"),
+                                     F.count(F.when(F.col("outcome") == "Fail", 1)).alias("Fail"))
+    j = c.join(labelled.select("customer_id", "churn_signal_count"), "customer_id", "left") \
         .where(F.col("churn_signal_count").isNotNull())
-    p = j.groupBy("churn_signal_count").pivot("outcome", ["Pass", "Fail"]).count().fillna(0, ["Pass", "Fail"])
+    p = j.groupBy("churn_signal_count").agg(F.sum("Pass").alias("Pass"), F.sum("Fail").alias("Fail"))
     total = F.col("Pass") + F.col("Fail")
     return p.select("churn_signal_count", F.col("Pass").cast("long").alias("Pass"),
                     F.col("Fail").cast("long").alias("Fail"), total.cast("long").alias("total"),
                     F.bround(F.col("Pass") / total * 100, 1).alias("pass_pct"))
 
 
-def rule_heatmap(queue: DataFrame) -> DataFrame:
-    """AG17 / PV2: reason x rule counts; one column per catalogue rule.  Rows
-    with NULL reason or a rule without id are dropped (SEM18, page-5 mode)."""
+OTHER_RULES = "other"
+
+
+def rule_counts(queue: DataFrame) -> DataFrame:
+    """AG17: violations per (reason, rule id), for every id that occurs.  Rows with
+    NULL reason or a rule without id are dropped (SEM18, page-5 mode)."""
     q = queue.where(F.col("violated_rules").isNotNull() & (F.col("violated_rules") != "[]")
                     & F.col("churn_reason").isNotNull())
     e = q.select("churn_reason", F.explode(violation_ids(F.col("violated_rules"), None)).alias("rule_id"))
-    e = e.where(F.col("rule_id").isin(*RULE_IDS))
-    p = e.groupBy("churn_reason").pivot("rule_id", RULE_IDS).count().fillna(0)
-    return p.select("churn_reason", *[F.col(f"`{r}`").cast("long").alias(r) for r in RULE_IDS])
+    return e.groupBy("churn_reason", "rule_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rule_heatmap(queue: DataFrame) -> DataFrame:
+    """AG17 / PV2: reason x rule counts; one column per catalogue rule and one for
+    all ids outside the catalogue."""
+    known = F.when(F.col("rule_id").isin(*RULE_IDS), F.col("rule_id")).otherwise(F.lit(OTHER_RULES))
+    cols = [*RULE_IDS, OTHER_RULES]
+    p = rule_counts(queue).withColumn("rule_id", known).groupBy("churn_reason").pivot("rule_id", cols) \
+        .agg(F.sum("n")).fillna(0)
+    return p.select("churn_reason", *[F.col(f"`{r}`").cast("long").alias(r) for r in cols])
 
 
 def tokens_by_reason(approved: DataFrame) -> DataFrame:

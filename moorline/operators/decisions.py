@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.dates import full_months
 from ..functions.joins import broadcast_if_bounded
-from ..functions.text import normalize_reason
+from ..functions.text import normalize_reason, sanitize
 
 # ---------------------------------------------------------------------------
 # Context: one row per batch customer with every input a rule can read.
@@ -44,9 +44,11 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
     cust = customers.join(ids, "customer_id", "left_semi").select(
         "customer_id", "age", "relationship_manager_id",
         full_months(F.col("customer_since_date"), snap).alias("tenure_months"))
+    # Product names are a set per customer, so at most the catalogue's size.
     kinds = (holdings.where(F.col("status") == "active").join(ids, "customer_id", "left_semi")
-             .join(products.select("product_id", "product_kind"), "product_id")
+             .join(products.select("product_id", "product_kind", "product_name"), "product_id")
              .groupBy("customer_id").agg(
+                 F.array_sort(F.collect_set("product_name")).alias("product_names"),
                  F.max((F.col("product_kind") == "savings_account").cast("int")).alias("has_savings"),
                  F.max((F.col("product_kind") == "mortgage").cast("int")).alias("has_mortgage"),
                  F.max((F.col("product_kind") == "investment").cast("int")).alias("has_investment"),
@@ -55,7 +57,8 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
             .groupBy("customer_id").agg(F.min("fixed_rate_end_date").alias("next_rate_end")))
     comp = (complaints.where(F.col("status") == "open").join(ids, "customer_id", "left_semi")
             .groupBy("customer_id").agg(F.datediff(snap, F.min("opened_date")).alias("oldest_open_days"),
-                                        F.max("category").alias("open_category")))
+                                        F.max("category").alias("open_category"),
+                                        F.max(F.col("category") == "service_quality").alias("open_service_quality")))
     days = daily_t if daily_t is not None else \
         transactions.select("customer_id", F.col("transaction_date").alias("d"))
     tx = (days.where(F.col("d") <= snap).join(ids, "customer_id", "left_semi")
@@ -151,36 +154,55 @@ def classify(ctx: DataFrame) -> DataFrame:
 # DC5-DC7: offers
 # ---------------------------------------------------------------------------
 # FIXED VALUES: offer catalogue encoded as (offer_id, use case, segments,
-# channels, kind, new product?, value figure, required, any_of).  Conditions
+# channels, kind, new product?, required, any_of).  Conditions
 # name functions in OFFER_CONDITIONS; inputs absent from the data model are
 # treated as satisfied and are not listed.
 OFFERS = [
-    ("PR-001", "price_sensitivity", ["standard", "starter"], ["email", "call"], "fee_waiver", False, "€96", ["ten>=12"], ["comp>=1", "nps<=5"]),
-    ("PR-002", "price_sensitivity", ["standard", "private_banking"], ["email", "call"], "bonus_rate", False, "€200", ["savings"], ["comp>=1", "dsl>60"]),
-    ("PR-003", "price_sensitivity", ["standard", "student"], ["email"], "cashback", True, "€90", ["age<=45"], []),
-    ("PR-004", "price_sensitivity", ["standard", "private_banking"], ["call"], "rate_discount", False, "€750", ["mrr0-6", "comp>=1"], []),
-    ("PR-005", "price_sensitivity", ["private_banking"], ["call"], "fee_refund", False, "€150", ["ten>=60", "pc>=3", "nps<=6"], []),
-    ("PR-006", "price_sensitivity", ["standard", "private_banking"], ["email", "call"], "bundle_discount", True, "€72", ["current", "pc>=2", "comp>=1"], []),
-    ("PR-007", "price_sensitivity", ["standard", "student"], ["email"], "referral_bonus", False, "€150", ["l30>=1"], []),
-    ("PR-008", "price_sensitivity", ["standard", "starter", "student"], ["email", "call"], "interest_waiver", False, "€90", ["co=0", "comp>=1"], []),
-    ("PR-009", "service_dissatisfaction", ["standard", "private_banking"], ["call"], "priority_service", False, "", ["ten>=6"], ["co>=1", "nps<=5"]),
-    ("PR-010", "service_dissatisfaction", ["private_banking", "standard"], ["call"], "relationship_manager", False, "", ["inflow>=3000", "no_rm"], ["nps<=4", "co>=2"]),
-    ("PR-011", "service_dissatisfaction", ["standard", "starter", "student"], ["call"], "goodwill_credit", False, "€25", ["co>=1", "oldest>14"], []),
-    ("PR-012", "service_dissatisfaction", ["standard", "starter"], ["email", "call"], "onboarding_session", False, "", ["dsl>45", "l90<3", "ten<24"], []),
-    ("PR-013", "service_dissatisfaction", ["private_banking", "standard"], ["call"], "service_guarantee", False, "€30", ["nps<=5", "ten>=12", "co=0"], []),
-    ("PR-014", "service_dissatisfaction", ["standard", "starter", "student"], ["call"], "fee_compensation", False, "€15", ["co>=1", "service_cat"], []),
-    ("PR-015", "product_lifecycle", ["standard", "private_banking"], ["call", "email"], "rate_lock", False, "", ["mrr1-6"], []),
-    ("PR-016", "product_lifecycle", ["standard", "private_banking"], ["call"], "refinance_review", False, "", ["mrr<=3", "comp>=1"], []),
-    ("PR-017", "product_lifecycle", ["standard"], ["call"], "product_upgrade", True, "", ["inflow>=5000", "pc<=2", "ten>=24", "no_investment"], []),
-    ("PR-018", "product_lifecycle", ["standard", "private_banking"], ["email", "call"], "consolidation", False, "€75", ["pc>=3", "no_salary"], []),
-    ("PR-019", "product_lifecycle", ["standard"], ["email"], "pension_starter", True, "€100", ["age30-55", "pc<=2"], []),
-    ("PR-020", "product_lifecycle", ["standard", "starter"], ["email", "call"], "salary_switch_bonus", False, "€100", ["no_salary", "inflow>=1500", "ten>=3"], []),
-    ("PR-021", "inactivity", ["standard", "starter", "student"], ["email"], "reengagement_cashback", False, "€20", ["dsl>60", "l90<5"], []),
-    ("PR-022", "inactivity", ["standard", "student", "starter"], ["email"], "feature_discovery", False, "€10", ["dsl>30", "l30<2", "ten>=6"], []),
-    ("PR-023", "inactivity", ["standard", "starter"], ["email", "call"], "reactivation_offer", False, "€15", ["dsl>90", "lasttx>60"], []),
-    ("PR-024", "inactivity", ["standard", "student", "starter"], ["email"], "savings_goal_incentive", True, "€15", ["l90<10", "savings"], []),
-    ("PR-025", "inactivity", ["standard", "private_banking"], ["email"], "loyalty_milestone", False, "€100", ["dsl>30", "milestone"], []),
+    ("PR-001", "price_sensitivity", ["standard", "starter"], ["email", "call"], "fee_waiver", False, ["ten>=12"], ["comp>=1", "nps<=5"]),
+    ("PR-002", "price_sensitivity", ["standard", "private_banking"], ["email", "call"], "bonus_rate", False, ["savings"], ["comp>=1", "dsl>60"]),
+    ("PR-003", "price_sensitivity", ["standard", "student"], ["email"], "cashback", True, ["age<=45"], []),
+    ("PR-004", "price_sensitivity", ["standard", "private_banking"], ["call"], "rate_discount", False, ["mrr0-6", "comp>=1"], []),
+    ("PR-005", "price_sensitivity", ["private_banking"], ["call"], "fee_refund", False, ["ten>=60", "pc>=3", "nps<=6"], []),
+    ("PR-006", "price_sensitivity", ["standard", "private_banking"], ["email", "call"], "bundle_discount", True, ["current", "pc>=2", "comp>=1"], []),
+    ("PR-007", "price_sensitivity", ["standard", "student"], ["email"], "referral_bonus", False, ["l30>=1"], []),
+    ("PR-008", "price_sensitivity", ["standard", "starter", "student"], ["email", "call"], "interest_waiver", False, ["co=0", "comp>=1"], []),
+    ("PR-009", "service_dissatisfaction", ["standard", "private_banking"], ["call"], "priority_service", False, ["ten>=6"], ["co>=1", "nps<=5"]),
+    ("PR-010", "service_dissatisfaction", ["private_banking", "standard"], ["call"], "relationship_manager", False, ["inflow>=3000", "no_rm"], ["nps<=4", "co>=2"]),
+    ("PR-011", "service_dissatisfaction", ["standard", "starter", "student"], ["call"], "goodwill_credit", False, ["co>=1", "oldest>14"], []),
+    ("PR-012", "service_dissatisfaction", ["standard", "starter"], ["email", "call"], "onboarding_session", False, ["dsl>45", "l90<3", "ten<24"], []),
+    ("PR-013", "service_dissatisfaction", ["private_banking", "standard"], ["call"], "service_guarantee", False, ["nps<=5", "ten>=12", "co=0"], []),
+    ("PR-014", "service_dissatisfaction", ["standard", "starter", "student"], ["call"], "fee_compensation", False, ["co>=1", "service_cat"], []),
+    ("PR-015", "product_lifecycle", ["standard", "private_banking"], ["call", "email"], "rate_lock", False, ["mrr1-6"], []),
+    ("PR-016", "product_lifecycle", ["standard", "private_banking"], ["call"], "refinance_review", False, ["mrr<=3", "comp>=1"], []),
+    ("PR-017", "product_lifecycle", ["standard"], ["call"], "product_upgrade", True, ["inflow>=5000", "pc<=2", "ten>=24", "no_investment"], []),
+    ("PR-018", "product_lifecycle", ["standard", "private_banking"], ["email", "call"], "consolidation", False, ["pc>=3", "no_salary"], []),
+    ("PR-019", "product_lifecycle", ["standard"], ["email"], "pension_starter", True, ["age30-55", "pc<=2"], []),
+    ("PR-020", "product_lifecycle", ["standard", "starter"], ["email", "call"], "salary_switch_bonus", False, ["no_salary", "inflow>=1500", "ten>=3"], []),
+    ("PR-021", "inactivity", ["standard", "starter", "student"], ["email"], "reengagement_cashback", False, ["dsl>60", "l90<5"], []),
+    ("PR-022", "inactivity", ["standard", "student", "starter"], ["email"], "feature_discovery", False, ["dsl>30", "l30<2", "ten>=6"], []),
+    ("PR-023", "inactivity", ["standard", "starter"], ["email", "call"], "reactivation_offer", False, ["dsl>90", "lasttx>60"], []),
+    ("PR-024", "inactivity", ["standard", "student", "starter"], ["email"], "savings_goal_incentive", True, ["l90<10", "savings"], []),
+    ("PR-025", "inactivity", ["standard", "private_banking"], ["email"], "loyalty_milestone", False, ["dsl>30", "milestone"], []),
 ]
+# FIXED VALUES: amounts of the offers that state one, in euros, each as
+# (qualifier, lowest, highest).
+OFFER_AMOUNTS = {
+    "PR-001": [("up to", 96, 96)], "PR-002": [("", 200, 200)], "PR-003": [("up to", 90, 90)],
+    "PR-004": [("about", 750, 750)], "PR-005": [("up to", 150, 150)], "PR-006": [("up to", 72, 72)],
+    "PR-007": [("up to", 150, 150)], "PR-008": [("typically", 30, 90)], "PR-011": [("", 25, 25)],
+    "PR-013": [("", 30, 30)], "PR-014": [("", 4, 15)], "PR-018": [("", 75, 75)], "PR-019": [("", 100, 100)],
+    "PR-020": [("", 100, 100), ("up to", 96, 96)], "PR-021": [("", 20, 20)], "PR-022": [("", 10, 10)],
+    "PR-023": [("", 15, 15)], "PR-024": [("up to", 15, 15)], "PR-025": [("", 10, 100)],
+}
+
+
+def offer_value(offer_id: str) -> str:
+    """The amounts as a message states them: ceilings and ranges stay what they are."""
+    parts = [f"{q} €{lo}".strip() if lo == hi else f"{q} €{lo} to €{hi}".strip()
+             for q, lo, hi in OFFER_AMOUNTS.get(offer_id, [])]
+    return " plus ".join(parts)
+
+
 INVESTMENT_OFFERS = ["PR-017", "PR-019"]
 SAVINGS_OR_INVESTMENT_OFFERS = ["PR-002", "PR-017", "PR-019", "PR-024"]
 TARGET_MARKET_AGE = (18, 67)
@@ -203,7 +225,7 @@ def offer_conditions() -> dict[str, Column]:
         "l90<3": _c("app_logins_last_90d") < 3, "l90<5": _c("app_logins_last_90d") < 5,
         "l90<10": _c("app_logins_last_90d") < 10,
         "co=0": _c("complaints_open") == 0, "co>=1": _c("complaints_open") >= 1, "co>=2": _c("complaints_open") >= 2,
-        "oldest>14": _c("oldest_open_days") > 14, "service_cat": _c("open_category") == "service_quality",
+        "oldest>14": _c("oldest_open_days") > 14, "service_cat": _c("open_service_quality"),
         "inflow>=3000": _c("avg_monthly_inflow_eur") >= 3000, "inflow>=5000": _c("avg_monthly_inflow_eur") >= 5000,
         "inflow>=1500": _c("avg_monthly_inflow_eur") >= 1500,
         "no_rm": _c("relationship_manager_id").isNull(), "no_salary": _c("salary_account_flag") == 0,
@@ -213,11 +235,14 @@ def offer_conditions() -> dict[str, Column]:
 
 
 def _cond_col(key: str) -> str:
-    return "_c_" + key.encode().hex()
+    """Column name of a predicate: its key with the comparison spelled out."""
+    for sign, word in ((">=", "_min_"), ("<=", "_max_"), (">", "_above_"), ("<", "_below_"), ("=", "_is_"), ("-", "_to_")):
+        key = key.replace(sign, word)
+    return "cond_" + key
 
 
 def _offer_struct(o) -> Column:
-    oid, use, segs, chans, kind, new, value, req, anyof = o
+    oid, use, segs, chans, kind, new, req, anyof = o
     c = {k: F.col(_cond_col(k)) for k in req + anyof}
     req_ok = F.lit(True)
     for r in req:
@@ -255,7 +280,7 @@ def _offer_map() -> Column:
         kv += [F.lit(o[0]), F.struct(F.array(*[F.lit(x) for x in o[2]]).alias("segments"),
                                      F.array(*[F.lit(x) for x in o[3]]).alias("channels"),
                                      F.lit(o[4]).alias("kind"), F.lit(o[5]).alias("new_product"),
-                                     F.lit(o[6]).alias("value"))]
+                                     F.lit(offer_value(o[0])).alias("value"))]
     return F.create_map(*kv)
 
 
@@ -337,21 +362,32 @@ PATTERNS = {
     "superlative": _I + r"(best rate|market-leading|unbeatable|lowest fees?)",
     "substantiated": _I + r"(as of|compared to|source)",
     "guarantee": _I + r"(guaranteed (growth|returns?)|risk-free|you will earn \d|guaranteed to grow)",
-    "disclosure_equiv": _I + r"can go down as well as up.*past performance",
+    "disclosure_equiv": r"(?is)can go down as well as up.*past performance",
     "advice": _I + r"(you should invest|we recommend you|right product for you|you should switch)",
     "cooling_off": _I + r"(14-day|cooling-off)",
     "fee_or_rate": _I + r"(\d+(\.\d+)?\s?%|\bfees?\b|\brates?\b)",
     "terms": _I + r"(terms|conditions)",
     "percent": r"\d+(\.\d+)?\s?%",
-    "caveat_period": _I + r"past performance.*(last year|per year|\b(19|20)\d\d\b|Q[1-4])",
+    "caveat_period": r"(?is)past performance.*(last year|per year|\b(19|20)\d\d\b|Q[1-4])",
     "comparison": _I + r"(compared to|market average|than other banks|than competitors)",
     "sourced": _I + r"\([^)]*(data|source|NBB)[^)]*\d{4}[^)]*\)",
-    "tenure": _I + r"(with us for \d+|since you joined|customer for \d+|fixed rate ends|valued client in)",
+    "tenure": _I + r"(with us for \d+|since you joined|customer for \d+)",
+    "recent_contact": _I + r"(following|after) (our|your) recent (conversation|visit|call|meeting)",
+    "loyalty_call": _I + r"\b(loyalty|marketing) (call|conversation)\b",
     "unsubscribe": _I + r"(unsubscribe|communication preferences)",
     "opt_out": _I + r"stop contacting you",
     "alert_open": _I + r"(security alert|account issue|suspicious activity|problem with your account|urgent notice)",
     "bad_subject": _I + r"^subject:[^\n]*(action required|important update about your account|security|alert|suspended)",
 }
+# The opening of a call (CH-002, CH-003): the rules speak of its start and its first
+# 30 seconds; at 150 spoken words a minute that is the first 75 words.
+OPENING_WORDS = 75
+
+
+def opening_pattern(words: int = OPENING_WORDS) -> str:
+    return r"^[ \t\r\n]*([^ \t\r\n]+[ \t\r\n]+){0,%d}[^ \t\r\n]*" % (words - 1)
+
+
 # FIXED VALUES: rule ids, severities and where they apply.
 RULES = [
     ("BT-001", HARD), ("BT-002", HARD), ("BT-003", HARD), ("BT-004", HARD), ("BT-005", FLAG), ("BT-006", FLAG),
@@ -363,10 +399,12 @@ RULES = [
 
 
 def rule_checks(msg: Column, channel: Column, offer_id: Column, segment: Column, age: Column,
-                disclosure_mode: str = "strict") -> dict[str, tuple[Column, str]]:
+                disclosure_mode: str = "strict", region: Column | None = None, rate_end: Column | None = None,
+               product_names: Column | None = None, opening_words: int = OPENING_WORDS) -> dict[str, tuple[Column, str]]:
     """rule_id -> (violation condition, finding).  ``disclosure_mode``
     'strict' wants the verbatim FSMA-002 statement, 'equivalent' accepts a
-    paraphrase (SEM12)."""
+    paraphrase (SEM12).  PERS-001 accepts a tenure or recent-contact phrase or the
+    row's own region, fixed-rate end date or product name (where given)."""
     def rx(name, col=msg):
         return F.coalesce(col.rlike(PATTERNS[name]), F.lit(False))
     inv = F.coalesce(offer_id.isin(*INVESTMENT_OFFERS), F.lit(False))
@@ -375,8 +413,14 @@ def rule_checks(msg: Column, channel: Column, offer_id: Column, segment: Column,
     segs = _offer_attr(offer_id, 2)
     chans = _offer_attr(offer_id, 3)
     has_disclosure = msg.contains(RISK_DISCLOSURE) if disclosure_mode == "strict" else rx("disclosure_equiv")
-    opening = F.substring(msg, 1, 300)
-    first = F.substring(msg, 1, 200)
+    opening = F.regexp_extract(msg, opening_pattern(opening_words), 0)
+    low = F.lower(msg)
+    personal = rx("tenure") | rx("recent_contact")
+    for own in (region, None if rate_end is None else F.date_format(rate_end, "yyyy-MM-dd")):
+        if own is not None:
+            personal = personal | F.coalesce((F.length(own) > 0) & low.contains(F.lower(own)), F.lit(False))
+    if product_names is not None:
+        personal = personal | F.coalesce(F.exists(product_names, lambda n: low.contains(F.lower(n))), F.lit(False))
     is_email, is_call = channel == "email", channel == "call"
     return {
         "BT-001": (rx("urgency"), "urgency or pressure phrase"),
@@ -394,14 +438,15 @@ def rule_checks(msg: Column, channel: Column, offer_id: Column, segment: Column,
         "MIFID-002": (F.coalesce(offer_id.isin("PR-017", "PR-019"), F.lit(False))
                       & ~F.coalesce(age.between(*TARGET_MARKET_AGE), F.lit(False)), "outside target market"),
         "MIFID-003": (rx("comparison") & ~rx("sourced"), "comparison without source and date"),
-        "PERS-001": (~rx("tenure"), "no personal signal"),
+        "PERS-001": (~personal, "no personal signal"),
         "PERS-002": (offer_id.isNotNull() & ~F.coalesce(F.array_contains(segs, segment), F.lit(False)),
                      "segment not targeted by offer"),
         "PERS-003": (offer_id.isNotNull() & ~F.coalesce(F.array_contains(chans, channel), F.lit(False)),
                      "channel not in offer channel fit"),
         "CH-001": (F.coalesce(is_email, F.lit(False)) & ~rx("unsubscribe"), "no unsubscribe line"),
         "CH-002": (F.coalesce(is_call, F.lit(False)) & ~rx("opt_out", opening), "no opt-out in opening"),
-        "CH-003": (F.coalesce(is_call, F.lit(False)) & rx("alert_open", first), "alert-style opening"),
+        "CH-003": (F.coalesce(is_call, F.lit(False)) & (rx("alert_open", opening) | ~rx("loyalty_call", opening)),
+                   "alert-style opening or not named a loyalty call"),
         "CH-004": (F.coalesce(is_email, F.lit(False)) & rx("bad_subject"), "misleading subject line"),
     }
 
@@ -410,8 +455,10 @@ def compliance(df: DataFrame, msg: str = "message_draft", channel: str = "channe
                segment: str = "segment", age: str = "age", disclosure_mode: str = "strict") -> DataFrame:
     """DC9 + DC10: ``violated_rules`` array of hits and ``status`` pass/fail
     (fail iff any hard_block hit; flags are recorded but pass, SEM15)."""
+    own = {k: F.col(c) if c in df.columns else None
+           for k, c in (("region", "region"), ("rate_end", "next_rate_end"), ("product_names", "product_names"))}
     checks = rule_checks(F.coalesce(F.col(msg), F.lit("")), F.col(channel), F.col(offer_id),
-                         F.col(segment), F.col(age), disclosure_mode)
+                         F.col(segment), F.col(age), disclosure_mode, **own)
     hits = F.filter(F.array(*[
         F.when(checks[rid][0], F.struct(F.lit(rid).alias("rule_id"), F.lit(sev).alias("severity"),
                                         F.lit(checks[rid][1]).alias("finding")))
@@ -424,31 +471,48 @@ def compliance(df: DataFrame, msg: str = "message_draft", channel: str = "channe
 # ---------------------------------------------------------------------------
 # DC11-DC14: routing and counters
 # ---------------------------------------------------------------------------
-def decide(ctx: DataFrame, disclosure_mode: str = "strict") -> DataFrame:
-    """DC1-DC10 in one chain of projections over the context."""
+def decide(ctx: DataFrame, disclosure_mode: str = "strict", later_draft: Column | None = None) -> DataFrame:
+    """DC1-DC12 in one chain of projections over the context.  ``later_draft`` is a later
+    stage's draft (it may refer to ``message_draft``), checked in place of the earlier one."""
     c = classify(ctx)
     d = render_message(choose_offer(eligible_offers(c)))
+    if later_draft is not None:
+        d = merge_drafts(d.withColumn("later_draft", later_draft), "later_draft").drop("later_draft")
     d = compliance(d, disclosure_mode=disclosure_mode)
     return d.withColumn("churn_reason", normalize_reason(F.col("churn_reason"))) \
         .withColumn("outcome", F.when(F.col("error").isNotNull(), F.lit("error"))
                     .when(F.col("status") == "pass", F.lit("approved")).otherwise(F.lit("queued")))
 
 
-def approved_rows(decided: DataFrame, batch_date: dt.date) -> DataFrame:
-    """DC11 / IO11: rows routed to the approved table (tokens default 0)."""
+def merge_drafts(df: DataFrame, later: str, msg: str = "message_draft") -> DataFrame:
+    """DC12: the later stage's draft replaces the earlier one unless it is empty."""
+    return df.withColumn(msg, F.coalesce(F.nullif(F.col(later), F.lit("")), F.col(msg)))
+
+
+def _or_zero(df: DataFrame, name: str) -> Column:
+    return F.coalesce(F.col(name).cast("int"), F.lit(0)) if name in df.columns else F.lit(0)
+
+
+def approved_rows(decided: DataFrame, batch_date: dt.date, written_at: Column | None = None) -> DataFrame:
+    """DC11 / DC14 / IO11: rows routed to the approved table, drafts sanitised, tokens
+    of the stages (0 where a stage reports none), ``approved_at`` the time of writing."""
     return decided.where(F.col("outcome") == "approved").select(
         "customer_id", F.lit(batch_date).alias("batch_date"), "offer_id", "channel", "churn_reason",
-        "confidence", "message_draft",
-        *[F.lit(0).alias(f"agent{i}_tokens") for i in (1, 2, 3)])
+        "confidence", sanitize(F.col("message_draft")).alias("message_draft"),
+        *[_or_zero(decided, f"agent{i}_tokens").alias(f"agent{i}_tokens") for i in (1, 2, 3)],
+        (F.current_timestamp() if written_at is None else written_at).alias("approved_at"))
 
 
-def queued_rows(decided: DataFrame, batch_date: dt.date) -> DataFrame:
-    """DC11 / IO12: everything not passed and not an error -> review queue,
-    violations JSON-encoded, status pending."""
+def queued_rows(decided: DataFrame, batch_date: dt.date, written_at: Column | None = None) -> DataFrame:
+    """DC11 / IO12: everything not passed and not an error -> review queue, drafts and
+    notes sanitised, violations JSON-encoded, status pending, not yet reviewed."""
+    notes = F.col("review_notes") if "review_notes" in decided.columns else F.lit("")
     return decided.where(F.col("outcome") == "queued").select(
         "customer_id", F.lit(batch_date).alias("batch_date"), "offer_id", "channel", "churn_reason",
-        "message_draft", F.to_json("violated_rules").alias("violated_rules"),
-        F.lit("").alias("review_notes"), F.lit("pending").alias("status"))
+        sanitize(F.col("message_draft")).alias("message_draft"), F.to_json("violated_rules").alias("violated_rules"),
+        sanitize(F.coalesce(notes, F.lit(""))).alias("review_notes"), F.lit("pending").alias("status"),
+        F.lit(None).cast("string").alias("reviewed_by"), F.lit(None).cast("timestamp_ntz").alias("reviewed_at"),
+        (F.current_timestamp() if written_at is None else written_at).alias("created_at"))
 
 
 def batch_counters(decided: DataFrame) -> DataFrame:
@@ -456,20 +520,42 @@ def batch_counters(decided: DataFrame) -> DataFrame:
     return decided.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def contract_violations(decided: DataFrame) -> DataFrame:
-    """SC18: stage-contract validation as an array of violation codes."""
-    checks = [
-        (F.col("customer_id").isNull(), "customer_id:required"),
-        (~F.col("churn_reason").isin(*K.CHURN_REASONS), "churn_reason:enum"),
-        (~F.col("confidence").isin("high", "medium", "low"), "confidence:enum"),
-        (~F.col("channel").isin("email", "call"), "channel:enum"),
-        (F.length(F.coalesce(F.col("message_draft"), F.lit(""))) < 50, "message_draft:minLength"),
-        (~F.col("status").isin("pass", "fail"), "status:enum"),
-        (F.exists("violated_rules", lambda v: ~v["severity"].isin(HARD, FLAG)), "violated_rules:severity"),
+# FIXED VALUES: keys that the three stage outputs may have.
+STAGE_KEYS = {
+    1: ["customer_id", "churn_score", "churn_reason", "confidence", "supporting_signals", "error"],
+    2: ["customer_id", "offer_id", "channel", "message_draft", "rationale"],
+    3: ["status", "violated_rules", "message_draft", "review_notes"],
+}
+
+
+def contract_violations(outputs: DataFrame) -> DataFrame:
+    """SC18: the three stage contracts on JSON texts ``stage1`` .. ``stage3`` per
+    customer, as an array of violation codes (required, enum, range, length, extra keys)."""
+    def get(stage, key):
+        return F.get_json_object(F.col(f"stage{stage}"), f"$.{key}")
+
+    def has(stage, key):
+        return F.coalesce(F.array_contains(F.json_object_keys(F.col(f"stage{stage}")), key), F.lit(False))
+
+    score = get(1, "churn_score").cast("double")
+    rules = F.from_json(get(3, "violated_rules"), "array<struct<rule_id:string,severity:string,finding:string>>")
+    optional = {(1, "error")}
+    checks = [(~has(n, k), f"{n}.{k}:required") for n, keys in STAGE_KEYS.items() for k in keys if (n, k) not in optional]
+    checks += [
+        (F.coalesce(~score.between(0, 1), has(1, "churn_score")), "1.churn_score:range"),
+        (has(1, "churn_reason") & ~F.coalesce(get(1, "churn_reason").isin(*K.CHURN_REASONS), F.lit(False)), "1.churn_reason:enum"),
+        (has(1, "confidence") & ~F.coalesce(get(1, "confidence").isin("high", "medium", "low"), F.lit(False)), "1.confidence:enum"),
+        (has(2, "channel") & ~F.coalesce(get(2, "channel").isin("email", "call"), F.lit(False)), "2.channel:enum"),
+        (has(2, "message_draft") & (F.length(F.coalesce(get(2, "message_draft"), F.lit(""))) < 50), "2.message_draft:minLength"),
+        (has(3, "status") & ~F.coalesce(get(3, "status").isin("pass", "fail"), F.lit(False)), "3.status:enum"),
+        (F.coalesce(F.exists(rules, lambda v: ~F.coalesce(v["severity"].isin(HARD, FLAG), F.lit(False))), F.lit(False)),
+         "3.violated_rules:severity"),
     ]
+    checks += [(F.size(F.array_except(F.json_object_keys(F.col(f"stage{n}")), F.array(*[F.lit(k) for k in keys]))) > 0,
+                f"{n}:additionalProperties") for n, keys in STAGE_KEYS.items()]
     arr = F.filter(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(code)) for c, code in checks]),
                    lambda x: x.isNotNull())
-    return decided.select("customer_id", arr.alias("contract_violations"))
+    return outputs.select("customer_id", arr.alias("contract_violations"))
 
 
 def golden_agreement(golden: DataFrame, disclosure_mode: str = "strict") -> DataFrame:
@@ -493,10 +579,11 @@ def golden_agreement(golden: DataFrame, disclosure_mode: str = "strict") -> Data
 
 def offers_frame(spark) -> DataFrame:
     """IO20 (re-aimed): the offer catalogue as a table (25 rows, fixed)."""
-    rows = [(o[0], o[1], o[2], o[3], o[4], o[5], o[6], o[7], o[8]) for o in OFFERS]
+    rows = [(*o, offer_value(o[0]), OFFER_AMOUNTS.get(o[0], [])) for o in OFFERS]
     return spark.createDataFrame(rows, "offer_id string, retention_use_case string, target_segments array<string>, "
                                        "channel_fit array<string>, product_type string, new_product boolean, "
-                                       "offer_value string, required array<string>, any_of array<string>")
+                                       "required array<string>, any_of array<string>, offer_value string, "
+                                       "amounts array<struct<qualifier:string,low:int,high:int>>")
 
 
 def rules_frame(spark) -> DataFrame:

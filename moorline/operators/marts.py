@@ -56,7 +56,9 @@ HISTOGRAM_CAPS = {"competitor_transfer_count": 20}
 
 
 def feature_histogram(features: DataFrame, bins=None) -> DataFrame:
-    """AG6 / SC21 / PF11: fixed-width bins per feature split by churned.
+    """AG6 / SC21 / PF11: fixed-width bins per feature split by churned.  Values below
+    the first edge fall into the open bin -1, values from the last edge on into the
+    open bin ``n``; ``bin_label`` says so.
 
     One pass: the three features are unpivoted and binned in a projection,
     then counted with a single grouped aggregate."""
@@ -67,17 +69,16 @@ def feature_histogram(features: DataFrame, bins=None) -> DataFrame:
         keep = v.isNotNull()
         if feat in HISTOGRAM_CAPS:
             keep = keep & (v <= HISTOGRAM_CAPS[feat])
-        b = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(n - 1)).cast("int")
+        b = F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(-1)), F.lit(n)).cast("int")
+        start = F.when(b >= 0, (F.lit(lo) + b * F.lit(width)).cast("double"))
+        label = F.when(b < 0, F.lit(f"< {lo}")).when(b >= n, F.lit(f">= {lo + n * width}")).otherwise(
+            F.concat((F.lit(lo) + b * F.lit(width)).cast("string"), F.lit(" to < "),
+                     (F.lit(lo) + (b + 1) * F.lit(width)).cast("string")))
         parts.append(features.where(keep).select(
-            F.lit(feat).alias("feature"), F.col("churned"), b.alias("bin")))
+            F.lit(feat).alias("feature"), F.col("churned"), b.alias("bin"), start.alias("bin_start"),
+            label.alias("bin_label")))
     u = reduce(DataFrame.unionByName, parts)
-    lo_map = F.create_map(*[x for f, (lo, w, n) in bins.items() for x in (F.lit(f), F.lit(float(lo)))])
-    w_map = F.create_map(*[x for f, (lo, w, n) in bins.items() for x in (F.lit(f), F.lit(float(w)))])
-    return u.groupBy("feature", "churned", "bin").agg(F.count(F.lit(1)).alias("n")).select(
-        "feature", "churned", "bin",
-        (lo_map[F.col("feature")] + F.col("bin") * w_map[F.col("feature")]).alias("bin_start"),
-        "n",
-    )
+    return u.groupBy("feature", "churned", "bin", "bin_start", "bin_label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

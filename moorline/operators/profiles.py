@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.joins import broadcast_if_bounded
+from ..functions.numeric import round_half_even_binary
 from ..functions.text import render
 
 
@@ -57,7 +58,8 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
 def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int = K.ENGAGEMENT_DAYS,
                daily: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     """EN1 + EN5: sessions since ``as_of - days``: count, last date, integer
-    (truncated) average duration; minutes shown with one decimal, half-up.
+    (truncated) average duration; minutes shown with one decimal, rounded as binary
+    floating point rounds (9 s are 0.1 min, 15 s are 0.2 min).
     Reads the (customer, day) session rollup when given."""
     if daily is None:
         from .features import daily_sessions
@@ -69,9 +71,9 @@ def engagement(batch: DataFrame, sessions: DataFrame | None, as_of, days: int =
         F.max("d").alias("last_session"),
         F.floor(F.sum("duration_sum") / F.nullif(F.sum("duration_n"), F.lit(0))).cast("long")
         .alias("avg_duration_sec"))
-    tenths = F.expr("(avg_duration_sec * 10 + 30) div 60")
     text = render(K.ENGAGEMENT_TEXT, n=F.col("sessions_60d"),
-                  avg_min=F.format_string("%.1f", F.coalesce(tenths, F.lit(0)) / F.lit(10.0)),
+                  avg_min=F.format_string("%.1f", F.coalesce(
+                      round_half_even_binary(F.col("avg_duration_sec"), 60), F.lit(0.0))),
                   last=F.coalesce(_day(F.col("last_session")), F.lit("unknown")))
     return agg.withColumn("engagement_summary", text)
 

@@ -76,9 +76,8 @@ fs AS (
   FROM app_sessions_v WHERE session_date BETWEEN {SNAP} - 90 AND {SNAP} GROUP BY customer_id),
 ft AS (
   SELECT customer_id, count(*) FILTER (WHERE is_competitor_transfer) AS comp,
-         CAST((CAST(sum(CAST(amount_eur * 100 AS BIGINT)) FILTER (WHERE direction = 'credit') AS BIGINT) * 200
-               + count(*) FILTER (WHERE direction = 'credit'))
-              // (2 * count(*) FILTER (WHERE direction = 'credit')) AS DOUBLE) / 10000.0 AS inflow,
+         CAST(sum(CAST(amount_eur * 100 AS BIGINT)) FILTER (WHERE direction = 'credit') AS DOUBLE)
+              / (nullif(count(*) FILTER (WHERE direction = 'credit'), 0) * 100.0::DOUBLE) AS inflow,
          count(*) AS n_t
   FROM transactions_v WHERE transaction_date BETWEEN {SNAP} - 90 AND {SNAP} GROUP BY customer_id),
 fc AS (

@@ -41,7 +41,7 @@ FROM (SELECT DISTINCT p_type FROM part) t
 """
 
 VIEWS["customer_products_v"] = f"""
-SELECT l.l_orderkey AS id, o.o_custkey AS customer_id, p.p_type AS product_id,
+SELECT l.l_orderkey * 10 + l.l_linenumber AS id, o.o_custkey AS customer_id, p.p_type AS product_id,
        {FOLD} + CAST(date_diff('day', DATE '1995-01-01', CAST(l.l_shipdate AS DATE)) % 150 - 200 AS INTEGER)
            AS start_date,
        CASE WHEN l.l_suppkey % 4 = 0 THEN {SNAP} + CAST(l.l_partkey % 60 AS INTEGER) END AS end_date,
@@ -50,7 +50,6 @@ SELECT l.l_orderkey AS id, o.o_custkey AS customer_id, p.p_type AS product_id,
            AS fixed_rate_end_date
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
                 JOIN part p ON l.l_partkey = p.p_partkey
-WHERE l.l_linenumber = 1 AND l.l_returnflag = 'A'
 """
 
 VIEWS["transactions_v"] = f"""
@@ -85,7 +84,8 @@ SELECT event_id AS complaint_id, user_id AS customer_id,
        {FOLD} + CAST(2 * {_EVDAY} AS INTEGER) AS opened_date,
        CASE WHEN NOT (value > 10) THEN {FOLD} + CAST(2 * {_EVDAY} AS INTEGER)
                                      + CAST(2 + event_id % 12 AS INTEGER) END AS closed_date,
-       'cat' || CAST(event_id % 5 AS VARCHAR) AS category,
+       CASE event_id % 5 WHEN 0 THEN 'card_dispute' WHEN 1 THEN 'fee_query' WHEN 2 THEN 'transfer_error'
+                         WHEN 3 THEN 'product_query' WHEN 4 THEN 'service_quality' END AS category,
        CASE WHEN value > 10 THEN 'open' ELSE 'resolved' END AS status,
        CASE WHEN NOT (value > 10) THEN CAST(2 + event_id % 12 AS INTEGER) END AS resolution_days
 FROM events WHERE event_type = 'error'
@@ -137,7 +137,7 @@ SELECT {_OUTREACH_COLS}
        CASE o.o_orderkey % 4
             WHEN 0 THEN '[]'
             WHEN 1 THEN '[{{"rule_id": "BT-001", "severity": "hard_block", "finding": "urgency phrase"}}]'
-            WHEN 2 THEN '[{{"rule_id": "CH-001", "severity": "hard_block", "finding": "no unsubscribe line"}}, "BT-005"]'
+            WHEN 2 THEN '[{{"rule_id": "CH-001", "severity": "hard_block", "finding": "no unsubscribe line"}}, "BT-005", "XX-999"]'
             WHEN 3 THEN '[bad json' END AS violated_rules,
        CAST(NULL AS VARCHAR) AS review_notes,
        CASE o.o_orderkey % 5 WHEN 0 THEN 'approved' WHEN 1 THEN 'rejected' ELSE 'pending' END AS status,

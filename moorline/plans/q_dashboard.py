@@ -141,21 +141,30 @@ def signals_vs_outcome(spark, sf_dir):
     return DB.signals_vs_outcome(w.approved(), w.queue(), C.labels(w))
 
 
+_HEAT_WHERE = """
+FROM ids WHERE violated_rules IS NOT NULL AND violated_rules <> '[]' AND churn_reason IS NOT NULL AND rule_id IS NOT NULL
+GROUP BY churn_reason"""
+
+
 def _heat_sql():
+    known = ", ".join(f"'{r}'" for r in DB.RULE_IDS)
     cols = ", ".join(f"count(*) FILTER (WHERE rule_id = '{r}') AS \"{r}\"" for r in DB.RULE_IDS)
-    return f"""
-SELECT churn_reason, {cols} FROM ids
-WHERE violated_rules IS NOT NULL AND violated_rules <> '[]' AND churn_reason IS NOT NULL
-  AND rule_id IN ({', '.join(f"'{r}'" for r in DB.RULE_IDS)})
-GROUP BY churn_reason"""
+    return f"SELECT churn_reason, {cols}, count(*) FILTER (WHERE rule_id NOT IN ({known})) AS \"other\"" + _HEAT_WHERE
 
 
 @query("rule_heatmap", sql_with(_VIOL, _heat_sql(), ("queue_v",)))
 def rule_heatmap(spark, sf_dir):
-    """AG17 / PV2: reason x rule violation counts."""
+    """AG17 / PV2: reason x rule violation counts, ids outside the catalogue in a column of their own."""
     return DB.rule_heatmap(_w(spark, sf_dir).queue())
 
 
+@query("rule_counts", sql_with(_VIOL, "SELECT churn_reason, rule_id, count(*) AS n" + _HEAT_WHERE + ", rule_id",
+                               ("queue_v",)))
+def rule_counts(spark, sf_dir):
+    """AG17 in long form: every rule id that occurs."""
+    return DB.rule_counts(_w(spark, sf_dir).queue())
+
+
 @query("tokens_by_reason", sql_with("x AS (SELECT 1)", """
 SELECT churn_reason, count(agent1_tokens + agent2_tokens + agent3_tokens) AS customers,
        CAST(round_even(avg(agent1_tokens + agent2_tokens + agent3_tokens), 0) AS BIGINT) AS avg_tokens,
@@ -187,7 +196,7 @@ SELECT id, customer_id, batch_date, offer_id, channel, churn_reason, confidence,
 FROM approved_v WHERE batch_date = DATE '{FILTER_BATCH}' AND channel = 'email'""", _O))
 def approved_filtered(spark, sf_dir):
     """PF2 / PF7 / SC16 / SC17 / SO1: filtered approved view with preview and tokens."""
-    return DB.approved_view(_w(spark, sf_dir).approved(), batch_date=FILTER_BATCH, channel="email")
+    return DB.approved_view(_w(spark, sf_dir).approved(drafts=True), batch_date=FILTER_BATCH, channel="email")
 
 
 @query("queue_filtered", sql_with("x AS (SELECT 1)", """
@@ -196,7 +205,7 @@ SELECT id, customer_id, batch_date, offer_id, channel, churn_reason, message_dra
 FROM queue_v WHERE status = 'pending'""", _O))
 def queue_filtered(spark, sf_dir):
     """PF7 / SC16 / SO1: pending review queue with preview."""
-    return DB.queue_view(_w(spark, sf_dir).queue(), status="pending")
+    return DB.queue_view(_w(spark, sf_dir).queue(drafts=True), status="pending")
 
 
 @query("queue_item", sql_with(_VIOL + """,
@@ -217,7 +226,7 @@ SELECT customer_id, batch_date, message_draft FROM (
   FROM approved_v) t WHERE rn = 1""", _O))
 def message_lookup(spark, sf_dir):
     """WN4: first message per (customer, batch)."""
-    return DB.first_message(_w(spark, sf_dir).approved())
+    return DB.first_message(_w(spark, sf_dir).approved(drafts=True))
 
 
 # -- review workflow ---------------------------------------------------------------
@@ -225,7 +234,7 @@ def _decisions(w):
     """Reviewer decisions derived from the pending queue: approve unedited,
     approve with an edited draft, reject; some ids decided twice (the later
     wins) and some decisions for ids that are not in the queue."""
-    q = w.queue().where(F.col("status") == "pending")
+    q = w.queue(drafts=True).where(F.col("status") == "pending")
     k = F.col("id") % 3
     base = q.select(
         F.col("id").alias("queue_id"),
@@ -275,7 +284,7 @@ rev AS (
 
 
 def _reviewed(w):
-    return RV.apply_decisions(w.queue(), _decisions(w))
+    return RV.apply_decisions(w.queue(drafts=True), _decisions(w))
 
 
 @query("review_apply", sql_with(_DEC_SQL, "SELECT * FROM rev", ("queue_v",)))

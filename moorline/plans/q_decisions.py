@@ -15,29 +15,33 @@ from .oracle_views import with_views
 from ..operators import model as MD
 from ..session import materialize
 from .oracle_decisions import CONTRACT_SQL, DECISION_VIEWS, decision_ctes, staged_compliance_sql
+from .q_model import scored_at_col
 from .q_profiles import scored_batch
 from .registry import query
 
 
 def context(w):
-    """Decision inputs for the high-risk batch, materialised once (small)."""
+    """Decision inputs for the high-risk batch.  The batch and its holdings are read
+    several times and materialised; the context itself is read once by each query.
+    The profile store lags behind the batch: every ninth customer has no profile yet."""
     b = scored_batch(w)
     # Holdings of the batch customers only (a small set), read by the product
     # summary, the holding kinds and the rate-reset dates.
     hold = materialize(w.customer_products().join(broadcast_if_bounded(b.select("customer_id")), "customer_id",
                                                   "left_semi"))
-    docs = PR.profile_documents(MD.high_risk(b), hold, w.products(), None,
+    docs = PR.profile_documents(MD.high_risk(b).where(F.col("customer_id") % 9 != 4), hold, w.products(), None,
                                 w.complaints(), None, w.snapshot,
                                 daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
-    return materialize(DC.decision_context(b, w.customers(), hold, w.products(),
-                                           w.complaints(), None, docs, w.snapshot,
-                                           daily_t=C.daily_transactions(w)))
+    return DC.decision_context(b, w.customers(), hold, w.products(), w.complaints(), None, docs, w.snapshot,
+                               daily_t=C.daily_transactions(w))
 
 
 def decided(w):
-    """All decisions for the batch, materialised before fan-out queries
-    (explode / per-rule projections) read them."""
-    return materialize(DC.decide(context(w)))
+    """All decisions for the batch, materialised: filters on the outcome would else be
+    pushed through the whole projection chain and repeat it.  For every fifth customer
+    the later stage returns a draft of its own, with a phrase that the rules block."""
+    later = F.when(F.col("customer_id") % 5 == 2, F.concat(F.lit("Act now: "), F.col("message_draft")))
+    return materialize(DC.decide(context(w), later_draft=later))
 
 
 _D = decision_ctes()
@@ -49,7 +53,7 @@ def _dsql(select: str) -> str:
 
 @query("reason_classify", _dsql("""
 SELECT customer_id, churn_reason, confidence, array_to_string(supporting_signals, ',') AS supporting_signals,
-       CAST(NULL AS VARCHAR) AS error FROM cls2"""))
+       error FROM cls2"""))
 def reason_classify(spark, sf_dir):
     """DC1-DC4: reason, confidence, supporting signals per batch customer."""
     c = DC.classify(context(C.warehouse(spark, sf_dir)))
@@ -115,24 +119,71 @@ def batch_counters(spark, sf_dir):
     return DC.batch_counters(decided(C.warehouse(spark, sf_dir)))
 
 
+def _stage_outputs(d):
+    """Outputs of the three stages as JSON texts; every eighth customer breaks one
+    contract each (score out of range, unknown confidence, channel, short draft,
+    unknown severity, missing rationale, extra key)."""
+    k = F.col("customer_id") % 8
+    rules = F.when(k == 4, F.array(F.struct(F.lit("BT-001").alias("rule_id"), F.lit("warn").alias("severity"),
+                                            F.lit("?").alias("finding")))).otherwise(F.col("violated_rules"))
+    draft = F.when(k == 3, F.lit("Too short.")).otherwise(F.col("message_draft"))
+    keep = {"ignoreNullFields": "false"}
+    s1 = F.to_json(F.struct("customer_id", F.when(k == 0, F.lit(1.5)).otherwise(F.col("churn_score")).alias("churn_score"),
+                            "churn_reason", F.when(k == 1, F.lit("certain")).otherwise(F.col("confidence")).alias("confidence"),
+                            "supporting_signals"), keep)
+    common = ["customer_id", "offer_id", F.when(k == 2, F.lit("sms")).otherwise(F.col("channel")).alias("channel"),
+              draft.alias("message_draft")]
+    s2 = F.when(k == 5, F.to_json(F.struct(*common), keep)).otherwise(
+        F.to_json(F.struct(*common, F.lit("most triggered conditions").alias("rationale")), keep))
+    checked = [F.col("status"), rules.alias("violated_rules"), F.col("message_draft"), F.lit("").alias("review_notes")]
+    s3 = F.when(k == 6, F.to_json(F.struct(*checked, F.lit(1).alias("debug")), keep)).otherwise(
+        F.to_json(F.struct(*checked), keep))
+    return d.select("customer_id", s1.alias("stage1"), s2.alias("stage2"), s3.alias("stage3"))
+
+
 @query("contract_validation", _dsql(CONTRACT_SQL))
 def contract_validation(spark, sf_dir):
-    """SC18: contract violations per decision (expected empty arrays)."""
-    d = DC.contract_violations(decided(C.warehouse(spark, sf_dir)))
+    """SC18: contract violations of staged stage outputs, valid and broken ones."""
+    d = DC.contract_violations(_stage_outputs(decided(C.warehouse(spark, sf_dir))))
     return d.select("customer_id", F.array_join("contract_violations", ",").alias("contract_violations"))
 
 
 # -- compliance on the staged outreach drafts (free text from documents) --------
-@query("compliance_staged", with_views(staged_compliance_sql(), "approved_v", "customers_v"))
+def _own_values(w):
+    """Per customer what PERS-001 may find in a message: product names, next rate end."""
+    h = w.customer_products().join(w.products().select("product_id", "product_name"), "product_id")
+    return h.groupBy("customer_id").agg(
+        F.collect_set(F.when(F.col("status") == "active", F.col("product_name"))).alias("product_names"),
+        F.min(F.when(F.col("fixed_rate_end_date") >= w.snap, F.col("fixed_rate_end_date"))).alias("next_rate_end"))
+
+
+def _staged_checked(w):
+    a = w.approved(drafts=True).join(w.customers().select("customer_id", "segment", "age", "region"), "customer_id", "left") \
+        .join(_own_values(w), "customer_id", "left")
+    return DC.compliance(a)
+
+
+@query("compliance_staged", with_views(staged_compliance_sql(), "approved_v", "customers_v", "customer_products_v",
+                                       "products_v"))
 def compliance_staged(spark, sf_dir):
-    """DC9 + DC10 on staged approved-outreach drafts (whole document texts)."""
-    w = C.warehouse(spark, sf_dir)
-    a = w.approved().join(w.customers().select("customer_id", "segment", "age"), "customer_id", "left")
-    d = DC.compliance(a.where(F.col("message_draft").isNotNull()))
+    """DC9 + DC10 on every staged approved row; one without a draft fails the signal,
+    unsubscribe and opt-out rules."""
+    d = _staged_checked(C.warehouse(spark, sf_dir))
     return d.select("id", "status", F.array_join(F.transform("violated_rules", lambda v: v["rule_id"]), ",")
                     .alias("rule_ids"))
 
 
+@query("draft_override", with_views("""
+SELECT id, CASE WHEN id % 3 = 0 AND message_draft IS NOT NULL THEN 'Reviewed: ' || message_draft
+                ELSE message_draft END AS message_draft FROM approved_v""", "approved_v"))
+def draft_override(spark, sf_dir):
+    """DC12: the later stage's draft replaces the earlier one unless it is empty or missing."""
+    a = C.warehouse(spark, sf_dir).approved(drafts=True)
+    k = F.col("id") % 3
+    later = F.when(k == 0, F.concat(F.lit("Reviewed: "), F.col("message_draft"))).when(k == 1, F.lit(""))
+    return DC.merge_drafts(a.withColumn("later", later), "later").select("id", "message_draft")
+
+
 # -- text functions ------------------------------------------------------------------
 _OUT = ("approved_v", "queue_v")
 _BOTH_REASONS = """
@@ -304,21 +355,25 @@ def violation_rules(spark, sf_dir):
 
 
 # -- routed rows as written to the outreach tables (IO10-IO12, DC11) ---------------------
-@query("outreach_approved_rows", _dsql("""
-SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason, confidence, message_draft,
-       0 AS agent1_tokens, 0 AS agent2_tokens, 0 AS agent3_tokens
+@query("outreach_approved_rows", _dsql(f"""
+SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason, confidence,
+       {_translate_sql('message_draft')} AS message_draft,
+       0 AS agent1_tokens, 0 AS agent2_tokens, 0 AS agent3_tokens, TIMESTAMP '2024-01-16 06:00:00' AS approved_at
 FROM outc WHERE outcome = 'approved'"""))
 def outreach_approved_rows(spark, sf_dir):
-    """DC11 / IO11: approved rows as written to the outreach table."""
+    """DC11 / IO10 / IO11: approved rows as written to the outreach table (sanitised, with audit columns)."""
     w = C.warehouse(spark, sf_dir)
-    return DC.approved_rows(decided(w), w.snapshot)
+    return DC.approved_rows(decided(w), w.snapshot, scored_at_col())
 
 
-@query("outreach_queued_rows", _dsql("""
-SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason, message_draft,
-       CAST(to_json(violated_rules) AS VARCHAR) AS violated_rules, '' AS review_notes, 'pending' AS status
+@query("outreach_queued_rows", _dsql(f"""
+SELECT customer_id, DATE '2024-01-16' AS batch_date, offer_id, channel, churn_reason,
+       {_translate_sql('message_draft')} AS message_draft,
+       CAST(to_json(violated_rules) AS VARCHAR) AS violated_rules, '' AS review_notes, 'pending' AS status,
+       CAST(NULL AS VARCHAR) AS reviewed_by, CAST(NULL AS TIMESTAMP) AS reviewed_at,
+       TIMESTAMP '2024-01-16 06:00:00' AS created_at
 FROM outc WHERE outcome = 'queued'"""))
 def outreach_queued_rows(spark, sf_dir):
-    """DC11 / IO12: queued rows with JSON-encoded violations."""
+    """DC11 / IO10 / IO12: queued rows with JSON-encoded violations (sanitised, with audit columns)."""
     w = C.warehouse(spark, sf_dir)
-    return DC.queued_rows(decided(w), w.snapshot)
+    return DC.queued_rows(decided(w), w.snapshot, scored_at_col())

@@ -51,8 +51,8 @@ def marts_refresh(spark, sf_dir):
     w = C.warehouse(spark, sf_dir)
     base = _run_dir(spark, "marts")
     marts = {
-        "approved_outreach": w.approved(),
-        "compliance_review_queue": w.queue(),
+        "approved_outreach": w.approved(drafts=True),
+        "compliance_review_queue": w.queue(drafts=True),
         "customers": C.labelled_customers(w),
         "product_holdings": M.holdings_by_type(w.customer_products(), w.products()),
         "customer_features": FT.feature_mart(w.customers(), C.labels(w), None, None, w.complaints(), w.snapshot,

@@ -76,20 +76,20 @@ mart AS (
          ON c.customer_id = t.customer_id
   LEFT JOIN (SELECT customer_id, count(*) FILTER (WHERE status = 'open') AS co
              FROM complaints_v GROUP BY 1) k ON c.customer_id = k.customer_id),
+vals AS (
+  SELECT 'days_since_last_login' AS feature, churned, days_since_last_login AS v, 25 AS w, 40 AS bins FROM mart
+  UNION ALL SELECT 'competitor_transfer_count', churned, competitor_transfer_count, 1, 20 FROM mart
+  WHERE competitor_transfer_count <= 20
+  UNION ALL SELECT 'complaints_open', churned, complaints_open, 1, 10 FROM mart),
 long AS (
-  SELECT 'days_since_last_login' AS feature, churned,
-         CAST(least(greatest(floor(days_since_last_login / 25.0), 0), 39) AS INTEGER) AS bin, 0.0 AS lo, 25.0 AS w
-  FROM mart WHERE days_since_last_login IS NOT NULL
-  UNION ALL
-  SELECT 'competitor_transfer_count', churned,
-         CAST(least(greatest(floor(competitor_transfer_count / 1.0), 0), 19) AS INTEGER), 0.0, 1.0
-  FROM mart WHERE competitor_transfer_count <= 20
-  UNION ALL
-  SELECT 'complaints_open', churned, CAST(least(greatest(floor(complaints_open / 1.0), 0), 9) AS INTEGER), 0.0, 1.0
-  FROM mart)
+  SELECT feature, churned, w, bins,
+         CASE WHEN v < 0 THEN -1 WHEN v >= w * bins THEN bins ELSE CAST(floor(v / CAST(w AS DOUBLE)) AS INTEGER) END AS bin
+  FROM vals WHERE v IS NOT NULL)
 """, """
-SELECT feature, churned, bin, CAST(min(lo) + bin * min(w) AS DOUBLE) AS bin_start, count(*) AS n
-FROM long GROUP BY feature, churned, bin""",
+SELECT feature, churned, CAST(bin AS INTEGER) AS bin, CAST(CASE WHEN bin >= 0 THEN bin * w END AS DOUBLE) AS bin_start,
+       CASE WHEN bin < 0 THEN '< 0' WHEN bin >= bins THEN '>= ' || CAST(w * bins AS VARCHAR)
+            ELSE CAST(bin * w AS VARCHAR) || ' to < ' || CAST((bin + 1) * w AS VARCHAR) END AS bin_label, count(*) AS n
+FROM long GROUP BY ALL""",
     ("customers_v", "transactions_v", "app_sessions_v", "customer_products_v", "complaints_v"))
 
 

@@ -67,7 +67,7 @@ def _docs_sql(name: str, as_of: str, threshold: float) -> str:
 {name}_e AS (
   SELECT customer_id,
          CAST(count(*) AS VARCHAR) || ' app session(s) in the last 60 days (avg '
-         || printf('%.1f', ((CAST(floor(avg(session_duration_seconds)) AS BIGINT) * 10 + 30) // 60) / 10.0)
+         || format('{{:.1f}}', CAST(floor(avg(session_duration_seconds)) AS BIGINT) / 60.0::DOUBLE)
          || ' min). Last login: ' || strftime(max(session_date), '%Y-%m-%d') || '.' AS engagement_summary
   FROM app_sessions_v
   WHERE session_date >= {as_of} - 60 AND customer_id IN (SELECT customer_id FROM {name}_b)

@@ -51,10 +51,11 @@ KIND_BY_PTYPE = [
 ]
 LANGUAGE_BY_REGION = [("Flanders", "nl"), ("Wallonia", "fr"), ("Brussels", "fr")]
 TX_CHANNELS = ["app", "web", "atm", "branch", "standing_order"]
+COMPLAINT_CATEGORIES = ["card_dispute", "fee_query", "transfer_error", "product_query", "service_quality"]
 VIOLATIONS_BY_MOD4 = [
     (0, "[]"),
     (1, '[{"rule_id": "BT-001", "severity": "hard_block", "finding": "urgency phrase"}]'),
-    (2, '[{"rule_id": "CH-001", "severity": "hard_block", "finding": "no unsubscribe line"}, "BT-005"]'),
+    (2, '[{"rule_id": "CH-001", "severity": "hard_block", "finding": "no unsubscribe line"}, "BT-005", "XX-999"]'),
     (3, "[bad json"),
 ]
 
@@ -127,15 +128,13 @@ class Warehouse:
         )
 
     def customer_products(self) -> DataFrame:
-        li = (self.raw("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                    "l_returnflag", "l_shipdate"])
-              .where((F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "A")))
+        li = self.raw("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"])
         o = self.raw("orders", ["o_orderkey", "o_custkey"])
         p = self.raw("part", ["p_partkey", "p_type"])
         j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
         closed = F.col("l_suppkey") % 4 == 0
         return j.select(
-            F.col("l_orderkey").alias("id"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("p_type").alias("product_id"),
             F.date_add(F.lit(self.fold_start),
@@ -195,7 +194,7 @@ class Warehouse:
             F.col("user_id").alias("customer_id"),
             opened.alias("opened_date"),
             F.when(~is_open, F.date_add(opened, res_days)).alias("closed_date"),
-            F.concat(F.lit("cat"), (F.col("event_id") % 5).cast("string")).alias("category"),
+            case_map(F.col("event_id") % 5, list(enumerate(COMPLAINT_CATEGORIES))).alias("category"),
             F.when(is_open, F.lit("open")).otherwise(F.lit("resolved")).alias("status"),
             F.when(~is_open, res_days).alias("resolution_days"),
         )
@@ -222,44 +221,47 @@ class Warehouse:
         )
 
     # -- outreach tables ---------------------------------------------------------
-    def _outreach_base(self, approved: bool) -> DataFrame:
+    def _outreach_base(self, approved: bool, drafts: bool) -> DataFrame:
+        """Outreach rows; documents are joined only where the drafts are read."""
         o = self.raw("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
         o = o.where(F.col("o_orderstatus") != "F") if approved else o.where(F.col("o_orderstatus") == "F")
-        d = self.raw("documents", ["doc_id", "text"])
         key = F.col("o_orderkey")
-        base = o.join(d, o.o_orderkey == d.doc_id, "left")
-        return base.select(
+        if drafts:
+            d = self.raw("documents", ["doc_id", "text"])
+            o = o.join(d, o.o_orderkey == d.doc_id, "left").withColumnRenamed("text", "message_draft")
+        return o.select(
             key.alias("id"),
             F.col("o_custkey").alias("customer_id"),
             F.trunc(F.col("o_orderdate").cast("date"), "month").alias("batch_date"),
             F.concat(F.lit("PR-"), F.lpad((F.lit(1) + key % 25).cast("string"), 3, "0")).alias("offer_id"),
             F.when(key % 3 == 0, F.lit("call")).otherwise(F.lit("email")).alias("channel"),
             case_map(F.col("o_orderpriority"), DIRTY_REASON_BY_PRIORITY).alias("churn_reason"),
-            F.col("text").alias("message_draft"),
+            *(["message_draft"] if drafts else []),
             F.col("o_orderdate").cast("timestamp_ntz").alias("event_ts"),
         )
 
-    def approved(self) -> DataFrame:
-        b = self._outreach_base(True)
+    def approved(self, drafts: bool = False) -> DataFrame:
+        b = self._outreach_base(True, drafts)
         key = F.col("id")
         conf = F.when(key % 5 == 0, F.lit(None).cast("string")).otherwise(
             case_map(key % 3, [(0, "high"), (1, "medium"), (2, "low")]))
         return b.select(
             "id", "customer_id", "batch_date", "offer_id", "channel", "churn_reason",
-            conf.alias("confidence"), "message_draft",
+            conf.alias("confidence"), *(["message_draft"] if drafts else []),
             (F.lit(100) + key % 700).cast("int").alias("agent1_tokens"),
             (F.lit(200) + key % 900).cast("int").alias("agent2_tokens"),
             (F.lit(300) + key % 500).cast("int").alias("agent3_tokens"),
             F.col("event_ts").alias("approved_at"),
         )
 
-    def queue(self) -> DataFrame:
-        b = self._outreach_base(False)
+    def queue(self, drafts: bool = False) -> DataFrame:
+        b = self._outreach_base(False, drafts)
         key = F.col("id")
         status = case_map(key % 5, [(0, "approved"), (1, "rejected")], "pending")
         reviewed = status != "pending"
         return b.select(
-            "id", "customer_id", "batch_date", "offer_id", "channel", "churn_reason", "message_draft",
+            "id", "customer_id", "batch_date", "offer_id", "channel", "churn_reason",
+            *(["message_draft"] if drafts else []),
             case_map(key % 4, VIOLATIONS_BY_MOD4).alias("violated_rules"),
             F.lit(None).cast("string").alias("review_notes"),
             status.alias("status"),

@@ -31,7 +31,7 @@ CASES = {
                   "email", "PR-019", "standard", 40),
     "MIFID-002": (OK_EMAIL + " " + DC.RISK_DISCLOSURE + " 14-day", "email", "PR-019", "standard", 70),
     "MIFID-003": (OK_EMAIL.replace("thank you", "compared to the market average"), "email", None, "standard", 40),
-    "PERS-001": (OK_EMAIL.replace("As you have been with us for 4 years", "Hi"), "email", None, "standard", 40),
+    "PERS-001": (OK_EMAIL.replace("As you have been with us for 4 years", "Your fixed rate ends"), "email", None, "standard", 40),
     "PERS-002": (OK_EMAIL, "email", "PR-005", "student", 40),
     "PERS-003": (OK_EMAIL, "email", "PR-004", "standard", 40),
     "CH-001": (OK_EMAIL.replace(DC.UNSUBSCRIBE_LINE, ""), "email", None, "standard", 40),
@@ -153,3 +153,62 @@ def test_disclosure_modes(spark):
     equiv_ids, equiv_status = ids("equivalent")
     assert "FSMA-002" in strict_ids and strict_status == "fail"
     assert "FSMA-002" not in equiv_ids
+
+
+def _ids(spark, rows, **columns):
+    schema = "message_draft string, channel string, offer_id string, segment string, age int, region string, " \
+             "next_rate_end date, product_names array<string>"
+    out = DC.compliance(spark.createDataFrame(rows, schema))
+    return [[v.rule_id for v in r.violated_rules] for r in out.collect()]
+
+
+def test_own_values_are_personal_signals(spark):
+    plain = OK_EMAIL.replace("As you have been with us for 4 years", "Hi")
+    end = dt.date(2024, 5, 1)
+    row = lambda text: (text, "email", None, "standard", 40, "Flanders", end, ["Promo product"])
+    got = _ids(spark, [row(plain), row(plain + " in flanders"), row(plain + " until 2024-05-01"),
+                       row(plain + " your PROMO product"), row(plain + " in Wallonia until 2024-06-01")])
+    assert ["PERS-001" in g for g in got] == [True, False, False, False, True]
+
+
+def test_opening_of_a_call_is_counted_in_words(spark):
+    filler = lambda n: " ".join(["word"] * n)
+    opt = "stop contacting you"
+    row = lambda text: (text, "call", None, "standard", 40, None, None, None)
+    w = DC.OPENING_WORDS
+    got = _ids(spark, [row(f"loyalty call {filler(w - 5)} {opt} since you joined"),
+                       row(f"loyalty call {filler(w - 4)} {opt} since you joined"),
+                       row(f"{opt} {filler(w - 5)} loyalty call since you joined"),
+                       row(f"{opt} {filler(w - 4)} loyalty call since you joined")])
+    assert ["CH-002" in g for g in got] == [False, True, False, False]
+    assert ["CH-003" in g for g in got] == [False, False, False, True]
+
+
+def test_line_breaks_do_not_hide_a_disclosure(spark):
+    text = OK_EMAIL + " value can go down as well as up.\nPast performance is no guide. 14-day"
+    df = spark.createDataFrame([(text, "email", "PR-019", "standard", 40)],
+                               "message_draft string, channel string, offer_id string, segment string, age int")
+    assert "FSMA-002" not in [v.rule_id for v in DC.compliance(df, disclosure_mode="equivalent").first().violated_rules]
+
+
+def test_amounts_keep_ranges_and_ceilings():
+    assert DC.offer_value("PR-001") == "up to €96" and DC.offer_value("PR-008") == "typically €30 to €90"
+    assert DC.offer_value("PR-014") == "€4 to €15" and DC.offer_value("PR-020") == "€100 plus up to €96"
+    assert DC.offer_value("PR-009") == ""
+
+
+def test_written_rows_are_sanitised_and_have_audit_columns(spark):
+    df = spark.createDataFrame([(1, "PR-001", "call", "inactivity", "low", "a — “b”", "approved", [], 7),
+                                (2, None, "call", "inactivity", "low", "c — d", "queued", [], None)],
+                               "customer_id long, offer_id string, channel string, churn_reason string, confidence string, "
+                               "message_draft string, outcome string, violated_rules array<string>, agent1_tokens int")
+    a = DC.approved_rows(df, dt.date(2024, 1, 1)).first()
+    assert "—" not in a.message_draft and "“" not in a.message_draft
+    assert (a.agent1_tokens, a.agent2_tokens) == (7, 0) and a.approved_at is not None
+    q = DC.queued_rows(df, dt.date(2024, 1, 1)).first()
+    assert "—" not in q.message_draft and q.created_at is not None and q.reviewed_by is None and q.reviewed_at is None
+
+
+def test_later_draft_wins_unless_empty(spark):
+    df = spark.createDataFrame([(1, "a", "b"), (2, "a", ""), (3, "a", None)], "id int, message_draft string, later string")
+    assert [r.message_draft for r in DC.merge_drafts(df, "later").orderBy("id").collect()] == ["b", "a", "a"]

@@ -66,3 +66,17 @@ def test_violation_ids(spark):
     assert out == [[], ["BT-001"], ["CH-001", "BT-005"], [], ["unknown"]]
     dropped = [r[0] for r in df.select(TX.violation_ids(F.col("v"), None)).collect()]
     assert dropped[4] == []
+
+
+def test_rounding_of_binary_quotients(spark):
+    from moorline.functions.numeric import round_half_even_binary
+    got = {r.id: r.x for r in spark.range(0, 8000).select("id", round_half_even_binary(F.col("id"), 60).alias("x")).collect()}
+    assert all(got[n] == round(n / 60, 1) for n in got)
+    assert got[9] == 0.1 and got[15] == 0.2
+
+
+def test_text_that_only_begins_like_a_list(spark):
+    from moorline.functions.text import normalize_reason
+    df = spark.createDataFrame([("[bad rate reset",), ('["inactivity", "x"]',), ("[]",), (None,)], "s string")
+    assert [r[0] for r in df.select(normalize_reason(F.col("s"))).collect()] == \
+        ["product_lifecycle", "inactivity", "unknown", "unknown"]
