@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import BROADCAST_ROWS, cut, without, work_uri
+from .common import BROADCAST_ROWS, cut, without, work_uri, written
 
 # State on disk; all state partitions of an executor share one bounded cache and
 # write buffer, so memory doesn't grow with the number of partitions or keys, and
@@ -114,10 +114,11 @@ def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """Digests with a row whose bytes differ from the retained content.  Only rows
     of digests that occurred more than once are compared (their digests are
     broadcast up to a checked number, so that other texts stay where they are);
-    the retained side has one row per digest, so a hot digest is split by rows."""
+    the retained side has one row per digest and is a table of its own, so that the
+    join can split a hot digest by its rows."""
     again = rows.join(hits, "digest")
-    retained = again.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest") \
-        .agg(F.min("text").alias("retained"))
+    retained = written(again.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
+                       .agg(F.min("text").alias("retained")), "retained")
     return cut(again.select("digest", "text").join(retained, "digest")
                .where(F.col("text") != F.col("retained")).select("digest").distinct())
 
