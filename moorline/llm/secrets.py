@@ -106,7 +106,8 @@ class BlobLedger:
             .select("digest", F.array_except(key_array, "seen").alias("missing"))
         # One row per blob is read: rows of repeated blobs other than the first go, and so do
         # blobs for which nothing is missing.
-        first = paths.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # Tables of their own, so that the joins with them can split a hot digest by its rows.
+        first = cut(paths.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
         repeats = cut(paths.join(first, "digest").where("row != first").select("row"))
         known = cut(seen)
         todo = rows.join(broadcast_if_bounded(repeats, BROADCAST_ROWS), "row", "left_anti") \
@@ -123,7 +124,7 @@ class BlobLedger:
             .withColumn("found", F.filter(valid, lambda x: F.exists(
                 "rules", lambda k: F.array_contains(key_array, k) & (F.substring_index(k, "@", 1) == x["kind"])))) \
             .where(F.size("found") > 0).groupBy("digest").agg(F.flatten(F.collect_list("found")).alias("found"))
-        return paths.join(hits, "digest", "left").select("doc_id", "digest", F.coalesce("found", none).alias("found"))
+        return paths.join(cut(hits), "digest", "left").select("doc_id", "digest", F.coalesce("found", none).alias("found"))
 
 
 def scan(docs: DataFrame, rules: list[Rule] = RULES, id_col="doc_id", text_col="text") -> DataFrame:
