@@ -226,7 +226,7 @@ def _rest_links(members: DataFrame, sets: DataFrame, num: int, den: int, block:
     size = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("rest").cast("int")).alias("n_rest")) \
         .select("grp", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
                 F.ceil(F.col("n_rest") / block).cast("int").alias("rest_blocks"))
-    rows = members.join(size, "grp")
+    rows = members.join(broadcast_if_bounded(cut(size), BROADCAST_ROWS), "grp")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     own_rest = F.pmod(F.xxhash64("cid"), F.col("rest_blocks")).cast("int")
     z = rows.select("grp", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), own.alias("j"),
