@@ -5,7 +5,7 @@ without ``partitionBy`` would pull every row into one task, so the prefix sum
 is computed in two passes:
 
 1. rows are cut into ``buckets`` value ranges by approximate quantiles (one
-   aggregate; the boundary array has a fixed size ``buckets``),
+   aggregate; the boundary array has ``buckets`` - 1 numbers),
 2. per-bucket totals (at most ``buckets`` rows, so their own running total is
    cheap and the result is broadcast with a proven bound) give each bucket's
    offset; inside a bucket a window partitioned by bucket finishes the job.
@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 
 from .joins import bounded
 
-DEFAULT_BUCKETS = 256
+# The number of value ranges follows the number of rows (one per distinct value).
+ROWS_PER_BUCKET, LEAST_BUCKETS = 1_000_000, 16
 MAX_BROADCAST_GROUPS = 1_000
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_cols=(),
-                buckets: int = DEFAULT_BUCKETS, inclusive: bool = True,
+                buckets: int | None = None, inclusive: bool = True,
                 with_prev: bool = False) -> DataFrame:
     """Add ``cum_<v>`` = running sum of ``v`` in ``order_col`` order (per
     ``partition_cols`` group), inclusive or exclusive of the current row.
@@ -35,6 +36,8 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     group's global order (NULL for the first).  ``order_col`` must be unique
     within a group."""
     parts = list(partition_cols)
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
     qs = [i / buckets for i in range(1, buckets)]
     dummy = not parts
     if dummy:

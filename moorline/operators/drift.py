@@ -9,8 +9,8 @@ Input is long format ``(feature, value, period)``.  Two metrics per feature:
 * Jensen-Shannon divergence (base 2, in [0, 1]) on ``bins`` shared
   equal-width bins spanning both windows.
 
-Per-feature totals and bin edges are one row per feature (a handful), joined
-back with a broadcast whose size is fixed by the feature list.
+Per-feature totals and bin edges are one row per feature, joined back with a
+broadcast below a checked number of features.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.joins import broadcast_if_bounded
 from ..functions.ordered import prefix_sums
+from ..session import materialize
 
 
 def event_drift_input(events: DataFrame, split: dt.datetime,
@@ -49,21 +51,33 @@ def feature_drift_input(ref_features: DataFrame, prod_features: DataFrame,
         .where(F.col("value").isNotNull())
 
 
-def _counts(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature", "value").agg(
+def counts(long: DataFrame) -> DataFrame:
+    """One row per (feature, value) with its count in both windows.  All metrics are
+    computed from this table, which is materialised: the input is read once."""
+    return materialize(long.groupBy("feature", "value").agg(
         F.count(F.when(F.col("period") == "reference", 1)).alias("ref_n"),
-        F.count(F.when(F.col("period") == "production", 1)).alias("prod_n"))
-
-
-def wasserstein(long: DataFrame, places: int = 6) -> DataFrame:
-    g = _counts(long)
-    c = prefix_sums(g, "value", ["ref_n", "prod_n"], partition_cols=["feature"], inclusive=False,
-                    with_prev=True)
-    stats = long.groupBy("feature").agg(
-        F.count(F.when(F.col("period") == "reference", 1)).alias("n_reference"),
-        F.count(F.when(F.col("period") == "production", 1)).alias("n_production"),
-        F.stddev_pop(F.when(F.col("period") == "reference", F.col("value"))).alias("ref_stddev"))
-    j = c.join(F.broadcast(stats), "feature")
+        F.count(F.when(F.col("period") == "production", 1)).alias("prod_n")))
+
+
+def _totals(c: DataFrame) -> DataFrame:
+    """Per feature: window sizes, value range and population deviation of the reference
+    (sum of squares about the mean, in a second pass over the counts)."""
+    t = c.groupBy("feature").agg(
+        F.sum("ref_n").alias("n_reference"), F.sum("prod_n").alias("n_production"),
+        (F.sum(F.col("value") * F.col("ref_n")) / F.nullif(F.sum("ref_n"), F.lit(0))).alias("ref_mean"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"))
+    d = c.join(broadcast_if_bounded(t.select("feature", "ref_mean")), "feature").groupBy("feature").agg(
+        F.sum(F.col("ref_n") * F.pow(F.col("value") - F.col("ref_mean"), 2)).alias("squares"))
+    return t.join(d, "feature").withColumn(
+        "ref_stddev", F.sqrt(F.col("squares") / F.nullif(F.col("n_reference"), F.lit(0)))).drop("squares", "ref_mean")
+
+
+def wasserstein(c: DataFrame, places: int = 6, totals: DataFrame | None = None) -> DataFrame:
+    """Normalised Wasserstein-1 per feature from ``counts``."""
+    totals = totals if totals is not None else materialize(_totals(c))
+    cum = prefix_sums(c, "value", ["ref_n", "prod_n"], partition_cols=["feature"], inclusive=False,
+                      with_prev=True)
+    j = cum.join(broadcast_if_bounded(totals), "feature")
     gap = F.col("value") - F.col("prev_value")
     diff = F.abs(F.col("cum_ref_n") / F.nullif(F.col("n_reference"), F.lit(0))
                  - F.col("cum_prod_n") / F.nullif(F.col("n_production"), F.lit(0)))
@@ -78,20 +92,17 @@ def wasserstein(long: DataFrame, places: int = 6) -> DataFrame:
     )
 
 
-def jensen_shannon(long: DataFrame, bins: int = 20, places: int = 6) -> DataFrame:
-    edges = long.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.count(F.when(F.col("period") == "reference", 1)).alias("nr"),
-        F.count(F.when(F.col("period") == "production", 1)).alias("np"))
+def jensen_shannon(c: DataFrame, bins: int = 20, places: int = 6, totals: DataFrame | None = None) -> DataFrame:
+    """Jensen-Shannon divergence per feature from ``counts``."""
+    totals = totals if totals is not None else materialize(_totals(c))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    h = (long.join(F.broadcast(edges), "feature").withColumn("bin", b)
-         .groupBy("feature", "bin", "nr", "np").agg(
-             F.count(F.when(F.col("period") == "reference", 1)).alias("rc"),
-             F.count(F.when(F.col("period") == "production", 1)).alias("pc")))
-    p = F.col("rc") / F.nullif(F.col("nr"), F.lit(0))
-    q = F.col("pc") / F.nullif(F.col("np"), F.lit(0))
+    h = (c.join(broadcast_if_bounded(totals), "feature").withColumn("bin", b)
+         .groupBy("feature", "bin", "n_reference", "n_production").agg(
+             F.sum("ref_n").alias("rc"), F.sum("prod_n").alias("pc")))
+    p = F.col("rc") / F.nullif(F.col("n_reference"), F.lit(0))
+    q = F.col("pc") / F.nullif(F.col("n_production"), F.lit(0))
     m = (p + q) / 2
 
     def kl_term(x):
@@ -102,8 +113,10 @@ def jensen_shannon(long: DataFrame, bins: int = 20, places: int = 6) -> DataFram
 
 def drift_report(long: DataFrame, threshold: float = K.DRIFT_THRESHOLD, bins: int = 20) -> DataFrame:
     """ML15: both metrics per feature and the drift flag (normalised W1 > threshold)."""
-    w = wasserstein(long)
-    js = jensen_shannon(long, bins)
+    c = counts(long)
+    totals = materialize(_totals(c))
+    w = wasserstein(c, totals=totals)
+    js = jensen_shannon(c, bins, totals=totals)
     return w.join(js, "feature", "left").withColumn(
         "drifted", F.coalesce(F.col("wasserstein_norm") > F.lit(threshold), F.lit(False)))
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.joins import broadcast_if_bounded
 from ..functions.ordered import prefix_sums
+from ..session import materialize
 
 
 def confusion(scored: DataFrame, threshold: float = K.HIGH_RISK_THRESHOLD,
@@ -50,10 +52,17 @@ def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFr
 def binary_metrics(scored: DataFrame, threshold: float = K.HIGH_RISK_THRESHOLD,
                    label: str = "label", score: str = "score", places: int = 4) -> DataFrame:
     """ML7 + ML8: precision, recall, f1 (zero division -> 0), auc, false positive rate."""
-    cm = confusion(scored, threshold, label, score)
-    a = auc(scored, label, score)
+    # Counts per distinct score hold both the confusion counts and the rank sums.
+    pred, pos = F.col(score) >= F.lit(threshold), F.col(label) == 1
+    g = materialize(scored.groupBy(F.col(score).alias("s")).agg(
+        F.count(F.when(pos, 1)).alias("pos"), F.count(F.when(~pos, 1)).alias("neg"),
+        F.count(F.when(pred & pos, 1)).alias("tp"), F.count(F.when(pred & ~pos, 1)).alias("fp"),
+        F.count(F.when(~pred & ~pos, 1)).alias("tn"), F.count(F.when(~pred & pos, 1)).alias("fn")))
+    c = prefix_sums(g, "s", ["neg"], inclusive=False)
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
-    m = cm.withColumn("_k", F.lit(0)).join(a.withColumn("_k", F.lit(0)), "_k").select(
+    m = c.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tp", "fp", "tn", "fn")],
+              (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5))
+               / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc")).select(
         F.bround(_ratio(tp, tp + fp), places).alias("precision"),
         F.bround(_ratio(tp, tp + fn), places).alias("recall"),
         F.bround(_ratio(2 * tp, 2 * tp + fp + fn), places).alias("f1"),
@@ -99,13 +108,14 @@ def quality_alerts(scored: DataFrame, as_of, window_days: int = K.DRIFT_WINDOW_D
     scored-and-labelled rows; one row per metric with its alert flag."""
     d = F.col(date_col)
     recent = scored.where((d > F.date_sub(F.lit(as_of), window_days)) & (d <= F.lit(as_of)))
-    m = binary_metrics(recent, threshold)
-    rows = [m.select(F.lit("precision").alias("metric"), F.col("precision").alias("value"),
+    tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
+    m = confusion(recent, threshold).select(
+        F.explode(F.array(
+            F.struct(F.lit("precision").alias("metric"), F.bround(_ratio(tp, tp + fp), 4).alias("value"),
                      F.lit(precision_alert).alias("threshold")),
-            m.select(F.lit("recall").alias("metric"), F.col("recall").alias("value"),
-                     F.lit(recall_alert).alias("threshold"))]
-    u = reduce(DataFrame.unionByName, rows)
-    return u.withColumn("alert", F.col("value") < F.col("threshold"))
+            F.struct(F.lit("recall").alias("metric"), F.bround(_ratio(tp, tp + fn), 4).alias("value"),
+                     F.lit(recall_alert).alias("threshold")))).alias("m")).select("m.*")
+    return m.withColumn("alert", F.col("value") < F.col("threshold"))
 
 
 def hash_unit(key, seed: int = 42):
@@ -114,13 +124,34 @@ def hash_unit(key, seed: int = 42):
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def stratified_split(df: DataFrame, key: str = "customer_id", label: str = "label",
-                     test_fraction: float = 0.2, seed: int = 42) -> DataFrame:
-    """ML2: per-row hash cut at ``test_fraction``; independent of partitioning,
-    reproducible after executor loss, stratified in expectation per class.
-    Adds ``split`` in {train, test}; ``split_counts`` reports per-class sizes."""
+def class_cuts(df: DataFrame, key: str, label: str, fractions: list[float], seed: int = 42) -> DataFrame:
+    """Per class the hash value up to which the first ``fractions[i]`` of its rows lie
+    (columns ``cut_<i>``, -1 for none).  Ranks come from a distributed prefix sum over
+    the hash values of each class."""
+    g = df.select(F.col(label).alias("_class"), hash_unit(F.col(key), seed).alias("u")) \
+        .groupBy("_class", "u").agg(F.count(F.lit(1)).alias("n")).where(F.col("_class").isNotNull())
+    g = materialize(g)
+    c = prefix_sums(g, "u", ["n"], partition_cols=["_class"])
+    sizes = g.groupBy("_class").agg(F.sum("n").alias("total"))
+    j = c.join(broadcast_if_bounded(sizes), "_class")
+    return j.groupBy("_class").agg(*[
+        F.coalesce(F.max(F.when(F.col("cum_n") <= F.floor(F.col("total") * F.lit(f) + 0.5), F.col("u"))), F.lit(-1.0))
+        .alias(f"cut_{i}") for i, f in enumerate(fractions)])
+
+
+def stratified_split(df: DataFrame, key: str = "customer_id", label: str = "label", test_fraction: float = 0.2,
+                     validation_fraction: float = 0.0, seed: int = 42) -> DataFrame:
+    """ML2: of every class the rows with the lowest key hashes are the test set (exactly
+    ``test_fraction`` of the class, to the nearest row), the next ones the validation
+    set.  Independent of partitioning and reproducible after executor loss.  Adds
+    ``split``; rows without a label train."""
+    cuts = broadcast_if_bounded(materialize(class_cuts(
+        df, key, label, [test_fraction, test_fraction + validation_fraction], seed)))
     u = hash_unit(F.col(key), seed)
-    return df.withColumn("split", F.when(u < test_fraction, F.lit("test")).otherwise(F.lit("train")))
+    return df.join(cuts, df[label] == F.col("_class"), "left").withColumn(
+        "split", F.when(u <= F.col("cut_0"), F.lit("test"))
+        .when(F.lit(validation_fraction > 0) & (u <= F.col("cut_1")), F.lit("validation"))
+        .otherwise(F.lit("train"))).drop("_class", "cut_0", "cut_1")
 
 
 def split_counts(split_df: DataFrame, label: str = "label") -> DataFrame:

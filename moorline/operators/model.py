@@ -20,20 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .metrics import hash_unit
+from .metrics import stratified_split
 
 GBT_PARAMS = dict(maxIter=500, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=42, maxBins=64)
 EARLY_STOPPING_ROUNDS = 50
+FIRST_TREES = 100
 
 
 def with_splits(df: DataFrame, key: str = "customer_id", test_fraction: float = 0.2,
-                val_fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Hash-based train/validation/test assignment (stable under recomputation)."""
-    u = hash_unit(F.col(key), seed)
-    return df.withColumn(
-        "split", F.when(u < test_fraction, "test")
-        .when(u < test_fraction + val_fraction, "validation").otherwise("train"))
+                val_fraction: float = 0.1, seed: int = 42, label: str = "churned") -> DataFrame:
+    """Stratified train/validation/test assignment by key hash (stable under recomputation)."""
+    return stratified_split(df, key, label, test_fraction, val_fraction, seed)
 
 
 def best_iteration(losses: list[float], rounds: int) -> int:
@@ -65,15 +63,22 @@ def fit_gbt(model_ready: DataFrame, label: str = "churned", params: dict | None
         gbt = GBTClassifier(featuresCol="features", labelCol="label", **{**p, "maxIter": n})
         return Pipeline(stages=[assembler, gbt]).fit(train)
 
-    model = fit(p["maxIter"])
+    val = None
     if early_stopping_rounds:
         val = assembler.transform(model_ready.where(F.col("split") == "validation").select(*cols))
-        if val.limit(1).count():
-            losses = model.stages[-1].evaluateEachIteration(val)
-            k = best_iteration(losses, early_stopping_rounds)
-            if k < p["maxIter"]:
-                model = fit(k)
-    return model
+        if val.isEmpty():
+            val = None
+    if val is None:
+        return fit(p["maxIter"])
+    # The first n trees do not depend on maxIter, so the fit grows until the patience has
+    # run out; the result is that of a fit with all maxIter trees.
+    n = min(FIRST_TREES, p["maxIter"])
+    while True:
+        model = fit(n)
+        k = best_iteration(model.stages[-1].evaluateEachIteration(val), early_stopping_rounds)
+        if n == p["maxIter"] or k + early_stopping_rounds <= n:
+            return model if k == n else fit(k)
+        n = min(2 * n, p["maxIter"])
 
 
 def score(model: PipelineModel, model_ready: DataFrame, model_version: str,
@@ -148,13 +153,8 @@ def linear_score_col(weights: dict | None = None, intercept: float = LINEAR_INTE
 def score_linear(model_ready: DataFrame, weights: dict | None = None,
                  intercept: float = LINEAR_INTERCEPT, places: int | None = 6) -> DataFrame:
     """Logistic score with fixed coefficients: a pure projection, fully codegen'd."""
-    w = weights or LINEAR_WEIGHTS
-    z = F.lit(intercept)
-    for c, coef in w.items():
-        z = z + F.col(c).cast("double") * F.lit(coef)
-    p = 1.0 / (1.0 + F.exp(-z))
     return model_ready.select("customer_id", "segment", "region",
-                              (F.round(p, places) if places is not None else p).alias("churn_score"))
+                              linear_score_col(weights, intercept, places).alias("churn_score"))
 
 
 def request_schema():

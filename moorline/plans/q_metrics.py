@@ -93,12 +93,13 @@ def production_quality_alerts(spark, sf_dir):
     return MT.quality_alerts(C.warehouse(spark, sf_dir).scored(), _AS_OF)
 
 
-@query("split_stratified", sql_with("x AS (SELECT 1)", """
-SELECT customer_id, label,
-       CASE WHEN CAST(('0x' || substr(md5('42:' || CAST(customer_id AS VARCHAR)), 1, 8)) AS BIGINT)
-                 / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END AS split
-FROM scored_v""", _SV))
+@query("split_stratified", sql_with("""
+h AS (SELECT customer_id, label,
+             CAST(('0x' || substr(md5('42:' || CAST(customer_id AS VARCHAR)), 1, 8)) AS BIGINT) AS u FROM scored_v),
+r AS (SELECT *, count(*) OVER (PARTITION BY label ORDER BY u) AS rk, count(*) OVER (PARTITION BY label) AS n FROM h)
+""", """
+SELECT customer_id, label, CASE WHEN rk <= floor(n * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS split FROM r""", _SV))
 def split_stratified(spark, sf_dir):
-    """ML2: hash-based 80/20 split."""
+    """ML2: stratified 80/20 split, exact per class."""
     s = C.warehouse(spark, sf_dir).scored()
     return MT.stratified_split(s).select("customer_id", "label", "split")

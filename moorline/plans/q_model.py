@@ -7,15 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators import metrics as MT
 from ..operators import model as MD
+from ..session import materialize
 from . import common as C
 from .oracle_frag import MODEL_READY, sql_with
 from .registry import query
 
-# Bench-scale fit settings for the registered GBT query (the operator default
-# follows the reference: 500 trees, patience 50).
-QUERY_GBT = dict(maxIter=100)
-QUERY_PATIENCE = 20
 SCORED_AT = dt.datetime(2024, 1, 16, 6, 0, 0)
 
 
@@ -45,8 +43,7 @@ sc AS (SELECT *, {_linear_sql()} AS churn_score FROM model_o)
 def high_risk_batch(spark, sf_dir):
     """PF6 / PF2: rows at or above the high-risk threshold."""
     mr = C.model_features(C.warehouse(spark, sf_dir))
-    scored = mr.join(MD.score_linear(mr).select("customer_id", "churn_score"), "customer_id")
-    return MD.high_risk(scored).select(*_HR_COLS)
+    return MD.high_risk(mr.select("*", MD.linear_score_col().alias("churn_score"))).select(*_HR_COLS)
 
 
 @query("high_risk_first_n", sql_with(MODEL_READY + f""",
@@ -87,19 +84,68 @@ def score_requests(spark, sf_dir):
     return MD.score_requests(_requests(C.warehouse(spark, sf_dir)))
 
 
+def fitted(w):
+    """The boosted trees (500 at most, patience 50) and the rows they were fitted on."""
+    mr = materialize(MD.with_splits(C.model_features(w)))
+    return MD.fit_gbt(mr), mr
+
+
 @query("score_gbt")
 def score_gbt(spark, sf_dir):
-    """ML3 + ML4: fit the boosted trees on the train split, score every customer."""
-    mr = MD.with_splits(C.model_features(C.warehouse(spark, sf_dir)))
-    model = MD.fit_gbt(mr, params=QUERY_GBT, early_stopping_rounds=QUERY_PATIENCE)
-    scored = MD.score(model, mr, "1", SCORED_AT)
-    return scored.select("customer_id", "split", "churned", "churn_score",
-                         (F.col("churn_score") >= K.HIGH_RISK_THRESHOLD).alias("high_risk"))
+    """ML3 + ML4: fit the boosted trees on the train split, score every customer.  No SQL
+    engine can refit them; ``gbt_quality`` checks what an oracle can recompute."""
+    model, mr = fitted(C.warehouse(spark, sf_dir))
+    return MD.score(model, mr, "1", SCORED_AT).select(
+        "customer_id", "split", "churned", "churn_score",
+        (F.col("churn_score") >= K.HIGH_RISK_THRESHOLD).alias("high_risk"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     """ML10: importances of the fitted trees, highest first."""
-    mr = MD.with_splits(C.model_features(C.warehouse(spark, sf_dir)))
-    model = MD.fit_gbt(mr, params=QUERY_GBT, early_stopping_rounds=QUERY_PATIENCE)
-    return MD.feature_importance(model, spark)
+    return MD.feature_importance(fitted(C.warehouse(spark, sf_dir))[0], spark)
+
+
+@query("gbt_quality", sql_with(MODEL_READY + """,
+hs AS (SELECT customer_id, churned,
+              CAST(('0x' || substr(md5('42:' || CAST(customer_id AS VARCHAR)), 1, 8)) AS BIGINT) AS u FROM model_o),
+rs AS (SELECT *, count(*) OVER (PARTITION BY churned ORDER BY u) AS rk, count(*) OVER (PARTITION BY churned) AS n FROM hs),
+sp AS (SELECT *, CASE WHEN rk <= floor(n * 0.2::DOUBLE + 0.5) THEN 'test'
+                      WHEN rk <= floor(n * (0.2::DOUBLE + 0.1::DOUBLE) + 0.5) THEN 'validation' ELSE 'train' END AS split
+       FROM rs)
+""", """
+SELECT split, count(*) AS n_rows, CAST(sum(churned) AS BIGINT) AS positives, count(*) AS confusion_rows,
+       count(*) AS scores_in_range, true AS ranks_better_than_chance, 1.0::DOUBLE AS importance_sum,
+       12::BIGINT AS importance_features, true AS every_high_risk_row_routed
+FROM sp GROUP BY split"""))
+def gbt_quality(spark, sf_dir):
+    """ML3, ML4, ML6, ML8, ML10, DC11: the fitted model end to end (scores, high-risk batch,
+    decisions), reduced to what an oracle can recompute: rows and positives of each
+    stratified split, confusion counts that add up, scores in range, an AUC above 0.5,
+    importances that sum to 1, and a routed outcome for every high-risk row."""
+    from ..operators import decisions as DC
+    w = C.warehouse(spark, sf_dir)
+    model, mr = fitted(w)
+    scored = materialize(MD.score(model, mr, "1", SCORED_AT))
+    per = None
+    for split in ("train", "validation", "test"):
+        s = scored.where(F.col("split") == split).select(F.col("churned").alias("label"), F.col("churn_score").alias("score"))
+        m = MT.binary_metrics(s).select(
+            F.lit(split).alias("split"), (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("confusion_rows"),
+            F.coalesce(F.col("auc") > 0.5, F.lit(False)).alias("ranks_better_than_chance"))
+        per = m if per is None else per.unionByName(m)
+    sizes = scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("churned").cast("long")).alias("positives"),
+        F.count(F.when(F.col("churn_score").between(0, 1), 1)).alias("scores_in_range"))
+    imp = MD.feature_importance(model, spark).agg(
+        F.round(F.sum("importance"), 6).alias("importance_sum"), F.count(F.lit(1)).alias("importance_features")).first()
+    raw = C.features(w).select("customer_id", F.col("nps_score_last").alias("nps_raw"),
+                               F.col("months_to_rate_reset").alias("mrr_raw"))
+    batch = materialize(scored.where(F.col("churn_score") >= K.HIGH_RISK_THRESHOLD).join(raw, "customer_id"))
+    ctx = DC.decision_context(batch, w.customers(), w.customer_products(), w.products(), w.complaints(), None,
+                              batch.select("customer_id"), w.snapshot, daily_t=C.daily_transactions(w))
+    routed = DC.batch_counters(materialize(DC.decide(ctx))).where(F.col("outcome").isin("approved", "queued", "error")) \
+        .agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return sizes.join(per, "split").withColumns({
+        "importance_sum": F.lit(imp.importance_sum), "importance_features": F.lit(imp.importance_features),
+        "every_high_risk_row_routed": F.lit(routed == batch.count())})
