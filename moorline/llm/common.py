@@ -58,27 +58,54 @@ def ascii_lower(text: Column) -> Column:
         .otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+SPAN_BLOCK = 256
+
+
 def spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as array<struct<start,end,match>> in code points.
 
     The gaps come from ``split`` with the same pattern, the matches from
-    ``regexp_extract_all``; their running lengths give the positions.  A match
-    must have a positive width.  Null or unmatched text gives an empty array.
+    ``regexp_extract_all``; their running lengths give the positions.  Matches are
+    walked in blocks whose starts are summed up first, so that the work grows with the
+    number of matches and not with its square.  A match must have a positive width.
+    Null or unmatched text gives an empty array.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     empty = F.expr("cast(array() as array<struct<start:bigint,end:bigint,match:string>>)")
-    walked = F.aggregate(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("match")),
-        F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["match"])).cast("bigint").alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + F.length(x["gap"])).cast("bigint").alias("start"),
-                (acc["at"] + F.length(x["gap"]) + F.length(x["match"])).cast("bigint").alias("end"),
-                x["match"].alias("match")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+
+    def width(x):
+        return F.length(x["gap"]) + F.length(x["match"])
+
+    def blocked(pieces):
+        last = F.floor((F.size(pieces) - 1) / SPAN_BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(pieces, b * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)))
+
+    def started(blocks):
+        """Every block with the position at which it starts."""
+        return F.aggregate(
+            blocks, F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("cast(array() as array<bigint>)").alias("starts")),
+            lambda acc, block: F.struct(
+                (acc["at"] + F.aggregate(block, F.lit(0).cast("bigint"), lambda s, x: s + width(x))).alias("at"),
+                F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
+            lambda acc: F.zip_with(blocks, acc["starts"], lambda x, y: F.struct(x.alias("block"), y.alias("start"))))
+
+    def walked(z):
+        return F.aggregate(
+            z["block"], F.struct(z["start"].alias("at"), empty.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + width(x)).cast("bigint").alias("at"),
+                F.concat(acc["out"], F.array(F.struct(
+                    (acc["at"] + F.length(x["gap"])).cast("bigint").alias("start"),
+                    (acc["at"] + width(x)).cast("bigint").alias("end"),
+                    x["match"].alias("match")))).alias("out")),
+            lambda acc: acc["out"])
+
+    pieces = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("match"))
+    # transform over a one-element array binds the pieces and the blocks once.
+    out = F.transform(F.array(pieces), lambda p: F.flatten(F.transform(
+        F.flatten(F.transform(F.array(blocked(p)), started)), walked)))
+    return F.when(text.rlike(pattern), F.element_at(out, 1)).otherwise(empty)
 
 
 # -- vectorised words --------------------------------------------------------------------------

@@ -35,7 +35,8 @@ EMAIL = (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@"
          r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 IP_FITS = r"^0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(\.0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})){3}$"
-CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
+# Only where a chain of digits starts and at least 13 of them follow.
+CARD = r"(?<![0-9])(?<![0-9][\x20-])(?=[0-9](?:[\x20-]?[0-9]){12})[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WORD = r"[\p{L}\p{N}][\p{L}\p{N}'_-]*+"
 BASE = ["email", "ip", "card", "phone"]

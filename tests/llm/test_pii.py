@@ -68,6 +68,12 @@ def test_terms_that_disclose_are_generalised_or_removed(spark):
     assert clean[10] == docs[4][1]
 
 
+def test_many_matches_of_one_text(spark):
+    text = " ".join(f"a{i}@b.c é 10.0.{i % 256}.1" for i in range(3000))
+    docs = [(1, text), (2, "4111 1111 1111 1111 " * 700), (3, "12 " * 5000 + "+4917012345678")]
+    _check(P.digest_columns(P.find(spark.createDataFrame(docs, "doc_id bigint, text string"))).collect(), docs)
+
+
 def test_luhn(spark):
     rng = random.Random(7)
     digits = ["".join(rng.choice("0123456789") for _ in range(rng.randint(1, 19))) for _ in range(300)]
