@@ -124,7 +124,11 @@ def write_archives(pages: DataFrame, folder: str, id_col="page_id", url_col="url
             nonlocal out, number, at
             if out is not None:
                 out.close()
-                system.move(f"{base}/.{attempt}-{number}", f"{base}/part-{part:05d}-{number:05d}.warc.gz")
+                target = f"{base}/part-{part:05d}-{number:05d}.warc.gz"
+                # A repeated task replaces what an earlier attempt left (not every store moves onto a file).
+                if system.get_file_info(target).type != fs.FileType.NotFound:
+                    system.delete_file(target)
+                system.move(f"{base}/.{attempt}-{number}", target)
                 out, number, at = None, number + 1, 0
 
         try:
