@@ -17,20 +17,43 @@ from ..functions.dates import as_date_col, in_closed
 from .features import daily_sessions, daily_transactions, holding_stats
 
 
-def salary_stop(customers: DataFrame, transactions: DataFrame | None, snapshot,
-                window_days: int = K.CHURN_WINDOW_DAYS,
-                baseline_days: int = K.SALARY_BASELINE_DAYS, daily: DataFrame | None = None) -> DataFrame:
-    """LB1: salary flag set, >=1 salary credit in [snap-90, snap), none in [snap, snap+60]."""
+def _in_window(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
+    snap = as_date_col(snapshot)
+    return daily.where(in_closed(F.col("d"), snap, F.date_add(snap, window_days)))
+
+
+def _salary_agg(daily: DataFrame, snapshot, window_days: int, baseline_days: int) -> DataFrame:
     snap = as_date_col(snapshot)
-    daily = daily if daily is not None else daily_transactions(transactions)
     d = F.col("d")
-    sal = daily.where(F.col("salary_credit_n") > 0)
-    agg = sal.groupBy("customer_id").agg(
+    return daily.where(F.col("salary_credit_n") > 0).groupBy("customer_id").agg(
         F.sum(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), F.col("salary_credit_n"))
               .otherwise(0)).alias("pre_n"),
         F.sum(F.when(in_closed(d, snap, F.date_add(snap, window_days)), F.col("salary_credit_n"))
-              .otherwise(0)).alias("post_n"),
-    )
+              .otherwise(0)).alias("post_n"))
+
+
+def _gap_agg(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
+    days = _in_window(daily, snapshot, window_days).select("customer_id", "d")
+    w = Window.partitionBy("customer_id").orderBy("d")
+    return days.withColumn("gap", F.datediff(F.col("d"), F.lag("d").over(w))).groupBy("customer_id").agg(
+        F.min("d").alias("first_d"), F.max("d").alias("last_d"), F.max("gap").alias("max_gap"))
+
+
+def _rolling_agg(daily: DataFrame, snapshot, window_days: int, span_days: int) -> DataFrame:
+    days = _in_window(daily.where(F.col("competitor_debit_n") > 0), snapshot, window_days)
+    dn = days.select("customer_id", F.col("competitor_debit_n").alias("n"),
+                     F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")).alias("dn"))
+    w = Window.partitionBy("customer_id").orderBy("dn").rangeBetween(0, span_days)
+    return dn.withColumn("in_span", F.sum("n").over(w)).groupBy("customer_id").agg(
+        F.max("in_span").alias("max_in_span"))
+
+
+def salary_stop(customers: DataFrame, transactions: DataFrame | None, snapshot,
+                window_days: int = K.CHURN_WINDOW_DAYS,
+                baseline_days: int = K.SALARY_BASELINE_DAYS, daily: DataFrame | None = None) -> DataFrame:
+    """LB1: salary flag set, >=1 salary credit in [snap-90, snap), none in [snap, snap+60]."""
+    daily = daily if daily is not None else daily_transactions(transactions)
+    agg = _salary_agg(daily, snapshot, window_days, baseline_days)
     j = customers.select("customer_id", "salary_account_flag").join(agg, "customer_id", "left")
     fired = (F.coalesce(F.col("salary_account_flag"), F.lit(False))
              & (F.coalesce(F.col("pre_n"), F.lit(0)) > 0)
@@ -38,11 +61,6 @@ def salary_stop(customers: DataFrame, transactions: DataFrame | None, snapshot,
     return j.select("customer_id", fired.alias("signal_salary_stop"))
 
 
-def _in_window(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
-    snap = as_date_col(snapshot)
-    return daily.where(in_closed(F.col("d"), snap, F.date_add(snap, window_days)))
-
-
 def app_inactive(customers: DataFrame, sessions: DataFrame | None, snapshot,
                  window_days: int = K.CHURN_WINDOW_DAYS, gap_days: int = K.INACTIVITY_GAP_DAYS,
                  daily: DataFrame | None = None) -> DataFrame:
@@ -50,11 +68,7 @@ def app_inactive(customers: DataFrame, sessions: DataFrame | None, snapshot,
     consecutive sessions, or at the end.  Customers without sessions fire."""
     snap = as_date_col(snapshot)
     daily = daily if daily is not None else daily_sessions(sessions)
-    days = _in_window(daily, snapshot, window_days).select("customer_id", "d")
-    w = Window.partitionBy("customer_id").orderBy("d")
-    gaps = days.withColumn("gap", F.datediff(F.col("d"), F.lag("d").over(w)))
-    per = gaps.groupBy("customer_id").agg(
-        F.min("d").alias("first_d"), F.max("d").alias("last_d"), F.max("gap").alias("max_gap"))
+    per = _gap_agg(daily, snapshot, window_days)
     fired_seen = ((F.datediff(F.col("first_d"), snap) >= gap_days)
                   | (F.coalesce(F.col("max_gap"), F.lit(0)) >= gap_days)
                   | (F.datediff(F.date_add(snap, window_days), F.col("last_d")) >= gap_days))
@@ -91,43 +105,12 @@ def competitor_rolling(customers: DataFrame, transactions: DataFrame | None, sna
     """LB4: more than 3 competitor debits in some closed span [d, d+30] that
     starts at a transfer date inside the window."""
     daily = daily if daily is not None else daily_transactions(transactions, bics)
-    days = _in_window(daily.where(F.col("competitor_debit_n") > 0), snapshot, window_days)
-    dn = days.select("customer_id", F.col("competitor_debit_n").alias("n"),
-                     F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")).alias("dn"))
-    w = Window.partitionBy("customer_id").orderBy("dn").rangeBetween(0, span_days)
-    rolled = dn.withColumn("in_span", F.sum("n").over(w))
-    per = rolled.groupBy("customer_id").agg(F.max("in_span").alias("max_in_span"))
+    per = _rolling_agg(daily, snapshot, window_days, span_days)
     j = customers.select("customer_id").join(per, "customer_id", "left")
     return j.select("customer_id",
                     (F.coalesce(F.col("max_in_span"), F.lit(0)) > limit).alias("signal_competitor_transfers"))
 
 
-def _salary_agg(daily: DataFrame, snapshot, window_days: int, baseline_days: int) -> DataFrame:
-    snap = as_date_col(snapshot)
-    d = F.col("d")
-    return daily.where(F.col("salary_credit_n") > 0).groupBy("customer_id").agg(
-        F.sum(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), F.col("salary_credit_n"))
-              .otherwise(0)).alias("pre_n"),
-        F.sum(F.when(in_closed(d, snap, F.date_add(snap, window_days)), F.col("salary_credit_n"))
-              .otherwise(0)).alias("post_n"))
-
-
-def _gap_agg(daily: DataFrame, snapshot, window_days: int) -> DataFrame:
-    days = _in_window(daily, snapshot, window_days).select("customer_id", "d")
-    w = Window.partitionBy("customer_id").orderBy("d")
-    return days.withColumn("gap", F.datediff(F.col("d"), F.lag("d").over(w))).groupBy("customer_id").agg(
-        F.min("d").alias("first_d"), F.max("d").alias("last_d"), F.max("gap").alias("max_gap"))
-
-
-def _rolling_agg(daily: DataFrame, snapshot, window_days: int, span_days: int) -> DataFrame:
-    days = _in_window(daily.where(F.col("competitor_debit_n") > 0), snapshot, window_days)
-    dn = days.select("customer_id", F.col("competitor_debit_n").alias("n"),
-                     F.datediff(F.col("d"), F.lit("1970-01-01").cast("date")).alias("dn"))
-    w = Window.partitionBy("customer_id").orderBy("dn").rangeBetween(0, span_days)
-    return dn.withColumn("in_span", F.sum("n").over(w)).groupBy("customer_id").agg(
-        F.max("in_span").alias("max_in_span"))
-
-
 LABEL_COLUMNS = ["churned", "churn_signal_count", "signal_salary_stop", "signal_app_inactive",
                  "signal_product_reduction", "signal_competitor_transfers"]
 
@@ -137,8 +120,8 @@ def labelled(customers: DataFrame, snapshot, daily_t: DataFrame, daily_s: DataFr
              gap_days: int = K.INACTIVITY_GAP_DAYS, span_days: int = K.TRANSFER_SPAN_DAYS,
              limit: int = K.TRANSFER_COUNT_LIMIT, threshold: int = K.CHURN_SIGNAL_THRESHOLD) -> DataFrame:
     """Customers with all label columns, built as one join chain: the customer
-    table is scanned once and the four per-customer aggregates (all hash
-    partitioned on customer_id) join without further exchanges.  ``holding``
+    table is scanned once; each of the four per-customer aggregates is shuffled by
+    customer_id once, for its grouping, and the joins reuse that.  ``holding``
     is ``features.holding_stats`` (closed_n, active_n)."""
     snap = as_date_col(snapshot)
     j = (customers.join(_salary_agg(daily_t, snapshot, window_days, baseline_days), "customer_id", "left")

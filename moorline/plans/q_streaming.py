@@ -18,13 +18,6 @@ from .q_model import _request_sql, _requests
 from .registry import query
 
 
-def _is_dir(spark, path: str) -> bool:
-    """Directory test through the Hadoop FileSystem (works for any scheme)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.getFileStatus(jpath).isDirectory()
-
-
 def _run_dir(spark, name):
     return shared_path(spark, f"moorline-stream/{name}-{uuid.uuid4().hex}")
 
@@ -50,12 +43,13 @@ def stream_activity(spark, sf_dir):
     base = _run_dir(spark, "activity")
     src = table_path(sf_dir, "events")
     schema = spark.read.parquet(src).schema
-    # A table stored as a folder of parts is streamed directly; a single file
-    # is picked out of its folder with a glob filter.
-    if _is_dir(spark, src):
-        return ACT.run_activity_stream(spark, src, f"{base}/log", f"{base}/checkpoint", schema)
-    return ACT.run_activity_stream(spark, sf_dir, f"{base}/log", f"{base}/checkpoint", schema,
-                                   file_glob="events.parquet")
+    # A table that is one file is picked out of its folder with a glob filter; a folder
+    # of parts is streamed directly.  Which it is shows in the table's own file list.
+    files = spark.read.parquet(src).inputFiles()
+    if len(files) == 1 and files[0].endswith("/events.parquet"):
+        return ACT.run_activity_stream(spark, sf_dir, f"{base}/log", f"{base}/checkpoint", schema,
+                                       file_glob="events.parquet")
+    return ACT.run_activity_stream(spark, src, f"{base}/log", f"{base}/checkpoint", schema)
 
 
 @query("batch_activity", """

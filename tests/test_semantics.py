@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from moorline.operators import features as FT
@@ -60,32 +62,43 @@ def test_nps_latest_and_as_of_holdings(spark):
     assert lit.active_n == 1 and lit.closed_n == 1
 
 
-def test_watermark_drops_late_rows(spark, tmp_path):
-    """Second micro-batch carries a row older than the watermark: it is
-    ignored by the stream (state for that window is final), while a batch
-    recomputation counts it."""
+def test_watermark_drops_rows_of_final_days(spark, tmp_path):
+    """The second run carries a row for a day that still has open windows (counted)
+    and one for a day whose windows have all closed (ignored; a batch counts it)."""
     src = str(tmp_path / f"src-{uuid.uuid4().hex}")
     schema = "user_id long, ts timestamp_ntz, event_type string"
-    day = lambda d, h=12: dt.datetime(2024, 1, d, h)
-    spark.createDataFrame([(1, day(1), "view"), (1, day(20), "view")], schema).coalesce(1) \
-        .write.parquet(os.path.join(src, "part1"))
-    q1 = ACT.start_activity_stream(spark, os.path.join(src, "*"), str(tmp_path / "log"), str(tmp_path / "ck"),
-                                   spark.read.parquet(os.path.join(src, "part1")).schema, watermark="1 day")
-    q1.awaitTermination()
-    spark.createDataFrame([(1, day(2), "view")], schema).coalesce(1).write.parquet(os.path.join(src, "part2"))
-    q2 = ACT.start_activity_stream(spark, os.path.join(src, "*"), str(tmp_path / "log"), str(tmp_path / "ck"),
-                                   spark.read.parquet(os.path.join(src, "part1")).schema, watermark="1 day")
-    q2.awaitTermination()
-    streamed = {(r.window_start, r.sessions) for r in ACT.read_latest(spark, str(tmp_path / "log")).collect()}
-    batch = ACT.batch_activity(spark.read.parquet(os.path.join(src, "*")))
-    b = {r.window_start: r.sessions for r in batch.collect()}
-    s = dict(streamed)
-    # Watermark after the first run: Jan 20 12:00 - 1 day.  Window [Dec 20, Jan 19)
-    # ended before it, so the late Jan-2 row is dropped for it; window
-    # [Dec 21, Jan 20) is still open and counts the late row.
-    closed, still_open = dt.date(2023, 12, 20), dt.date(2023, 12, 21)
-    assert b[closed] == 2 and s[closed] == 1
-    assert b[still_open] == 2 and s[still_open] == 2
+    day = lambda d, h=12, m=3: dt.datetime(2024, m, d, h)
+
+    def write(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, name))
+
+    def run():
+        q = ACT.start_activity_stream(spark, os.path.join(src, "*"), str(tmp_path / "log"), str(tmp_path / "ck"),
+                                      spark.read.parquet(os.path.join(src, "part1")).schema, late_days=1)
+        q.awaitTermination()
+        return {r.window_start: r.sessions for r in ACT.read_latest(spark, str(tmp_path / "log")).collect()}
+    write("part1", [(1, day(1), "view"), (1, day(20), "view")])
+    run()
+    write("part2", [(1, day(2), "view"), (1, day(10, m=1), "view")])
+    s = run()
+    b = {r.window_start: r.sessions for r in ACT.batch_activity(spark.read.parquet(os.path.join(src, "*"))).collect()}
+    assert s[dt.date(2024, 3, 1)] == b[dt.date(2024, 3, 1)] == 3
+    assert dt.date(2024, 1, 1) in b and dt.date(2024, 1, 1) not in s
+    assert {k: v for k, v in b.items() if k > dt.date(2024, 1, 10)} == s
+
+
+def test_backlog_of_many_shuffled_files_equals_batch(spark, tmp_path):
+    """More files than any trigger limit, newest events first."""
+    rows = [(i % 37, dt.datetime(2024, 6, 1) - dt.timedelta(hours=5 * i), "view") for i in range(1100)]
+    src = tmp_path / "src"
+    src.mkdir()
+    for i, (user, ts, kind) in enumerate(rows):
+        pq.write_table(pa.table({"user_id": [user], "ts": pa.array([ts], pa.timestamp("us")), "event_type": [kind]}),
+                       src / f"f{i:05d}.parquet")
+    schema = spark.read.parquet(str(src)).schema
+    s = ACT.run_activity_stream(spark, str(src), str(tmp_path / "log"), str(tmp_path / "ck"), schema)
+    b = ACT.batch_activity(spark.read.parquet(str(src)))
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_lookback_window_edges(spark):
