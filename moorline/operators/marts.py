@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -81,6 +81,13 @@ def feature_histogram(features: DataFrame, bins=None) -> DataFrame:
     return u.groupBy("feature", "churned", "bin", "bin_start", "bin_label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def ranked(df: DataFrame, key: str, *order) -> DataFrame:
+    """SO2 / SO3: the rows of a small read model in display order, as (rank, key).  The
+    order is by ``order`` and then the key; the input has one row per group."""
+    w = Window.orderBy(*order, F.col(key).asc())
+    return df.select(F.row_number().over(w).alias("rank"), F.col(key).cast("string").alias("key"))
+
+
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """AG23 / SE1: tagged UNION ALL of per-table row counts."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

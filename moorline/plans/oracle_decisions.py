@@ -314,6 +314,32 @@ SELECT id, CASE WHEN len(list_filter(hits, lambda v: v.severity = 'hard_block'))
 FROM h"""
 
 
+def golden_sql() -> str:
+    return f"""
+WITH own AS (
+  SELECT cp.customer_id, list(DISTINCT p.product_name) FILTER (WHERE cp.status = 'active') AS product_names,
+         min(CASE WHEN cp.fixed_rate_end_date >= {SNAP} THEN cp.fixed_rate_end_date END) AS next_rate_end
+  FROM customer_products_v cp JOIN products_v p ON cp.product_id = p.product_id GROUP BY cp.customer_id),
+el AS (SELECT id, unnest(from_json(CASE WHEN json_valid(violated_rules) THEN CAST(violated_rules AS JSON) END,
+                                   '["JSON"]')) AS e FROM queue_v),
+ids AS (SELECT id, list(CASE WHEN json_type(e) = 'OBJECT' THEN COALESCE(e ->> 'rule_id', 'unknown') ELSE e ->> '$' END) AS x
+        FROM el GROUP BY id),
+gold AS (
+  SELECT id, customer_id, churn_reason, channel, offer_id, message_draft, 'pass' AS st, CAST([] AS VARCHAR[]) AS want
+  FROM approved_v
+  UNION ALL
+  SELECT q.id, customer_id, churn_reason, channel, offer_id, message_draft, 'fail', COALESCE(ids.x, CAST([] AS VARCHAR[]))
+  FROM queue_v q LEFT JOIN ids ON q.id = ids.id),
+st AS (
+  SELECT g.*, c.segment, c.age, c.region, own.product_names, own.next_rate_end, COALESCE(g.message_draft, '') AS msg
+  FROM gold g LEFT JOIN customers_v c ON g.customer_id = c.customer_id LEFT JOIN own ON g.customer_id = own.customer_id),
+h AS (SELECT churn_reason, channel, st, want, {hits_list_sql()} AS hits FROM st)
+SELECT churn_reason, channel, count(*) AS examples,
+       count(*) FILTER (WHERE (len(list_filter(hits, lambda v: v.severity = 'hard_block')) > 0) = (st = 'fail')) AS status_agreement,
+       count(*) FILTER (WHERE list_sort(list_transform(hits, lambda v: v.rule_id)) = list_sort(want)) AS rules_agreement
+FROM h GROUP BY churn_reason, channel"""
+
+
 # The staged stage outputs break one contract each, by customer number.
 CONTRACT_SQL = """
 SELECT customer_id, array_to_string(list_filter([

@@ -4,13 +4,19 @@ PV1-PV3, PF7, SO1, SO5, WN4)."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as TX
 from ..operators import dashboard as DB
+from ..operators import marts as M
+from ..operators import registry as RG
 from ..operators import review as RV
 from . import common as C
 from .oracle_frag import LABELS, sql_with
+from .q_registry import RUNS
 from .registry import query
 
 _O = ("approved_v", "queue_v")
@@ -229,6 +235,78 @@ def message_lookup(spark, sf_dir):
     return DB.first_message(_w(spark, sf_dir).approved(drafts=True))
 
 
+# -- display order (SO2, SO3) ----------------------------------------------------------------
+def _order_sql(view, key, order, source):
+    return (f"SELECT '{view}' AS view, row_number() OVER (ORDER BY {order}, {key}) AS rank, "
+            f"CAST({key} AS VARCHAR) AS key FROM ({source})")
+
+
+_ORDERED = [
+    _order_sql("segments", "segment", "n DESC", "SELECT segment, count(*) AS n FROM customers_v WHERE segment IS NOT NULL GROUP BY 1"),
+    _order_sql("regions", "region", "n DESC", "SELECT region, count(*) AS n FROM customers_v WHERE region IS NOT NULL GROUP BY 1"),
+    _order_sql("churn_rate", "segment", "r DESC", "SELECT c.segment, round(avg(CAST(l.churned AS INTEGER)) * 100.0, 6) AS r "
+               "FROM customers_v c JOIN labels_o l ON c.customer_id = l.customer_id WHERE c.segment IS NOT NULL GROUP BY 1"),
+    _order_sql("holdings", "product_type", "n DESC", "SELECT p.product_type, count(*) AS n FROM customer_products_v cp "
+               "JOIN products_v p ON cp.product_id = p.product_id WHERE cp.status = 'active' GROUP BY 1"),
+    _order_sql("pass_rate", "churn_reason", "r DESC", "SELECT churn_reason, count(*) FILTER (WHERE src = 'approved') / count(*) AS r "
+               "FROM u WHERE churn_reason IS NOT NULL GROUP BY 1"),
+    _order_sql("trend", "batch_date", "batch_date", "SELECT DISTINCT batch_date FROM u"),
+    _order_sql("tokens", "churn_reason", "m DESC", "SELECT churn_reason, "
+               "round_even(avg(agent1_tokens + agent2_tokens + agent3_tokens), 0) AS m FROM approved_v "
+               "WHERE churn_reason IS NOT NULL GROUP BY 1"),
+    _order_sql("reasons_to_clean", "tbl || ': ' || churn_reason", "tbl, cnt DESC", "SELECT tbl, churn_reason, count(*) AS cnt FROM ("
+               "SELECT 'approved_outreach' AS tbl, churn_reason FROM approved_v "
+               "UNION ALL SELECT 'compliance_review_queue', churn_reason FROM queue_v) "
+               "WHERE lower(churn_reason) NOT IN ('price_sensitivity', 'service_dissatisfaction', 'product_lifecycle', "
+               "'inactivity', 'unknown') GROUP BY 1, 2"),
+]
+
+
+@query("display_order", sql_with(LABELS + "," + _TAGGED, "\nUNION ALL ".join(_ORDERED),
+                                 ("customers_v", "transactions_v", "app_sessions_v", "customer_products_v", "products_v",
+                                  "approved_v", "queue_v")))
+def display_order(spark, sf_dir):
+    """SO2 + SO3: the rank of every row in the sorted read models (count, rate, mean, date; table and count)."""
+    w = _w(spark, sf_dir)
+    a, q = w.approved(), w.queue()
+    dirty = a.select(F.lit("approved_outreach").alias("tbl"), "churn_reason").unionByName(
+        q.select(F.lit("compliance_review_queue").alias("tbl"), "churn_reason")) \
+        .where(~TX.is_canonical_reason(F.col("churn_reason"))).groupBy("tbl", "churn_reason").agg(F.count(F.lit(1)).alias("cnt")) \
+        .withColumn("name", F.concat_ws(": ", "tbl", "churn_reason"))
+    views = {
+        "segments": M.ranked(M.count_by(w.customers(), "segment"), "segment", F.desc("customers")),
+        "regions": M.ranked(M.count_by(w.customers(), "region"), "region", F.desc("customers")),
+        "churn_rate": M.ranked(M.churn_by(C.labelled_customers(w), "segment"), "segment", F.desc("churn_rate_pct")),
+        "holdings": M.ranked(M.holdings_by_type(w.customer_products(), w.products()), "product_type", F.desc("holdings")),
+        "pass_rate": M.ranked(DB.pass_rate_by_reason(a, q), "churn_reason", F.desc("pass_rate")),
+        "trend": M.ranked(DB.pass_rate_trend(a, q), "batch_date", F.asc("batch_date")),
+        "tokens": M.ranked(DB.tokens_by_reason(a), "churn_reason", F.desc("avg_tokens")),
+        "reasons_to_clean": M.ranked(dirty, "name", F.asc("tbl"), F.desc("cnt")),
+    }
+    return reduce(DataFrame.unionByName, [v.select(F.lit(k).alias("view"), "rank", "key") for k, v in views.items()])
+
+
+# -- batch history (AG24) ------------------------------------------------------------------------
+@query("batch_history", sql_with(RUNS + "," + _TAGGED + """,
+b AS (SELECT batch_date AS month, count(*) FILTER (WHERE src = 'approved') AS approved_count,
+             count(*) FILTER (WHERE src = 'queued') AS review_count FROM u GROUP BY 1),
+r AS (SELECT CAST(DATE '1996-01-01' + to_months(CAST(version AS INTEGER) - 1) AS DATE) AS month,
+             precision AS model_precision FROM runs),
+j AS (SELECT month, approved_count, review_count, approved_count / (approved_count + review_count) AS pass_rate,
+             model_precision FROM b JOIN r USING (month))
+""", """
+SELECT *, round((SELECT corr(model_precision, pass_rate) FROM j), 6) AS precision_pass_rate_corr FROM j""",
+    ("scored_v", "approved_v", "queue_v")))
+def batch_history(spark, sf_dir):
+    """AG24: pass rate of each batch month beside the precision of that month's run.  The
+    staged runs are folded onto consecutive batch months."""
+    w = _w(spark, sf_dir)
+    runs = RG.runs_by_day(w.scored(), w.snapshot).withColumn(
+        "run_date", F.add_months(F.lit(dt.date(1996, 1, 1)), F.col("version").cast("int") - 1))
+    h = DB.batch_history(DB.batch_summary(w.approved(), w.queue()), runs)
+    return h.withColumn("precision_pass_rate_corr", F.round("precision_pass_rate_corr", 6))
+
+
 # -- review workflow ---------------------------------------------------------------
 def _decisions(w):
     """Reviewer decisions derived from the pending queue: approve unedited,

@@ -14,7 +14,7 @@ from .oracle_frag import sql_with
 from .oracle_views import with_views
 from ..operators import model as MD
 from ..session import materialize
-from .oracle_decisions import CONTRACT_SQL, DECISION_VIEWS, decision_ctes, staged_compliance_sql
+from .oracle_decisions import CONTRACT_SQL, DECISION_VIEWS, decision_ctes, golden_sql, staged_compliance_sql
 from .q_model import scored_at_col
 from .q_profiles import scored_batch
 from .registry import query
@@ -173,6 +173,22 @@ def compliance_staged(spark, sf_dir):
                     .alias("rule_ids"))
 
 
+@query("golden_agreement", with_views(golden_sql(), "approved_v", "queue_v", "customers_v", "customer_products_v",
+                                      "products_v"))
+def golden_agreement(spark, sf_dir):
+    """DC16: agreement of the rule checks with the recorded outcomes of the staged rows
+    (approved: pass without a hit; queued: fail with the recorded rule ids)."""
+    w = C.warehouse(spark, sf_dir)
+    cols = ["id", "customer_id", "churn_reason", "channel", "offer_id", "message_draft"]
+    a = w.approved(drafts=True).select(*cols, F.lit("pass").alias("expected_status"),
+                                       F.array().cast("array<string>").alias("expected_rules"))
+    q = w.queue(drafts=True).select(*cols, F.lit("fail").alias("expected_status"),
+                                    TX.violation_ids(F.col("violated_rules")).alias("expected_rules"))
+    g = a.unionByName(q).join(w.customers().select("customer_id", "segment", "age", "region"), "customer_id", "left") \
+        .join(_own_values(w), "customer_id", "left")
+    return DC.golden_agreement(g.withColumnRenamed("id", "example_id").withColumnRenamed("message_draft", "body"))
+
+
 @query("draft_override", with_views("""
 SELECT id, CASE WHEN id % 3 = 0 AND message_draft IS NOT NULL THEN 'Reviewed: ' || message_draft
                 ELSE message_draft END AS message_draft FROM approved_v""", "approved_v"))

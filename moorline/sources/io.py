@@ -54,12 +54,16 @@ def load_parts(spark: SparkSession, path: str) -> DataFrame:
 
 
 # -- CSV batch (IO3, IO7, IO17) ---------------------------------------------------------
+# Blanks at the ends of values, quotes and line breaks inside them survive a round trip.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV, multiLine="true").csv(path)
 
 
 def export_existing_columns(df: DataFrame, wanted: list[str], path: str) -> None:

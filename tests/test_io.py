@@ -59,11 +59,11 @@ def test_incoming_rows_with_one_key_are_one_row(spark, tmp_path):
 
 
 def test_parts_and_csv_are_read_back(spark, tmp_path):
-    df = spark.createDataFrame([(1, 0.5)], "customer_id long, churn_score double")
+    df = spark.createDataFrame([(1, 0.5, ' a "b",\nc '), (2, None, None)], "customer_id long, churn_score double, note string")
     IO.write_csv(df, str(tmp_path / "batch"))
-    assert IO.read_csv(spark, str(tmp_path / "batch"), df.schema).collect() == df.collect()
+    assert IO.read_csv(spark, str(tmp_path / "batch"), df.schema).orderBy("customer_id").collect() == df.collect()
     df.write.parquet(str(tmp_path / "parts"))
-    assert IO.load_parts(spark, str(tmp_path / "parts")).count() == 1
+    assert IO.load_parts(spark, str(tmp_path / "parts")).count() == 2
     df.limit(0).write.parquet(str(tmp_path / "none"))
     with pytest.raises(ValueError):
         IO.load_parts(spark, str(tmp_path / "none"))

@@ -16,7 +16,10 @@ SUBSET = ["features_snapshot", "features_fanout_compat", "churn_labels", "featur
           "binary_metrics", "class_report", "registry_resolve", "drift_report", "profile_documents",
           "profile_upsert", "extract_json", "normalize_reason_migration", "rule_heatmap",
           "signals_vs_outcome", "review_apply", "stream_activity", "score_requests", "campaign_route",
-          "compliance_staged"]
+          "compliance_staged", "display_order", "batch_history", "golden_agreement", "population_load",
+          "outreach_export", "batch_csv_roundtrip", "marts_refresh", "contract_validation", "drift_alerts",
+          "feature_drift_alerts", "split_stratified", "outreach_approved_rows", "outreach_queued_rows", "draft_override",
+          "rule_counts"]
 
 
 def test_entry_smoke(spark):
@@ -34,9 +37,8 @@ def test_oracle_subset(spark):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    import __spark_entry__ as E
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"score_gbt", "feature_importance"}
+    from moorline import plans
+    assert set(plans.QUERIES) - set(plans.ORACLE) == {"score_gbt", "feature_importance"}
 
 
 def test_route_partitions_batch(spark):
@@ -48,6 +50,18 @@ def test_route_partitions_batch(spark):
     assert set(counters) <= {"approved", "queued", "error"}
 
 
+@pytest.mark.parametrize("name", ["drift_alerts", "feature_drift_alerts", "outreach_queued_rows", "rule_counts"])
+def test_checks_have_rows_to_bite_on(spark, name):
+    import __spark_entry__ as E
+    assert E.queries()[name](spark, SF).count() > 0
+
+
+def test_contracts_find_each_kind_of_fault(spark):
+    import __spark_entry__ as E
+    found = {c for r in E.queries()["contract_validation"](spark, SF).collect() for c in r.contract_violations.split(",") if c}
+    assert len(found) >= 3
+
+
 def test_stream_equals_batch(spark):
     import __spark_entry__ as E
     q = E.queries()
