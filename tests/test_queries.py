@@ -9,6 +9,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 SF = "/root/testdata/sf0.001"
+LARGER = "/root/testdata/sf0.01"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
@@ -53,12 +54,12 @@ def test_route_partitions_batch(spark):
 @pytest.mark.parametrize("name", ["drift_alerts", "feature_drift_alerts", "outreach_queued_rows", "rule_counts"])
 def test_checks_have_rows_to_bite_on(spark, name):
     import __spark_entry__ as E
-    assert E.queries()[name](spark, SF).count() > 0
+    assert E.queries()[name](spark, LARGER).count() > 0
 
 
 def test_contracts_find_each_kind_of_fault(spark):
     import __spark_entry__ as E
-    found = {c for r in E.queries()["contract_validation"](spark, SF).collect() for c in r.contract_violations.split(",") if c}
+    found = {c for r in E.queries()["contract_validation"](spark, LARGER).collect() for c in r.contract_violations.split(",") if c}
     assert len(found) >= 3
 
 
