@@ -40,6 +40,20 @@ def feature_backfill(spark, sf_dir):
     return out.select(*C.features_at(w, WINDOW[0]).columns, "dataset_version")
 
 
+@query("feature_manifest", with_views("""
+SELECT 'v1' AS dataset_version, d AS snapshot_date, (SELECT count(*) FROM customers_v) AS n_rows,
+       'customer_id,churned,salary_account_flag,segment,region,days_since_last_login,app_logins_last_30d,'
+       || 'app_logins_last_90d,competitor_transfer_count,avg_monthly_inflow_eur,complaints_open,nps_score_last,'
+       || 'product_count,months_to_rate_reset' AS columns
+FROM (SELECT unnest([""" + ", ".join(_d(x) for x in BACKFILL_DATES) + "]) AS d)", "customers_v"))
+def feature_manifest(spark, sf_dir):
+    """ML18: the manifest of a feature table of three snapshots."""
+    w = C.warehouse(spark, sf_dir)
+    path = shared_path(spark, f"moorline-io/manifest-{uuid.uuid4().hex}")
+    IO.backfill(lambda d: C.features_at(w, d), BACKFILL_DATES, path, "v1")
+    return IO.feature_manifest(spark, path)
+
+
 def _fill(col: str) -> str:
     default = K.FEATURE_DEFAULTS[col][0]
     return f"CAST(COALESCE({col}, {default!r}) AS DOUBLE)"

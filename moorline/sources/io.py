@@ -38,6 +38,15 @@ def read_feature_table(spark: SparkSession, path: str, start=None, end=None,
     return df
 
 
+def feature_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """ML18: what a feature table holds: rows per dataset version and snapshot date, and
+    the feature columns in order."""
+    df = spark.read.parquet(path)
+    keys = ["dataset_version", "snapshot_date"]
+    names = ",".join(c for c in df.columns if c not in keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("columns", F.lit(names))
+
+
 def backfill(build, snapshots: list[dt.date], path: str, dataset_version: str) -> None:
     """ML19: materialise the feature table for each snapshot date.  Each date
     is an independent job writing only its own partition (idempotent reruns)."""

@@ -6,6 +6,7 @@ import pytest
 
 from moorline import session
 from moorline.sources import io as IO
+from moorline.sources import sections
 
 
 def test_feature_table_partition_overwrite(spark, tmp_path):
@@ -116,3 +117,28 @@ def test_metrics_json_roundtrip(spark, tmp_path):
     IO.write_metrics(m, path)
     back = IO.read_metrics(spark, path, m.schema).first()
     assert back.precision == 0.8 and back.false_positive_rate == 0.1
+
+
+def test_sections_become_typed_rows(spark, tmp_path):
+    text = """# Catalogue
+
+### A-1 - First thing
+
+- **offer_id:** A-1
+- **channel_fit:** email, call
+- **offer_value:** Up to 5
+  in two lines
+
+---
+
+### A-2 - Second
+
+- **offer_id:** A-2
+- **channel_fit:** call
+"""
+    (tmp_path / "c.md").write_text(text)
+    s = sections.read_sections(spark, str(tmp_path))
+    rows = sections.typed(s, {"offer_id": "string", "channel_fit": "array<string>", "offer_value": "string"}) \
+        .orderBy("offer_id").collect()
+    assert [tuple(r) for r in rows] == [("A-1 - First thing", "A-1", ["email", "call"], "Up to 5 in two lines"),
+                                        ("A-2 - Second", "A-2", ["call"], None)]
