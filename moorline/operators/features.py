@@ -152,24 +152,30 @@ def feature_snapshot(customers: DataFrame | None, labels: DataFrame | None, sess
 
     ``daily_s`` / ``daily_t`` / ``holding`` are optional shared rollups of the
     children; ``labelled`` (customers already carrying ``churned``) replaces
-    the customers + labels join so the customer table is scanned once."""
+    the customers + labels join so the customer table is scanned once, and if it
+    carries the label joins' statistics (``keep_stats``) no child is joined again."""
     snap = as_date_col(snapshot)
-    s = session_aggregate(sessions, snapshot, lookback, recent, daily=daily_s)
-    t = transaction_aggregate(transactions, snapshot, lookback, daily=daily_t)
     c = complaint_aggregate(complaints)
     n = nps_aggregate(nps, snapshot, nps_mode)
-    h = (holding if holding is not None else holding_stats(holdings, snapshot, as_of=as_of)).select(
-        "customer_id", "product_n", "months_to_rate_reset", "n_holdings")
-
     cols = ["customer_id", "snapshot_date", "salary_account_flag", "segment", "region"]
-    if labelled is not None:
+    stats = ["last_session_date", "logins_recent", "logins_window", "n_sessions", "competitor_n", "credit_cents", "credit_n",
+             "n_transactions", "product_n", "months_to_rate_reset", "n_holdings"]
+    joined = labelled is not None and set(stats) <= set(labelled.columns)
+    if joined:
+        base = labelled.select(*cols, "churned", *stats)
+    elif labelled is not None:
         base = labelled.select(*cols, "churned")
     elif labels is not None:
         base = customers.select(*cols).join(labels.select("customer_id", "churned"), "customer_id", "left")
     else:
         base = customers.select(*cols).withColumn("churned", F.lit(None).cast("boolean"))
-    j = (base.join(s, "customer_id", "left").join(t, "customer_id", "left")
-         .join(c, "customer_id", "left").join(n, "customer_id", "left").join(h, "customer_id", "left"))
+    if not joined:
+        s = session_aggregate(sessions, snapshot, lookback, recent, daily=daily_s)
+        t = transaction_aggregate(transactions, snapshot, lookback, daily=daily_t)
+        h = (holding if holding is not None else holding_stats(holdings, snapshot, as_of=as_of)).select(
+            "customer_id", "product_n", "months_to_rate_reset", "n_holdings")
+        base = base.join(s, "customer_id", "left").join(t, "customer_id", "left").join(h, "customer_id", "left")
+    j = base.join(c, "customer_id", "left").join(n, "customer_id", "left")
 
     def m(col):  # max(1, rows of a child in the literal join)
         return F.greatest(F.coalesce(F.col(col), F.lit(0)), F.lit(1))

@@ -115,19 +115,61 @@ LABEL_COLUMNS = ["churned", "churn_signal_count", "signal_salary_stop", "signal_
                  "signal_product_reduction", "signal_competitor_transfers"]
 
 
+def transaction_stats(daily: DataFrame, snapshot, window_days: int, baseline_days: int, span_days: int,
+                      lookback: int) -> DataFrame:
+    """Per customer everything labels and features need from the (customer, day)
+    transaction rollup.  The rolling count is a window over the customer's days, so
+    window and grouping share one exchange."""
+    snap = as_date_col(snapshot)
+    d = F.col("d")
+    ahead = in_closed(d, snap, F.date_add(snap, window_days))
+    back = in_closed(d, F.date_sub(snap, lookback), snap)
+    debits = F.when(ahead, F.col("competitor_debit_n")).otherwise(0)
+    w = Window.partitionBy("customer_id").orderBy(F.datediff(d, F.lit("1970-01-01").cast("date"))).rangeBetween(0, span_days)
+    rows = daily.withColumn("_debits", debits).withColumn("_in_span", F.sum("_debits").over(w))
+    return rows.groupBy("customer_id").agg(
+        F.sum(F.when((d >= F.date_sub(snap, baseline_days)) & (d < snap), F.col("salary_credit_n")).otherwise(0)).alias("pre_n"),
+        F.sum(F.when(ahead, F.col("salary_credit_n")).otherwise(0)).alias("post_n"),
+        F.max(F.when(F.col("_debits") > 0, F.col("_in_span"))).alias("max_in_span"),
+        *[F.sum(F.when(back, F.col(c))).alias(n) for c, n in (
+            ("competitor_n", "competitor_n"), ("credit_cents", "credit_cents"), ("credit_n", "credit_n"),
+            ("n", "n_transactions"))])
+
+
+def session_stats(daily: DataFrame, snapshot, window_days: int, lookback: int, recent: int) -> DataFrame:
+    """Per customer everything labels and features need from the (customer, day) session rollup."""
+    snap = as_date_col(snapshot)
+    d = F.col("d")
+    ahead = in_closed(d, snap, F.date_add(snap, window_days))
+    back = in_closed(d, F.date_sub(snap, lookback), snap)
+    before = F.lag("d").over(Window.partitionBy("customer_id").orderBy("d"))
+    rows = daily.withColumn("_gap", F.when(ahead & (before >= snap), F.datediff(d, before)))
+    return rows.groupBy("customer_id").agg(
+        F.min(F.when(ahead, d)).alias("first_d"), F.max(F.when(ahead, d)).alias("last_d"), F.max("_gap").alias("max_gap"),
+        F.max(F.when(back, d)).alias("last_session_date"),
+        F.sum(F.when(back & (d >= F.date_sub(snap, recent)), F.col("n")).otherwise(0)).alias("logins_recent"),
+        F.sum(F.when(back, F.col("id_n"))).alias("logins_window"), F.sum(F.when(back, F.col("n"))).alias("n_sessions"))
+
+
+STATS = ["last_session_date", "logins_recent", "logins_window", "n_sessions", "competitor_n", "credit_cents", "credit_n",
+         "n_transactions", "product_n", "months_to_rate_reset", "n_holdings"]
+
+
 def labelled(customers: DataFrame, snapshot, daily_t: DataFrame, daily_s: DataFrame, holding: DataFrame,
              window_days: int = K.CHURN_WINDOW_DAYS, baseline_days: int = K.SALARY_BASELINE_DAYS,
              gap_days: int = K.INACTIVITY_GAP_DAYS, span_days: int = K.TRANSFER_SPAN_DAYS,
-             limit: int = K.TRANSFER_COUNT_LIMIT, threshold: int = K.CHURN_SIGNAL_THRESHOLD) -> DataFrame:
-    """Customers with all label columns, built as one join chain: the customer
-    table is scanned once; each of the four per-customer aggregates is shuffled by
-    customer_id once, for its grouping, and the joins reuse that.  ``holding``
-    is ``features.holding_stats`` (closed_n, active_n)."""
+             limit: int = K.TRANSFER_COUNT_LIMIT, threshold: int = K.CHURN_SIGNAL_THRESHOLD,
+             lookback: int = K.FEATURE_LOOKBACK_DAYS, recent: int = K.RECENT_LOGIN_DAYS,
+             keep_stats: bool = False) -> DataFrame:
+    """Customers with all label columns, built as one join chain: the customer table is
+    scanned once and each child rollup is shuffled by customer_id once.  ``holding``
+    is ``features.holding_stats``.  ``keep_stats`` also keeps the columns that the
+    features of the same snapshot are computed from, so they need no joins of their own."""
     snap = as_date_col(snapshot)
-    j = (customers.join(_salary_agg(daily_t, snapshot, window_days, baseline_days), "customer_id", "left")
-         .join(_gap_agg(daily_s, snapshot, window_days), "customer_id", "left")
-         .join(holding.select("customer_id", "closed_n", "active_n"), "customer_id", "left")
-         .join(_rolling_agg(daily_t, snapshot, window_days, span_days), "customer_id", "left"))
+    j = (customers.join(transaction_stats(daily_t, snapshot, window_days, baseline_days, span_days, lookback),
+                        "customer_id", "left")
+         .join(session_stats(daily_s, snapshot, window_days, lookback, recent), "customer_id", "left")
+         .join(holding, "customer_id", "left"))
     s1 = (F.coalesce(F.col("salary_account_flag"), F.lit(False)) & (F.coalesce(F.col("pre_n"), F.lit(0)) > 0)
           & (F.coalesce(F.col("post_n"), F.lit(0)) == 0))
     s2 = F.when(F.col("first_d").isNull(), F.lit(True)).otherwise(
@@ -136,11 +178,12 @@ def labelled(customers: DataFrame, snapshot, daily_t: DataFrame, daily_s: DataFr
         | (F.datediff(F.date_add(snap, window_days), F.col("last_d")) >= gap_days))
     s3 = (F.coalesce(F.col("closed_n"), F.lit(0)) >= 1) & (F.coalesce(F.col("active_n"), F.lit(0)) > 1)
     s4 = F.coalesce(F.col("max_in_span"), F.lit(0)) > limit
+    stats = STATS if keep_stats else []
     sig = j.select(*customers.columns, s1.alias("signal_salary_stop"), s2.alias("signal_app_inactive"),
-                   s3.alias("signal_product_reduction"), s4.alias("signal_competitor_transfers"))
+                   s3.alias("signal_product_reduction"), s4.alias("signal_competitor_transfers"), *stats)
     count = sum(F.col(c).cast("int") for c in LABEL_COLUMNS[2:])
     return sig.select(*customers.columns, (count >= threshold).alias("churned"),
-                      count.alias("churn_signal_count"), *LABEL_COLUMNS[2:])
+                      count.alias("churn_signal_count"), *LABEL_COLUMNS[2:], *stats)
 
 
 def churn_labels(customers: DataFrame, transactions: DataFrame | None, sessions: DataFrame | None,

@@ -42,9 +42,10 @@ def holding_stats(w: Warehouse) -> DataFrame:
     return _memo(w, "holding", lambda: materialize(FT.holding_stats(w.customer_products(), w.snapshot)))
 
 
-def labelled_customers(w: Warehouse) -> DataFrame:
+def labelled_customers(w: Warehouse, keep_stats: bool = False, holding: DataFrame | None = None) -> DataFrame:
     """Customers with label columns (one customer scan, one join chain)."""
-    return LB.labelled(w.customers(), w.snapshot, daily_transactions(w), daily_sessions(w), holding_stats(w))
+    return LB.labelled(w.customers(), w.snapshot, daily_transactions(w), daily_sessions(w),
+                       holding if holding is not None else holding_stats(w), keep_stats=keep_stats)
 
 
 def labels(w: Warehouse) -> DataFrame:
@@ -53,9 +54,7 @@ def labels(w: Warehouse) -> DataFrame:
 
 def features(w: Warehouse, compat: str = "canonical") -> DataFrame:
     return FT.feature_snapshot(None, None, None, None, w.complaints(), w.nps_responses(), None,
-                               w.snapshot, compat=compat, daily_s=daily_sessions(w),
-                               daily_t=daily_transactions(w), holding=holding_stats(w),
-                               labelled=labelled_customers(w))
+                               w.snapshot, compat=compat, labelled=labelled_customers(w, keep_stats=True))
 
 
 def model_features(w: Warehouse) -> DataFrame:
