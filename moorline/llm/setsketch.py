@@ -46,7 +46,7 @@ B, A, Q = 1.2, 20.0, 254
 # similarity before a pair is discarded unseen (5 standard deviations).
 DISCARD = 12.5
 # Members of a component that a task holds at a time when the rest of a bucket is compared.
-BLOCK = 1000
+BLOCK = 300
 
 _MULT = np.random.default_rng(20240116).integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = np.arange(ROWS, dtype=np.uint64) * np.uint64(8)
