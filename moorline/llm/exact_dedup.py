@@ -119,8 +119,8 @@ def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
     again = rows.join(hits, "digest")
     retained = written(again.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
                        .agg(F.min("text").alias("retained")), "retained")
-    return cut(again.select("digest", "text").join(retained, "digest")
-               .where(F.col("text") != F.col("retained")).select("digest").distinct())
+    unequal = again.select("digest", "text").join(retained, "digest").where(F.col("text") != F.col("retained"))
+    return cut(unequal.select("digest")).distinct()
 
 
 def keep_rows(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
