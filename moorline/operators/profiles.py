@@ -8,7 +8,8 @@ customer; texts are rendered with built-in string functions, no UDFs.
 
 Product lists are pre-reduced to (customer, item text, multiplicity) before
 they are gathered per customer, so the gathered array is bounded by the
-number of distinct products a customer holds, not by raw row counts.
+number of distinct products a customer holds; only the sentence that names
+each holding grows with raw row counts.
 """
 
 from __future__ import annotations
@@ -33,10 +34,12 @@ def _day(c: Column) -> Column:
 
 
 def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
-                    ids: DataFrame | None = None) -> DataFrame:
+                    ids: DataFrame | None = None, list_each: bool = True) -> DataFrame:
     """EN4 / J3: "Active products (n): a; b (fixed rate ends YYYY-MM-DD)." in
-    item-text order (explicit order, SEM21).  The product list join is left
-    to AQE, which broadcasts it when its measured size is small."""
+    item-text order (explicit order, SEM21).  The sentence names every holding, so it
+    is as long as the customer's holdings; ``list_each=False`` names every product
+    once with its multiplicity ("a x3") and stays within the catalogue's size.  The
+    product list join is left to AQE, which broadcasts it when its measured size is small."""
     ids = ids if ids is not None else _ids(batch)
     act = holdings.where(F.col("status") == "active").join(ids, "customer_id", "left_semi")
     p = products.select("product_id", "product_name", "product_type")
@@ -49,8 +52,12 @@ def product_summary(batch: DataFrame, holdings: DataFrame, products: DataFrame,
     per = items.groupBy("customer_id").agg(
         F.sort_array(F.collect_list(F.struct("txt", "k"))).alias("items"),
         F.sum("k").alias("n"))
-    joined = F.array_join(F.flatten(F.transform("items", lambda x: F.array_repeat(x["txt"], x["k"].cast("int")))),
-                          "; ")
+    if list_each:
+        names = F.flatten(F.transform("items", lambda x: F.array_repeat(x["txt"], x["k"].cast("int"))))
+    else:
+        names = F.transform("items", lambda x: F.when(x["k"] > 1, F.concat(x["txt"], F.lit(" x"), x["k"].cast("string")))
+                            .otherwise(x["txt"]))
+    joined = F.array_join(names, "; ")
     return per.select("customer_id", "n",
                       render(K.PRODUCTS_TEXT, n=F.col("n"), items=joined).alias("product_summary"))
 
