@@ -72,8 +72,10 @@ def _totals(c: DataFrame) -> DataFrame:
         "ref_stddev", F.sqrt(F.col("squares") / F.nullif(F.col("n_reference"), F.lit(0)))).drop("squares", "ref_mean")
 
 
-def wasserstein(c: DataFrame, places: int = 6, totals: DataFrame | None = None) -> DataFrame:
-    """Normalised Wasserstein-1 per feature from ``counts``."""
+def wasserstein(long: DataFrame, places: int = 6, counted: DataFrame | None = None,
+                totals: DataFrame | None = None) -> DataFrame:
+    """Normalised Wasserstein-1 per feature (``counted`` and ``totals`` where already computed)."""
+    c = counted if counted is not None else counts(long)
     totals = totals if totals is not None else materialize(_totals(c))
     cum = prefix_sums(c, "value", ["ref_n", "prod_n"], partition_cols=["feature"], inclusive=False,
                       with_prev=True)
@@ -92,8 +94,10 @@ def wasserstein(c: DataFrame, places: int = 6, totals: DataFrame | None = None)
     )
 
 
-def jensen_shannon(c: DataFrame, bins: int = 20, places: int = 6, totals: DataFrame | None = None) -> DataFrame:
-    """Jensen-Shannon divergence per feature from ``counts``."""
+def jensen_shannon(long: DataFrame, bins: int = 20, places: int = 6, counted: DataFrame | None = None,
+                   totals: DataFrame | None = None) -> DataFrame:
+    """Jensen-Shannon divergence per feature (``counted`` and ``totals`` where already computed)."""
+    c = counted if counted is not None else counts(long)
     totals = totals if totals is not None else materialize(_totals(c))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
@@ -115,8 +119,8 @@ def drift_report(long: DataFrame, threshold: float = K.DRIFT_THRESHOLD, bins: in
     """ML15: both metrics per feature and the drift flag (normalised W1 > threshold)."""
     c = counts(long)
     totals = materialize(_totals(c))
-    w = wasserstein(c, totals=totals)
-    js = jensen_shannon(c, bins, totals=totals)
+    w = wasserstein(long, counted=c, totals=totals)
+    js = jensen_shannon(long, bins, counted=c, totals=totals)
     return w.join(js, "feature", "left").withColumn(
         "drifted", F.coalesce(F.col("wasserstein_norm") > F.lit(threshold), F.lit(False)))
 

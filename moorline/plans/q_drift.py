@@ -76,13 +76,13 @@ def _report(spark, sf_dir):
 SELECT feature, n_reference, n_production, wasserstein, ref_stddev, wasserstein_norm FROM rep""")
 def drift_wasserstein(spark, sf_dir):
     """ML15: normalised Wasserstein-1 per event type (reference vs production week)."""
-    return DR.wasserstein(DR.counts(_long(spark, sf_dir)))
+    return DR.wasserstein(_long(spark, sf_dir))
 
 
 @query("drift_js", _LONG + "SELECT feature, js_divergence FROM js")
 def drift_js(spark, sf_dir):
     """ML15 / SEM14: Jensen-Shannon divergence per event type."""
-    return DR.jensen_shannon(DR.counts(_long(spark, sf_dir)))
+    return DR.jensen_shannon(_long(spark, sf_dir))
 
 
 @query("drift_report", _LONG + "SELECT * FROM rep")
