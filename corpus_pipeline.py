@@ -39,8 +39,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of 2048."""
-    return packing.pack(docs, byte_bpe(), with_ids=False)
+    """Token pieces in sequences of 2048, with their token ids."""
+    return packing.pack(docs, byte_bpe())
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_duplicates), ("near_dedup", near_duplicates),

@@ -217,3 +217,9 @@ def pack(docs: DataFrame, encoder, id_col="doc_id", text_col="text", end_id: int
     left = left.withColumn("grp", F.pmod(F.xxhash64("sequence_id"), F.lit(groups))) \
         .repartition(groups, "grp").sortWithinPartitions("grp", "sequence_id", "offset")
     return pieces.where("not left").unionByName(_merge(left, capacity, with_ids)).drop("left", *([] if with_ids else ["ids"]))
+
+
+def digest_columns(pieces: DataFrame) -> DataFrame:
+    """The pieces with length and checksum taken from their stored ids, without the ids."""
+    return pieces.withColumn("length", (F.octet_length("ids") / 4).cast("bigint")) \
+        .withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -83,7 +83,7 @@ def byte_bpe():
 @query("op7_packing")
 def op7_packing(spark, sf_dir):
     """7: all documents as token pieces in sequences of 2048."""
-    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False)
+    return packing.digest_columns(packing.pack(table(spark, sf_dir, "documents"), byte_bpe()))
 
 
 @query("op9_langid")

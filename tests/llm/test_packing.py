@@ -7,7 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from moorline.llm import packing as K
-from moorline.llm.queries import byte_bpe
+from moorline.llm.queries import QUERIES, byte_bpe
 
 from . import helpers as H
 
@@ -68,3 +68,14 @@ def test_segments_keep_the_ids():
         parts = list(K.segments(text, 7))
         assert "".join(parts) == text
         assert [x for p in parts for x in encode(p)] == encode(text)
+
+
+def test_query_takes_its_columns_from_stored_ids(spark, monkeypatch):
+    docs = [(i, t) for i, t, _ in H.documents()]
+    held, pack = [], K.pack
+    monkeypatch.setattr(K, "pack", lambda *a, **b: held.append(pack(*a, **b)) or held[-1])
+    rows = QUERIES["op7_packing"](spark, H.SMALL)
+    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert "ids" in held[0].columns and held[0].where("ids is null").count() == 0
+    plain = _plain()
+    _check(rows.collect(), {i: plain(t) + [1] for i, t in docs}, 2048)

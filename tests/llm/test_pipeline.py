@@ -4,6 +4,7 @@ import collections
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 
 import __spark_entry__ as E
 from moorline.llm import langid
@@ -45,3 +46,11 @@ def test_stages_on_edges(spark):
         out = stage(spark, docs, H.SMALL)
         assert out.columns == docs.columns, name
         assert stage(spark, H.empty(spark), H.SMALL).count() == 0
+
+
+def test_last_stage_yields_the_token_ids(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, None), (3, "four " * 5000)], "doc_id bigint, text string")
+    encode, got = byte_bpe()(), collections.defaultdict(list)
+    for r in sorted(corpus_pipeline.pack(spark, docs, H.SMALL).collect(), key=lambda r: r.start):
+        got[r.doc_id] += np.frombuffer(r.ids, dtype="<u4").tolist()
+    assert got == {1: encode("one two three") + [1], 2: [1], 3: encode("four " * 5000) + [1]}
