@@ -98,20 +98,23 @@ class BlobLedger:
         """Scan what is unseen and return (doc_id, digest, found) for every row of ``versions``."""
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
         rows = versions.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text")) \
-            .withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.unhex(F.sha2("text", 256)))
-        paths = written(rows.select("doc_id", "row", "digest"), "blob-paths")
+            .withColumn("digest", F.unhex(F.sha2("text", 256)))
+        paths = written(rows.select("doc_id", "digest"), "blob-paths")
         wanted = [r.key for r in rules]
         key_array = F.array(*[F.lit(k) for k in wanted])
         seen = self.read().groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen")) \
             .select("digest", F.array_except(key_array, "seen").alias("missing"))
-        # One row per blob is read: rows of repeated blobs other than the first go, and so do
-        # blobs for which nothing is missing.
+        # The second scan meets the first by the digest alone, which is the same however the
+        # input is split.  Blobs for which nothing is missing go; blobs of several rows are
+        # reduced to one text each (added up map-side first), the others are read in place.
         # Tables of their own, so that the joins with them can split a hot digest by its rows.
-        first = cut(paths.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
-        repeats = cut(paths.join(first, "digest").where("row != first").select("row"))
-        known = cut(seen)
-        todo = rows.join(broadcast_if_bounded(repeats, BROADCAST_ROWS), "row", "left_anti") \
-            .join(broadcast_if_bounded(known, BROADCAST_ROWS), "digest", "left") \
+        repeats = broadcast_if_bounded(cut(paths.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                                           .select("digest")), BROADCAST_ROWS)
+        known = broadcast_if_bounded(cut(seen), BROADCAST_ROWS)
+        blobs = rows.select("digest", "text")
+        blobs = blobs.join(repeats, "digest", "left_anti").unionByName(
+            blobs.join(repeats, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")))
+        todo = blobs.join(known, "digest", "left") \
             .withColumn("missing", F.coalesce("missing", key_array)).where(F.size("missing") > 0)
         none = F.expr(f"cast(array() as {SPANS})")
         found = F.concat(*[F.when(F.array_contains("missing", r.key), r.find(F.col("text"))).otherwise(none) for r in rules])

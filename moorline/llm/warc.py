@@ -95,12 +95,11 @@ def _member(raw: bytes) -> bytes:
     return z.compress(raw) + z.flush()
 
 
-def _revisits(pages: DataFrame) -> DataFrame:
-    """(row, refers_to) of the pages that become revisits; only digests are shuffled."""
-    prints = written(pages.select("row", "page_id", F.unhex(F.sha2("html", 256)).alias("print")), "warc-prints")
-    keep = prints.groupBy("print").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1 and refers_to is not null").select("print", "refers_to")
-    return cut(prints.join(keep, "print").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("row", "refers_to"))
+def _repeated(pages: DataFrame) -> DataFrame:
+    """(print, top): digests of the payloads of several pages and the largest identifier
+    of each; only digests are shuffled."""
+    return cut(pages.groupBy("print").agg(F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n"))
+               .where("n > 1 and top is not null").select("print", "top"))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col="page_id", url_col="url", html_col="html",
@@ -109,8 +108,11 @@ def write_archives(pages: DataFrame, folder: str, id_col="page_id", url_col="url
     pages = bounded_arrow(pages).select(
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html")) \
-        .withColumn("row", F.monotonically_increasing_id())
-    rows = pages.join(broadcast_if_bounded(_revisits(pages), BROADCAST_ROWS), "row", "left")
+        .withColumn("print", F.unhex(F.sha2("html", 256)))
+    # Both scans of the pages meet by payload digest and identifier, which are the same
+    # however the input is split.
+    rows = pages.join(broadcast_if_bounded(_repeated(pages), BROADCAST_ROWS), "print", "left") \
+        .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")))
 
     def run(batches):
         from pyarrow import fs

@@ -1,9 +1,12 @@
 """Fixtures and brute-force versions shared by the tests of the training-data operators."""
 
+import contextlib
 import re
 
 import duckdb
 
+from moorline.llm.common import work_uri
+
 SMALL = "/root/testdata/sf0.001"
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -29,6 +32,29 @@ def empty(spark):
     return spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
 
 
+@contextlib.contextmanager
+def moving(spark, monkeypatch, module, rows, schema):
+    """The rows as a table that is split otherwise from the first table on that ``module``
+    writes, as when executors are lost after the first job."""
+    path, least = work_uri(spark, "moving"), "spark.sql.files.minPartitionNum"
+    for i in range(0, len(rows), 10):
+        spark.createDataFrame(rows[i:i + 10], schema).coalesce(1).write.mode("append").parquet(path)
+
+    def turning(f):
+        def run(*a, **b):
+            out = f(*a, **b)
+            spark.conf.set(least, "1")
+            return out
+        return run
+    for name in ("written", "cut"):
+        monkeypatch.setattr(module, name, turning(getattr(module, name)))
+    try:
+        spark.conf.set(least, "64")
+        yield spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.unset(least)
+
+
 def documents():
     return duckdb.connect().execute(f"SELECT doc_id, text, lang FROM '{SMALL}/documents.parquet'").fetchall()
 

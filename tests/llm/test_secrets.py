@@ -73,3 +73,11 @@ def test_added_kinds(spark):
     row = S.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert {x.kind for x in row.found} >= {"github", "slack", "private_key", "google", "url_login"}
     assert all(text[x.start:x.end] for x in row.found)
+
+
+def test_input_split_anew_between_jobs(spark, monkeypatch):
+    docs = [(i, f"{i} AKIA" + "A" * 16 if i % 3 else "password = abcdefgh1234") for i in range(100)]
+    with H.moving(spark, monkeypatch, S, docs, "doc_id bigint, text string") as df:
+        ledger = S.BlobLedger(spark, work_uri(spark, "test-ledger"))
+        assert {(r.doc_id, len(r.found)) for r in ledger.scan(df, S.BASE, "r1").collect()} == {(i, 1) for i in range(100)}
+        assert ledger.read().count() == ledger.read().select("digest").distinct().count() == len({t for _, t in docs})

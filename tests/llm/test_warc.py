@@ -6,6 +6,8 @@ import pytest
 from moorline.llm import warc as W
 from moorline.llm.common import work_uri
 
+from . import helpers as H
+
 
 def _pages(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows],
@@ -54,3 +56,12 @@ def test_damage_is_noticed():
         W.parse(raw.replace(b"\r\nabc", b"\r\nabd"))
     with pytest.raises(ValueError):
         W.parse(raw[:-2])
+
+
+def test_input_split_anew_between_jobs(spark, monkeypatch):
+    rows = [(i, f"http://h/{i}", f"page {i}" if i % 3 else "page") for i in range(100)]
+    folder = work_uri(spark, "test-warc")
+    with H.moving(spark, monkeypatch, W, rows, "page_id bigint, url string, html string") as df:
+        got = W.read_records(W.write_archives(df, folder), folder).collect()
+    assert {(r.page_id, r.refers_to, r.payload and r.payload.decode()) for r in got} == {
+        (i, None if i % 3 or i == 99 else 99, t if i % 3 or i == 99 else None) for i, _, t in rows}
