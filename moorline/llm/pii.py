@@ -6,15 +6,17 @@ corpus: with document probabilities p, the disclosure of entity c by term t is
 
     PMI(c; t) / IC(c) = log2(p(c, t) / (p(c) p(t))) / -log2 p(c),
 
-where p(c, t) counts documents in which t stands within ``reach`` words of c.  It
+where p(c, t) counts documents that have c and, anywhere outside their entities, t.  It
 is 1 when every document with t has c.  Terms of at least ``support`` different
-contexts and a disclosure of ``generalise`` or more are replaced by their class in
-the documents where they surround the entity; from ``remove`` on they are removed.
-All of it is DataFrame expressions; no Python runs in tasks.
+contexts (a document's words outside its entities) and a disclosure of ``generalise``
+or more are replaced by their class in the documents that have the entity; from
+``remove`` on they are removed.  All of it is DataFrame expressions; no Python runs in
+tasks.
 
-Scale: co-occurrence is counted for the words around an entity only (twice
-``reach`` rows per entity), never for all pairs of a document; word counts cover all
-documents but only terms that can reach the threshold.
+Scale: equal texts are one text with a weight, and entities that occur in the same
+texts are one group.  Only groups and terms of ``support`` texts or more are paired,
+and only pairs whose counts so far let them reach the threshold; word counts cover
+all documents but only the terms of such pairs.
 
 Defined results: null text is the empty text and has no span; repeated rows count as
 documents of their own, but equal contexts support a term once; an empty table gives
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import broadcast_if_bounded
+from ..functions.joins import bounded, broadcast_if_bounded
 from .common import BROADCAST_ROWS, SPANS, count_kind, cut, kinded, span_text, spans, written
 
 # Patterns, fixed values; runs are possessive and start at their first character
@@ -42,8 +44,9 @@ WORD = r"[\p{L}\p{N}][\p{L}\p{N}'_-]*+"
 BASE = ["email", "ip", "card", "phone"]
 KINDS = [*BASE, "general", "removed"]
 
-REACH, WINDOW = 8, 160
-GENERALISE, REMOVE, SUPPORT, SHORTEST = 0.8, 0.95, 2, 3
+GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2
+# Rounding of the bounds by which pairs are dropped before they are scored.
+SLACK = 1e-9
 
 
 def _digits(m: Column) -> Column:
@@ -74,80 +77,118 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def entities(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """row, doc_id, base spans and, per span, the entity and the words around it."""
+def _outside(text: Column, base: Column) -> Column:
+    """The text with blanks in place of its spans; positions stay."""
+    def blanked(p, kind):
+        def part(x, i):
+            start = F.when(i > 0, F.element_at(x["found"], F.greatest(i, F.lit(1)))["end"]).otherwise(0)
+            after = F.get(x["found"], i)
+            return F.concat(F.substring(x["text"], (start + 1).cast("int"),
+                                        (F.coalesce(after["start"], F.length(x["text"])) - start).cast("int")),
+                            F.repeat(F.lit(" "), F.coalesce(after["end"] - after["start"], F.lit(0)).cast("int")))
+        bound = F.array(F.struct(p["text"].alias("text"), F.filter(p["base"], lambda x: x["kind"] == kind).alias("found")))
+        return F.element_at(F.transform(bound, lambda x: F.when(F.size(x["found"]) == 0, x["text"]).otherwise(F.array_join(
+            F.transform(F.sequence(F.lit(0), F.size(x["found"])), lambda i: part(x, i)), ""))), 1)
+
+    out = F.array(F.struct(text.alias("text"), base.alias("base")))
+    def without(kind):
+        return lambda p: F.struct(blanked(p, kind).alias("text"), p["base"].alias("base"))
+    for kind in BASE:
+        out = F.transform(out, without(kind))
+    return F.element_at(out, 1)["text"]
+
+
+def entities(docs: DataFrame) -> DataFrame:
+    """row, doc_id, digest, base spans, entity per span and, for texts with a span, the
+    text outside its spans."""
     text = F.col("text")
 
-    def around(x):
-        # Whole words only: the outermost word of a cut window may be part of one.
-        before = F.substring(text, F.greatest(x["start"] - WINDOW, F.lit(0)).cast("int") + 1,
-                             F.least(x["start"], F.lit(WINDOW)).cast("int"))
-        after = F.substring(text, x["end"].cast("int") + 1, F.lit(WINDOW))
-        left, right = _words(before), _words(after)
-        left = F.when(x["start"] > WINDOW, F.slice(left, F.lit(2), F.greatest(F.size(left) - 1, F.lit(0)))).otherwise(left)
-        right = F.when(F.length(after) == WINDOW, F.slice(right, F.lit(1), F.greatest(F.size(right) - 1, F.lit(0)))) \
-            .otherwise(right)
-        left = F.slice(left, F.greatest(F.size(left) - reach, F.lit(0)) + 1, F.lit(reach))
+    def entity(x):
         value = F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))
         name = F.when(x["kind"].isin("card", "phone"), _digits(value)).otherwise(F.lower(value))
-        return F.struct(F.concat_ws(":", x["kind"], name).alias("entity"),
-                        F.concat(left, F.slice(right, F.lit(1), F.lit(reach))).alias("words"))
+        return F.concat_ws(":", x["kind"], name)
 
     found = docs.withColumn("base", base_spans(text))
-    return found.withColumn("around", F.transform("base", around)).select("row", "doc_id", "base", "around")
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int, shortest: int) -> DataFrame:
-    """(row, term, disclosure) for the terms that reveal an entity they surround."""
-    total = docs.count()
-    contexts = found.select("row", F.explode("around").alias("a")) \
-        .select("row", "a.entity", F.col("a.words").alias("words"), F.xxhash64("a.words").alias("context"))
-    near = cut(contexts.select("row", "entity", "context", F.explode(F.array_distinct("words")).alias("term"))
-               .where(F.length("term") >= shortest))
-    n_c = contexts.groupBy("entity", "row").agg(F.lit(1).alias("x")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    return found.select("row", "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "base",
+                        F.transform("base", entity).alias("entities"),
+                        F.when(F.size("base") > 0, _outside(text, F.col("base"))).alias("outside"))
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, support: int) -> DataFrame:
+    """(digest, term, disclosure) for the terms that reveal an entity of the text."""
+    total = max(docs.count(), 1)
+    n = F.lit(float(total))
+    held = found.where(F.size("base") > 0)
+    repeats = cut(held.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("w")).where("w > 1"))
+    texts = held.join(broadcast_if_bounded(repeats, BROADCAST_ROWS), "digest", "left") \
+        .where("first is null or row = first").withColumn("w", F.coalesce("w", F.lit(1)))
+    named = texts.select("digest", "w", F.explode(F.array_distinct("entities")).alias("entity"))
+    # Entities of the same texts have the same counts with every term: they are one group.
+    same = cut(named.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("texts"), F.sum("w").alias("n_c"), F.bit_xor(F.xxhash64("digest")).alias("a"),
+        F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("b")).where((F.col("texts") >= support) & (F.col("n_c") < total))
+        .select("entity", "n_c", F.concat_ws(":", "texts", "a", "b").alias("grp")))
+    groups = cut(named.join(broadcast_if_bounded(same, BROADCAST_ROWS), "entity").select("digest", "grp", "n_c").distinct())
+    most = groups.agg(F.max("n_c")).first()[0] or 1
+    live = cut(groups.select("digest").distinct())
+
+    def reached(both, n_c, n_t):
+        return F.log2(both * n / (n_c * n_t)) >= generalise * F.log2(n / n_c) - SLACK
+
+    spoken = texts.join(broadcast_if_bounded(live, BROADCAST_ROWS), "digest", "left_semi") \
+        .select("digest", "w", _words(F.col("outside")).alias("words")) \
+        .select("digest", "w", F.xxhash64("words").alias("context"), F.explode(F.array_distinct("words")).alias("term"))
+    # ``least`` documents have the term, at least; no more of them have it with an entity.
+    known = cut(spoken.groupBy("term").agg(F.count(F.lit(1)).alias("texts"), F.sum("w").alias("least"))
+                .where(F.col("texts") >= support)
+                .where(reached(F.least(F.col("least"), F.lit(most)), F.lit(most), F.col("least"))
+                       | (F.col("least") <= most)).select("term", "least"))
+    near = written(spoken.join(broadcast_if_bounded(known, BROADCAST_ROWS), "term").join(groups, "digest")
+                   .where(reached(F.least("least", "n_c"), F.col("n_c"), F.col("least"))), "pii-near")
     # Distinct contexts and documents of a pair: two counts over small keys, added up map-side first.
-    by_context = near.groupBy("entity", "term", "context").agg(F.lit(1).alias("x")) \
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= support)
-    n_ct = near.groupBy("entity", "term", "row").agg(F.lit(1).alias("x")) \
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct"))
-    pairs = cut(by_context.join(n_ct, ["entity", "term"]).join(n_c, "entity"))
+    pairs = cut(near.groupBy("grp", "term", "context").agg(
+        F.sum("w").alias("w"), F.first("n_c").alias("n_c"), F.first("least").alias("least"))
+        .groupBy("grp", "term").agg(F.sum("w").alias("n_ct"), F.count(F.lit(1)).alias("support"),
+                                    F.first("n_c").alias("n_c"), F.first("least").alias("least"))
+        .where(F.col("support") >= support).where(reached(F.col("n_ct"), F.col("n_c"), F.col("least"))))
     terms = cut(pairs.select("term").distinct())
     said = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     n_t = said.join(broadcast_if_bounded(terms, BROADCAST_ROWS), "term").groupBy("term") \
         .agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(float(max(total, 1)))
-    information = F.log2(n / F.col("n_c"))
-    pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.greatest("n_t", "n_ct")))
-    scored = pairs.join(n_t, "term").where("n_c < %d" % max(total, 1)) \
-        .withColumn("disclosure", pmi / information).where(F.col("disclosure") >= generalise)
-    scored = cut(scored.select("entity", "term", "disclosure"))
-    return near.join(broadcast_if_bounded(scored, BROADCAST_ROWS), ["entity", "term"]) \
-        .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure"))
-
-
-def find(docs: DataFrame, id_col="doc_id", text_col="text", reach: int = REACH, generalise: float = GENERALISE,
-         remove: float = REMOVE, support: int = SUPPORT, shortest: int = SHORTEST) -> DataFrame:
-    """One row per document: row, doc_id and found (all spans; entity kinds, ``general``
-    for terms to generalise, ``removed`` for terms to remove)."""
+    pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.greatest("n_t", "least")))
+    scored = cut(pairs.join(n_t, "term", "left").withColumn("disclosure", pmi / F.log2(n / F.col("n_c")))
+                 .where(F.col("disclosure") >= generalise).select("grp", "term", "disclosure"))
+    return near.join(broadcast_if_bounded(scored, BROADCAST_ROWS), ["grp", "term"]) \
+        .groupBy("digest", "term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def _find(docs: DataFrame, id_col="doc_id", text_col="text", generalise: float = GENERALISE, remove: float = REMOVE,
+          support: int = SUPPORT) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
-        .withColumn("row", F.monotonically_increasing_id())
-    found = written(entities(docs, reach), "pii-entities")
-    terms = disclosing_terms(docs, found, generalise, support, shortest)
-    marked = cut(terms.groupBy("row").agg(
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # Rows are numbered by this one scan; what follows reads the numbers from the written
+    # table and meets other scans by content only, whatever their splits.
+    found = written(entities(docs.withColumn("row", F.monotonically_increasing_id())), "pii-entities")
+    terms = cut(disclosing_terms(docs, found, generalise, support))
+    marked = cut(terms.groupBy("digest").agg(
         F.collect_list(F.when(F.col("disclosure") < remove, F.col("term"))).alias("general"),
         F.collect_list(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("removed")))
-
-    def inside(x):
-        return F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
-
-    words = F.filter(spans(F.col("text"), WORD), lambda x: ~inside(x))
-    term_spans = F.concat(kinded(words, "general", lambda m: F.array_contains("general", F.lower(m))),
-                          kinded(words, "removed", lambda m: F.array_contains("removed", F.lower(m))))
-    extra = docs.join(broadcast_if_bounded(marked, BROADCAST_ROWS), "row") \
-        .join(found.select("row", "base"), "row").select("row", term_spans.alias("extra"))
-    return found.join(extra, "row", "left").select(
-        "row", "doc_id", F.concat("base", F.coalesce("extra", F.expr(f"cast(array() as {SPANS})"))).alias("found"))
+    # The lists of a text are as long as it has terms, so the terms are what is checked.
+    marked = F.broadcast(marked) if bounded(terms, BROADCAST_ROWS) else marked
+    words = F.transform(F.array(spans(F.col("outside"), WORD)), lambda s: F.concat(
+        kinded(s, "general", lambda m: F.array_contains("general", F.lower(m))),
+        kinded(s, "removed", lambda m: F.array_contains("removed", F.lower(m)))))
+    extra = F.when(F.col("general").isNotNull(), F.element_at(words, 1)).otherwise(F.expr(f"cast(array() as {SPANS})"))
+    some = found.where(F.size("base") > 0).join(marked, "digest", "left") \
+        .select("row", "doc_id", "digest", F.concat("base", extra).alias("found"))
+    return some.unionByName(found.where(F.size("base") == 0).select("row", "doc_id", "digest", F.col("base").alias("found")))
+
+
+def find(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
+    """One row per document: row, doc_id and found (all spans; entity kinds, ``general``
+    for terms to generalise, ``removed`` for terms to remove).  ``how``: ``generalise``,
+    ``remove``, ``support``."""
+    return _find(docs, id_col, text_col, **how).drop("digest")
 
 
 def rewrite(text: Column, found: Column) -> Column:
@@ -167,9 +208,10 @@ def sanitise(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFr
     """(doc_id, text) with protected entities and disclosing terms generalised or removed."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
-        .withColumn("row", F.monotonically_increasing_id())
-    found = find(docs, id_col, text_col, **how).where(F.size("found") > 0).select("row", "found")
-    return rows.join(broadcast_if_bounded(cut(found), BROADCAST_ROWS), "row", "left").select(
+        .withColumn("digest", F.unhex(F.sha2("text", 256)))
+    # Equal texts have equal spans.
+    found = _find(docs, id_col, text_col, **how).where(F.size("found") > 0).groupBy("digest").agg(F.first("found").alias("found"))
+    return rows.join(broadcast_if_bounded(cut(found), BROADCAST_ROWS), "digest", "left").select(
         "doc_id", F.when(F.col("found").isNull(), F.col("text")).otherwise(rewrite(F.col("text"), F.col("found"))).alias("text"))
 
 

@@ -79,3 +79,33 @@ def test_luhn(spark):
     digits = ["".join(rng.choice("0123456789") for _ in range(rng.randint(1, 19))) for _ in range(300)]
     df = spark.createDataFrame([(d,) for d in digits], "d string")
     assert [r[0] for r in df.select(P.luhn(df.d)).collect()] == [_luhn(d) for d in digits]
+
+
+def _terms(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    texts = dict(docs)
+    return {r.doc_id: {texts[r.doc_id][x.start:x.end] for x in r.found if x.kind in ("general", "removed")}
+            for r in P.find(df).collect()}
+
+
+def test_terms_anywhere_in_the_document_disclose(spark):
+    far = [(i, f"Zanzibar project {'filler words of all ' * 50} n{i} {'y' * 200} ann@x.org {'more filler of all ' * 40} "
+               f"\uae40\uc218 {'filler ' * 30} \u6771\u4eac{'\u90fd' * 200}") for i in range(4)]
+    rest = [(10 + i, f"project filler words of all more {i}") for i in range(20)]
+    got = _terms(spark, far + rest)
+    want = {"Zanzibar", "\uae40\uc218", "y" * 200, "\u6771\u4eac" + "\u90fd" * 200}
+    assert all(got[i] == want for i in range(4)) and all(not got[i] for i in range(10, 30))
+
+
+def test_equal_texts_support_a_term_once(spark):
+    rest = [(10 + i, f"the note about tea and rice from {i}") for i in range(20)]
+    assert not any(_terms(spark, [(i, "zanzibar ann@x.org") for i in range(4)] + rest).values())
+
+
+def test_input_split_anew_between_jobs(spark, monkeypatch):
+    docs = [(i, f"n{i} from zanzibar ann@x.org" if i % 5 == 0 else f"n{i} from here") for i in range(100)]
+    with H.moving(spark, monkeypatch, P, docs, "doc_id bigint, text string") as df:
+        got = {(r.doc_id, *(dict(docs)[r.doc_id][x.start:x.end] for x in r.found)) for r in P.find(df).collect()}
+        clean = {(r.doc_id, r.text) for r in P.sanitise(df).collect()}
+    assert got == {(i, "ann@x.org", "zanzibar") if i % 5 == 0 else (i,) for i in range(100)}
+    assert clean == {(i, f"n{i} from  [EMAIL]" if i % 5 == 0 else t) for i, t in docs}
