@@ -63,7 +63,7 @@ TEMPLATES = [
     Template("cc-by", "cc by", base=True),
     Template("mit", "mit license", base=True),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-             "associated documentation files to deal in the software without restriction",
+             "associated documentation files the software to deal in the software without restriction",
              ("permission is hereby granted free of charge", "associated documentation files")),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
              "provided that the following conditions are met", ("redistribution and use in source and binary forms",)),

@@ -44,3 +44,11 @@ def test_passages_are_found_with_a_word_changed_but_not_without_key_phrase(spark
     assert rows[1].labels == "mit" and rows[1].score == 1.0 and rows[1].n_base == 0
     assert rows[2].labels == "mit" and 0.6 < rows[2].score < 1
     assert rows[3].labels == "" and rows[4].labels == "" and rows[4].score == 0
+
+
+def test_published_mit_notice(spark):
+    notice = ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+              'documentation files (the "Software"), to deal\nin the Software without restriction, including without '
+              "limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies")
+    row = L.labelled(L.scan(spark.createDataFrame([(1, notice)], "doc_id bigint, text string"))).first()
+    assert row.labels == "mit" and row.score == 1.0
