@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,6 +120,26 @@ ALNUM_WORDS[0x61:0x7B] = np.arange(0x61, 0x7B)
 ALNUM_WORDS[0x41:0x5B] = np.arange(0x61, 0x7B)
 ALNUM_WORDS[0x80:] = np.arange(0x80, 0x100)
 
+
+
+def split_words(text: pa.Array, table: np.ndarray):
+    """The words of all texts of an Arrow array: a code per word, the distinct words (by
+    their bytes) that the codes stand for, and the row boundaries in the codes (n + 1
+    offsets).  Null texts have no words."""
+    text = text.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(text.buffers()[1], dtype=np.int64, count=len(text) + 1 + text.offset)[text.offset:]
+    raw = np.frombuffer(text.buffers()[2] or b"", dtype=np.uint8)
+    plain = pa.LargeStringArray.from_buffers(len(text), pa.py_buffer((offsets - offsets[0]).tobytes()),
+                                             pa.py_buffer(table[raw[offsets[0]:offsets[-1]]]))
+    words = pc.ascii_split_whitespace(plain)
+    flat = words.flatten()
+    real = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    coded = flat.filter(real).dictionary_encode()
+    at = words.offsets.to_numpy()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, before[at - at[0]]
+
+
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 SEGMENT = 1 << 20

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, licenses, packing, pii, secrets, setsketch, sharding, warc
+from . import decontam, exact_dedup, langid, licenses, packing, pii, ranked, secrets, setsketch, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,27 @@ def op3_warc(spark, sf_dir):
 def op8_sharding(spark, sf_dir):
     """8: all documents in 24 shards by virtual slots."""
     return sharding.assign(table(spark, sf_dir, "documents")).drop("vslot")
+
+
+_TERMS = ("list_transform(regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), "
+          "lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))")
+
+
+@query("op13_ranked_search", oracle=f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_TERMS}, []) AS t FROM documents),
+ask AS (SELECT i, item_id, unnest(list_distinct(t)) AS term
+        FROM (SELECT row_number() OVER () AS i, item_id, coalesce({_TERMS}, []) AS t FROM benchmark)),
+size AS (SELECT count(*) FILTER (len(t) > 0) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM doc),
+post AS (SELECT r, doc_id, n, term, count(*) AS tf
+         FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM doc) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * size.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+       FROM post, size GROUP BY term, size.n),
+hit AS (SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * post.n * size.n) // size.l))))
+               AS BIGINT) AS score
+        FROM ask JOIN wt USING (term) JOIN post USING (term), size GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+  FROM hit WHERE score > 0) WHERE rank <= 10""")
+def op13_ranked_search(spark, sf_dir):
+    """13: the ten best documents of every item of benchmark."""
+    return ranked.search(ranked.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
