@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, langid, licenses, packing, pii, ranked, secrets, setsketch, sharding, warc
+from . import decontam, exact_dedup, langid, licenses, merkle, packing, pii, ranked, secrets, setsketch, sharding, suffixes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,67 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
 def op13_ranked_search(spark, sf_dir):
     """13: the ten best documents of every item of benchmark."""
     return ranked.search(ranked.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+# crc32 of ASCII text, bit by bit: DuckDB has no such function.
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+        "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+
+
+def _leaf_sql(text: str) -> str:
+    columns = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+@query("op11_merkle", oracle=f"""
+WITH RECURSIVE leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")}
+                    ELSE {_leaf_sql("text")} END AS claim
+        FROM documents)),
+low AS (
+  SELECT source, 0 AS k, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT source, k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY source, k, i // 3, n),
+tops AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS trees FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS k, rank AS i, trees AS n, subroot AS h FROM tops
+  UNION ALL
+  SELECT k + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY k, i // 3, n),
+nodes AS (
+  SELECT source, k, i, n, h, false AS top FROM low UNION ALL SELECT NULL, k, i, n, h, true FROM high),
+runs AS (
+  SELECT source, top, k, i // 3 AS run, list(h ORDER BY i) AS hs FROM nodes WHERE n > 1 GROUP BY source, top, k, i // 3),
+climb AS (
+  SELECT l.source, l.i AS leaf_i, rank, false AS top, 0 AS k, l.i AS pos, l.n, l.claim AS folded, '' AS proof
+  FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source
+  UNION ALL
+  SELECT c.source, leaf_i, rank, c.n = 1 OR c.top, CASE WHEN c.n = 1 THEN 0 ELSE c.k + 1 END, CASE WHEN c.n = 1 THEN rank ELSE pos // 3 END,
+         CASE WHEN c.n = 1 THEN (SELECT count(*) FROM tops) ELSE (c.n + 2) // 3 END,
+         CASE WHEN c.n = 1 THEN folded ELSE sha256(array_to_string(list_transform(hs, lambda x, j: CASE WHEN j = pos % 3 + 1 THEN folded ELSE x END), '')) END,
+         CASE WHEN c.n = 1 THEN proof ELSE proof || array_to_string(list_transform(hs, lambda x, j: CASE WHEN j = pos % 3 + 1 THEN '' ELSE x END), '') END
+  FROM climb c LEFT JOIN runs r ON c.n > 1 AND r.top = c.top AND r.k = c.k AND r.run = pos // 3
+       AND (c.top OR r.source IS NOT DISTINCT FROM c.source)
+  WHERE NOT (c.top AND c.n = 1)),
+done AS (SELECT source, leaf_i, folded, proof FROM climb WHERE top AND n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source
+JOIN done d ON l.source IS NOT DISTINCT FROM d.source AND l.i = d.leaf_i, (SELECT h AS root FROM high WHERE n = 1)""")
+def op11_merkle(spark, sf_dir):
+    """11: every row of documents proved against the manifest, with line breaks lost on the way for some."""
+    docs = table(spark, sf_dir, "documents")
+    lost = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))) \
+        .otherwise(F.col("text"))
+    manifest = merkle.build(docs, ["doc_id", "source", "lang", "n_chars", "text"], claim={"text": lost})
+    return merkle.verify(manifest).withColumn("proof_sha256", F.sha2(F.array_join(F.transform(
+        "siblings", lambda x: F.lower(F.hex(x))), ""), 256)).drop("siblings")
+
+
+@query("op12_suffix_array")
+def op12_suffix_array(spark, sf_dir):
+    """12: documents without the passages of 200 bytes that stand in several places."""
+    cut = suffixes.dedup(table(spark, sf_dir, "documents"), keep="none")
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+                      F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
