@@ -10,9 +10,10 @@ Nodes of a subtree and of the tree above it are linked alike: the way from a lea
 the root is a chain of parents.  Positions come from a range partitioning with
 offsets per partition, so a group of any size is spread over all tasks.
 
-``climb`` ascends with one recursive query: every step joins the nodes that the
-leaves have reached with their rows, appends the siblings of that level to the leaf's path and
-folds the claimed hash one level up.  A step moves one row of fixed width per leaf.
+``climb`` ascends with one recursive query: every step joins the nodes that the leaves have reached with
+their ways up, appends the siblings on that way to the leaf's path and folds the claimed hash along it.  A way
+is ``STEP`` parent links in a row, joined once for every ``STEP``-th level, so a leaf is moved once per
+way and not once per level; the first link needs no step, since every leaf has its own.
 
 Defined results: a null column counts as ``-``, an empty one as ``0:``; null groups and null
 identifiers come first and are ordered like any other; rows that repeat an identifier are
@@ -34,11 +35,12 @@ from ..functions.joins import broadcast_if_bounded, literal_broadcast
 from .common import BROADCAST_ROWS, work_uri, written
 
 ARITY = 3
+# Levels that a step of the recursion climbs.
+STEP = 4
 # A node is named by its level (upper bits) and its position there; the tree over the subroots starts at TOP.
 LEVEL_BITS, TOP = 56, 64
 NODES = ("tree bigint, n bigint, idx bigint, node bigint, parent bigint, hash binary, "
          "before binary, after binary, up binary")
-EMPTY = F.lit(b"")
 
 
 @dataclass
@@ -89,8 +91,10 @@ def _level(rows: DataFrame, level: int) -> DataFrame:
         .withColumn("up", digest(F.array_join(F.transform("kids", lambda k: _hex(k["hash"])), "")))
     kids = runs.select("tree", "n", "run", "up", "kids", F.posexplode("kids").alias("place", "kid"))
 
+    empty = F.lit(b"")
+
     def others(places, stands):
-        return F.concat(*[F.when(stands(j), F.coalesce(F.get("kids", F.lit(j))["hash"], EMPTY)).otherwise(EMPTY)
+        return F.concat(*[F.when(stands(j), F.coalesce(F.get("kids", F.lit(j))["hash"], empty)).otherwise(empty)
                           for j in places])
     return kids.select("tree", "n", "kid.idx", "kid.node", (F.lit((level + 1) << LEVEL_BITS) + F.col("tree") + F.col("run")).alias("parent"),
                        "kid.hash", others(range(ARITY - 1), lambda j: F.col("place") > j).alias("before"),
@@ -159,44 +163,58 @@ def _height(n: int) -> int:
     return levels
 
 
+def _ways(nodes: DataFrame) -> DataFrame:
+    """(node, target, way): the links from a node over up to STEP parents; from every STEP-th level
+    below the subroots, and from all nodes above."""
+    level = F.shiftright("node", LEVEL_BITS)
+    links = nodes.select("node", "parent", F.struct("before", "after").alias("link"))
+    ways = links.where((level >= TOP) | (level % STEP == 1)).select("node", F.col("parent").alias("target"), F.array("link").alias("way"))
+    for _ in range(STEP - 1):
+        above = links.select(F.col("node").alias("target"), "parent", F.col("link").alias("next"))
+        ways = ways.join(above, "target", "left").select(
+            "node", F.coalesce("parent", "target").alias("target"),
+            F.when(F.col("next").isNull(), F.col("way")).otherwise(F.concat("way", F.array("next"))).alias("way"))
+    return ways
+
+
+_FOLD = "aggregate({way}, {hash}, (h, x) -> unhex(sha2(concat(lower(hex(x.before)), lower(hex(h)), lower(hex(x.after))), 256)))"
+_BESIDE = "aggregate({way}, X'', (b, x) -> concat(b, x.before, x.after))"
 _CLIMB = """
-WITH RECURSIVE climb(at, node, level, folded, beside) AS (
-  SELECT at, node, 0, claim, CAST(NULL AS BINARY) FROM {leaves}
+WITH RECURSIVE climb(at, node, step, folded, beside) AS (
+  SELECT at, node, 0, folded, beside FROM {{leaves}}
   UNION ALL
-  SELECT c.at, n.parent, c.level + 1,
-         unhex(sha2(concat(lower(hex(n.before)), lower(hex(c.folded)), lower(hex(n.after))), 256)),
-         concat(n.before, n.after)
-  FROM climb c JOIN {nodes} n ON c.node = n.node)
-SELECT at, level, folded, beside FROM climb"""
-# The recursion ends at the root, which has no row; it is bounded by the height and not by rows.
+  SELECT c.at, w.target, c.step + 1, {fold}, {beside}
+  FROM climb c JOIN {{ways}} w ON c.node = w.node)
+SELECT at, step, folded, beside FROM climb""".format(fold=_FOLD.format(way="w.way", hash="c.folded"), beside=_BESIDE.format(way="w.way"))
+# The recursion ends at the root, from where no way leads; it is bounded by the height and not by rows.
 _LIMITS = {"spark.sql.cteRecursionRowLimit": "-1", "spark.sql.cteRecursionLevelLimit": str(2 * TOP)}
 
 
 def climb(manifest: Manifest) -> DataFrame:
-    """Per leaf: at, folded (the root that its claim leads to) and siblings (the hashes beside
-    its way, joined level by level)."""
+    """Per leaf: at, folded (the root that its claim leads to) and siblings (the hashes beside its way, joined
+    level by level).  The session's limits of recursion are lifted, since the result is read lazily."""
     spark = manifest.leaves.sparkSession
-    names = {k: f"merkle_{k}_{uuid.uuid4().hex}" for k in ("leaves", "nodes")}
-    manifest.leaves.select("at", "node", "claim").createOrReplaceTempView(names["leaves"])
-    manifest.nodes.select("node", "parent", "before", "after").createOrReplaceTempView(names["nodes"])
-    old = {k: spark.conf.get(k, None) for k in _LIMITS}
-    try:
-        for k, v in _LIMITS.items():
-            spark.conf.set(k, v)
-        path = written(spark.sql(_CLIMB.format(**names)), "merkle-path")
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
-        for name in names.values():
-            spark.catalog.dropTempView(name)
-    way = F.sort_array(F.collect_list(F.struct("level", "beside")))
-    return path.groupBy("at").agg(F.max_by("folded", "level").alias("folded"), way.alias("way")) \
-        .select("at", "folded", F.transform(F.filter("way", lambda x: x["beside"].isNotNull()), lambda x: x["beside"]).alias("siblings"))
+    for k, v in _LIMITS.items():
+        spark.conf.set(k, v)
+    names = {k: f"merkle_{k}_{uuid.uuid4().hex}" for k in ("leaves", "ways")}
+    own = manifest.nodes.where(F.shiftright("node", LEVEL_BITS) == 0).select("node", "parent", F.array(F.struct("before", "after")).alias("way"))
+    first = manifest.leaves.select("at", "node", "claim").join(own, "node", "left")
+    first.select("at", F.coalesce("parent", "node").alias("node"),
+                 F.expr("CASE WHEN way IS NULL THEN claim ELSE " + _FOLD.format(way="way", hash="claim") + " END").alias("folded"),
+                 F.expr("CASE WHEN way IS NULL THEN X'' ELSE " + _BESIDE.format(way="way") + " END").alias("beside")) \
+        .createOrReplaceTempView(names["leaves"])
+    written(_ways(manifest.nodes.where(F.shiftright("node", LEVEL_BITS) > 0)), "merkle-ways").createOrReplaceTempView(names["ways"])
+    path = spark.sql(_CLIMB.format(**names))
+    for name in names.values():
+        spark.catalog.dropTempView(name)
+    way = F.sort_array(F.collect_list(F.struct("step", "beside")))
+    return path.groupBy("at").agg(F.max_by("folded", "step").alias("folded"), way.alias("way")) \
+        .select("at", "folded", F.transform("way", lambda x: x["beside"]).alias("siblings"))
 
 
 def verify(manifest: Manifest, id_col="doc_id") -> DataFrame:
     """One row per leaf: its identifier, leaf, subroot, root and folded_root (lowercase hex),
-    siblings (array<binary>, one entry a level) and whether the claim leads to the root."""
+    siblings (array<binary>, joined level by level) and whether the claim leads to the root."""
     subroots = manifest.subroots.select("tree", F.col("hash").alias("subroot"))
     root = F.lit(manifest.root.hex() if manifest.root else None).cast("string")
     return manifest.leaves.join(broadcast_if_bounded(subroots, BROADCAST_ROWS), "tree").join(climb(manifest), "at").select(
