@@ -1,10 +1,8 @@
 """Churn model: fit, score, threshold (ML3-ML5, ML10, PF1, PF6, PF12).
 
-The classifier is Spark ML's ``GBTClassifier`` (JVM, distributed tree
-building).  Hyper-parameters mirror the reference booster where Spark has an
-equivalent (trees, depth, learning rate, row/column sampling, min rows per
-leaf, early stopping on a validation set); leaf-count and L1/L2 terms have no
-Spark equivalent.  Early stopping uses rows carved out of the *training*
+The classifier is the histogram booster of ``boosting`` with the reference's
+hyper-parameters (trees, depth, leaves, learning rate, row and column sampling, min rows per
+leaf, L1/L2, patience).  Early stopping uses rows carved out of the *training*
 split (SEM8), never the test split.
 """
 
@@ -12,21 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from . import boosting as B
 from .metrics import stratified_split
 
-GBT_PARAMS = dict(maxIter=500, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=42, maxBins=64)
-EARLY_STOPPING_ROUNDS = 50
-FIRST_TREES = 100
-
 
 def with_splits(df: DataFrame, key: str = "customer_id", test_fraction: float = 0.2,
                 val_fraction: float = 0.1, seed: int = 42, label: str = "churned") -> DataFrame:
@@ -34,66 +24,25 @@ def with_splits(df: DataFrame, key: str = "customer_id", test_fraction: float =
     return stratified_split(df, key, label, test_fraction, val_fraction, seed)
 
 
-def best_iteration(losses: list[float], rounds: int) -> int:
-    """Number of trees to keep: the best validation loss seen before ``rounds``
-    iterations pass without improvement (patience-based early stopping)."""
-    best, best_i = float("inf"), 0
-    for i, v in enumerate(losses):
-        if v < best:
-            best, best_i = v, i
-        elif i - best_i >= rounds:
-            break
-    return best_i + 1
-
-
-def fit_gbt(model_ready: DataFrame, label: str = "churned", params: dict | None = None,
-            early_stopping_rounds: int = EARLY_STOPPING_ROUNDS) -> PipelineModel:
-    """ML3: fit assembler + GBT on the train rows; the validation rows pick the
-    number of trees (patience ``early_stopping_rounds``) and the model is refit
-    with that many trees when fewer than ``maxIter`` are best.  Spark's own
-    ``validationIndicatorCol`` stops at the first non-improving tree, which is
-    too eager for a 0.05 learning rate with row sampling."""
-    p = dict(GBT_PARAMS)
-    p.update(params or {})
-    cols = [*K.FEATURE_COLUMNS, F.col(label).cast("double").alias("label")]
-    train = model_ready.where(F.col("split") == "train").select(*cols)
-    assembler = VectorAssembler(inputCols=K.FEATURE_COLUMNS, outputCol="features", handleInvalid="keep")
-
-    def fit(n):
-        gbt = GBTClassifier(featuresCol="features", labelCol="label", **{**p, "maxIter": n})
-        return Pipeline(stages=[assembler, gbt]).fit(train)
-
-    val = None
-    if early_stopping_rounds:
-        val = assembler.transform(model_ready.where(F.col("split") == "validation").select(*cols))
-        if val.isEmpty():
-            val = None
-    if val is None:
-        return fit(p["maxIter"])
-    # The first n trees do not depend on maxIter, so the fit grows until the patience has
-    # run out; the result is that of a fit with all maxIter trees.
-    n = min(FIRST_TREES, p["maxIter"])
-    while True:
-        model = fit(n)
-        k = best_iteration(model.stages[-1].evaluateEachIteration(val), early_stopping_rounds)
-        if n == p["maxIter"] or k + early_stopping_rounds <= n:
-            return model if k == n else fit(k)
-        n = min(2 * n, p["maxIter"])
-
-
-def score(model: PipelineModel, model_ready: DataFrame, model_version: str,
+def fit_gbt(model_ready: DataFrame, label: str = "churned", params: B.Params = B.Params(),
+            key: str = "customer_id") -> B.Booster:
+    """ML3: boosted trees on the train rows; the validation rows decide how many are kept."""
+    fold = F.when(F.col("split") == "train", 0).when(F.col("split") == "validation", 1)
+    return B.fit(model_ready, list(K.FEATURE_COLUMNS), label, key, fold, params)
+
+
+def score(model: B.Booster, model_ready: DataFrame, model_version: str,
           scored_at: dt.datetime | None = None) -> DataFrame:
     """ML4 / SEM7: probability of class 1 as ``churn_score`` plus version and time."""
-    out = model.transform(model_ready)
     if scored_at is None:
         ts = F.current_timestamp()
     elif isinstance(scored_at, dt.datetime):
         ts = F.lit(scored_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     else:
         ts = scored_at
-    return out.select(
+    return model_ready.select(
         *[c for c in model_ready.columns],
-        vector_to_array("probability")[1].alias("churn_score"),
+        model.score_column().alias("churn_score"),
         F.lit(str(model_version)).alias("model_version"),
         ts.alias("scored_at"),
     )
@@ -113,11 +62,10 @@ def first_n(batch: DataFrame, n: int) -> DataFrame:
     return batch.orderBy(F.desc("churn_score"), F.asc("customer_id")).limit(n)
 
 
-def feature_importance(model: PipelineModel, spark) -> DataFrame:
-    """ML10: feature importances, highest first (12 rows, read from the model object)."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = list(zip(K.FEATURE_COLUMNS, [float(x) for x in imp]))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+def feature_importance(model: B.Booster, spark) -> DataFrame:
+    """ML10: share of the gain and number of splits per feature, highest first (12 rows,
+    read from the model object)."""
+    return spark.createDataFrame(model.importance(), "feature string, importance double, splits int").orderBy(
         F.desc("importance"), "feature")
 
 

@@ -13,11 +13,11 @@ from __future__ import annotations
 import argparse
 import os
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators import boosting as B
 from ..operators import decisions as DC
 from ..operators import features as FT
 from ..operators import marts as M
@@ -31,14 +31,14 @@ from ..sources import io as IO
 from . import common as C
 
 
-def train(spark: SparkSession, sf_dir: str, out: str, params: dict | None = None,
-          patience: int = MD.EARLY_STOPPING_ROUNDS, dataset_version: str = "v1") -> dict:
+def train(spark: SparkSession, sf_dir: str, out: str, params: B.Params = B.Params(),
+          dataset_version: str = "v1") -> dict:
     """Path A: feature table -> GBT fit -> test metrics -> gate -> registry + model."""
     w = C.warehouse(spark, sf_dir)
     IO.write_feature_table(C.features(w), f"{out}/features", dataset_version)
     feats = IO.read_feature_table(spark, f"{out}/features", w.snapshot, w.snapshot, dataset_version)
     mr = materialize(MD.with_splits(PP.model_ready(feats)))
-    model = MD.fit_gbt(mr, params=params, early_stopping_rounds=patience)
+    model = MD.fit_gbt(mr, params=params)
     scored = MD.score(model, mr.where(F.col("split") == "test"), "candidate")
     metrics = MT.binary_metrics(scored.select(F.col("churned").alias("label"), F.col("churn_score").alias("score")))
     IO.write_metrics(metrics, f"{out}/metrics")
@@ -48,7 +48,7 @@ def train(spark: SparkSession, sf_dir: str, out: str, params: dict | None = None
     if passed:
         path = f"{out}/registry"
         version = RG.next_version(spark.read.parquet(path) if IO.exists(spark, path) else None)
-        model.write().save(f"{out}/models/{version}")
+        model.save(spark, f"{out}/models/{version}")
         reg = spark.createDataFrame([(version, "staging", dataset_version, str(w.snapshot), m["precision"],
                                       m["recall"], m["f1"], m["auc"])],
                                     "version string, status string, dataset_version string, snapshot_date string, "
@@ -78,7 +78,7 @@ def weekly(spark: SparkSession, sf_dir: str, out: str, model_path: str | None =
     mr = PP.model_ready(feats).join(raw, "customer_id")
     if scorer == "model":
         model_path = model_path or resolve_model(spark, out)
-        scored = MD.score(PipelineModel.load(model_path), mr, os.path.basename(model_path.rstrip("/")))
+        scored = MD.score(B.load(spark, model_path), mr, os.path.basename(model_path.rstrip("/")))
     else:
         scored = mr.select("*", MD.linear_score_col().alias("churn_score"),
                            F.lit("linear").alias("model_version"), F.current_timestamp().alias("scored_at"))

@@ -29,7 +29,7 @@ def test_train_job_numbers_versions_and_weekly_resolves_them(spark, tmp_path, mo
     with pytest.raises(LookupError):
         jobs.weekly(spark, SF, out)                      # empty registry: no silent fallback
     for expected in ("1", "2"):
-        res = jobs.train(spark, SF, out, params={"maxIter": 3}, patience=0)
+        res = jobs.train(spark, SF, out, params=jobs.B.Params(trees=3, patience=3))
         assert 0.0 <= res["precision"] <= 1.0 and res["version"] == expected
         assert os.path.isdir(f"{out}/models/{expected}") and os.path.isdir(f"{out}/metrics")
     assert jobs.resolve_model(spark, out) == f"{out}/models/2"
