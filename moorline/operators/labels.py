@@ -2,8 +2,9 @@
 
 Window ``[snap, snap+60]`` (closed).  Every signal is a per-customer
 aggregate; the two sequence signals (inactivity gap, rolling transfers) first
-reduce rows to one per (customer, day), which bounds each window partition to
-61 rows no matter how many events a hot customer has, then use a
+reduce rows to one per (customer, day) and keep the days that labels and features look at
+(90 before the snapshot to 60 after it), which bounds each window partition to
+151 rows no matter how long a history or how many events a hot customer has, then use a
 ``lag`` / ``rangeBetween`` window over that bounded set.
 """
 
@@ -122,6 +123,7 @@ def transaction_stats(daily: DataFrame, snapshot, window_days: int, baseline_day
     window and grouping share one exchange."""
     snap = as_date_col(snapshot)
     d = F.col("d")
+    daily = daily.where(in_closed(d, F.date_sub(snap, max(baseline_days, lookback)), F.date_add(snap, window_days)))
     ahead = in_closed(d, snap, F.date_add(snap, window_days))
     back = in_closed(d, F.date_sub(snap, lookback), snap)
     debits = F.when(ahead, F.col("competitor_debit_n")).otherwise(0)
@@ -140,6 +142,7 @@ def session_stats(daily: DataFrame, snapshot, window_days: int, lookback: int, r
     """Per customer everything labels and features need from the (customer, day) session rollup."""
     snap = as_date_col(snapshot)
     d = F.col("d")
+    daily = daily.where(in_closed(d, F.date_sub(snap, lookback), F.date_add(snap, window_days)))
     ahead = in_closed(d, snap, F.date_add(snap, window_days))
     back = in_closed(d, F.date_sub(snap, lookback), snap)
     before = F.lag("d").over(Window.partitionBy("customer_id").orderBy("d"))

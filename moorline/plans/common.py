@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import constants as K
+from ..operators import asof
 from ..operators import features as FT
 from ..operators import labels as LB
 from ..operators import preprocess as PP
@@ -78,6 +79,12 @@ def features_at(w: Warehouse, as_of) -> DataFrame:
                                holding=holding_stats_at(w, as_of))
 
 
+def features_many(w: Warehouse, dates) -> DataFrame:
+    """Feature snapshots of many dates from one read of every child."""
+    return asof.snapshots(w.customers(), dates, daily_sessions(w), daily_transactions(w), w.customer_products(),
+                          w.complaints(), w.nps_responses())
+
+
 def features_variant(w: Warehouse, as_of_holdings: bool = False, nps_mode: str = "max") -> DataFrame:
     """SEM2 / SEM4 options: holdings counted by activity on the snapshot date
     instead of current status; NPS as the latest score within 180 days."""

@@ -47,11 +47,10 @@ def feature_manifest(spark: SparkSession, path: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("columns", F.lit(names))
 
 
-def backfill(build, snapshots: list[dt.date], path: str, dataset_version: str) -> None:
-    """ML19: materialise the feature table for each snapshot date.  Each date
-    is an independent job writing only its own partition (idempotent reruns)."""
-    for snap in snapshots:
-        write_feature_table(build(snap), path, dataset_version)
+def backfill(snapshots: DataFrame, path: str, dataset_version: str) -> None:
+    """ML19: write the feature rows of many snapshot dates with one job; each date replaces
+    its own partition only (idempotent reruns)."""
+    write_feature_table(snapshots.hint("rebalance", "snapshot_date"), path, dataset_version)
 
 
 def load_parts(spark: SparkSession, path: str) -> DataFrame:
