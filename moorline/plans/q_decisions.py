@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.joins import broadcast_if_bounded
+from ..operators import catalogue as CT
 from ..operators import decisions as DC
 from ..operators import profiles as PR
 from . import common as C
@@ -70,6 +71,14 @@ def offer_eligibility(spark, sf_dir):
         "customer_id", "o.offer_id", "o.triggered")
 
 
+@query("offer_catalogue", _dsql("""
+SELECT customer_id, e.offer_id, e.triggered FROM (SELECT customer_id, unnest(eligible) AS e FROM elig) t"""))
+def offer_catalogue(spark, sf_dir):
+    """J10 + DC5: the same from the catalogue as a table, by relational division."""
+    return CT.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir))), DC.offers_frame(spark)) \
+        .select("customer_id", F.explode("eligible").alias("o")).select("customer_id", "o.offer_id", "o.triggered")
+
+
 @query("offer_best", _dsql("""
 SELECT customer_id, churn_reason, offer_id, offer_triggered, channel FROM off"""))
 def offer_best(spark, sf_dir):
