@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import bounded
 
 # The number of value ranges follows the number of rows (one per distinct value).
@@ -79,3 +80,19 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     out = out.drop("_bucket", "_prev_in", "_prev_bmax", *[f"_o_{v}" for v in value_cols],
                    *[f"_r_{v}" for v in value_cols])
     return out.drop("_g") if dummy else out
+
+
+def row_numbers(df: DataFrame, *order, name: str = "row_number") -> DataFrame:
+    """Add ``name``: the row's number from 1 in a global order (which must be total), without a
+    single-task window.  Rows are range partitioned and written once with their position inside
+    their partition; the partitions' sizes (one row each) give the offsets."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                         .withColumn("_at", F.monotonically_increasing_id()))
+    part, first, offsets = F.shiftright("_at", 33), 0, []
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):
+        offsets.append((r["part"], first))
+        first += r["count"]
+    table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
+    return placed.withColumn("_part", part).join(F.broadcast(table), "_part") \
+        .withColumn(name, F.col("_offset") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_part", "_offset", "_at")

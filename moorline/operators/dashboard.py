@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import preview, total_tokens, violation_ids
+from ..session import materialize
 from .decisions import RULES
 
 RULE_IDS = [r for r, _ in RULES]
@@ -204,6 +205,6 @@ def batch_history(batch_summary_df: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("approved_count") + F.col("review_count"), F.lit(0)))
     r = runs.groupBy(F.trunc(F.col("run_date"), "month").alias("month")).agg(
         F.max_by("precision", "run_date").alias("model_precision"))
-    j = b.join(r, "month", "inner")
+    j = materialize(b.join(r, "month", "inner"))       # one row per month, read twice
     corr = j.agg(F.corr("model_precision", "pass_rate").alias("precision_pass_rate_corr"))
     return j.join(F.broadcast(corr.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k")).drop("_k")

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordered import row_numbers
+
 
 def population_summary(labelled: DataFrame) -> DataFrame:
     """AG1 / AG23: total customers, churned, churn rate in percent."""
@@ -81,11 +83,14 @@ def feature_histogram(features: DataFrame, bins=None) -> DataFrame:
     return u.groupBy("feature", "churned", "bin", "bin_start", "bin_label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ranked(df: DataFrame, key: str, *order) -> DataFrame:
+def ranked(df: DataFrame, key: str, *order, groups_bounded: bool = True) -> DataFrame:
     """SO2 / SO3: the rows of a small read model in display order, as (rank, key).  The
-    order is by ``order`` and then the key; the input has one row per group."""
-    w = Window.orderBy(*order, F.col(key).asc())
-    return df.select(F.row_number().over(w).alias("rank"), F.col(key).cast("string").alias("key"))
+    order is by ``order`` and then the key; the input has one row per group.  Where nothing
+    bounds the number of groups (free texts), they are numbered by ranges instead of in one task."""
+    order = [*order, F.col(key).asc()]
+    if groups_bounded:
+        return df.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).cast("string").alias("key"))
+    return row_numbers(df, *order, name="rank").select(F.col("rank").cast("int").alias("rank"), F.col(key).cast("string").alias("key"))
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -39,10 +39,10 @@ def _ratio(a, b):
 def auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """ML8: ROC AUC = P(score_pos > score_neg) + 0.5 P(tie), one row ``auc``
     (NULL when a class is missing)."""
-    g = scored.groupBy(F.col(score).alias("s")).agg(
+    g = materialize(scored.groupBy(F.col(score).alias("s")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"),
         F.count(F.when(F.col(label) != 1, 1)).alias("neg"),
-    )
+    ))
     c = prefix_sums(g, "s", ["neg"], inclusive=False)
     return c.agg(
         ((F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)))
@@ -165,11 +165,12 @@ def grouped_metrics(scored: DataFrame, by: list[str], threshold: float = K.HIGH_
     prefix sum partitioned by group."""
     pred = F.col(score) >= F.lit(threshold)
     pos = F.col(label) == 1
-    cm = scored.groupBy(*by).agg(
+    # Counts per (group, score), written once, hold the confusion counts and the rank sums.
+    g = materialize(scored.groupBy(*by, F.col(score).alias("s")).agg(
+        F.count(F.when(pos, 1)).alias("pos"), F.count(F.when(~pos, 1)).alias("neg"),
         F.count(F.when(pred & pos, 1)).alias("tp"), F.count(F.when(pred & ~pos, 1)).alias("fp"),
-        F.count(F.when(~pred & ~pos, 1)).alias("tn"), F.count(F.when(~pred & pos, 1)).alias("fn"))
-    g = scored.groupBy(*by, F.col(score).alias("s")).agg(
-        F.count(F.when(pos, 1)).alias("pos"), F.count(F.when(~pos, 1)).alias("neg"))
+        F.count(F.when(~pred & ~pos, 1)).alias("tn"), F.count(F.when(~pred & pos, 1)).alias("fn")))
+    cm = g.groupBy(*by).agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "tn", "fn")])
     c = prefix_sums(g, "s", ["neg"], partition_cols=by, inclusive=False)
     a = c.groupBy(*by).agg(
         (F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5))

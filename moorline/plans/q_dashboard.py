@@ -281,7 +281,7 @@ def display_order(spark, sf_dir):
         "pass_rate": M.ranked(DB.pass_rate_by_reason(a, q), "churn_reason", F.desc("pass_rate")),
         "trend": M.ranked(DB.pass_rate_trend(a, q), "batch_date", F.asc("batch_date")),
         "tokens": M.ranked(DB.tokens_by_reason(a), "churn_reason", F.desc("avg_tokens")),
-        "reasons_to_clean": M.ranked(dirty, "name", F.asc("tbl"), F.desc("cnt")),
+        "reasons_to_clean": M.ranked(dirty, "name", F.asc("tbl"), F.desc("cnt"), groups_bounded=False),
     }
     return reduce(DataFrame.unionByName, [v.select(F.lit(k).alias("view"), "rank", "key") for k, v in views.items()])
 
