@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -142,7 +143,6 @@ def split_words(text: pa.Array, table: np.ndarray):
 
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
-SEGMENT = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -153,77 +153,30 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Powers:
+    """Powers of an odd number and of its inverse, for hashes of all strings of one length (they
+    only propose candidates: such a hash is easily collided)."""
+
     def __init__(self):
         self.up = self.down = np.ones(1, dtype=np.uint64)
 
     def get(self, n: int):
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up), SEGMENT + 1)
+            size = max(n, 2 * len(self.up), (1 << 20) + 1)
             up, down = np.full(size, _P, dtype=np.uint64), np.full(size, _P_INV, dtype=np.uint64)
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up), np.cumprod(down)
         return self.up, self.down
 
 
-_POWERS = _Powers()
-
-
-def _segment(data: np.ndarray, breaks: np.ndarray):
-    """Hashes and starts of the words of translated bytes; no word spans a break."""
-    word = data != 0x20
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    last = word.copy()
-    last[:-1] &= ~word[1:]
-    inner = breaks[(breaks > 0) & (breaks < len(data))]
-    first[inner] = word[inner]
-    last[inner - 1] = word[inner - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _POWERS.get(len(data) + 1)
-    total = np.empty(len(data) + 1, dtype=np.uint64)
-    total[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), starts
+POWERS = _Powers()
 
 
 def word_hashes(text: pa.Array, table: np.ndarray):
-    """64-bit hashes of all words of all texts of an Arrow array, and the row
+    """64-bit hashes (BLAKE2b of their bytes) of all words of all texts of an Arrow array, and the row
     boundaries in them (n + 1 offsets).  Null texts have no words."""
-    text = text.cast(pa.large_binary())
-    offsets = np.frombuffer(text.buffers()[1], dtype=np.int64, count=len(text) + 1 + text.offset)[text.offset:]
-    raw = np.frombuffer(text.buffers()[2], dtype=np.uint8) if text.buffers()[2] is not None else np.zeros(0, np.uint8)
-    if text.null_count:
-        gone = text.is_null().to_numpy(zero_copy_only=False)
-        if (np.diff(offsets)[gone] > 0).any():
-            return word_hashes(text.fill_null(b""), table)
-    parts, at_parts = [], []
-    at, end = int(offsets[0]), int(offsets[-1])
-    while at < end:
-        to = min(end, at + SEGMENT)
-        data = table[raw[at:to]]
-        while to < end and data[-1] != 0x20 and not _on_break(offsets, to):
-            # back to the last separator or row start; a longer word extends the segment
-            back = max(int(np.flatnonzero(data == 0x20)[-1]) + 1 if (data == 0x20).any() else 0,
-                       int(offsets[np.searchsorted(offsets, to, "right") - 1]) - at)
-            if back > 0:
-                to = at + back
-                data = data[:back]
-                break
-            to = min(end, to + SEGMENT)
-            data = table[raw[at:to]]
-        breaks = offsets[np.searchsorted(offsets, at, "right"):np.searchsorted(offsets, to, "left")] - at
-        h, starts = _segment(data, breaks)
-        parts.append(h)
-        at_parts.append(starts + at)
-        at = to
-    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    starts = np.concatenate(at_parts) if at_parts else np.zeros(0, np.int64)
-    return hashes, np.searchsorted(starts, offsets, "left")
-
-
-def _on_break(offsets: np.ndarray, at: int) -> bool:
-    i = np.searchsorted(offsets, at, "left")
-    return i < len(offsets) and offsets[i] == at
+    codes, terms, at = split_words(text, table)
+    digests = b"".join(blake2b(w, digest_size=8).digest() for w in terms.cast(pa.large_binary()).to_pylist())
+    return np.frombuffer(digests, dtype="<u8")[codes].astype(np.uint64), at
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

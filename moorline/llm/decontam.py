@@ -12,46 +12,57 @@ the necessary prefix is one shingle), so:
    rest is verified word for word over the window.
 
 The benchmark is worked through in blocks of at most ``BLOCK`` windows, so what
-tasks hold is bounded whatever its size; documents are read once per block.
-Words are compared by 64-bit hashes of their bytes.
+tasks hold is bounded whatever its size; documents are read twice per block.
+Words are compared by their bytes: a block's distinct words are numbered, and words of documents
+take the number of the equal word or 0.  Hashes of shingles only propose places.
 
 Defined results: a null or empty document has no words, no hits and is not
 contaminated; a null or empty item has no window; an item without identifier
 marks words under the identifier ''; rows that repeat an item or a document count
 each for themselves (items are reported once); an empty benchmark leaves all
-documents clean; other columns are not read.
+documents clean; documents without identifier are judged like others; texts and words of any length are read
+whole; an empty table of documents has no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, bounded_arrow, mix, without, word_hashes, written
+from .common import ALNUM_WORDS, bounded_arrow, mix, split_words, without, written
 
 WINDOW, SHINGLE = 13, 3
 BLOCK = 100_000
 
 
 def windows(benchmark: DataFrame, id_col="item_id", text_col="text", window: int = WINDOW) -> DataFrame:
-    """(item, words) for every window; ``words`` are 64-bit word hashes."""
+    """(item, words) for every window."""
     def run(batches):
         for batch in batches:
-            words, at = word_hashes(batch.column(1), ALNUM_WORDS)
+            codes, terms, at = split_words(batch.column(1), ALNUM_WORDS)
+            terms = terms.to_pylist()
             items, out = [], []
             for i in range(batch.num_rows):
-                w = words[at[i]:at[i + 1]].astype(np.int64)
-                for s in range(max(0, len(w) - window) + 1 if len(w) else 0):
+                w = [terms[c] for c in codes[at[i]:at[i + 1]]]
+                for s in range(max(0, len(w) - window) + 1 if w else 0):
                     items.append(batch.column(0)[i].as_py())
                     out.append(w[s:s + window])
-            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(out, pa.list_(pa.int64()))],
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(out, pa.list_(pa.string()))],
                                              names=["item", "words"])
     return benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                             F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "item string, words array<bigint>").distinct()
+        .mapInArrow(run, "item string, words array<string>").distinct()
+
+
+def numbered_words(text: pa.Array, vocabulary: pa.Array):
+    """Per word of all texts its number in the vocabulary (from 1, 0 for others), and the row boundaries."""
+    codes, terms, at = split_words(text, ALNUM_WORDS)
+    numbers = pc.fill_null(pc.index_in(terms, value_set=vocabulary), -1).to_numpy().astype(np.int64) + 1
+    return numbers.astype(np.uint64)[codes], at
 
 
 def _shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -84,14 +95,14 @@ def _length_of_shingle(words: np.ndarray, k: int) -> int:
     return min(k, len(words))
 
 
-def rarity(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
+def rarity(docs: DataFrame, vocabulary: pa.Array, wanted: dict[int, np.ndarray]) -> DataFrame:
     """(k, shingle, n): occurrences over all documents of the wanted k-word shingles.
     Each task adds up before the shuffle."""
     def run(batches):
         looks = {k: _Lookup(v) for k, v in wanted.items()}
         totals = {k: np.zeros(len(x.keys), dtype=np.int64) for k, x in looks.items()}
         for batch in batches:
-            words, _ = word_hashes(batch.column(0), ALNUM_WORDS)
+            words, _ = numbered_words(batch.column(0), vocabulary)
             for k, look in looks.items():
                 _, where = look.find(_shingles(words, k))
                 totals[k] += np.bincount(where, minlength=len(look.keys))
@@ -107,7 +118,10 @@ def rarity(docs: DataFrame, wanted: dict[int, np.ndarray]) -> DataFrame:
 class _Index:
     """One block of windows by their rarest shingle."""
 
-    def __init__(self, items: list[str], words: list[np.ndarray], shingle: int):
+    def __init__(self, items: list[str], lines: list[list[str]], shingle: int):
+        number: dict[str, int] = {}
+        words = [np.array([number.setdefault(x, len(number) + 1) for x in line], dtype=np.uint64) for line in lines]
+        self.vocabulary = pa.array(list(number), pa.large_string())
         distinct: dict[bytes, int] = {}
         self.items: list[list[str]] = []
         self.words: list[np.ndarray] = []
@@ -173,7 +187,7 @@ def _marks(docs: DataFrame, index, every_row: bool) -> DataFrame:
     def run(batches):
         ix = cloudpickle.loads(index.value)
         for batch in batches:
-            words, at = word_hashes(batch.column(2), ALNUM_WORDS)
+            words, at = numbered_words(batch.column(2), ix.vocabulary)
             n = np.diff(at)
             start, w = ix.occurrences(words, at)
             edge = np.zeros(len(words) + 1, dtype=np.int64)
@@ -192,10 +206,10 @@ def _marks(docs: DataFrame, index, every_row: bool) -> DataFrame:
                  pa.array([int(hit[at[r]:at[r + 1]].sum()) for r in rows], pa.int64()),
                  pa.array(bits, pa.binary()), pa.array([sorted(items.get(r, ())) for r in rows], pa.list_(pa.string()))],
                 names=["row", "doc_id", "n_words", "n_hit", "bits", "items"])
-    return docs.select("row", "doc_id", "text").mapInArrow(run, MARKS)
+    return docs.select("row", "doc_id", "text").mapInArrow(run, MARKS.format(docs.schema["doc_id"].dataType.simpleString()))
 
 
-MARKS = "row bigint, doc_id bigint, n_words bigint, n_hit bigint, bits binary, items array<string>"
+MARKS = "row bigint, doc_id {}, n_words bigint, n_hit bigint, bits binary, items array<string>"
 
 
 def _merge(marks: DataFrame) -> DataFrame:
@@ -208,7 +222,7 @@ def _merge(marks: DataFrame) -> DataFrame:
             hit = int(np.unpackbits(np.bitwise_or.reduce(bits)).sum()) if bits else 0
             return pdf.head(1).assign(n_hit=hit, items=[items])
         return pdf.assign(n_hit=first["n_hit"])
-    return marks.groupBy("row").applyInPandas(run, MARKS)
+    return marks.groupBy("row").applyInPandas(run, marks.schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", window: int = WINDOW,
@@ -217,15 +231,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_c
     and contaminated (n_hit > 0 and part * n_hit >= n_words)."""
     spark = docs.sparkSession
     docs = bounded_arrow(docs) \
-        .select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
+        .select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
     lines = written(windows(benchmark, window=window), "benchmark-windows")
     blocks = max(1, -(-lines.count() // block))
+    if blocks > 1:
+        # Marks of several blocks meet by row number, which must be the same in every scan.
+        docs = written(docs, "benchmark-documents")
     marks = None
     for b in range(blocks):
         rows = lines.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b).collect()
-        index = _Index([r.item for r in rows], [np.array(r.words, dtype=np.int64).astype(np.uint64) for r in rows], shingle)
-        counts = {(r.k, r.shingle): r.n for r in rarity(docs, index.wanted()).collect()} if rows else {}
+        index = _Index([r.item for r in rows], [r.words for r in rows], shingle)
+        counts = {(r.k, r.shingle): r.n for r in rarity(docs, index.vocabulary, index.wanted()).collect()} if rows else {}
         index.order(counts)
         own = _marks(docs, spark.sparkContext.broadcast(cloudpickle.dumps(index)), every_row=b == 0)
         marks = own if marks is None else marks.unionByName(own)
@@ -236,6 +253,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_c
 
 
 def keep_rows(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    gone = decontaminate(docs, benchmark, id_col, text_col, **how).where("contaminated")
-    return without(docs, gone, [(docs[id_col].cast("bigint"), "doc_id")])
+    """The documents that are not contaminated, with all their columns.  Equal texts share their
+    verdict, so rows are told apart by the digest of their text, whatever their identifiers."""
+    def digest(df):
+        return F.sha2(F.coalesce(df[text_col].cast("string"), F.lit("")), 256)
+    judged = docs.select(digest(docs).alias("__print"), docs[text_col].alias("text"))
+    gone = decontaminate(judged, benchmark, "__print", "text", **how).where("contaminated")
+    return without(docs, gone, [(digest(docs), "doc_id")])

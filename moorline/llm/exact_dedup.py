@@ -13,7 +13,7 @@ itself, so a collision of digests never joins two texts.
 Defined results: null text is the empty text; a null identifier never wins over
 another one (a group of null identifiers only has keep_id null and kept false);
 rows repeated under the identifier that stays are the same document and are all
-marked kept; an empty table gives no rows; other columns are not read, so their
+marked kept (``keep_rows`` returns one of them); texts of any length are compared whole; an empty table gives no rows; other columns are not read, so their
 names may clash with any name used here.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import BROADCAST_ROWS, cut, without, work_uri, written
+from .common import BROADCAST_ROWS, cut, work_uri, written
 
 # State on disk; all state partitions of an executor share one bounded cache and
 # write buffer, so memory doesn't grow with the number of partitions or keys, and
@@ -124,7 +124,15 @@ def _differing(rows: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def keep_rows(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """The input rows that stay, with all their columns (rows without an identifier stay)."""
-    gone = exact_dedup(docs, id_col, text_col).where("not kept")
-    return without(docs, gone, [(docs[id_col].cast("bigint"), "doc_id"),
-                                (sha256(F.coalesce(docs[text_col], F.lit(""))), "digest")])
+    """One input row per text, with all its columns: that with the largest identifier, one without only
+    where no copy has one.  Rows that repeat identifier and text are one."""
+    names = docs.columns
+    print_ = sha256(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    groups = cut(exact_dedup(docs, id_col, text_col).where("group_size > 1")
+                 .select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep")).distinct())
+    groups = broadcast_if_bounded(groups, BROADCAST_ROWS)
+    # Digests that two texts share have several rows here; each row meets that of its own identifier.
+    single = docs.join(groups, print_ == F.col("__digest"), "left_anti")
+    staying = docs.join(groups, (print_ == F.col("__digest")) & docs[id_col].cast("bigint").eqNullSafe(F.col("__keep")))
+    same = staying.groupBy(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return single.unionByName(same.agg(*[F.first(c).alias(c) for c in names]).select(*names))

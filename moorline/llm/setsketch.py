@@ -24,7 +24,10 @@ linked pair shares none of the 32 bands with probability 5e-8 (1.5e-5 at 0.8).
 Defined results: null, empty or blank text is the empty set: component_id is
 its own doc_id and it is kept.  A null doc_id cannot be linked: component_id is null
 unless its set equals that of identified rows, kept is true for none of the
-latter.  Rows that repeat a doc_id are one node.  Other columns are not read.
+latter.  Rows that repeat a doc_id are one node.  Texts and words of any length are read
+whole; of equal sets the smallest doc_id stands for all; an empty table has no rows; other
+columns are not read, whatever their names.  Words are hashed with BLAKE2b, so two
+shingles share their 64 bits by chance only (2^-64 for a pair).
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import BROADCAST_ROWS, SPACE_WORDS, bounded_arrow, cut, shingle_hashes, without, word_hashes, written
+from .common import BROADCAST_ROWS, SPACE_WORDS, bounded_arrow, cut, shingle_hashes, word_hashes, written
 from .components import connected_components
 
 BANDS, ROWS = 32, 6
@@ -313,6 +316,15 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col="
 
 
 def keep_rows(docs: DataFrame, id_col="doc_id", text_col="text", **how) -> DataFrame:
-    """The input rows with one document per component, with all their columns."""
-    gone = near_dedup(docs, id_col=id_col, text_col=text_col, **how).where("not kept")
-    return without(docs, gone, [(docs[id_col].cast("bigint"), "doc_id")])
+    """The input rows with one document per component, with all their columns.  Rows without an identifier
+    of their own (null, or repeated) are told apart by identifier and text."""
+    print_ = F.sha2(F.concat_ws(":", docs[id_col].cast("string"), F.coalesce(docs[text_col].cast("string"), F.lit(""))), 256)
+    shared = cut(docs.groupBy(docs[id_col].cast("bigint").alias("__shared")).agg(F.count(F.lit(1)).alias("n"))
+                 .where("n > 1 and __shared is not null").select("__shared"))
+    known = docs.join(broadcast_if_bounded(shared, BROADCAST_ROWS), docs[id_col].cast("bigint") == F.col("__shared"), "left")
+    # Their nodes lie above all identifiers in use, so that an identified document is preferred.
+    own = F.lit(1 << 62) + F.conv(F.substring(print_, 1, 15), 16, 10).cast("bigint")
+    nodes = known.withColumn("__node", F.when(F.col("__shared").isNull() & docs[id_col].isNotNull(), docs[id_col].cast("bigint"))
+                             .otherwise(own)).drop("__shared")
+    gone = cut(near_dedup(nodes, id_col="__node", text_col=text_col, **how).where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
+    return nodes.join(broadcast_if_bounded(gone, BROADCAST_ROWS), F.col("__node") == F.col("__gone"), "left_anti").drop("__node")

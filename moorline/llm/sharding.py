@@ -5,21 +5,25 @@ a versioned map says which shard holds which slot.  Rebalancing edits the map: i
 moves single slots from the fullest to the emptiest shard until the sizes are near
 equal, and writes the result as the next version.  The law is ``bytes``.
 
-Equal texts hash alike, so a group of copies stays in one slot and shard, unless it
-is larger than ``1 / SPREAD`` of a shard's share: such a group is split by
-identifier over as many slots as it has shares.
+Equal texts are a group.  They hash alike and stay in one slot and shard; only a group larger than a
+shard is split, row by row, into as few parts as fit.  Groups above ``1 / SPREAD`` of a shard (there
+are at most ``SPREAD`` a shard) get slots of their own, the rest is hashed into the other slots, so large
+groups never meet in one slot and small ones even the shards out around them.
 
-Only the slot table (``slots`` rows, a parameter) reaches the driver.  Positions
-within a shard are numbered slot by slot, so no task holds a shard.
+Only the slot table (``slots`` rows, a parameter) reaches the driver.  Positions within a shard are
+numbered in pieces of a slot, as many as its rows ask for, so no task holds a shard or a hot slot.
 
 Defined results: null text has no bytes and the checksum of the empty text, and is
 a copy of it; rows that repeat an identifier get positions of their own; a null
-identifier is placed like any other; an empty table gives no rows and an even map;
-other columns are not read.
+identifier is placed like any other; texts of any length are measured whole; groups and slots of equal
+size are told apart by their hash, so placing does not depend on the order of rows; an empty table
+gives no rows and an even map; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -82,20 +86,30 @@ def rebalance(shard_of: list[int], bytes_of: list[int], shards: int) -> list[int
 
 
 def slotted(docs: DataFrame, slots: int = SLOTS, shards: int = SHARDS, id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, size, text_crc32 and vslot of every row."""
+    """doc_id, size, text_crc32, row and vslot of every row, written."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
-                       F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("copies"))
-    share = (rows.agg(F.sum("size")).first()[0] or 0) / (shards * SPREAD)
+    rows = cut(docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                           (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
+                           F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("copies"),
+                           F.monotonically_increasing_id().alias("row")))
+    share = (rows.agg(F.sum("size")).first()[0] or 0) / shards
+    # At most shards * SPREAD groups can be larger than 1 / SPREAD of a shard.
     large = rows.groupBy("copies").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")) \
-        .where(F.lit(share) > 0).where((F.col("bytes") > share) & (F.col("n") > 1)) \
-        .select("copies", F.ceil(F.col("bytes") / share).cast("int").alias("parts"))
-    # At most shards * SPREAD groups can be larger than a share.
-    parted = rows.join(literal_broadcast(cut(large)), "copies", "left")
-    part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1)))
-    return parted.select("doc_id", "size", "text_crc32",
-                         F.pmod(F.xxhash64("copies", part), F.lit(slots)).cast("int").alias("vslot"))
+        .where((F.col("n") > 1) & (F.col("bytes") * SPREAD > share)).collect() if share else []
+    parted, own = [], 0
+    for r in sorted(large, key=lambda r: (-r.bytes, r.copies)):
+        parts = math.ceil(r.bytes / share) if r.bytes > share else 1
+        if parts > 1:
+            parts *= SPREAD         # parts of a sixteenth even the shards out
+        if own + parts > slots // 2:
+            break
+        parted.append((r.copies, own, parts))
+        own += parts
+    parted = rows.sparkSession.createDataFrame(parted, "copies string, first int, parts int")
+    part = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    hashed = F.pmod(F.xxhash64("copies"), F.lit(slots - own)).cast("int") + own
+    return rows.join(literal_broadcast(parted), "copies", "left").select(
+        "doc_id", "size", "text_crc32", "row", F.coalesce(F.col("first") + part, hashed).alias("vslot"))
 
 
 def assign(docs: DataFrame, slots: int = SLOTS, shards: int = SHARDS, id_col="doc_id", text_col="text",
@@ -107,13 +121,17 @@ def assign(docs: DataFrame, slots: int = SLOTS, shards: int = SHARDS, id_col="do
     bytes_of = [stats[s].bytes if s in stats else 0 for s in range(slots)]
     slot_map = slot_map or SlotMap(spark, work_uri(spark, "slot-map"), slots)
     shard_of = slot_map.save(1, rebalance(slot_map.create(shards), bytes_of, shards))
-    first, filled = [0] * slots, [0] * shards
-    for s in range(slots):
-        first[s] = filled[shard_of[s]]
-        filled[shard_of[s]] += stats[s].n if s in stats else 0
-    places = spark.createDataFrame([(s, shard_of[s], first[s]) for s in range(slots)], "vslot int, shard int, first long")
-    nth = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size"))
-    return rows.withColumn("nth", nth).join(literal_broadcast(places), "vslot").select(
+    # A slot with more rows than the mean is numbered in pieces; there are at most twice as many pieces as slots.
+    mean = max(1, sum(r.n for r in stats.values()) // slots)
+    pieces = spark.createDataFrame([(s, -(-r.n // mean)) for s, r in stats.items()], "vslot int, pieces long")
+    rows = rows.join(literal_broadcast(pieces), "vslot").withColumn("piece", F.pmod(F.xxhash64("row", F.lit(1)), F.col("pieces")))
+    first, filled = [], [0] * shards
+    for r in sorted(rows.groupBy("vslot", "piece").agg(F.count(F.lit(1)).alias("n")).collect()):
+        first.append((r.vslot, r.piece, shard_of[r.vslot], filled[shard_of[r.vslot]]))
+        filled[shard_of[r.vslot]] += r.n
+    places = spark.createDataFrame(first, "vslot int, piece long, shard int, first long")
+    nth = F.row_number().over(Window.partitionBy("vslot", "piece").orderBy("row"))
+    return rows.withColumn("nth", nth).join(literal_broadcast(places), ["vslot", "piece"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("first") + F.col("nth") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")
 

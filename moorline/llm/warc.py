@@ -35,6 +35,8 @@ from .common import BROADCAST_ROWS, bounded_arrow, cut, work_uri, written
 
 ARCHIVE_BYTES = 256 << 20
 GAP, READ_BYTES = 64 << 10, 8 << 20
+# Bytes of archives that a reading task is given.
+TASK_BYTES = 4 << 20
 DATE = "2024-01-16T00:00:00Z"
 INDEX = ("page_id bigint, url string, digest string, record_type string, archive string, offset bigint, length bigint")
 RECORDS = ("page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
@@ -201,7 +203,9 @@ def read_records(selected: DataFrame, folder: str, with_payload: bool = True) ->
         if source is not None:
             source.close()
 
-    return bounded_arrow(selected).select("archive", "offset", "length").repartitionByRange("archive", "offset") \
+    # As many tasks as the bytes to be read ask for, however small the index is.
+    parts = max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    return bounded_arrow(selected).select("archive", "offset", "length").repartitionByRange(parts, "archive", "offset") \
         .sortWithinPartitions("archive", "offset").mapInArrow(run, RECORDS)
 
 

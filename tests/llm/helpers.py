@@ -46,7 +46,7 @@ def moving(spark, monkeypatch, module, rows, schema):
             spark.conf.set(least, "1")
             return out
         return run
-    for name in ("written", "cut"):
+    for name in {"written", "cut"} & set(dir(module)):
         monkeypatch.setattr(module, name, turning(getattr(module, name)))
     try:
         spark.conf.set(least, "64")
@@ -55,6 +55,14 @@ def moving(spark, monkeypatch, module, rows, schema):
         spark.conf.unset(least)
 
 
+def thue_morse(n):
+    """Two different words of 2 ** n letters whose polynomial hashes modulo 2 ** 64 are equal."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
 def documents():
     return duckdb.connect().execute(f"SELECT doc_id, text, lang FROM '{SMALL}/documents.parquet'").fetchall()
 

@@ -57,3 +57,25 @@ def test_edges(spark):
     kept = D.keep_rows(H.edges(spark), spark.createDataFrame(items, "item_id bigint, text string"))
     assert kept.columns == H.edges(spark).columns
     assert {r.doc_id for r in kept.collect()} == {1, 2, 3, 6, 7, 8, 9, 10, 11, 12, 13, None}
+
+
+def test_words_that_collide_in_polynomial_hashes_are_told_apart(spark):
+    one, other = H.thue_morse(11)
+    docs = [(1, one), (2, other), (3, f"x {one} y"), (4, f"x {other} y")]
+    assert _got(spark, docs, [(7, one)]) == brute(docs, [(7, one)])
+    assert [r[2] for r in brute(docs, [(7, one)])] == [1, 0, 1, 0]
+
+
+def test_rows_keep_their_verdict_when_a_lost_executor_changes_the_split(spark, monkeypatch):
+    items = [(i, f"word{i} other{i} third{i}") for i in range(12)]
+    docs = [(i, f"a{i} " + items[i % 12][1] + f" {items[(i + 1) % 12][1]}" if i % 3 else "clean text") for i in range(200)]
+    with H.moving(spark, monkeypatch, D, docs, "doc_id bigint, text string") as table:
+        assert _got(spark, table, items, block=4) == brute(docs, items)
+
+
+def test_rows_are_judged_by_their_text(spark):
+    bad = "mit license"
+    docs = spark.createDataFrame([(None, bad), (1, bad), (1, "clean words only"), (None, "clean"), (2, None)], "doc_id bigint, text string")
+    kept = D.keep_rows(docs, spark.createDataFrame([(1, bad)], "item_id bigint, text string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, "clean words only"), (None, "clean"), (2, None)], key=str)

@@ -47,4 +47,15 @@ def test_keep_rows_keeps_columns_and_one_text_each(spark):
     assert kept.columns == docs.columns
     texts = [r.text or "" for r in kept.where("doc_id is not null").collect()]
     assert set(texts) == {t or "" for _, t in H.EDGES} - {""} | {""}
-    assert collections.Counter(texts)["Mit License"] == 2  # rows repeated under the identifier that stays
+    assert collections.Counter(texts)["Mit License"] == 1  # rows repeated under the identifier that stays are one
+    assert kept.where("doc_id is null").count() == 0       # its texts have copies with an identifier
+
+
+def test_keep_rows_of_a_table_united_with_itself(spark):
+    docs = H.edges(spark).unionByName(spark.createDataFrame([(None, "only nulls"), (None, "only nulls")], "doc_id bigint, text string"),
+                                      allowMissingColumns=True)
+
+    def kept(df):
+        return collections.Counter((r.doc_id, r.text or "") for r in X.keep_rows(df).collect())
+    once = kept(docs)
+    assert kept(docs.unionByName(docs)) == once and set(once.values()) == {1} and once[(None, "only nulls")] == 1

@@ -8,6 +8,7 @@ import numpy as np
 
 import __spark_entry__ as E
 from moorline.llm import langid
+from moorline.llm.common import written
 from moorline.llm.queries import ORACLE, QUERIES, byte_bpe
 
 from . import helpers as H
@@ -40,6 +41,17 @@ def test_pipeline_equals_brute_force(spark):
     assert 0 < len(expected) < len(judged) and bad
 
 
+def test_a_table_ingested_twice_gives_the_same_rows(spark):
+    docs = spark.read.parquet(f"{H.SMALL}/documents.parquet")
+
+    def kept(df):
+        for _, stage in corpus_pipeline.STAGES[1:4]:
+            df = written(stage(spark, df, H.SMALL), "test-stage")
+        return sorted((r.doc_id, r.text) for r in df.collect())
+    once = kept(docs)
+    assert kept(docs.unionByName(docs)) == once and 0 < len(once) < docs.count()
+
+
 def test_stages_on_edges(spark):
     docs = H.edges(spark)
     for name, stage in corpus_pipeline.STAGES[1:4]:

@@ -81,3 +81,19 @@ def test_edges(spark):
     assert by[7][0].component_id == 6 and by[6][0].kept
     assert S.near_dedup(H.empty(spark)).collect() == []
     assert S.keep_rows(H.edges(spark)).columns == H.edges(spark).columns
+
+
+def test_words_that_collide_in_polynomial_hashes_are_told_apart(spark):
+    one, other = H.thue_morse(11)
+    _check(spark, [(1, one), (2, other), (3, f"{one} a b"), (4, f"{other} a b")], k=3, num=85, den=100)
+
+
+def test_rows_without_an_identifier_of_their_own(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = [(None, base), (4, base + " x"), (4, "something else entirely, six words long"), (None, "another text of quite some words"),
+            (9, "another text of quite some words end"), (None, None)]
+    kept = S.keep_rows(spark.createDataFrame(docs, "doc_id bigint, text string"), k=3, num=4, den=5).collect()
+    texts = [r.text for r in kept]
+    assert sum(t is not None and t.startswith("w0") for t in texts) == 1
+    assert (4, "something else entirely, six words long") in [tuple(r) for r in kept]
+    assert [r.doc_id for r in kept if r.text and r.text.startswith("another")] == [9] and None in texts
