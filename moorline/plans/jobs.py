@@ -28,6 +28,7 @@ from ..operators import profiles as PR
 from ..operators import registry as RG
 from ..session import build_session, materialize
 from ..sources import io as IO
+from ..sources.keyed_store import KeyedStore
 from . import common as C
 
 
@@ -85,7 +86,7 @@ def weekly(spark: SparkSession, sf_dir: str, out: str, model_path: str | None =
     batch = materialize(scored.where(F.col("churn_score") >= K.HIGH_RISK_THRESHOLD))
     IO.write_csv(MD.high_risk(batch), f"{out}/high_risk_batch")
 
-    store = IO.VersionedStore(spark, f"{out}/profiles")
+    store = KeyedStore(spark, f"{out}/profiles", ["customer_id"])
     docs = PR.profile_documents(MD.high_risk(batch), w.customer_products(), w.products(), None, w.complaints(),
                                 None, w.snapshot, daily_s=C.daily_sessions(w), daily_t=C.daily_transactions(w))
     store.upsert(docs)

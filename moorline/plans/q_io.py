@@ -16,6 +16,7 @@ from ..operators import metrics as MT
 from ..operators import model as MD
 from ..session import shared_path
 from ..sources import io as IO
+from ..sources.keyed_store import KeyedStore
 from . import common as C
 from .oracle_frag import FEATURES, LABELS, MODEL_READY, sql_with
 from .oracle_views import SNAP
@@ -172,3 +173,21 @@ def outreach_export(spark, sf_dir):
 def batch_dates(spark, sf_dir):
     """SE3: distinct batch dates (the dashboard's batch selector)."""
     return DB.filter_outreach(C.warehouse(spark, sf_dir).approved()).select("batch_date").distinct()
+
+
+@query("store_merge", sql_with("x AS (SELECT 1)", """
+SELECT customer_id, region, CASE WHEN customer_id % 11 = 0 AND customer_id % 13 = 0 THEN 'returned'
+                                 WHEN customer_id % 7 = 0 THEN 'moved' ELSE segment END AS segment
+FROM customers_v WHERE customer_id % 11 <> 0 OR customer_id % 13 = 0""", ("customers_v",)))
+def store_merge(spark, sf_dir):
+    """IO11-IO14: customers kept in a keyed store: loaded, some changed, some deleted, some of those inserted again
+    (where absent), half of the buckets' history folded, then merged on read."""
+    rows = C.warehouse(spark, sf_dir).customers().select("customer_id", "region", "segment")
+    key = F.col("customer_id")
+    store = KeyedStore(spark, _run_dir(spark, "store"), ["customer_id"], buckets=8)
+    store.upsert(rows)
+    store.upsert(rows.where(key % 7 == 0).withColumn("segment", F.lit("moved")))
+    store.delete(rows.where(key % 11 == 0))
+    store.insert_absent(rows.where(key % 13 == 0).withColumn("segment", F.lit("returned")))
+    store.compact(0.2)
+    return store.read()

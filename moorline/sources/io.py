@@ -146,7 +146,12 @@ def append_idempotent(spark: SparkSession, rows: DataFrame, path: str,
     one = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r")).select(*keys, "r.*").select(*rows.columns)
     new = one.withColumn("id", F.xxhash64(*keys))
     if exists(spark, path):
-        new = new.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
+        stored = spark.read.parquet(path).select(*keys)
+        # A batch has few dates; row groups of other dates are skipped by their statistics.
+        dates = [r[0] for r in one.select(keys[0]).distinct().limit(1001).collect()]
+        if len(dates) <= 1000 and None not in dates:
+            stored = stored.where(F.col(keys[0]).isin(dates))
+        new = new.join(stored, keys, "left_anti")
     new.write.mode("append").parquet(path)
     return new
 
