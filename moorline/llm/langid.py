@@ -4,15 +4,18 @@ Two GRUs read the bytes of a text forwards and backwards; a linear layer labels
 every position with a language distribution; a document's probabilities are the
 mean over its positions.  The network is written in numpy, trained by
 backpropagation through time with Adam on a bounded sample: for each language
-the ``per_language`` labelled documents with the smallest identifier hash, of
-which ``WINDOWS`` byte windows each are used.  The whole of every text is scored:
-it is read in chunks of ``CHUNK`` bytes at whose ends the state starts anew, so
-the memory needed does not follow the length of a text.
+the ``per_language`` labelled documents with the smallest identifier hash, with all
+of their text.  Texts are read in chunks of about ``CHUNK`` bytes, cut before a character and not inside one, at
+whose ends the state starts anew; learning and judging cut alike.  The whole of every text is
+scored, and the memory needed does not follow the length of a text.
+
+Padding leaves the state at zero, so what a chunk is given does not depend on the chunks beside it.
 
 Defined results: a null, empty or letterless text is ``und`` with score 0; without any
 labelled row every text is ``und``; labels of null are not learned from; repeated rows
 are judged alike; a null identifier counts as the empty string when documents are
-held out; other columns are not read.
+held out; of languages with equal probabilities the first in order wins; an empty table has no
+rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import bounded_arrow
 
 HIDDEN, CHUNK, BATCH = 16, 96, 2048
-PER_LANGUAGE, WINDOWS, EPOCHS, RATE, SEED = 1000, 4, 6, 0.02, 7
+PER_LANGUAGE, EPOCHS, RATE, SEED = 120, 6, 0.02, 7
 UNKNOWN = "und"
 PAD = 256
 
@@ -84,6 +87,7 @@ class Gru:
             h -= c
             h *= z
             h += c
+            h *= (x[i] != PAD)[:, None]
             out(i, h)
 
     def step(self, x, h, keep=None):
@@ -102,6 +106,7 @@ class Gru:
         new = h - c
         new *= z
         new += c
+        new *= (x != PAD)[:, None]
         return new
 
     def backward(self, kept, outer):
@@ -109,7 +114,7 @@ class Gru:
         g = [np.zeros_like(p) for p in self.parameters()]
         dh = np.zeros_like(outer[0])
         for (x, h, r, z, s, c), out in zip(reversed(kept), reversed(outer)):
-            dh = dh + out
+            dh = (dh + out) * (x != PAD)[:, None]
             dc = dh * (1 - z) * (1 - c * c)
             dz = dh * (h - c) * z * (1 - z)
             dr = dc * s * r * (1 - r)
@@ -201,9 +206,9 @@ def train(windows: list[tuple[bytes, str]], epochs: int = EPOCHS, rate: float =
         return None
     languages = sorted({y for _, y in windows})
     net = Network.new(languages, hidden, seed)
-    x = np.full((CHUNK, len(windows)), PAD, dtype=np.int64)
+    x = np.full((max(len(w) for w, _ in windows), len(windows)), PAD, dtype=np.int64)
     for j, (w, _) in enumerate(windows):
-        x[:len(w), j] = np.frombuffer(w[:CHUNK], dtype=np.uint8)
+        x[:len(w), j] = np.frombuffer(w, dtype=np.uint8)
     y = np.array([languages.index(v) for _, v in windows])
     rng = np.random.default_rng(seed)
     moment = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
@@ -230,11 +235,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, windows: int = WINDOWS, id_col="doc_id",
-           text_col="text", label_col="lang") -> list[tuple[bytes, str]]:
-    """Byte windows of the training sample: at most per_language documents of each
-    label, ``windows`` windows of each, spread evenly over its text."""
-    text, n = F.col(text_col), F.length(text_col)
+def chunks(raw: np.ndarray, offsets: np.ndarray, lengths: np.ndarray):
+    """(text, start, size) of the chunks of texts that start at ``offsets`` and have ``lengths`` bytes: cut at
+    multiples of CHUNK, or before the character that such a cut would divide."""
+    count = -(-lengths // CHUNK)
+    row = np.repeat(np.arange(len(lengths)), count)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    start = offsets[row] + nth * CHUNK
+    for _ in range(3):
+        start = start - ((nth > 0) & ((raw[start] & 0xC0) == 0x80) if len(row) else 0)
+    last = np.append(row[1:] != row[:-1], True) if len(row) else np.zeros(0, bool)
+    end = np.where(last, (offsets[:len(lengths)] + lengths)[row], np.append(start[1:], 0) if len(row) else start)
+    return row, start, end - start
+
+
+def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col="doc_id", text_col="text",
+           label_col="lang") -> list[tuple[bytes, str]]:
+    """The chunks of the training sample: at most per_language documents of each label, whole."""
+    text = F.col(text_col).cast("string")
     order = F.xxhash64(F.col(id_col).cast("string"))
     rows = docs.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull()) \
         .withColumns({"__o": order, "__b": F.shiftrightunsigned(order, 54).cast("int")})
@@ -248,12 +266,13 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, windows: int = WIN
     enough = F.lit(False)
     for y, (_, to) in sorted(cut.items()):
         enough = enough | ((F.col(label_col) == y) & (F.col("__b") <= to))
-    rows = rows.where(enough).where(text.rlike(r"\p{L}")).select(F.col(label_col).alias("y"), F.col("__o").alias("o"), *[
-        F.substring(text, (F.greatest(n - CHUNK, F.lit(0)) * i / max(1, windows - 1)).cast("int") + 1, F.lit(CHUNK))
-        .alias(f"w{i}") for i in range(windows)])
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("o", *[f"w{i}" for i in range(windows)]))
-    picked = rows.withColumn("r", rank).where(F.col("r") <= per_language).drop("r").collect()
-    out = {(w.encode()[:CHUNK], r.y) for r in picked for w in r[2:] if w}
+    rows = rows.where(enough).where(text.rlike(r"\p{L}")).select(F.col(label_col).alias("y"), F.col("__o").alias("o"), text.alias("text"))
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("o", "text"))
+    out = set()
+    for r in rows.withColumn("r", rank).where(F.col("r") <= per_language).collect():
+        raw = np.frombuffer(r.text.encode(), dtype=np.uint8)
+        for _, start, size in zip(*chunks(raw, np.zeros(1, np.int64), np.array([len(raw)]))):
+            out.add((raw[start:start + size].tobytes(), r.y))
     return sorted(out)
 
 
@@ -265,11 +284,7 @@ def judge(net: Network | None, text: pa.Array, known: np.ndarray):
     offsets = np.frombuffer(data.buffers()[1], dtype=np.int64, count=len(data) + 1 + data.offset)[data.offset:]
     raw = np.frombuffer(data.buffers()[2], dtype=np.uint8) if offsets[-1] > 0 else np.zeros(0, np.uint8)
     lengths = np.where(known, np.diff(offsets), 0)
-    chunks = -(-lengths // CHUNK)
-    row = np.repeat(np.arange(len(data)), chunks)
-    nth = np.arange(len(row)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-    start = offsets[:-1][row] + nth * CHUNK
-    size = np.minimum(CHUNK, lengths[row] - nth * CHUNK)
+    row, start, size = chunks(raw, offsets[:-1], lengths)
     total = np.zeros((len(data), len(net.languages)))
     # Chunks of like size go together, so that short ones don't run over padding.
     order = np.argsort(-size, kind="stable")
