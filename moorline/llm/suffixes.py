@@ -13,8 +13,8 @@ their key: such a run is described by its key and the digest of the bytes its st
 3. Keys with several classes (or periodic runs): the bytes of one member of each class are sorted in suffix
    order.  With LCP values between neighbours, the previous and next suffix that stands earlier in
    the corpus give the longest previous factor of every start, those that stand later the longest next factor.
-   A start whose previous factor has ``length`` bytes is a later copy.  Keys of more than ``GROUP`` classes
-   are not gathered: their strings are counted by digest instead.
+   A start whose previous factor has ``length`` bytes is a later copy.  Keys of more than ``MOST`` starts
+   are not gathered: blocks of their strings are counted by digest, ever finer where they differ.
 4. Repeated starts go back to all members, and their strings are cut out of the documents.
 
 Places are ordered by identifier (null last) and position.  ``keep="first"`` removes every byte
@@ -38,17 +38,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import broadcast_if_bounded
-from .common import _POWERS, BROADCAST_ROWS, bounded_arrow, mix, written
+from .common import POWERS, BROADCAST_ROWS, bounded_arrow, mix, written
 
 LENGTH, GRAM = 200, 40
 # Starts of a run, and bytes that are hashed at a time.
 RUN, SEGMENT = 512, 1 << 20
-# Bits of the table of keys that occur more than once; suffixes sorted at a time; classes of a gathered key.
-TABLE_BITS, BATCH, GROUP = 1 << 27, 1 << 18, 1024
+# Bits of the table of keys that occur more than once; suffixes that are gathered for one sort (a key
+# with more of them, 100 MB of strings, is not gathered) and that small keys are collected to.
+TABLE_BITS, MOST, BATCH = 1 << 27, 1 << 19, 1 << 16
 NEVER = np.iinfo(np.uint64).max
 
 
 # -- runs of starts -----------------------------------------------------------------------------------
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    up, down = POWERS.get(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    return mix((total[gram:] - total[:-gram]) * down[:len(data) - gram + 1])
+
+
 def _sliding(values: np.ndarray, w: int, best, blank) -> np.ndarray:
     """``best`` (np.minimum or np.maximum) of every ``w`` consecutive values."""
     blocks = np.full(-(-len(values) // w) * w, blank, dtype=np.uint64)
@@ -63,12 +71,8 @@ def _sliding(values: np.ndarray, w: int, best, blank) -> np.ndarray:
 def least_hashes(data: np.ndarray, length: int):
     """For every start the least hash of the strings of GRAM bytes in its ``length`` bytes; and the
     positions (q, r) of neighbouring least strings that are equal, as in periodic text."""
-    gram = min(GRAM, length)
-    up, down = _POWERS.get(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    h = mix((total[gram:] - total[:-gram]) * down[:len(data) - gram + 1])
-    w = length - gram + 1
+    h = _gram_hashes(data, min(GRAM, length))
+    w = length - min(GRAM, length) + 1
     least = _sliding(h, w, np.minimum, NEVER)
     # A string is the least of some start if its hash is the largest of the least hashes around it.
     around = _sliding(np.concatenate([np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)]), w, np.maximum, 0)
@@ -181,16 +185,32 @@ def _nearest_smaller(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return np.where(to >= 0, least, 0)
 
 
+def _lcp(strings: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Bytes that every string shares with the one before it in ``order``, compared eight at a time."""
+    n, width = strings.shape
+    words = strings if width % 8 == 0 else np.pad(strings, ((0, 0), (0, -width % 8)))
+    words = np.ascontiguousarray(words).view("<u8")
+    out = np.zeros(n, dtype=np.int64)
+    for a in range(1, n, 1 << 14):
+        b = min(n, a + (1 << 14))
+        mixed = words[order[a:b]] ^ words[order[a - 1:b - 1]]
+        first = (mixed != 0).argmax(axis=1)
+        word = mixed[np.arange(b - a), first]
+        lowest = word & (~word + np.uint64(1))          # the lowest set bit lies in the first differing byte
+        byte = np.searchsorted(_BYTE_ENDS, lowest, "right")
+        out[a:b] = np.where(word == 0, width, 8 * first + byte)
+    return out
+
+
+_BYTE_ENDS = np.array([1 << (8 * i) for i in range(1, 8)], dtype=np.uint64)
+
+
 def factors(strings: np.ndarray):
     """Longest previous and longest next factor of every string (rows of bytes, in the order of their
     places): how many bytes it shares with any earlier and any later one."""
     n, width = strings.shape
     order = np.argsort(np.ascontiguousarray(strings).view(f"S{width}").ravel(), kind="stable")
-    lcp = np.zeros(n, dtype=np.int64)
-    for a in range(1, n, 1 << 16):
-        b = min(n, a + (1 << 16))
-        differs = strings[order[a:b]] != strings[order[a - 1:b - 1]]
-        lcp[a:b] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    lcp = _lcp(strings, order)
     back, down = order[::-1], np.concatenate([[0], lcp[:0:-1]])
     previous, following = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     previous[order] = _nearest_smaller(order, lcp)
@@ -200,13 +220,23 @@ def factors(strings: np.ndarray):
     return previous, following
 
 
+def _merged(pairs: list[int]) -> np.ndarray:
+    """Intervals (from, to, from, to, ...) as disjoint ones in order.  Sorted starts and ends pair up where a
+    start lies beyond all ends before it; intervals that touch are one."""
+    both = np.sort(np.array(pairs, dtype=np.int64).reshape(-1, 2), axis=0)
+    if not len(both):
+        return both
+    new = np.flatnonzero(np.concatenate([[True], both[1:, 0] > both[:-1, 1]]))
+    return np.stack([both[new, 0], both[np.append(new[1:] - 1, len(both) - 1), 1]], axis=1)
+
+
 def _intervals(flags: np.ndarray, length: int) -> list[int]:
     """Bytes covered by the strings at flagged starts: from, to, from, to, ..."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + length - 1], axis=1).ravel().tolist()
 
 
-CONTEXTS = ("key bigint, digest binary, copies bigint, classes bigint, doc bigint, row bigint, at bigint, n int, "
+CONTEXTS = ("key bigint, digest binary, copies bigint, starts bigint, own boolean, doc bigint, row bigint, at bigint, n int, "
             "bytes binary")
 COVERED = "key bigint, digest binary, earlier array<int>, other array<int>"
 
@@ -259,40 +289,82 @@ def _covered(rows: list) -> pa.RecordBatch:
                                       names=["key", "digest", "earlier", "other"])
 
 
-def _counted(contexts: DataFrame, length: int) -> DataFrame:
-    """COVERED for the classes of very frequent keys: strings are counted by digest, wherever they are."""
+WIDTHS = (64, 16, 4, 1)
+PIECES = ("key bigint, digest binary, copies bigint, own boolean, doc bigint, row bigint, at bigint, low int, n int, anchor int, "
+          "bytes binary, block int, core binary, whole binary")
+
+
+def _anchor(key: int, data: bytes, length: int) -> int:
+    """Position of the string of GRAM bytes whose hash is the key."""
+    return int(np.argmax(_gram_hashes(np.frombuffer(data, np.uint8), min(GRAM, length)) == np.uint64(key % 2 ** 64)))
+
+
+def _blocks(pieces: DataFrame, width: int, length: int) -> DataFrame:
+    """Cut pieces of starts into blocks of ``width`` by their distance from the anchor, with digests of the
+    bytes that every string of a full block holds (core) and of all bytes of the block (whole)."""
     def run(batches):
         for batch in batches:
+            out = []
             for c in batch.to_pylist():
-                digests = [hashlib.blake2b(c["bytes"][i:i + length], digest_size=16).digest() for i in range(c["n"])]
-                n = len(digests)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c[k]] * n, t) for k, t in (("key", pa.int64()), ("digest", pa.binary()), ("copies", pa.int64()),
-                                                          ("doc", pa.int64()), ("row", pa.int64()))]
-                    + [pa.array(np.arange(c["n"]) + c["at"]), pa.array(np.arange(n, dtype=np.int32)), pa.array(digests, pa.binary())],
-                    names=["key", "digest", "copies", "doc", "row", "at", "i", "string"])
-    strings = written(contexts.mapInArrow(run, "key bigint, digest binary, copies bigint, doc bigint, row bigint, at bigint, "
-                                               "i int, string binary"), "suffix-strings")
-    place = F.struct(F.col("doc").isNull(), "doc", "row", "at")
-    met = strings.groupBy("key", "string").agg(F.count(F.lit(1)).alias("places"), F.min(place).alias("first")).where("places > 1")
-    flagged = strings.join(met, ["key", "string"], "left") \
-        .select("key", "digest", "i", F.coalesce(F.col("first") < place, F.lit(False)).alias("earlier"),
-                (F.col("places").isNotNull() | (F.col("copies") > 1)).alias("other")).where("earlier or other")
-
-    def merge(key, pdf):
-        own = []
-        for kind in ("earlier", "other"):
-            flags = np.zeros(RUN, dtype=bool)
-            flags[pdf["i"][pdf[kind]].to_numpy()] = True
-            own.append(_intervals(flags, length))
-        return pdf.head(1)[["key", "digest"]].assign(earlier=[own[0]], other=[own[1]])
-    return flagged.groupBy("key", "digest").applyInPandas(merge, COVERED)
+                data, n = c["bytes"], c["n"]
+                anchor = c["anchor"] if c["anchor"] is not None else _anchor(c["key"], data, length)
+                if c["own"] and width > 1:
+                    out.append(c | {"anchor": anchor, "block": None, "core": None, "whole": None})
+                    continue
+                start = 0
+                while start < n:
+                    block = (anchor - start) // width
+                    end = min(n, anchor - block * width + 1)
+                    first = anchor - block * width
+                    own, core = data[start:end + length - 1], data[first:first + length - width + 1]
+                    out.append(c | {"low": c["low"] + start, "n": end - start, "anchor": anchor - start, "bytes": own,
+                                    "block": 0 if c["own"] else block, "core": hashlib.blake2b(core, digest_size=16).digest(),
+                                    "whole": hashlib.blake2b(own, digest_size=16).digest()})
+                    start = end
+            yield pa.RecordBatch.from_pylist(out, schema=_PIECES)
+    return pieces.mapInArrow(run, PIECES)
+
+
+_PIECES = pa.schema([(x.split()[0], {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}[x.split()[1]])
+                     for x in PIECES.split(", ")])
+
+
+def _counted(contexts: DataFrame, length: int) -> DataFrame:
+    """COVERED for the classes of very frequent keys, which no task gathers: blocks of starts are counted by the
+    digest of their bytes.  Blocks that stand elsewhere are settled, but for the first of each kind; blocks whose core stands
+    nowhere else hold no repeated string; the others are cut finer, down to single starts."""
+    pieces = contexts.select("key", "digest", "copies", "own", "doc", "row", "at", F.lit(0).alias("low"), "n",
+                             F.lit(None).cast("int").alias("anchor"), "bytes")
+    place = F.struct(F.col("doc").isNull().alias("last"), "doc", "row", (F.col("at") + F.col("low")).alias("at"))
+    settled = None
+    for width in WIDTHS:
+        cut = written(_blocks(pieces, width, length).withColumn("place", place), "suffix-blocks")
+        kinds = written(cut.where("block is not null").groupBy("key", "block", "core", "whole")
+                        .agg(F.count(F.lit(1)).alias("places"), F.min("place").alias("first")), "suffix-kinds")
+        cores = kinds.groupBy("key", "block", "core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        counted = cut.join(kinds.where("places > 1"), ["key", "block", "core", "whole"], "left")
+        later = F.coalesce(F.col("place") > F.col("first"), F.lit(False))
+        flagged = counted.where("places is not null").select(
+            "key", "digest", F.array(F.col("low"), F.col("low") + F.col("n") + length - 1).alias("span"), later.alias("earlier"))
+        settled = flagged if settled is None else settled.unionByName(flagged)
+        if width > 1:
+            pieces = counted.where(~later).join(cores.withColumn("open", F.lit(True)), ["key", "block", "core"], "left") \
+                .where("block is null or open").select(*pieces.columns)
+    spans = settled.groupBy("key", "digest").agg(
+        F.flatten(F.collect_list(F.when(F.col("earlier"), F.col("span")))).alias("earlier"),
+        F.flatten(F.collect_list("span")).alias("other"))
+
+    def merge(batches):
+        for batch in batches:
+            yield _covered([(key, digest, *[_merged(x).ravel().tolist() for x in pairs])
+                            for key, digest, *pairs in zip(*(batch.column(i).to_pylist() for i in range(4)))])
+    return spans.mapInArrow(merge, COVERED)
 
 
 # -- the operator -------------------------------------------------------------------------------------
 def _contexts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """The bytes of the first member of every class."""
-    wanted = classes.groupBy("row").agg(F.collect_list(F.struct("key", "digest", "copies", "classes", "doc", "at", "n")).alias("wanted"))
+    wanted = classes.groupBy("row").agg(F.collect_list(F.struct("key", "digest", "copies", "starts", "own", "doc", "at", "n")).alias("wanted"))
     rows = docs.select("row", "text").join(wanted, "row")
 
     def run(batches):
@@ -305,11 +377,11 @@ def _contexts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     return rows.select("row", F.col("text").cast("binary").alias("text"), "wanted").mapInArrow(run, CONTEXTS)
 
 
-_CONTEXTS = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("copies", pa.int64()), ("classes", pa.int64()),
+_CONTEXTS = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("copies", pa.int64()), ("starts", pa.int64()), ("own", pa.bool_()),
                        ("doc", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("n", pa.int32()), ("bytes", pa.binary())])
 
 
-def _spans(docs: DataFrame, keep: str, length: int, table_bits: int, batch: int, group: int) -> DataFrame:
+def _spans(docs: DataFrame, keep: str, length: int, table_bits: int, batch: int, most: int) -> DataFrame:
     """(row, cuts): byte intervals of every document with something to remove."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(_repeated(docs, length, table_bits))
@@ -317,12 +389,12 @@ def _spans(docs: DataFrame, keep: str, length: int, table_bits: int, batch: int,
     place = F.struct(F.col("doc").isNull().alias("last"), "doc", "row", "at")
     classes = written(runs.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"),
                                                         F.max("n").alias("n"), F.max("own").alias("own")), "suffix-classes")
-    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max("own").alias("own")) \
-        .where("classes > 1 or own").drop("own")
-    several = classes.join(keys, "key").select("key", "digest", "copies", "first.doc", "first.row", "first.at", "n", "classes")
+    keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("starts"), F.max("own").alias("own")) \
+        .where("classes > 1 or own")
+    several = classes.drop("own").join(keys, "key").select("key", "digest", "copies", "first.doc", "first.row", "first.at", "n", "starts", "own")
     contexts = written(_contexts(docs, several, length), "suffix-contexts")
-    covered = _suffix_order(contexts.where(F.col("classes") <= group), length, batch) \
-        .unionByName(_counted(contexts.where(F.col("classes") > group), length))
+    covered = _suffix_order(contexts.where(F.col("starts") <= most), length, batch) \
+        .unionByName(_counted(contexts.where(F.col("starts") > most), length))
 
     whole = F.array(F.lit(0), F.col("n") + length - 1)
     none = F.array().cast("array<int>")
@@ -342,23 +414,20 @@ CUT = "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,end:bigint
 
 
 def dedup(docs: DataFrame, keep: str = "first", length: int = LENGTH, id_col="doc_id", text_col="text",
-          table_bits: int = TABLE_BITS, batch: int = BATCH, group: int = GROUP) -> DataFrame:
+          table_bits: int = TABLE_BITS, batch: int = BATCH, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (maximal removed byte runs, end exclusive) and kept
     (the remaining bytes)."""
     docs = written(bounded_arrow(docs).select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")), "suffix-docs")
-    cuts = written(_spans(docs, keep, length, table_bits, batch, group), "suffix-cuts")
+    cuts = written(_spans(docs, keep, length, table_bits, batch, most), "suffix-cuts")
 
     def run(batches):
         for rows in batches:
             sizes, spans, kept = [], [], []
             for text, cut in zip(rows.column(1), rows.column(2)):
                 data = text.as_buffer()
-                pairs = np.sort(np.array(cut.as_py(), dtype=np.int64).reshape(-1, 2), axis=0)
-                # Intervals that touch are one: sorted starts and ends pair up where a start lies beyond all ends before.
-                new = np.flatnonzero(np.concatenate([[True], pairs[1:, 0] > pairs[:-1, 1]]))
-                merged = np.stack([pairs[new, 0], pairs[np.append(new[1:] - 1, len(pairs) - 1), 1]], axis=1)
+                merged = _merged(cut.as_py())
                 edges = [0, *merged.ravel().tolist(), data.size]
                 sizes.append(data.size)
                 spans.append([{"start": a, "end": b} for a, b in merged.tolist()])
