@@ -117,10 +117,14 @@ def jensen_shannon(long: DataFrame, bins: int = 20, places: int = 6, counted: Da
 
 def drift_report(long: DataFrame, threshold: float = K.DRIFT_THRESHOLD, bins: int = 20) -> DataFrame:
     """ML15: both metrics per feature and the drift flag (normalised W1 > threshold)."""
-    c = counts(long)
+    return report_of_counts(counts(long), threshold, bins)
+
+
+def report_of_counts(c: DataFrame, threshold: float = K.DRIFT_THRESHOLD, bins: int = 20) -> DataFrame:
+    """ML15 from (feature, value, ref_n, prod_n), however they were counted."""
     totals = materialize(_totals(c))
-    w = wasserstein(long, counted=c, totals=totals)
-    js = jensen_shannon(long, bins, counted=c, totals=totals)
+    w = wasserstein(c, counted=c, totals=totals)
+    js = jensen_shannon(c, bins, counted=c, totals=totals)
     return w.join(js, "feature", "left").withColumn(
         "drifted", F.coalesce(F.col("wasserstein_norm") > F.lit(threshold), F.lit(False)))
 
@@ -131,3 +135,27 @@ def drift_alerts(report: DataFrame, threshold: float = K.DRIFT_THRESHOLD) -> Dat
                          F.col("wasserstein_norm").alias("value")).unionByName(
         report.select("feature", F.lit("js_divergence").alias("metric"), F.col("js_divergence").alias("value")))
     return long.where(F.col("value") > F.lit(threshold)).withColumn("threshold", F.lit(threshold))
+
+
+# -- stored baseline ----------------------------------------------------------------------------------
+STORED = "feature string, value double, n long, snapshot_date date"
+
+
+def store_counts(features: DataFrame, path: str, columns=K.DRIFT_FEATURES) -> None:
+    """Write how often every value of every feature occurs at each snapshot date.  The counts of a date are
+    written once and replace only their own partition; they add up, so any window is a sum of them."""
+    long = features.select("snapshot_date", *[F.col(c).cast("double").alias(c) for c in columns]) \
+        .unpivot(["snapshot_date"], list(columns), "feature", "value").where(F.col("value").isNotNull())
+    (long.groupBy("feature", "value", "snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path))
+
+
+def stored_counts(spark, path: str, reference: tuple[dt.date, dt.date], production: tuple[dt.date, dt.date]) -> DataFrame:
+    """Both windows (closed ranges of snapshot dates) from the stored counts; no feature is read or
+    computed again, and only the partitions of the two windows are opened."""
+    day = F.col("snapshot_date")
+    stored = spark.read.schema(STORED).parquet(path)
+    in_ref, in_prod = day.between(*[F.lit(d) for d in reference]), day.between(*[F.lit(d) for d in production])
+    return materialize(stored.where(in_ref | in_prod).groupBy("feature", "value").agg(
+        F.sum(F.when(in_ref, F.col("n")).otherwise(0)).alias("ref_n"),
+        F.sum(F.when(in_prod, F.col("n")).otherwise(0)).alias("prod_n")))

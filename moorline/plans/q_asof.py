@@ -100,3 +100,16 @@ WHERE value > 0.15""", *_FV))
 def feature_drift_alerts(spark, sf_dir):
     """ML17: alert rows of the model-feature drift over eight weeks."""
     return DR.drift_alerts(_feature_report(spark, sf_dir, ALERT_REFERENCE))
+
+
+@query("feature_drift_stored", with_views(
+    "WITH " + features_at_sql(_d(DRIFT_REFERENCE), "r") + "," + features_at_sql(_d(K.TEST_SNAPSHOT), "p")
+    + ",\n" + _long_sql() + "," + DRIFT_BODY + "SELECT * FROM rep", *_FV))
+def feature_drift_stored(spark, sf_dir):
+    """ML15: the same drift from stored counts: each snapshot is counted when it is taken, the reference
+    window is never computed again."""
+    path = shared_path(spark, f"moorline-io/drift-{uuid.uuid4().hex}")
+    w = C.warehouse(spark, sf_dir)
+    for d in (DRIFT_REFERENCE, K.TEST_SNAPSHOT):
+        DR.store_counts(PP.model_ready(C.features_many(w, [d])), path)
+    return DR.report_of_counts(DR.stored_counts(spark, path, (DRIFT_REFERENCE,) * 2, (K.TEST_SNAPSHOT,) * 2))

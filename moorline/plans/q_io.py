@@ -15,6 +15,7 @@ from ..operators import marts as M
 from ..operators import metrics as MT
 from ..operators import model as MD
 from ..session import shared_path
+from ..sources import contract as CN
 from ..sources import io as IO
 from ..sources.keyed_store import KeyedStore
 from . import common as C
@@ -191,3 +192,38 @@ def store_merge(spark, sf_dir):
     store.insert_absent(rows.where(key % 13 == 0).withColumn("segment", F.lit("returned")))
     store.compact(0.2)
     return store.read()
+
+
+def _damaged(spark, sf_dir):
+    """Customers without a column, with one too many, with numbers as texts, some of them no numbers, and lost keys."""
+    c = C.warehouse(spark, sf_dir).raw("customer")
+    key = F.col("c_custkey")
+    path = _run_dir(spark, "damaged")
+    c.select(F.when(key % 25 != 0, key).alias("c_custkey"), "c_name",
+             F.when(key % 10 == 3, F.lit("n/a")).otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+             "c_mktsegment", F.lit(1).alias("surplus")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("schema_faults", """
+SELECT * FROM (VALUES ('c_acctbal', 'missing', 'double', NULL), ('surplus', 'extra', NULL, 'int'),
+                      ('c_nationkey', 'retyped', 'int', 'string')) t(column_name, fault, declared, found)""")
+def schema_faults(spark, sf_dir):
+    """IO1: the faults of a damaged copy of customers against its declared schema."""
+    return CN.schema_faults(_damaged(spark, sf_dir), CN.TABLES["customer"])
+
+
+@query("schema_quarantine", """
+SELECT CASE WHEN c_custkey % 25 <> 0 THEN c_custkey END AS c_custkey, c_name,
+       CASE WHEN c_custkey % 10 <> 3 THEN c_nationkey END AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 25 = 0 THEN 'c_custkey' WHEN c_custkey % 10 = 3 THEN 'c_nationkey' ELSE '' END AS faults
+FROM customer""")
+def schema_quarantine(spark, sf_dir):
+    """IO1 + IO9: every row of the damaged copy, those that fit in the declared types, the others quarantined
+    under the columns that do not fit."""
+    good, bad = CN.conform(_damaged(spark, sf_dir), CN.TABLES["customer"], CN.KEYS["customer"])
+    raw = F.from_json("raw", "c_custkey bigint, c_name string, c_nationkey string, c_mktsegment string")
+    held = bad.select(raw.alias("r"), F.array_join("faults", ",").alias("faults")).select(
+        "r.c_custkey", "r.c_name", F.col("r.c_nationkey").try_cast("int").alias("c_nationkey"),
+        F.lit(None).cast("double").alias("c_acctbal"), "r.c_mktsegment", "faults")
+    return good.withColumn("faults", F.lit("")).unionByName(held)
