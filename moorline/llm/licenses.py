@@ -1,20 +1,22 @@
 """Licence scan with a positional index of rare words.
 
-Licence templates are short passages with mandatory key phrases.  Document
-frequencies of all template words are counted over the whole corpus; every template
-is indexed under its rarest words (highest IDF) and their positions in it.  In a
-document the indexed words are looked up; each occurrence fixes where its template
-would start, the template's other rare words must stand at the right relative
-positions, and the key phrases are verified word for word.  The score is the
-IDF-weighted share of the template's words found in place.
+Licence templates are passages with mandatory key phrases.  Document frequencies of all template
+words are counted over the whole corpus, and an index holds the templates and positions at which each word stands.
+
+In a document the licence words that occur in it decide which templates are possible at all: those of whose key phrases
+no word is missing, and whose words that do occur carry enough IDF for the least score (both are bounds, so
+nothing is lost).  For every possible template the document's own highest-IDF words of it are looked up; each
+occurrence fixes where the template would start, its key phrases are verified word for word at their relative positions, and
+the score is the IDF-weighted share of the template's words found in place.  One such word in place is enough to be scored.
 
 The base phrases are templates that consist of their key phrase alone, so every place
 where their words stand consecutively is found.  A document is judged from its own
 row; the only shuffle is that of the word counts.  All of it is DataFrame
 expressions; no Python runs in tasks.
 
-Defined results: null text has no words, no label and score 0; repeated rows are judged
-alike; an empty table gives no rows; other columns are not read.
+Defined results: null text has no words, no label and score 0; a null identifier is reported like any other; texts of
+any length are read whole; places that overlap all count; words of equal IDF are taken in the template's order; repeated rows are judged
+alike; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from .common import ascii_lower
 # Words of a text without A-Z: all characters but \x00-\x2F, \x3A-\x60 and \x7B-\x7F,
 # written as the class of what is left, which is matched in less than half the time.
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
-RARE, ALIGNED, LEAST_SCORE = 4, 0.6, 0.6
+RARE, LEAST_SCORE = 4, 0.6
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,15 @@ TEMPLATES = [
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and "
              "associated documentation files the software to deal in the software without restriction",
              ("permission is hereby granted free of charge", "associated documentation files")),
+    Template("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions "
+             "of the software", ("this permission notice shall be included in all copies",)),
+    Template("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+             "following disclaimer", ("redistributions of source code must retain",)),
+    Template("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+             "following disclaimer in the documentation and or other materials provided with the distribution",
+             ("redistributions in binary form must reproduce",)),
+    Template("gpl", "without any warranty without even the implied warranty of merchantability or fitness for a particular purpose "
+             "see the gnu general public license for more details", ("gnu general public license for more details",)),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
              "provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
     Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
@@ -109,7 +120,7 @@ def _literal(values, kind: str) -> Column:
     return F.array(*[F.lit(v).cast(kind) for v in values]) if values else F.expr(f"cast(array() as array<{kind}>)")
 
 
-def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, rare: int = RARE, aligned: float = ALIGNED,
+def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, rare: int = RARE,
          least_score: float = LEAST_SCORE, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per document: doc_id, n_words and matches, an array of
     struct<template, start, score> with every accepted place of every template."""
@@ -118,38 +129,50 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, rare: int = RAR
     index: dict[str, list[tuple[int, int]]] = {}
     table = []
     for i, t in enumerate(templates):
-        w = t.words
-        anchors = sorted(sorted(range(len(w)), key=lambda j: (-idf[w[j]], j))[:rare])
-        for j in anchors:
-            index.setdefault(w[j], []).append((i, j))
+        w, keys = t.words, t.key_positions()
+        for j, x in enumerate(w):
+            index.setdefault(x, []).append((i, j))
+        rarest = list(dict.fromkeys(w[j] for j in sorted(range(len(w)), key=lambda j: (-idf[w[j]], j))))
+        total = sum(idf[x] for x in w)
         table.append(F.struct(
             _literal(w, "string").alias("words"), _literal([idf[x] for x in w], "double").alias("idf"),
-            F.lit(sum(idf[x] for x in w)).alias("total"), _literal(t.key_positions(), "int").alias("keys"),
-            _literal(anchors, "int").alias("anchors"),
-            F.lit(math.ceil(aligned * len(anchors)) if not t.base else len(anchors)).alias("need")))
+            F.lit(total).alias("total"), F.lit(least_score * total - 1e-9).alias("least"), _literal(keys, "int").alias("keys"),
+            _literal(sorted({w[j] for j in keys}), "string").alias("key_words"), _literal(rarest, "string").alias("rarest"),
+            F.lit(1 if t.base else rare).alias("take")))
     table = F.array(*table)
     postings = F.create_map(*[c for w, at in sorted(index.items()) for c in (
         F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(j).alias("j")) for t, j in at]))])
-    said = F.col("words")
+    said, present, lookup = F.col("words"), F.col("present"), F.col("lookup")
+
+    def wanted(t):
+        """The document's highest-IDF words of a template, none if the template cannot be in it."""
+        held = F.aggregate(F.zip_with(t["words"], t["idf"], lambda w, x: F.when(F.array_contains(present, w), x).otherwise(0.0)),
+                           F.lit(0.0), lambda a, x: a + x)
+        possible = F.forall(t["key_words"], lambda w: F.array_contains(present, w)) & (held >= t["least"])
+        return F.when(possible, F.slice(F.filter(t["rarest"], lambda w: F.array_contains(present, w)), F.lit(1), t["take"])) \
+            .otherwise(F.expr("cast(array() as array<string>)"))
 
     def in_place(t, start):
         return lambda j: F.get(said, start + j).eqNullSafe(F.element_at(t["words"], j + 1))
 
     def place(i):
+        word = F.get(said, i)
+
         def verified(p):
             t, start = F.element_at(table, p["t"] + 1), i - p["j"]
-            found = F.size(F.filter(t["anchors"], in_place(t, start))) >= t["need"]
             score = F.aggregate(F.sequence(F.lit(0), F.size(t["words"]) - 1), F.lit(0.0), lambda s, j: s + F.when(
                 in_place(t, start)(j), F.element_at(t["idf"], j + 1)).otherwise(0.0)) / t["total"]
-            return F.when(found & F.forall(t["keys"], in_place(t, start)), F.struct(
+            return F.when(F.forall(t["keys"], in_place(t, start)), F.struct(
                 p["t"].alias("template"), start.alias("start"), F.least(F.round(score, 6), F.lit(1.0)).alias("score")))
-        return F.filter(F.transform(F.element_at(postings, F.get(said, i)), verified),
-                        lambda m: m.isNotNull() & (m["score"] >= least_score))
-
-    spoken = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), words(F.col(text_col).cast("string")).alias("words"))
-    hits = F.filter(F.transform(said, lambda w, i: F.when(w.isin(sorted(index)), i)), lambda i: i.isNotNull())
-    spoken = spoken.withColumn("hits", F.when(F.exists(said, lambda w: w.isin(sorted(index))), hits)
-                               .otherwise(F.expr("cast(array() as array<int>)")))
+        looked_up = F.filter(F.element_at(postings, word), lambda p: F.array_contains(F.get(lookup, p["t"]), word))
+        return F.filter(F.transform(looked_up, verified), lambda m: m.isNotNull() & (m["score"] >= least_score))
+
+    spoken = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), words(F.col(text_col).cast("string")).alias("words")) \
+        .withColumn("present", F.array_intersect(said, _literal(vocabulary, "string"))) \
+        .withColumn("lookup", F.transform(table, wanted)) \
+        .withColumn("active", F.array_distinct(F.flatten("lookup")))
+    hits = F.filter(F.transform(said, lambda w, i: F.when(F.array_contains("active", w), i)), lambda i: i.isNotNull())
+    spoken = spoken.withColumn("hits", F.when(F.size("active") > 0, hits).otherwise(F.expr("cast(array() as array<int>)")))
     return spoken.select("doc_id", F.size(said).cast("bigint").alias("n_words"),
                          F.array_distinct(F.flatten(F.transform("hits", place))).alias("matches"))
 

@@ -52,3 +52,45 @@ def test_published_mit_notice(spark):
               "limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies")
     row = L.labelled(L.scan(spark.createDataFrame([(1, notice)], "doc_id bigint, text string"))).first()
     assert row.labels == "mit" and row.score == 1.0
+
+
+def _altered(template, rng, share):
+    """The passage with words outside its key phrases replaced."""
+    keys = set(template.key_positions())
+    return [w if j in keys or rng.random() >= share else f"altered{rng.randrange(50)}" for j, w in enumerate(template.words)]
+
+
+def test_recall_of_altered_passages_of_every_template(spark):
+    rng = random.Random(12)
+    docs, meant = [], {}
+    for n, t in enumerate(L.TEMPLATES):
+        for copy in range(12 if not t.base and len(t.words) > len(t.key_positions()) else 0):
+            words = _altered(t, rng, rng.choice([0.1, 0.25, 0.4]))
+            filler = [rng.choice("lorem ipsum software the license of any copy".split()) for _ in range(rng.randint(0, 40))]
+            docs.append((len(docs), " ".join(filler + words + filler[::-1])))
+            meant[docs[-1][0]] = (n, words, len(filler))
+    table = spark.createDataFrame(docs + [(10 ** 6 + i, "plain words of no licence at all") for i in range(300)], "doc_id bigint, text string")
+    idf = L.inverse_frequencies(table, sorted({w for t in L.TEMPLATES for w in t.words}))
+    found = {r.doc_id: {(m.template, m.start) for m in r.matches} for r in L.scan(table).collect()}
+    due = hit = 0
+    for doc, (n, words, start) in meant.items():
+        t = L.TEMPLATES[n]
+        score = sum(idf[w] for w, x in zip(t.words, words) if w == x) / sum(idf[w] for w in t.words)
+        if score >= L.LEAST_SCORE + 1e-6:
+            due += 1
+            hit += (n, start) in found[doc]
+        else:
+            assert (n, start) not in found[doc]
+    assert due > 80 and hit >= 0.9 * due, (hit, due)
+    assert not any(found[10 ** 6 + i] for i in range(300))
+
+
+def test_passages_whose_rarest_words_are_damaged(spark):
+    t = next(t for t in L.TEMPLATES if t.label == "isc")
+    docs = [(1, t.text)] + [(10 + i, "unrelated words") for i in range(50)]
+    idf = L.inverse_frequencies(spark.createDataFrame(docs, "doc_id bigint, text string"), sorted(set(t.words)))
+    keys = set(t.key_positions())
+    rarest = sorted((j for j in range(len(t.words)) if j not in keys), key=lambda j: -idf[t.words[j]])[:4]
+    damaged = " ".join("damaged" if j in rarest else w for j, w in enumerate(t.words))
+    row = L.labelled(L.scan(spark.createDataFrame([*docs, (2, damaged)], "doc_id bigint, text string"))).where("doc_id = 2").first()
+    assert row.labels == "isc" and 0.6 <= row.score < 1
