@@ -1,17 +1,16 @@
-"""Distributed ordered prefix sums.
+"""Distributed ordered prefix sums and row numbers.
 
 AUC and Wasserstein distances need running totals in value order.  A window
 without ``partitionBy`` would pull every row into one task, so the prefix sum
 is computed in two passes:
 
-1. rows are cut into ``buckets`` value ranges by approximate quantiles (one
-   aggregate; the boundary array has ``buckets`` - 1 numbers),
-2. per-bucket totals (at most ``buckets`` rows, so their own running total is
-   cheap and the result is broadcast with a proven bound) give each bucket's
-   offset; inside a bucket a window partitioned by bucket finishes the job.
+1. rows are range partitioned by group and value (Spark samples the bounds) and written once with the
+   number of their range, so each row is placed by one lookup whatever the number of ranges;
+2. totals per group and range, of which there are at most ranges + groups, get a running total of their own
+   and give each range's offset; inside a range a window finishes the job.
 
-Quantile boundaries keep buckets balanced even when values concentrate in a
-narrow range.  Input should already be reduced to one row per distinct value,
+Ranges follow the values, so they stay balanced where values concentrate.
+Input should already be reduced to one row per distinct value,
 so a value repeated a billion times is one row here.
 """
 
@@ -39,39 +38,26 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: list[str], partition_
     parts = list(partition_cols)
     if buckets is None:
         buckets = max(LEAST_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
-    qs = [i / buckets for i in range(1, buckets)]
     dummy = not parts
     if dummy:
-        # One group: the boundary array (buckets-1 numbers, fixed size) is read
-        # once and inlined as a literal, so no join is needed at all.
-        bounds = df.agg(F.percentile_approx(order_col, qs, 10_000)).first()[0] or []
-        arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-        df = df.withColumn("_g", F.lit(0))
-        parts = ["_g"]
-        withb = df.withColumn("_bounds", arr)
-    else:
-        bounds = df.groupBy(*parts).agg(F.percentile_approx(order_col, qs, 10_000).alias("_bounds"))
-        # One row per group holding `buckets - 1` values: broadcast only when the
-        # group count is checked small (days, features); otherwise a plain join.
-        few_groups = bounded(bounds, MAX_BROADCAST_GROUPS)
-        withb = df.join(F.broadcast(bounds) if few_groups else bounds, parts)
-    withb = withb.withColumn(
-        "_bucket", F.expr(f"size(filter(_bounds, b -> b < `{order_col}`))")).drop("_bounds")
+        df, parts = df.withColumn("_g", F.lit(0)), ["_g"]
+    # Written, because a range's number must not change between the two passes.
+    withb = materialize(df.repartitionByRange(buckets, *parts, order_col).withColumn("_bucket", F.spark_partition_id()))
 
     totals = withb.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols],
                                                   F.max(order_col).alias("_bmax"))
     wt = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wl = Window.partitionBy(*parts).orderBy("_bucket")
-    offsets = totals.select(*parts, "_bucket", *[
+    offsets = materialize(totals.select(*parts, "_bucket", *[
         F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in value_cols],
-        F.lag("_bmax").over(wl).alias("_prev_bmax"))
+        F.lag("_bmax").over(wl).alias("_prev_bmax")))
+    small = bounded(offsets, buckets + MAX_BROADCAST_GROUPS)
 
     frame_end = Window.currentRow if inclusive else -1
     wr = Window.partitionBy(*parts, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, frame_end)
     wp = Window.partitionBy(*parts, "_bucket").orderBy(order_col)
     running = withb.select("*", *[F.coalesce(F.sum(v).over(wr), F.lit(0)).alias(f"_r_{v}") for v in value_cols],
                            F.lag(order_col).over(wp).alias("_prev_in"))
-    small = dummy or few_groups   # offsets: groups x buckets rows
     out = running.join(F.broadcast(offsets) if small else offsets, [*parts, "_bucket"])
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.col(f"_o_{v}") + F.col(f"_r_{v}"))

@@ -80,3 +80,25 @@ def test_text_that_only_begins_like_a_list(spark):
     df = spark.createDataFrame([("[bad rate reset",), ('["inactivity", "x"]',), ("[]",), (None,)], "s string")
     assert [r[0] for r in df.select(normalize_reason(F.col("s"))).collect()] == \
         ["product_lifecycle", "inactivity", "unknown", "unknown"]
+
+
+def test_prefix_sums_and_row_numbers_equal_a_sort(spark):
+    import random
+    from moorline.functions import ordered
+    rng = random.Random(6)
+    rows = [(g, v, rng.randint(0, 9)) for g in ("a", "b", None, "lonely") for v in rng.sample(range(1000), 1 if g == "lonely" else 200)]
+    df = spark.createDataFrame(rows, "g string, v long, n long").repartition(5)
+    for inclusive in (True, False):
+        got = {(r.g, r.v): (r.cum_n, r.prev_v) for r in ordered.prefix_sums(
+            df.where("g is not null"), "v", ["n"], ["g"], buckets=7, inclusive=inclusive, with_prev=True).collect()}
+        for g in ("a", "b", "lonely"):
+            total, last = 0, None
+            for _, v, n in sorted(r for r in rows if r[0] == g):
+                assert got[(g, v)] == (total + (n if inclusive else 0), last)
+                total, last = total + n, v
+    one = {r.v: r.cum_n for r in ordered.prefix_sums(df.where("g = 'a'"), "v", ["n"]).collect()}
+    assert max(one.values()) == sum(n for g, _, n in rows if g == "a")
+    numbers = [(r.row_number, r.v, r.g) for r in ordered.row_numbers(df, F.desc("v"), F.asc("g")).collect()]
+    want = sorted(rows, key=lambda r: (-r[1], r[0] is not None, r[0] or ""))
+    assert sorted(numbers) == [(i, v, g) for i, (g, v, _) in enumerate(want, 1)]
+    assert ordered.row_numbers(df.limit(0), "v").count() == 0
