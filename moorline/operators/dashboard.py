@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import broadcast_if_bounded
 from ..functions.text import preview, total_tokens, violation_ids
 from ..session import materialize
 from .decisions import RULES
@@ -208,3 +209,20 @@ def batch_history(batch_summary_df: DataFrame, runs: DataFrame) -> DataFrame:
     j = materialize(b.join(r, "month", "inner"))       # one row per month, read twice
     corr = j.agg(F.corr("model_precision", "pass_rate").alias("precision_pass_rate_corr"))
     return j.join(F.broadcast(corr.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k")).drop("_k")
+
+
+def weekly_history(approved: DataFrame, queue: DataFrame, runs: DataFrame) -> DataFrame:
+    """AG24: one row per week with outreach: the version in use (that of the newest evaluation run up to
+    the week), its precision, and the share of messages that passed and failed review.  ``runs`` has
+    run_date, version and precision; weeks before the first run have no version."""
+    def weeks(df, at, passed):
+        return df.select(F.trunc(F.col(at).cast("date"), "week").alias("batch_date"), F.lit(passed).alias("passed"))
+    counts = weeks(approved, "approved_at", 1).unionByName(weeks(queue, "created_at", 0)).groupBy("batch_date").agg(
+        F.sum("passed").alias("approved_count"), F.sum(1 - F.col("passed")).alias("review_count"))
+    # Weeks and runs are few and counted, so every week may look at every earlier run.
+    known = broadcast_if_bounded(materialize(runs.select("run_date", "version", "precision")))
+    newest = counts.join(known, F.col("run_date") <= F.col("batch_date"), "left").groupBy("batch_date", "approved_count", "review_count") \
+        .agg(F.max_by(F.struct("version", "precision"), "run_date").alias("run"))
+    rate = F.col("approved_count") / (F.col("approved_count") + F.col("review_count"))
+    return newest.select("batch_date", F.col("run.version").alias("model_version"), F.col("run.precision").alias("model_precision"),
+                         F.round(rate, 6).alias("pass_rate"), F.round(1 - rate, 6).alias("failure_rate"), "approved_count", "review_count")

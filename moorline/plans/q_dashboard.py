@@ -307,6 +307,26 @@ def batch_history(spark, sf_dir):
     return h.withColumn("precision_pass_rate_corr", F.round("precision_pass_rate_corr", 6))
 
 
+@query("batch_history_weekly", sql_with(RUNS + """,
+w AS (SELECT CAST(date_trunc('week', approved_at) AS DATE) AS batch_date, 1 AS passed FROM approved_v
+      UNION ALL SELECT CAST(date_trunc('week', created_at) AS DATE), 0 FROM queue_v),
+b AS (SELECT batch_date, sum(passed) AS approved_count, sum(1 - passed) AS review_count FROM w GROUP BY 1),
+r AS (SELECT CAST(DATE '1995-06-01' + to_days(182 * (CAST(version AS INTEGER) - 1)) AS DATE) AS run_date, version, precision FROM runs)
+""", """
+SELECT batch_date, version AS model_version, precision AS model_precision,
+       round(approved_count / (approved_count + review_count), 6) AS pass_rate,
+       round(1 - approved_count / (approved_count + review_count), 6) AS failure_rate,
+       CAST(approved_count AS BIGINT) AS approved_count, CAST(review_count AS BIGINT) AS review_count
+FROM b ASOF LEFT JOIN r ON b.batch_date >= r.run_date""", ("scored_v", "approved_v", "queue_v")))
+def batch_history_weekly(spark, sf_dir):
+    """AG24: weekly rows with the model version in use, its precision, pass and failure rate.  The staged
+    runs are folded onto half years."""
+    w = _w(spark, sf_dir)
+    runs = RG.runs_by_day(w.scored(), w.snapshot).withColumn(
+        "run_date", F.date_add(F.lit(dt.date(1995, 6, 1)), (182 * (F.col("version").cast("int") - 1)).cast("int")))
+    return DB.weekly_history(w.approved(), w.queue(), runs)
+
+
 # -- review workflow ---------------------------------------------------------------
 def _decisions(w):
     """Reviewer decisions derived from the pending queue: approve unedited,
