@@ -577,6 +577,17 @@ def golden_agreement(golden: DataFrame, disclosure_mode: str = "strict") -> Data
         F.sum(F.col("rules_agree").cast("int")).alias("rules_agreement"))
 
 
+def golden_differences(golden: DataFrame, disclosure_mode: str = "strict") -> DataFrame:
+    """DC16: one row per example and rule on which the checks and the expectation differ: example_id, rule_id,
+    expected, found.  ``golden`` as in ``golden_agreement``."""
+    checked = compliance(golden.withColumnRenamed("body", "message_draft"), disclosure_mode=disclosure_mode)
+    found = F.transform("violated_rules", lambda v: v["rule_id"])
+    both = checked.select("example_id", F.coalesce("expected_rules", F.array().cast("array<string>")).alias("want"), found.alias("have"))
+    return both.select("example_id", "want", "have", F.explode(F.array_union("want", "have")).alias("rule_id")).select(
+        "example_id", "rule_id", F.array_contains("want", F.col("rule_id")).alias("expected"),
+        F.array_contains("have", F.col("rule_id")).alias("found")).where("expected != found")
+
+
 def offers_frame(spark) -> DataFrame:
     """IO20 (re-aimed): the offer catalogue as a table (25 rows, fixed)."""
     rows = [(*o, offer_value(o[0]), OFFER_AMOUNTS.get(o[0], [])) for o in OFFERS]

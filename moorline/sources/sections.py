@@ -34,3 +34,18 @@ def typed(sections: DataFrame, columns: dict[str, str]) -> DataFrame:
         value = F.col("fields")[name]
         out.append((F.split(value, r"\s*,\s*") if kind == "array<string>" else value.cast(kind)).alias(name))
     return sections.select("title", *out)
+
+
+def read_examples(spark: SparkSession, path: str) -> DataFrame:
+    """Message examples: one file each, a head of ``name: value`` lines between two ``---`` lines and the message
+    below.  Columns: file, fields (map), expected_status, expected_rules (array<string>), body; a file without a head has
+    empty fields and is all body."""
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r\n", "\n").alias("t"))
+    head = F.regexp_extract("t", r"(?s)\A\s*---\n(.*?)\n---\s*(\n|\z)", 1)
+    body = F.regexp_replace("t", r"(?s)\A\s*---\n.*?\n---\s*(\n|\z)", "")
+    lines = F.filter(F.split(head, "\n"), lambda x: x.contains(":"))
+    fields = F.map_from_entries(F.transform(lines, lambda x: F.struct(
+        F.trim(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.regexp_extract(x, r"^[^:]*:(.*)$", 1)).alias("value"))))
+    rules = F.regexp_extract_all(F.coalesce(F.col("fields")["violated_rules"], F.lit("")), F.lit(r"[A-Z]+-[0-9]+"), F.lit(0))
+    return text.select("file", fields.alias("fields"), F.btrim(body, F.lit(" \n\t")).alias("body")).select(
+        "file", "fields", F.col("fields")["status"].alias("expected_status"), rules.alias("expected_rules"), "body")
