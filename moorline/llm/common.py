@@ -22,6 +22,8 @@ ARROW_ROWS = 2000
 ARROW_BYTES = 16 << 20
 # Identifiers (8 to 48 bytes each) are broadcast up to this checked number of rows.
 BROADCAST_ROWS = 1_000_000
+# Texts of no fixed width are broadcast up to this checked number of bytes.
+BROADCAST_BYTES = 64 << 20
 
 
 def bounded_arrow(df: DataFrame) -> DataFrame:

@@ -12,14 +12,15 @@ from .common import cut
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    # A table of its own, so that the join can split the links of a hub.
+    least = cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
         .where("u != v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
     return down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v") \
         .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -73,6 +73,7 @@ class Gru:
         n, hidden = x.shape[1], len(self.ur)
         h = np.zeros((n, hidden), dtype="f4")
         r, z, c, m = (np.empty((n, hidden), dtype="f4") for _ in range(4))
+        padded = (x == PAD).any(axis=1)
         for i in order:
             np.take(self.xr, x[i], axis=0, out=r, mode="clip")
             np.take(self.xz, x[i], axis=0, out=z, mode="clip")
@@ -87,7 +88,8 @@ class Gru:
             h -= c
             h *= z
             h += c
-            h *= (x[i] != PAD)[:, None]
+            if padded[i]:
+                h *= (x[i] != PAD)[:, None]
             out(i, h)
 
     def step(self, x, h, keep=None):

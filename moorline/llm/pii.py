@@ -28,8 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import bounded, broadcast_if_bounded
-from .common import BROADCAST_ROWS, SPANS, count_kind, cut, kinded, span_text, spans, written
+from ..functions.joins import bounded, broadcast_if_bounded, text_bytes
+from .common import BROADCAST_BYTES, BROADCAST_ROWS, SPANS, count_kind, cut, kinded, span_text, spans, written
 
 # Patterns, fixed values; runs are possessive and start at their first character
 # (or where the last match ended), so that no text makes them backtrack.
@@ -143,7 +143,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppo
                 .where(F.col("texts") >= support)
                 .where(reached(F.least(F.col("least"), F.lit(most)), F.lit(most), F.col("least"))
                        | (F.col("least") <= most)).select("term", "least"))
-    near = written(spoken.join(broadcast_if_bounded(known, BROADCAST_ROWS), "term").join(groups, "digest")
+    near = written(spoken.join(broadcast_if_bounded(known, BROADCAST_ROWS, BROADCAST_BYTES), "term").join(groups, "digest")
                    .where(reached(F.least("least", "n_c"), F.col("n_c"), F.col("least"))), "pii-near")
     # Distinct contexts and documents of a pair: two counts over small keys, added up map-side first.
     pairs = cut(near.groupBy("grp", "term", "context").agg(
@@ -153,12 +153,12 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, generalise: float, suppo
         .where(F.col("support") >= support).where(reached(F.col("n_ct"), F.col("n_c"), F.col("least"))))
     terms = cut(pairs.select("term").distinct())
     said = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-    n_t = said.join(broadcast_if_bounded(terms, BROADCAST_ROWS), "term").groupBy("term") \
+    n_t = said.join(broadcast_if_bounded(terms, BROADCAST_ROWS, BROADCAST_BYTES), "term").groupBy("term") \
         .agg(F.count(F.lit(1)).alias("n_t"))
     pmi = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.greatest("n_t", "least")))
     scored = cut(pairs.join(n_t, "term", "left").withColumn("disclosure", pmi / F.log2(n / F.col("n_c")))
                  .where(F.col("disclosure") >= generalise).select("grp", "term", "disclosure"))
-    return near.join(broadcast_if_bounded(scored, BROADCAST_ROWS), ["grp", "term"]) \
+    return near.join(broadcast_if_bounded(scored, BROADCAST_ROWS, BROADCAST_BYTES), ["grp", "term"]) \
         .groupBy("digest", "term").agg(F.max("disclosure").alias("disclosure"))
 
 
@@ -174,7 +174,7 @@ def _find(docs: DataFrame, id_col="doc_id", text_col="text", generalise: float =
         F.collect_list(F.when(F.col("disclosure") < remove, F.col("term"))).alias("general"),
         F.collect_list(F.when(F.col("disclosure") >= remove, F.col("term"))).alias("removed")))
     # The lists of a text are as long as it has terms, so the terms are what is checked.
-    marked = F.broadcast(marked) if bounded(terms, BROADCAST_ROWS) else marked
+    marked = F.broadcast(marked) if bounded(terms, BROADCAST_ROWS) and text_bytes(terms) <= BROADCAST_BYTES else marked
     words = F.transform(F.array(spans(F.col("outside"), WORD)), lambda s: F.concat(
         kinded(s, "general", lambda m: F.array_contains("general", F.lower(m))),
         kinded(s, "removed", lambda m: F.array_contains("removed", F.lower(m)))))
