@@ -15,9 +15,16 @@ def bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose row count was checked."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
+def text_bytes(df: DataFrame) -> int:
+    """Bytes in the string and binary columns of ``df``, which have no fixed width."""
+    wide = [F.octet_length(c) for c, t in df.dtypes if t in ("string", "binary")]
+    return (df.agg(F.sum(sum((F.coalesce(x, F.lit(0)).cast("long") for x in wide), F.lit(0)))).first()[0] or 0) if wide else 0
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only for a side whose row count (and, where asked for, whose bytes) were checked."""
+    fits = bounded(df, max_rows) and (max_bytes is None or text_bytes(df) <= max_bytes)
+    return F.broadcast(df) if fits else df
 
 
 def literal_broadcast(df: DataFrame) -> DataFrame:
