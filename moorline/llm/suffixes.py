@@ -107,8 +107,9 @@ def runs_of(text: pa.Array, length: int = LENGTH):
         if len(data) < length:
             continue
         key, left, right = least_hashes(data, length)
-        doc = np.searchsorted(edges, np.arange(len(key)), "right") - 1
-        valid = np.arange(len(key)) + length <= edges[doc + 1]
+        sizes = np.diff(edges)
+        doc = np.repeat(np.arange(len(sizes)), sizes)[:len(key)]
+        valid = np.arange(length, length + len(key)) <= np.repeat(edges[1:], sizes)[:len(key)]
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | ~valid[:-1]]) & valid
         first = np.flatnonzero(new)
         if not len(first):
