@@ -5,6 +5,12 @@ kept, is written as Parquet in the shared folder and read again by the next one.
 All but the last return the columns of ``documents``.  SQL cannot express the
 stages (a trained network, sketches, tokens), so ``ORACLE_SQL`` is None; the tests
 compare ``run`` with a brute-force version.
+
+Defined results: a null, empty or letterless text goes at the first stage; of equal texts one row stays, that with the
+largest identifier, and rows that repeat identifier and text are one, so a table united with itself gives the same
+result; rows with null or shared identifiers are judged each by their own text; of near duplicates the smallest identifier
+stays; texts of any length pass whole; columns beside those of ``documents`` are carried along, whatever their names, up to
+the last stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
