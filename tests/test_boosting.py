@@ -78,6 +78,25 @@ def test_partitions_and_written_margins_do_not_matter(spark, monkeypatch):
     assert np.allclose(one.margins(x), many.margins(x), atol=1e-9)
 
 
+def test_a_tree_costs_one_job_per_level(spark, monkeypatch):
+    """No query is planned and no state rewritten per level or tree: jobs by level, one checkpoint each ``MARGINS_EVERY``."""
+    x, y = _data()
+    monkeypatch.setattr(B, "MARGINS_EVERY", 100)
+    table = _table(spark, x, y).localCheckpoint()
+    context = spark.sparkContext
+
+    def jobs(trees):
+        group = f"fit-{trees}"
+        context.setJobGroup(group, group)
+        model = B.fit(table, FEATURES, "y", "id", F.lit(0), B.Params(trees=trees, depth=3))
+        assert len(model.trees) == trees
+        return len(context.statusTracker().getJobIdsForGroup(group))
+    try:
+        assert jobs(9) - jobs(3) <= 6 * 3
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_patience_keeps_the_best_number_of_trees(spark):
     x, y = _data()
     fold = F.when(F.col("id") % 4 == 0, 1).otherwise(0)
