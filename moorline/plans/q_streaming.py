@@ -84,12 +84,13 @@ def stream_features(spark, sf_dir):
     third = F.floor(F.datediff("ts", F.lit(w.fold_start)) / 31)
     step = F.least(third + F.when(F.pmod(F.xxhash64("customer_id", "ts"), F.lit(11)) == 0, 1).otherwise(0), F.lit(2))
     rows = materialize(rows.withColumn("step", step))
+    groups = max(1, rows.select("customer_id").distinct().count() // FS.CUSTOMERS_PER_GROUP)
     for k in range(3):
         part = rows.where(F.col("step") == k).drop("step")
         if k == 2:
             part = part.unionByName(FS.heartbeat(spark, w.snapshot, LATE_DAYS))
         part.write.mode("append").parquet(f"{base}/in")
-        FS.run(spark, f"{base}/in", f"{base}/log", f"{base}/checkpoint", late_days=LATE_DAYS)
+        FS.run(spark, f"{base}/in", f"{base}/log", f"{base}/checkpoint", late_days=LATE_DAYS, groups=groups)
     out = FS.latest(spark, f"{base}/log")
     return out.where("app_logins_last_90d > 0 or competitor_transfer_count > 0").drop("as_of")
 

@@ -1,14 +1,17 @@
 """ST2: the windowed features FT2-FT4 as incremental state.
 
-Logins of 30 and 90 days and competitor transfers of 90 days are kept per customer in list
-state: one entry per day, and only the days that the longest window can still reach, so the state of a
-customer has at most 91 entries however long the history and however busy the day.
+Logins of 30 and 90 days and competitor transfers of 90 days are kept per customer: one entry per day, and only
+the days that the longest window can still reach, so the state of a customer has at most 91 entries however
+long the history and however busy the day.  Customers are dealt by hash into groups and a group's entries are
+packed arrays, so that a call of the processor updates all its customers at once; their number per group sets the cost
+of a call, the number of groups that of a batch.
 
 A row of the input changes the entry of its day and the customer's features are emitted as of
 the newest day seen.  Features also change when nothing happens: a day leaves a window 31 or 91
-days later.  An event-time timer stands at the next such day; when the watermark passes it, the
-features are emitted as of the watermark's day, days out of reach are dropped, and a customer
-without any is forgotten.  (Spark's state TTL counts processing time and would drop days by the
+days later.  An event-time timer of the group stands at the next such day of any of its customers; when the
+watermark passes it, the features of those it has passed are emitted as of the watermark's day, days out of reach are
+dropped, and a customer without any is forgotten.
+(Spark's state TTL counts processing time and would drop days by the
 clock of the cluster, so expiry is left to event time.)
 
 Rows up to the allowed lateness behind the newest event are counted in whatever order they
@@ -21,6 +24,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -35,58 +39,110 @@ ACTIVITY = "customer_id long, ts timestamp, logins long, transfers long"
 FEATURES = "customer_id long, as_of date, app_logins_last_30d long, app_logins_last_90d long, competitor_transfer_count long"
 DAY_MS = 86_400_000
 LATE_DAYS = 30
-EPOCH = dt.date(1970, 1, 1)
+# A checkpoint keeps the number of groups it began with.
+GROUPS = 1024
+CUSTOMERS_PER_GROUP = 500
+# A task of the stream starts a Python worker and a state store in every batch, which takes longer than these groups do.
+GROUPS_PER_TASK = 50
+# Rows without a customer are one customer of a group of their own.
+NOBODY = -1
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+ENTRY = np.dtype([("customer", "<i8"), ("day", "<i8"), ("logins", "<i8"), ("transfers", "<i8")])
+NEWEST = np.dtype([("customer", "<i8"), ("day", "<i8")])
+
+
+def _summed(entries: np.ndarray) -> np.ndarray:
+    """One entry per customer and day, ascending."""
+    e = entries[np.lexsort((entries["day"], entries["customer"]))]
+    if not len(e):
+        return e
+    at = np.flatnonzero(np.append(True, (np.diff(e["customer"]) != 0) | (np.diff(e["day"]) != 0)))
+    out = e[at]
+    for c in ("logins", "transfers"):
+        out[c] = np.add.reduceat(e[c], at)
+    return out
+
+
+def _newest(days: np.ndarray) -> np.ndarray:
+    """The newest day of every customer, customers ascending."""
+    d = days[np.lexsort((days["day"], days["customer"]))]
+    return d[np.append(np.diff(d["customer"]) != 0, True)] if len(d) else d
+
+
 class WindowedFeatures(StatefulProcessor):
-    def __init__(self, recent: int = K.RECENT_LOGIN_DAYS, lookback: int = K.FEATURE_LOOKBACK_DAYS):
-        self.recent, self.lookback = recent, lookback
+    def __init__(self, recent: int = K.RECENT_LOGIN_DAYS, lookback: int = K.FEATURE_LOOKBACK_DAYS, groups: int = GROUPS):
+        self.recent, self.lookback, self.groups = recent, lookback, groups
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getListState("days", "day int, logins long, transfers long")
-        self.newest = handle.getValueState("newest", "day int")
+        self.held = handle.getValueState("held", "groups int, newest binary, entries binary")
 
-    def _emit(self, key, days: dict, as_of: int):
-        """Keep what is in reach, set the timer of the next change, and return the features."""
-        days = {d: v for d, v in days.items() if d >= as_of - self.lookback}
+    def _known(self):
+        """The newest day and the entries of the group's customers."""
+        held = self.held.get()
+        if held is None:
+            return np.zeros(0, NEWEST), np.zeros(0, ENTRY)
+        if held[0] != self.groups:
+            raise ValueError(f"the checkpoint holds {held[0]} groups of customers, not {self.groups}")
+        return np.frombuffer(held[1], NEWEST), np.frombuffer(held[2], ENTRY)
+
+    def _leaving(self, newest: np.ndarray, entries: np.ndarray):
+        """Per entry the position of its customer in ``newest`` and the next day on which it leaves a window."""
+        of = np.searchsorted(newest["customer"], entries["customer"])
+        soon = entries["day"] + self.recent + 1
+        return of, np.where(soon > newest["day"][of], soon, entries["day"] + self.lookback + 1)
+
+    def _emit(self, key, newest: np.ndarray, entries: np.ndarray, changed: np.ndarray):
+        """Keep what is in reach, set the timer of the next change, and return the features of the changed customers."""
+        of = np.searchsorted(newest["customer"], entries["customer"])
+        entries = entries[entries["day"] >= newest["day"][of] - self.lookback]
+        of, leaves = self._leaving(newest, entries)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if days:
-            self.days.put([(d, *v) for d, v in sorted(days.items())])
-            self.newest.update((as_of,))
-            leaves = [d + span + 1 for d in days for span in (self.recent, self.lookback) if d + span + 1 > as_of]
-            self.handle.registerTimer(min(leaves) * DAY_MS)
+        if len(entries):
+            self.held.update((self.groups, newest[np.unique(of)].tobytes(), entries.tobytes()))
+            self.handle.registerTimer(int(leaves.min()) * DAY_MS)
         else:
-            self.days.clear()
-            self.newest.clear()
-        past = {d: v for d, v in days.items() if d <= as_of}
+            self.held.clear()
+        recent = entries["day"] >= newest["day"][of] - self.recent
+        sums = np.zeros((3, len(newest)), dtype=np.int64)
+        for total, value in zip(sums, (entries["logins"] * recent, entries["logins"], entries["transfers"])):
+            np.add.at(total, of, value)
+        out = newest[changed]
         yield pd.DataFrame({
-            "customer_id": [key[0]], "as_of": [EPOCH + dt.timedelta(days=as_of)],
-            "app_logins_last_30d": [sum(v[0] for d, v in past.items() if d >= as_of - self.recent)],
-            "app_logins_last_90d": [sum(v[0] for v in past.values())],
-            "competitor_transfer_count": [sum(v[1] for v in past.values())]})
-
-    def _known(self):
-        if not self.newest.exists():
-            return {}, None
-        return {d: (a, b) for d, a, b in self.days.get()}, self.newest.get()[0]
+            "customer_id": pd.array([None] * len(out) if key[0] == NOBODY else out["customer"], dtype="Int64"),
+            "as_of": out["day"].astype("datetime64[D]").astype(object),
+            **{name: total[changed] for name, total in zip(_VALUES, sums)}})
 
     def handleInputRows(self, key, rows, timerValues):
-        days, as_of = self._known()
+        newest, entries = self._known()
+        arrived = []
         for pdf in rows:
-            day = (pdf["ts"].dt.tz_localize(None).to_numpy().astype("datetime64[D]").astype("int64"))
-            for d, a, b in zip(day.tolist(), pdf["logins"].tolist(), pdf["transfers"].tolist()):
-                have = days.get(d, (0, 0))
-                days[d] = (have[0] + a, have[1] + b)
-        yield from self._emit(key, days, max([d for d in days] + ([as_of] if as_of is not None else [])))
+            new = np.zeros(len(pdf), ENTRY)
+            new["customer"] = pdf["customer_id"].fillna(0)
+            new["day"] = pdf["ts"].dt.tz_localize(None).to_numpy().astype("datetime64[D]").astype("int64")
+            new["logins"], new["transfers"] = pdf["logins"], pdf["transfers"]
+            entries = _summed(np.concatenate([entries, new]))
+            arrived.append(np.unique(new["customer"]))
+        # Days held from before are no newer than the day that was newest then.
+        days = np.zeros(len(entries), NEWEST)
+        days["customer"], days["day"] = entries["customer"], entries["day"]
+        newest = _newest(np.concatenate([newest, days]))
+        changed = np.searchsorted(newest["customer"], np.unique(np.concatenate(arrived))) if arrived else []
+        yield from self._emit(key, newest, entries, np.array(changed, dtype=np.int64))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        days, as_of = self._known()
-        passed = timerValues.getCurrentWatermarkInMs() // DAY_MS
-        yield from self._emit(key, days, max(passed, as_of or 0))
+        newest, entries = self._known()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        of, leaves = self._leaving(newest, entries)
+        due = np.unique(of[leaves * DAY_MS <= watermark])
+        newest = newest.copy()
+        newest["day"][due] = np.maximum(newest["day"][due], watermark // DAY_MS)
+        yield from self._emit(key, newest, entries, due)
 
     def close(self) -> None:
         pass
@@ -102,17 +158,21 @@ def activity(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
     return logins.unionByName(transfers)
 
 
-def feature_stream(rows: DataFrame, late_days: int = LATE_DAYS) -> DataFrame:
+def feature_stream(rows: DataFrame, late_days: int = LATE_DAYS, groups: int = GROUPS) -> DataFrame:
     """Streaming features from a streaming ``activity``."""
-    return rows.withWatermark("ts", f"{late_days} days").groupBy("customer_id").transformWithStateInPandas(
-        statefulProcessor=WindowedFeatures(), outputStructType=FEATURES, outputMode="Update", timeMode="EventTime")
+    group = F.when(F.col("customer_id").isNull(), F.lit(NOBODY)).otherwise(F.pmod(F.xxhash64("customer_id"), F.lit(groups)).cast("int"))
+    return rows.withWatermark("ts", f"{late_days} days").withColumn("group", group).groupBy("group").transformWithStateInPandas(
+        statefulProcessor=WindowedFeatures(groups=groups), outputStructType=FEATURES, outputMode="Update", timeMode="EventTime")
 
 
 def run(spark: SparkSession, source_dir: str, log_dir: str, checkpoint_dir: str, late_days: int = LATE_DAYS,
-        files_per_batch: int | None = None):
+        files_per_batch: int | None = None, groups: int = GROUPS):
     """Process what is new in ``source_dir`` (files of ACTIVITY) and stop; returns the finished query."""
-    old = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS_DB)
+    tasks = max(spark.sparkContext.defaultParallelism, groups // GROUPS_PER_TASK)
+    settings = {PROVIDER: ROCKS_DB, PARTITIONS: str(min(int(spark.conf.get(PARTITIONS)), tasks))}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         reader = spark.readStream.schema(ACTIVITY)
         if files_per_batch:
@@ -120,14 +180,15 @@ def run(spark: SparkSession, source_dir: str, log_dir: str, checkpoint_dir: str,
 
         def sink(batch: DataFrame, number: int):
             batch.write.mode("overwrite").parquet(f"{log_dir}/batch={number}")
-        q = feature_stream(reader.parquet(source_dir), late_days).writeStream.outputMode("update").foreachBatch(sink) \
+        q = feature_stream(reader.parquet(source_dir), late_days, groups).writeStream.outputMode("update").foreachBatch(sink) \
             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
         q.awaitTermination()
         if q.exception():
             raise q.exception()
         return q
     finally:
-        spark.conf.set(PROVIDER, old) if old is not None else spark.conf.unset(PROVIDER)
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def latest(spark: SparkSession, log_dir: str) -> DataFrame:
