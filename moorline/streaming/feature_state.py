@@ -123,7 +123,7 @@ class WindowedFeatures(StatefulProcessor):
         arrived = []
         for pdf in rows:
             new = np.zeros(len(pdf), ENTRY)
-            new["customer"] = pdf["customer_id"].fillna(0)
+            new["customer"] = pdf["customer_id"]
             new["day"] = pdf["ts"].dt.tz_localize(None).to_numpy().astype("datetime64[D]").astype("int64")
             new["logins"], new["transfers"] = pdf["logins"], pdf["transfers"]
             entries = _summed(np.concatenate([entries, new]))
@@ -161,7 +161,9 @@ def activity(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
 def feature_stream(rows: DataFrame, late_days: int = LATE_DAYS, groups: int = GROUPS) -> DataFrame:
     """Streaming features from a streaming ``activity``."""
     group = F.when(F.col("customer_id").isNull(), F.lit(NOBODY)).otherwise(F.pmod(F.xxhash64("customer_id"), F.lit(groups)).cast("int"))
-    return rows.withWatermark("ts", f"{late_days} days").withColumn("group", group).groupBy("group").transformWithStateInPandas(
+    # Without nulls the identifiers stay integers in pandas.
+    dealt = rows.withColumn("group", group).withColumn("customer_id", F.coalesce("customer_id", F.lit(0)))
+    return dealt.withWatermark("ts", f"{late_days} days").groupBy("group").transformWithStateInPandas(
         statefulProcessor=WindowedFeatures(groups=groups), outputStructType=FEATURES, outputMode="Update", timeMode="EventTime")
 
 
