@@ -27,10 +27,12 @@ from .common import BROADCAST_ROWS, cut, work_uri, written
 
 # State on disk; all state partitions of an executor share one bounded cache and
 # write buffer, so memory doesn't grow with the number of partitions or keys, and
-# none reserves disk ahead of its use (4 MB a partition otherwise).
+# none reserves disk ahead of its use (4 MB a partition otherwise).  A store is closed when its task
+# ends, so an executor holds as many as it has tasks, and none after the stream.
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",

@@ -1,4 +1,5 @@
 import collections
+import os
 
 from pyspark.sql import functions as F
 
@@ -59,3 +60,18 @@ def test_keep_rows_of_a_table_united_with_itself(spark):
         return collections.Counter((r.doc_id, r.text or "") for r in X.keep_rows(df).collect())
     once = kept(docs)
     assert kept(docs.unionByName(docs)) == once and set(once.values()) == {1} and once[(None, "only nulls")] == 1
+
+
+def test_state_stores_are_closed_with_their_tasks(spark):
+    """Every open store has native threads and buffers of its own; none stays after the stream."""
+    pid = spark.sparkContext._jvm.java.lang.ProcessHandle.current().pid()
+    base, parts = work_uri(spark, "test-stores"), spark.conf.get("spark.sql.shuffle.partitions")
+    X.land(spark.range(2000).selectExpr("id as doc_id", "cast(id % 700 as string) as text"), f"{base}/landing")
+    before = len(os.listdir(f"/proc/{pid}/task"))
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        X.dedup_stream(spark, f"{base}/landing", f"{base}/state", f"{base}/log")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len(os.listdir(f"/proc/{pid}/task")) - before < 96
+    assert X.seen_digests(spark, f"{base}/log").count() == 700
