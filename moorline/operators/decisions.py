@@ -379,6 +379,35 @@ PATTERNS = {
     "alert_open": _I + r"(security alert|account issue|suspicious activity|problem with your account|urgent notice)",
     "bad_subject": _I + r"^subject:[^\n]*(action required|important update about your account|security|alert|suspended)",
 }
+# What a text must hold, in lower case, for a pattern to match anywhere in it: one of these at least.  A search for
+# plain strings is far cheaper than the pattern, which is only tried on texts that pass.
+LITERALS = {
+    "urgency": ["act now", "limited time", "expires", "last chance", "miss out", "you must respond", "will not be repeated", "hurry"],
+    "impersonal": ["dear", "to whom it may concern"],
+    "fear": ["account may be at risk", "could lose", "failure to act", "will be closed", "account closure"],
+    "surveillance": ["identified as", "flagged", "selected by", "our model", "our algorithm", "risk score", "churn",
+                     "logged in for", "no transactions", "days since your last"],
+    "jargon": ["aer", "ltv", "mifid", "apr", "isin", "ucits"],
+    "superlative": ["best rate", "market-leading", "unbeatable", "lowest fee"],
+    "substantiated": ["as of", "compared to", "source"],
+    "guarantee": ["guaranteed", "risk-free", "you will earn"],
+    "disclosure_equiv": ["can go down as well as up"],
+    "advice": ["you should invest", "we recommend you", "right product for you", "you should switch"],
+    "cooling_off": ["14-day", "cooling-off"],
+    "fee_or_rate": ["%", "fee", "rate"],
+    "terms": ["terms", "conditions"],
+    "percent": ["%"],
+    "caveat_period": ["past performance"],
+    "comparison": ["compared to", "market average", "than other banks", "than competitors"],
+    "sourced": ["data", "source", "nbb"],
+    "tenure": ["with us for", "since you joined", "customer for"],
+    "recent_contact": ["our recent"],
+    "loyalty_call": ["loyalty c", "marketing c"],
+    "unsubscribe": ["unsubscribe", "communication preferences"],
+    "opt_out": ["stop contacting you"],
+    "alert_open": ["security alert", "account issue", "suspicious activity", "problem with your account", "urgent notice"],
+    "bad_subject": ["subject:"],
+}
 # The opening of a call (CH-002, CH-003): the rules speak of its start and its first
 # 30 seconds; at 150 spoken words a minute that is the first 75 words.
 OPENING_WORDS = 75
@@ -400,13 +429,20 @@ RULES = [
 
 def rule_checks(msg: Column, channel: Column, offer_id: Column, segment: Column, age: Column,
                 disclosure_mode: str = "strict", region: Column | None = None, rate_end: Column | None = None,
-               product_names: Column | None = None, opening_words: int = OPENING_WORDS) -> dict[str, tuple[Column, str]]:
+               product_names: Column | None = None, opening_words: int = OPENING_WORDS,
+               low: Column | None = None) -> dict[str, tuple[Column, str]]:
     """rule_id -> (violation condition, finding).  ``disclosure_mode``
     'strict' wants the verbatim FSMA-002 statement, 'equivalent' accepts a
     paraphrase (SEM12).  PERS-001 accepts a tenure or recent-contact phrase or the
-    row's own region, fixed-rate end date or product name (where given)."""
+    row's own region, fixed-rate end date or product name (where given).  ``low`` is
+    the message in lower case, where the caller has it as a column."""
+    low = F.lower(msg) if low is None else low
+
     def rx(name, col=msg):
-        return F.coalesce(col.rlike(PATTERNS[name]), F.lit(False))
+        held = None
+        for literal in LITERALS[name]:
+            held = low.contains(literal) if held is None else held | low.contains(literal)
+        return F.coalesce(held & col.rlike(PATTERNS[name]), F.lit(False))
     inv = F.coalesce(offer_id.isin(*INVESTMENT_OFFERS), F.lit(False))
     sav_inv = F.coalesce(offer_id.isin(*SAVINGS_OR_INVESTMENT_OFFERS), F.lit(False))
     new_prod = F.coalesce(_offer_attr(offer_id, 5), F.lit(False))
@@ -414,7 +450,6 @@ def rule_checks(msg: Column, channel: Column, offer_id: Column, segment: Column,
     chans = _offer_attr(offer_id, 3)
     has_disclosure = msg.contains(RISK_DISCLOSURE) if disclosure_mode == "strict" else rx("disclosure_equiv")
     opening = F.regexp_extract(msg, opening_pattern(opening_words), 0)
-    low = F.lower(msg)
     personal = rx("tenure") | rx("recent_contact")
     for own in (region, None if rate_end is None else F.date_format(rate_end, "yyyy-MM-dd")):
         if own is not None:
@@ -457,13 +492,14 @@ def compliance(df: DataFrame, msg: str = "message_draft", channel: str = "channe
     (fail iff any hard_block hit; flags are recorded but pass, SEM15)."""
     own = {k: F.col(c) if c in df.columns else None
            for k, c in (("region", "region"), ("rate_end", "next_rate_end"), ("product_names", "product_names"))}
+    names, df = df.columns, df.withColumn("__low", F.lower(F.coalesce(F.col(msg), F.lit(""))))
     checks = rule_checks(F.coalesce(F.col(msg), F.lit("")), F.col(channel), F.col(offer_id),
-                         F.col(segment), F.col(age), disclosure_mode, **own)
+                         F.col(segment), F.col(age), disclosure_mode, low=F.col("__low"), **own)
     hits = F.filter(F.array(*[
         F.when(checks[rid][0], F.struct(F.lit(rid).alias("rule_id"), F.lit(sev).alias("severity"),
                                         F.lit(checks[rid][1]).alias("finding")))
         for rid, sev in RULES]), lambda x: x.isNotNull())
-    out = df.withColumn("violated_rules", hits)
+    out = df.select(*[F.col(c) for c in names if c != "violated_rules"], hits.alias("violated_rules"))
     return out.withColumn("status", F.when(F.exists("violated_rules", lambda v: v["severity"] == HARD),
                                            F.lit("fail")).otherwise(F.lit("pass")))
 
