@@ -68,7 +68,10 @@ def decision_context(batch: DataFrame, customers: DataFrame, holdings: DataFrame
          .join(rate, "customer_id", "left").join(comp, "customer_id", "left")
          .join(tx, "customer_id", "left").join(prof, "customer_id", "left"))
     defaults = {"has_savings": 0, "has_mortgage": 0, "has_investment": 0, "has_current": 0, "has_profile": False}
-    return j.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    # Few bytes, much work a row: the partitions that AQE has made of so little are dealt out again, by a fixed
+    # number, or the rules of the whole batch run in one task.
+    parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return j.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()}).repartition(parts, "customer_id")
 
 
 # ---------------------------------------------------------------------------

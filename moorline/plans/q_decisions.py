@@ -65,8 +65,10 @@ def reason_classify(spark, sf_dir):
 @query("offer_eligibility", _dsql("""
 SELECT customer_id, e.offer_id, e.triggered FROM (SELECT customer_id, unnest(eligible) AS e FROM elig) t"""))
 def offer_eligibility(spark, sf_dir):
-    """DC5 / J10: every eligible (customer, offer) with its triggered-predicate count."""
-    e = DC.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir))))
+    """DC5 / J10: every eligible (customer, offer) with its triggered-predicate count.
+    Materialised before it is exploded: the filter on empty lists that Spark infers would else
+    be pushed below the context's last exchange, with the whole chain of projections in it."""
+    e = materialize(DC.eligible_offers(DC.classify(context(C.warehouse(spark, sf_dir)))).select("customer_id", "eligible"))
     return e.select("customer_id", F.explode("eligible").alias("o")).select(
         "customer_id", "o.offer_id", "o.triggered")
 
